@@ -33,20 +33,30 @@ def first_per_key(
     order: Sequence[tuple | str],
     ties: Sequence[tuple | str] | None = None,
     null_key: str = "collapse",
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Keep the first row per ``key`` by ``order`` + ``ties`` (default: all other columns)."""
+    """Keep the first row per ``key`` by ``order`` + ``ties`` (default: all other columns).
+
+    ``within``: keys that split the input into independent runs (site, corner, month);
+    NULL-key rows collapse per ``within`` group.
+    """
+    within = list(within)
     keys = [key] if isinstance(key, str) else list(key)
-    exprs = total_order(df, order, ties, exclude=keys)
+    exprs = total_order(df, order, ties, exclude=keys + within)
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    window = Window.partitionBy(*keys).orderBy(*exprs)
+    window = Window.partitionBy(*within, *keys).orderBy(*exprs)
     keyed = df.where(has_key).withColumn(_RN, F.row_number().over(window)).where(F.col(_RN) == 1).drop(_RN)
     if null_key == "drop":
         return keyed
     nulls = df.where(~has_key)
     if null_key == "collapse":
-        nulls = nulls.orderBy(*exprs).limit(1)
+        if within:
+            first = Window.partitionBy(*within).orderBy(*exprs)
+            nulls = nulls.withColumn(_RN, F.row_number().over(first)).where(F.col(_RN) == 1).drop(_RN)
+        else:
+            nulls = nulls.orderBy(*exprs).limit(1)
     elif null_key != "keep":
         raise ValueError("null_key must be 'collapse', 'keep' or 'drop'")
     return keyed.unionByName(nulls)
@@ -61,8 +71,12 @@ def filter_duplicate_tieup_item(
     ties: Sequence[tuple | str] | None = None,
     null_key: str = "collapse",
     output: Sequence[str] = OUTPUT_COLUMNS,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Catalogue signature: one row per material, lowest ``tieup_id`` first, then the
     15 fact columns sorted by ``order_column`` (ties broken by the other columns)."""
-    first = first_per_key(df, key, [(rank_column, True)], ties=ties, null_key=null_key).select(*output)
-    return first.orderBy(*total_order(first, [(order_column, ascending)], ties))
+    within = list(within)
+    first = first_per_key(df, key, [(rank_column, True)], ties=ties, null_key=null_key, within=within)
+    first = first.select(*within, *output)
+    order = [(w, True) for w in within] + [(order_column, ascending)]
+    return first.orderBy(*total_order(first, order, ties))

@@ -91,14 +91,20 @@ def rollup_groups(
     zero: Sequence[str] = ZERO_ON_ALBUM,
     kind_column: str = KIND_COLUMN,
     kinds: tuple[str, str] = KINDS,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Roll rows of large groups up into one group row; see the module docstring.
 
     ``order``: ``[(column, ascending), ...]``; ``ties`` completes it to a total order
     (default: every other column ascending), which fixes the surviving row and makes the
     top-k cut identical in both branches that read it (H9).
+
+    ``within``: extra keys (e.g. site, corner, month) that split the input into
+    independent rollups run in one job; they prefix every count, window and top-k and
+    are kept in the output.
     """
-    items = total_order_items(df, order, ties)
+    within = list(within)
+    items = total_order_items(df, order, ties, exclude=within)
     sort_names = [f"__fc_s{i}" for i in range(len(items))]
     hidden = [F.col(name).alias(s) for (name, _), s in zip(items, sort_names)]
 
@@ -107,16 +113,26 @@ def rollup_groups(
 
     directions = [asc for _, asc in items]
     base_order = by([n for n, _ in items], directions)
-    base = df.orderBy(*base_order).limit(top_k) if top_k else df
-
+    if not top_k:
+        base = df
+    elif within:
+        cut = Window.partitionBy(*within).orderBy(*base_order)
+        base = df.withColumn(_RN, F.row_number().over(cut)).where(F.col(_RN) <= top_k).drop(_RN)
+    else:
+        base = df.orderBy(*base_order).limit(top_k)
+
+    tmp_within = [f"__fc_w{i}" for i in range(len(within))]
     large = (
         base.where(F.col(group_column).isNotNull())
-        .groupBy(group_column)
+        .groupBy(*within, group_column)
         .agg(F.count(F.col(group_column)).alias("__fc_n"))
         .where(F.col("__fc_n") >= F.lit(threshold))
-        .select(F.col(group_column).alias(_GROUP))
+        .select(*[F.col(w).alias(t) for w, t in zip(within, tmp_within)], F.col(group_column).alias(_GROUP))
     )
-    joined = base.join(large, F.col(group_column) == F.col(_GROUP), "left")
+    cond = F.col(group_column) == F.col(_GROUP)
+    for w, t in zip(within, tmp_within):
+        cond = cond & (F.col(w) == F.col(t))
+    joined = base.join(large, cond, "left").drop(*tmp_within)
 
     types = {f.name: f.dataType for f in df.schema.fields}
     album_kind, music_kind = kinds
@@ -137,18 +153,19 @@ def rollup_groups(
             return F.lit(0).cast(types[name]).alias(name)
         return F.col(name)
 
-    singles = joined.where(F.col(_GROUP).isNull()).select(*[item_row(c) for c in output], *hidden)
-    best = Window.partitionBy(group_column).orderBy(*base_order)
+    keep = [F.col(w) for w in within]
+    singles = joined.where(F.col(_GROUP).isNull()).select(*keep, *[item_row(c) for c in output], *hidden)
+    best = Window.partitionBy(*within, group_column).orderBy(*base_order)
     groups = (
         joined.where(F.col(_GROUP).isNotNull())
         .withColumn(_RN, F.row_number().over(best))
         .where(F.col(_RN) == 1)
-        .select(*[group_row(c) for c in output], *hidden)
+        .select(*keep, *[group_row(c) for c in output], *hidden)
     )
     return (
         singles.unionByName(groups)
-        .orderBy(*by(sort_names, directions))
-        .select(*output)
+        .orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
+        .select(*within, *output)
     )
 
 
@@ -160,6 +177,7 @@ def aggregate_musics_to_album(
     ascending: bool = False,
     group_column: str = "album_music_id",
     ties: Sequence[tuple | str] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Catalogue signature of :func:`rollup_groups` (15 output columns, C3)."""
     return rollup_groups(
@@ -169,4 +187,5 @@ def aggregate_musics_to_album(
         threshold=threshold_num,
         top_k=top_k,
         ties=ties,
+        within=within,
     )

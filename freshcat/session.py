@@ -27,13 +27,14 @@ SESSION_CONF = {
     # Dynamic overwrite: rewriting one month must not delete the others.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of :data:`SESSION_CONF` to a live session."""
     for key, value in SESSION_CONF.items():
-        if key == "spark.ui.enabled":
+        if key.startswith("spark.ui."):
             continue
         spark.conf.set(key, value)
     return spark
