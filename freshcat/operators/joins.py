@@ -125,3 +125,17 @@ def flag_lookup(
     ).distinct()
     joined = df.join(reduced, F.col(left_key) == F.col(tmp), "left").drop(tmp)
     return joined.withColumn(output, F.coalesce(F.col(output), F.lit(0)))
+
+
+def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
+    """Keep only rows of ``big`` whose ``big_key`` occurs in ``small.small_key``.
+
+    A declarative semi-join reduction: when ``small`` is a selective frame (one month of
+    one corner) its distinct keys are tiny, AQE broadcasts them after measuring them at
+    run time, and ``big`` is filtered inside its scan tasks instead of being shuffled
+    whole into a join. If the keys turn out large, the same plan runs as a shuffled semi
+    join. The result is unchanged for a later equi join on these keys.
+    """
+    tmp = "__fc_semi_key"
+    keys = small.select(F.col(small_key).alias(tmp)).where(F.col(tmp).isNotNull()).distinct()
+    return big.join(keys, F.col(big_key) == F.col(tmp), "left_semi")

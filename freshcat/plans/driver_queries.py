@@ -49,7 +49,7 @@ from freshcat.plans.star import (
     star_tieup_bridge,
     star_tieups,
 )
-from freshcat.session import checkpoint_dir
+from freshcat.session import checkpoint_dir, stage
 from freshcat.sources import (
     create_partitioned_table,
     first_non_empty,
@@ -261,12 +261,12 @@ def q_topk(spark, base):
 
 
 def q_album_rollup(spark, base):
-    fact = star_fact(Tables(spark, base))
+    fact = stage(star_fact(Tables(spark, base)), "fact")
     return aggregate_musics_to_album(fact, threshold_num=5, order_column="release_date", ascending=False)
 
 
 def q_album_rollup_topk(spark, base):
-    fact = star_fact(Tables(spark, base))
+    fact = stage(star_fact(Tables(spark, base)), "fact")
     return aggregate_musics_to_album(fact, top_k=5000, threshold_num=5, order_column="release_date", ascending=False)
 
 

@@ -35,9 +35,17 @@ from freshcat.functions.timezone import JST, local_epoch_seconds
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
 from freshcat.operators.filters import all_of, corner_filter, current_rows, in_local_month, searchable
-from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, snowflake_left_join
+from freshcat.operators.joins import (
+    Hop,
+    flag_lookup,
+    join_dim_material,
+    join_hop,
+    semi_reduce,
+    snowflake_left_join,
+)
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
+from freshcat.session import stage
 
 ALBUM_COLUMNS = ("album_music_id", "album_music_name", "album_artist_id", "album_artist_name", "album_release_date")
 
@@ -169,13 +177,25 @@ def new_arrivals_fact(
     within: Sequence[str] = (),
     material_id: str = "id",
     material_name: str = "name",
+    reduce_dimensions: bool = False,
 ) -> DataFrame:
     """Fact rows of the target materials (C7): left joins, tie-up filter, defaults, distinct.
 
     ``ids`` (material_id -> asset_id) is joined when the material has no ``asset_id`` yet.
     ``require_tieup``: True = ``searchable != 0`` (F6), False = also keep items without a
     tie-up (F7); a boolean column selects per row (all corners in one job).
+    ``reduce_dimensions``: first cut the tie-up bridge, the flag list, the id map and the
+    album tracks down to the keys the target uses (:func:`semi_reduce`). Worth it when the
+    target is selective and already materialised (it is read once per reduction).
     """
+    if reduce_dimensions:
+        tieup_bridge = semi_reduce(tieup_bridge, "music_id", material_target, "music_id")
+        flags = semi_reduce(flags, "artist_id", material_target, "artist_id")
+        if ids is not None:
+            ids = semi_reduce(ids, "material_id", material_target, material_id)
+            album_tracks = semi_reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
+        else:
+            album_tracks = semi_reduce(album_tracks, "album_track_asset_id", material_target, "asset_id")
     hops = []
     if ids is not None:
         hops.append(Hop(ids, material_id, "material_id", ["asset_id"]))
@@ -213,10 +233,13 @@ def corner_job(
     top_k: int | None = None,
     tz: str = JST,
     collection_bridge_fallback=None,
+    stage_fact: bool = True,
 ) -> DataFrame:
     """One (site, corner, month): the 15-column result, newest first."""
     material = material_dimension(tables, month, tz)
     target = corner_filter(material, "site_name", corner.site_name, "filetype_id", corner.filetype_ids)
+    if stage_fact:
+        target = stage(target, "target")
     bridge = tables["dim_collection_collection_detail"]
     if corner.fallback_collection_bridge and collection_bridge_fallback is not None:
         from freshcat.sources.tables import first_non_empty
@@ -236,7 +259,10 @@ def corner_job(
         ids=ids,
         require_tieup=corner.require_tieup,
         tz=tz,
+        reduce_dimensions=stage_fact,
     )
+    if stage_fact:
+        fact = stage(fact, "fact")
     rolled = aggregate_musics_to_album(
         fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False
     )
@@ -250,6 +276,7 @@ def all_corners_job(
     threshold: int = 5,
     top_k: int | None = None,
     tz: str = JST,
+    stage_fact: bool = True,
 ) -> DataFrame:
     """Every corner of one month in one job (S12): the corner table (tens of rows,
     broadcast) replaces the per-script ``site = ... AND code IN (...)`` filter, and
@@ -262,6 +289,8 @@ def all_corners_job(
         (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")),
         "inner",
     ).drop("__fc_site", "__fc_code")
+    if stage_fact:
+        target = stage(target, "target")
     headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
     tracks = album_dimension(headers, tables["dim_collection_collection_detail"], ids, material, tz)
@@ -275,7 +304,10 @@ def all_corners_job(
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=("site", "corner"),
+        reduce_dimensions=stage_fact,
     )
+    if stage_fact:
+        fact = stage(fact, "fact")
     rolled = aggregate_musics_to_album(
         fact,
         top_k=top_k,

@@ -42,6 +42,7 @@ from freshcat.operators.joins import Hop, join_hop, snowflake_left_join
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
 from freshcat.plans.monthly_job import new_arrivals_fact
+from freshcat.session import stage
 
 # Fixed values of the star mapping (parameters of the driver queries).
 FLAGSHIP_MONTH = "1996-03"
@@ -186,11 +187,18 @@ def star_fact(
     types: Sequence[str] | None = None,
     require_tieup: bool = True,
     tz: str = JST,
+    stage_target: bool = False,
 ) -> DataFrame:
-    """New-arrivals fact (C7) on the star; no month/corner = every current line item."""
+    """New-arrivals fact (C7) on the star; no month/corner = every current line item.
+
+    ``stage_target``: write the (selective) target once and cut the dimensions down to
+    its keys before joining (semi-join reduction); for the whole-table fact it is off.
+    """
     target = star_material(t, month, tz)
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
+    if stage_target:
+        target = stage(target, "target")
     return new_arrivals_fact(
         target,
         star_tieup_bridge(t),
@@ -199,6 +207,7 @@ def star_fact(
         star_album_tracks(t, tz),
         require_tieup=require_tieup,
         tz=tz,
+        reduce_dimensions=stage_target,
     )
 
 
@@ -210,9 +219,16 @@ def star_new_arrivals(
     threshold: int = FLAGSHIP_THRESHOLD,
     top_k: int | None = None,
     tz: str = JST,
+    stage_fact: bool = True,
 ) -> DataFrame:
-    """The monthly corner job end to end on the star (C8): 15 columns, newest first."""
-    fact = star_fact(t, month, segment, types, tz=tz)
+    """The monthly corner job end to end on the star (C8): 15 columns, newest first.
+
+    The fact feeds three branches of the rollup and two of the de-duplication; it is
+    staged once (see :func:`freshcat.session.stage`) unless ``stage_fact`` is False.
+    """
+    fact = star_fact(t, month, segment, types, tz=tz, stage_target=stage_fact)
+    if stage_fact:
+        fact = stage(fact, "fact")
     rolled = aggregate_musics_to_album(
         fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False
     )
@@ -225,6 +241,7 @@ def star_all_corners(
     corners: Sequence[Corner] | None = None,
     threshold: int = FLAGSHIP_THRESHOLD,
     tz: str = JST,
+    stage_fact: bool = True,
 ) -> DataFrame:
     """Every corner of the month in one job (S12): site, corner + the 15 columns."""
     corners = corners or star_corners()
@@ -244,6 +261,8 @@ def star_all_corners(
         )
         .drop("__fc_site", "__fc_code")
     )
+    if stage_fact:
+        target = stage(target, "target")
     fact = new_arrivals_fact(
         target,
         star_tieup_bridge(t),
@@ -253,7 +272,10 @@ def star_all_corners(
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=("site", "corner"),
+        reduce_dimensions=stage_fact,
     )
+    if stage_fact:
+        fact = stage(fact, "fact")
     rolled = aggregate_musics_to_album(
         fact, threshold_num=threshold, order_column="release_date", ascending=False, within=("site", "corner")
     )

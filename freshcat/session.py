@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -79,3 +80,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="freshcat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches whose pushed-down filters differ
+    (so Spark cannot reuse a common exchange and would recompute the whole subtree per
+    branch). The written table also cuts the lineage: a lost executor re-reads files
+    instead of re-running the scans and joins above it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
