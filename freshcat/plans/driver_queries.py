@@ -65,18 +65,29 @@ STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"
 
 
 class Tables(dict):
-    """Lazily loaded driver tables of one scale factor."""
+    """Lazily loaded driver tables of one scale factor.
+
+    ``tables[name]`` is the scan spread over the cores when its files give too few
+    splits (whole-table plans); ``tables.raw(name)`` is the plain scan, for plans whose
+    first step is selective (a month) and gain nothing from a shuffle before it.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         super().__init__()
         self.spark = spark
         self.base = base
+        self._raw: dict[str, DataFrame] = {}
 
     def __missing__(self, name: str) -> DataFrame:
         frame = load(self.spark, self.base, name)
         self[name] = frame
         return frame
 
+    def raw(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            self._raw[name] = load(self.spark, self.base, name, spread=False)
+        return self._raw[name]
+
 
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

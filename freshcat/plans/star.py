@@ -81,7 +81,8 @@ def star_items(t: Mapping[str, DataFrame], month: str | None = None, tz: str = J
     ``month`` is given: the range lands on the ``orders`` scan, and the join to the line
     items becomes an inner join that a runtime bloom filter can prune)."""
     key = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    lines = t["lineitem"].select(
+    source = t.raw("lineitem") if month and hasattr(t, "raw") else t["lineitem"]
+    lines = source.select(
         F.concat_ws("-", *key).alias("id"),
         F.concat_ws("/", key[0], key[1]).alias("name"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.col("l_shipdate")).alias(

@@ -26,13 +26,35 @@ DRIVER_TABLES = (
 )
 
 
-def load(spark: SparkSession, base: str, name: str) -> DataFrame:
+SPREAD_MIN_BYTES = 8 << 20
+
+
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def load(spark: SparkSession, base: str, name: str, spread: bool = True) -> DataFrame:
     """Scan one table stored as ``{base}/{name}.parquet``.
 
     Parquet keeps column pruning, predicate pushdown and vectorised reads; nothing is
     selected here so that Catalyst prunes to what the plan uses.
+
+    ``spread``: a large table whose files give fewer scan splits than the session has
+    cores (one file of one row group) is spread round-robin over the cores, so the
+    narrow work before the first shuffle is not done by one task. On a cluster the scan
+    already has far more splits than cores and this is a no-op. Filters and column
+    pruning still reach the scan (both pass through a repartition).
     """
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores and _path_bytes(spark, path) >= SPREAD_MIN_BYTES:
+            df = df.repartition(cores)
+    return df
 
 
 def load_all(spark: SparkSession, base: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
