@@ -69,3 +69,8 @@ def month_range_predicate(
     start, end = local_month_bounds(month, tz)
     col = F.col(column)
     return (col >= _instant_literal(start, data_type)) & (col < _instant_literal(end, data_type))
+
+
+def local_month_partition(column: Column | str, tz: str = JST) -> Column:
+    """Partition value ``YYYYMM01`` of the local month of a UTC instant."""
+    return F.concat(F.date_format(to_local_wall_clock(column, tz), "yyyyMM"), F.lit("01"))

@@ -3,8 +3,15 @@
 from freshcat.operators.backfill import months_until_target
 from freshcat.operators.dedup import filter_duplicate_tieup_item, first_per_key
 from freshcat.operators.explode import explode_tracks
-from freshcat.operators.filters import all_of, corner_filter, current_rows, in_local_month, searchable
-from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, snowflake_left_join
+from freshcat.operators.filters import (
+    all_of,
+    corner_filter,
+    current_rows,
+    in_local_month,
+    in_local_months,
+    searchable,
+)
+from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, semi_reduce, snowflake_left_join
 from freshcat.operators.ordering import total_order, total_order_items
 from freshcat.operators.ranking import global_row_number, having_count, top_k
 from freshcat.operators.rollup import OUTPUT_COLUMNS, aggregate_musics_to_album, rollup_groups
@@ -23,11 +30,13 @@ __all__ = [
     "global_row_number",
     "having_count",
     "in_local_month",
+    "in_local_months",
     "join_dim_material",
     "join_hop",
     "months_until_target",
     "rollup_groups",
     "searchable",
+    "semi_reduce",
     "snowflake_left_join",
     "top_k",
     "total_order",

@@ -24,6 +24,18 @@ def in_local_month(df: DataFrame, ts_column: str, month: str, tz: str = JST) ->
     return df.filter(month_range_predicate(ts_column, month, tz, dtype))
 
 
+def in_local_months(df: DataFrame, ts_column: str, oldest: str, newest: str, tz: str = JST) -> DataFrame:
+    """Rows whose instant falls in local months ``oldest`` .. ``newest`` (both included);
+    one pushable range, the month of each row is derived separately."""
+    from freshcat.functions.timezone import _instant_literal, local_month_bounds
+
+    dtype = df.schema[ts_column].dataType
+    start, _ = local_month_bounds(oldest, tz)
+    _, end = local_month_bounds(newest, tz)
+    col = F.col(ts_column)
+    return df.filter((col >= _instant_literal(start, dtype)) & (col < _instant_literal(end, dtype)))
+
+
 def corner_filter(
     df: DataFrame,
     site_column: str,

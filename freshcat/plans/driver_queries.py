@@ -41,6 +41,7 @@ from freshcat.plans.star import (
     FLAGSHIP_TYPES,
     star_album_tracks,
     star_all_corners,
+    star_backfill,
     star_fact,
     star_flags,
     star_items,
@@ -408,6 +409,10 @@ def q_new_arrivals_all_corners(spark, base):
     return star_all_corners(Tables(spark, base))
 
 
+def q_new_arrivals_backfill(spark, base):
+    return star_backfill(Tables(spark, base))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd_current": q_scd_current,
     "dim_project": q_dim_project,
@@ -443,4 +448,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "months_until_target": q_months_until_target,
     "new_arrivals": q_new_arrivals,
     "new_arrivals_all_corners": q_new_arrivals_all_corners,
+    "new_arrivals_backfill": q_new_arrivals_backfill,
 }

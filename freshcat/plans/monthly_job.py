@@ -2,7 +2,8 @@
 
 ``tables`` maps catalogue table names to frames (from ``spark.table`` on a metastore, or
 ``freshcat.sources.load`` on files). The job is one lazy plan; the only action is the
-write in :func:`run_corner_job` / :func:`run_all_corners`.
+write in :func:`run_corner_job` / :func:`run_all_corners` (plus the staging writes of
+the target and the fact).
 
 Stages (the order of the catalogue job):
 
@@ -31,10 +32,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshcat.functions.defaults import default_if_null, null_to_text
-from freshcat.functions.timezone import JST, local_epoch_seconds
+from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_partition
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
-from freshcat.operators.filters import all_of, corner_filter, current_rows, in_local_month, searchable
+from freshcat.operators.filters import (
+    all_of,
+    corner_filter,
+    current_rows,
+    in_local_month,
+    in_local_months,
+    searchable,
+)
 from freshcat.operators.joins import (
     Hop,
     flag_lookup,
@@ -63,10 +71,23 @@ def current_month(tz: str = JST) -> str:
     return datetime.now(ZoneInfo(tz)).strftime("%Y-%m")
 
 
-def material_dimension(tables: Mapping[str, DataFrame], month: str | None = None, tz: str = JST) -> DataFrame:
-    """Current items (of ``month`` when given) joined to their bridges and dimensions."""
+def material_dimension(
+    tables: Mapping[str, DataFrame],
+    month: str | None = None,
+    tz: str = JST,
+    newest: str | None = None,
+) -> DataFrame:
+    """Current items (of ``month`` when given) joined to their bridges and dimensions.
+
+    With ``newest``, ``month`` is the oldest month of a range and every row gets its local
+    month as ``target_date`` (``YYYYMM01``).
+    """
     item = current_rows(tables["dim_hub_item"]).select("id", "name", "delivery_start_date", "delivery_end_date")
-    if month:
+    if month and newest:
+        item = in_local_months(item, "delivery_start_date", month, newest, tz).withColumn(
+            "target_date", local_month_partition("delivery_start_date", tz)
+        )
+    elif month:
         item = in_local_month(item, "delivery_start_date", month, tz)
     return join_dim_material(
         item,
@@ -106,8 +127,14 @@ def album_dimension(
     ``material``: the material dimension (id, artist_id, delivery_start_date). Artist and
     release date come from the material found through the id map; in the catalogue job
     that material is already month-filtered, so albums whose item started in another
-    month get NULL there (H12).
+    month get NULL there (H12). When ``material`` covers several months (it carries
+    ``target_date``), that month is kept as ``__fc_album_month`` so the fact can apply the
+    same rule per month.
     """
+    by_month = "target_date" in material.columns
+    wanted = {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start"}
+    if by_month:
+        wanted["target_date"] = "__fc_album_month"
     headers = album_headers.select(
         F.col("id").alias("album_music_id"),
         F.col("title_title").alias("album_music_name"),
@@ -119,12 +146,7 @@ def album_dimension(
         [
             Hop(collection_bridge, "album_music_id", "collection_detail_id", ["collection_id"]),
             Hop(ids, "collection_id", "collection_id", {"material_id": "__fc_album_material"}),
-            Hop(
-                material,
-                "__fc_album_material",
-                "id",
-                {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start"},
-            ),
+            Hop(material, "__fc_album_material", "id", wanted),
         ],
     )
     albums = joined.select(
@@ -133,6 +155,7 @@ def album_dimension(
         "album_artist_id",
         "album_artist_name",
         local_epoch_seconds("__fc_album_start", tz).alias("album_release_date"),
+        *(["__fc_album_month"] if by_month else []),
         "asset_structure",
     )
     return explode_tracks(albums)
@@ -146,6 +169,12 @@ def fact_projection(
 ) -> list[Column]:
     """The 19 fact columns with their defaults."""
     types = {f.name: f.dataType for f in joined.schema.fields}
+    album = {c: F.col(c) for c in ALBUM_COLUMNS}
+    if "__fc_album_month" in types:
+        # several months in one job: album attributes count only from the fact's month
+        same = F.col("__fc_album_month") == F.col("target_date")
+        for c in ("album_artist_id", "album_release_date"):
+            album[c] = F.when(same, F.col(c)).alias(c)
     return [
         F.lit(1).alias("pickup"),
         F.col(material_id).alias("material_id"),
@@ -161,7 +190,7 @@ def fact_projection(
         default_if_null("__fc_tieup_key", 0, types["__fc_tieup_key"]).cast("int").alias("tieup_id"),
         F.col("johnnys"),
         F.lit(0).alias("score"),
-        *[F.col(c) for c in ALBUM_COLUMNS],
+        *[album[c] for c in ALBUM_COLUMNS],
     ]
 
 
@@ -215,7 +244,8 @@ def new_arrivals_fact(
     ]
     joined = snowflake_left_join(material_target, hops)
     joined = flag_lookup(joined, flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
-    joined = join_hop(joined, Hop(album_tracks, "asset_id", "album_track_asset_id", list(ALBUM_COLUMNS)), tag="t")
+    album_cols = list(ALBUM_COLUMNS) + (["__fc_album_month"] if "__fc_album_month" in album_tracks.columns else [])
+    joined = join_hop(joined, Hop(album_tracks, "asset_id", "album_track_asset_id", album_cols), tag="t")
     if isinstance(require_tieup, Column):
         flag = F.col("__fc_searchable")
         joined = joined.filter((flag != 0) | (~require_tieup & flag.isNull()))
@@ -317,3 +347,133 @@ def all_corners_job(
         within=("site", "corner"),
     )
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=("site", "corner"))
+
+
+def target_date_of(month: str) -> str:
+    """``YYYY-MM`` -> partition value ``YYYYMM01``."""
+    return month.replace("-", "")[:6] + "01"
+
+
+def export_name(month: str, site: str, corner: str) -> str:
+    """Deterministic export file name ``{YYYYMM}01_{site}_{corner}.csv``."""
+    return f"{target_date_of(month)}_{site}_{corner}.csv"
+
+
+def run_corner_job(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    corner: Corner,
+    month: str | None = None,
+    table: str | None = None,
+    threshold: int = 5,
+    tz: str = JST,
+) -> str:
+    """Compute one corner-month and publish it (C8 end to end, S6-S9, C5).
+
+    Writes one header CSV, newest first, into ``site=/corner=/target_date=`` under
+    ``root`` (dynamic overwrite: other months stay), renames it to its export name and,
+    when ``table`` is given, registers the partition. Returns the exported file path.
+    """
+    from freshcat.sources.sinks import export_named_file, partition_dir, register_partitions, write_partitioned_csv
+
+    month = month or current_month(tz)
+    spark = tables["dim_hub_item"].sparkSession
+    result = corner_job(tables, month, corner, threshold=threshold, tz=tz)
+    values = {"site": corner.site, "corner": corner.corner, "target_date": target_date_of(month)}
+    order = [F.col("release_date").desc()] + [F.col(c).asc() for c in result.columns if c != "release_date"]
+    write_partitioned_csv(result, root, values, order=order)
+    path = export_named_file(spark, partition_dir(root, values), export_name(month, corner.site, corner.corner))
+    if table:
+        register_partitions(spark, table)
+    return path
+
+
+def run_all_corners(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    corners: Sequence[Corner],
+    month: str | None = None,
+    table: str | None = None,
+    threshold: int = 5,
+    tz: str = JST,
+) -> list[str]:
+    """Every corner of a month in one job, one export file per corner (S12 + sinks)."""
+    from freshcat.sources.sinks import export_named_file, partition_dir, register_partitions, write_partitioned_csv
+
+    month = month or current_month(tz)
+    spark = tables["dim_hub_item"].sparkSession
+    result = all_corners_job(tables, month, corners, threshold=threshold, tz=tz).withColumn(
+        "target_date", F.lit(target_date_of(month))
+    )
+    order = [F.col("release_date").desc()] + [
+        F.col(c).asc() for c in result.columns if c not in ("release_date", "site", "corner", "target_date")
+    ]
+    write_partitioned_csv(result, root, order=order)
+    paths = []
+    for c in corners:  # the configuration, not the data: at most a few dozen entries
+        values = {"site": c.site, "corner": c.corner, "target_date": target_date_of(month)}
+        directory = partition_dir(root, values)
+        if _exists(spark, directory):
+            paths.append(export_named_file(spark, directory, export_name(month, c.site, c.corner)))
+    if table:
+        register_partitions(spark, table)
+    return paths
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
+def backfill_job(
+    tables: Mapping[str, DataFrame],
+    oldest: str,
+    newest: str,
+    corners: Sequence[Corner],
+    threshold: int = 5,
+    top_k: int | None = None,
+    tz: str = JST,
+    stage_fact: bool = True,
+) -> DataFrame:
+    """Every corner of every month ``oldest`` .. ``newest`` in one job (C9 re-aimed).
+
+    Equal to running :func:`corner_job` once per (corner, month) and stacking the results:
+    one pushable range scan, the month as ``target_date`` in every rollup/dedup key, and
+    album attributes taken only from items of the fact's own month (H12).
+    Result: site, corner, target_date + the 15 columns.
+    """
+    spark = tables["dim_hub_item"].sparkSession
+    within = ("site", "corner", "target_date")
+    material = material_dimension(tables, oldest, tz, newest=newest)
+    config = (
+        F.broadcast(corner_frame(spark, corners))
+        .withColumnRenamed("site_name", "__fc_site")
+        .withColumnRenamed("filetype_id", "__fc_code")
+    )
+    target = material.join(
+        config, (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")), "inner"
+    ).drop("__fc_site", "__fc_code")
+    if stage_fact:
+        target = stage(target, "target")
+    headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
+    ids = id_map(tables)
+    tracks = album_dimension(headers, tables["dim_collection_collection_detail"], ids, material, tz)
+    fact = new_arrivals_fact(
+        target,
+        current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
+        current_rows(tables["dim_hub_tieup"]).select("id", "name", "detailgenre_id", "searchable"),
+        tables["johnnys_csv"].select("artist_id", "is_johnnys"),
+        tracks,
+        ids=ids,
+        require_tieup=F.col("require_tieup"),
+        tz=tz,
+        within=within,
+        reduce_dimensions=stage_fact,
+    )
+    if stage_fact:
+        fact = stage(fact, "fact")
+    rolled = aggregate_musics_to_album(
+        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False, within=within
+    )
+    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from freshcat.plans.star import (
     ALBUM_STATUSES,
     ASSET_STRIDE,
+    BACKFILL_NEWEST,
+    BACKFILL_OLDEST,
     FLAG_REGION,
     FLAGSHIP_MONTH,
     FLAGSHIP_SEGMENT,
@@ -55,9 +57,15 @@ def brand_no(expr: str = "p_brand") -> str:
     return f"TRY_CAST(split_part({expr}, '#', 2) AS INTEGER)"
 
 
-def star_ctes(month: str | None = None, corner_where: str = "", corners: bool = False) -> str:
+def star_ctes(month: str | None = None, corner_where: str = "", corners: bool = False, newest: str | None = None) -> str:
     """CTEs item, material, target, tieup_bridge, tieup, flags, albums, tracks."""
-    month_pred = f"AND strftime(o.o_orderdate + INTERVAL 9 HOUR, '%Y-%m') = '{month}'" if month else ""
+    local_month = "strftime(o.o_orderdate + INTERVAL 9 HOUR, '%Y-%m')"
+    if month and newest:
+        month_pred = f"AND {local_month} BETWEEN '{month}' AND '{newest}'"
+        month_col = ",\n         strftime(o.o_orderdate + INTERVAL 9 HOUR, '%Y%m') || '01' AS target_date"
+    else:
+        month_pred = f"AND {local_month} = '{month}'" if month else ""
+        month_col = ""
     if corners:
         rows = []
         for c in star_corners():
@@ -77,7 +85,7 @@ item AS (
          concat_ws('/', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR)) AS name,
          o.o_orderdate AS delivery_start_date,
          l.l_partkey AS music_id, l.l_suppkey AS artist_id,
-         l.l_orderkey * {ASSET_STRIDE} + l.l_linenumber AS asset_id, o.o_custkey AS custkey
+         l.l_orderkey * {ASSET_STRIDE} + l.l_linenumber AS asset_id, o.o_custkey AS custkey{month_col}
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE (CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' THEN l.l_shipdate END) IS NULL {month_pred}
 ),
@@ -206,6 +214,15 @@ def all_corners_sql(month=FLAGSHIP_MONTH, threshold=FLAGSHIP_THRESHOLD) -> str:
     )
 
 
+def backfill_sql(oldest=BACKFILL_OLDEST, newest=BACKFILL_NEWEST, threshold=FLAGSHIP_THRESHOLD) -> str:
+    within = ("site", "corner", "target_date")
+    return (
+        "WITH " + star_ctes(oldest, corners=True, newest=newest) + "," + fact_cte(None, within)
+        + rollup_dedup_ctes(threshold, within=within)
+        + f"\nSELECT site, corner, target_date, {', '.join(OUTPUT_COLUMNS)} FROM dd WHERE rn_dd = 1"
+    )
+
+
 def whole_rollup_sql(threshold: int, top_k: int | None = None) -> str:
     return (
         "WITH " + star_ctes(None) + "," + fact_cte(True) + rollup_dedup_ctes(threshold, top_k, dedup=False)
@@ -323,4 +340,5 @@ w AS (SELECT month, row_count,
 SELECT month, row_count, rows_before FROM w WHERE rows_before < 5000""",
     "new_arrivals": flagship_sql(),
     "new_arrivals_all_corners": all_corners_sql(),
+    "new_arrivals_backfill": backfill_sql(),
 }

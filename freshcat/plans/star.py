@@ -34,10 +34,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshcat.functions.timezone import JST, local_epoch_seconds
+from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_partition
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
-from freshcat.operators.filters import corner_filter, current_rows, in_local_month
+from freshcat.operators.filters import corner_filter, current_rows, in_local_month, in_local_months
 from freshcat.operators.joins import Hop, join_hop, snowflake_left_join
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
@@ -49,6 +49,8 @@ FLAGSHIP_MONTH = "1996-03"
 FLAGSHIP_SEGMENT = "BUILDING"
 FLAGSHIP_TYPES = ("ECONOMY", "LARGE", "MEDIUM")
 FLAGSHIP_THRESHOLD = 2
+BACKFILL_OLDEST = "1996-01"
+BACKFILL_NEWEST = "1996-06"
 TRACK_SLOTS = 7
 ASSET_STRIDE = 8
 TIEUP_MAX_SIZE = 45
@@ -76,7 +78,9 @@ def brand_number(column: str = "p_brand") -> Column:
     return F.substring_index(F.col(column), "#", -1).try_cast("int")
 
 
-def star_items(t: Mapping[str, DataFrame], month: str | None = None, tz: str = JST) -> DataFrame:
+def star_items(
+    t: Mapping[str, DataFrame], month: str | None = None, tz: str = JST, newest: str | None = None
+) -> DataFrame:
     """Current line items as catalogue items, dated by their order (month-filtered when
     ``month`` is given: the range lands on the ``orders`` scan, and the join to the line
     items becomes an inner join that a runtime bloom filter can prune)."""
@@ -98,15 +102,23 @@ def star_items(t: Mapping[str, DataFrame], month: str | None = None, tz: str = J
         Hop(t["orders"], "l_orderkey", "o_orderkey", {"o_orderdate": "delivery_start_date", "o_custkey": "__fc_custkey"}),
         tag="o",
     )
-    if month:
+    if month and newest:
+        items = in_local_months(items, "delivery_start_date", month, newest, tz).withColumn(
+            "target_date", local_month_partition("delivery_start_date", tz)
+        )
+    elif month:
         items = in_local_month(items, "delivery_start_date", month, tz)
     return items
 
 
-def star_material(t: Mapping[str, DataFrame], month: str | None = None, tz: str = JST) -> DataFrame:
-    """Material snowflake on the star (C1): item -> part, supplier, customer."""
+def star_material(
+    t: Mapping[str, DataFrame], month: str | None = None, tz: str = JST, newest: str | None = None
+) -> DataFrame:
+    """Material snowflake on the star (C1): item -> part, supplier, customer.
+
+    ``month`` alone: that month; ``month`` .. ``newest``: a range, with ``target_date``."""
     return snowflake_left_join(
-        star_items(t, month, tz),
+        star_items(t, month, tz, newest),
         [
             Hop(t["part"], "music_id", "p_partkey", {"p_name": "music_name", "p_type": "filetype_id"}),
             Hop(t["supplier"], "artist_id", "s_suppkey", {"s_name": "artist_name"}),
@@ -243,9 +255,14 @@ def star_all_corners(
     threshold: int = FLAGSHIP_THRESHOLD,
     tz: str = JST,
     stage_fact: bool = True,
+    newest: str | None = None,
 ) -> DataFrame:
-    """Every corner of the month in one job (S12): site, corner + the 15 columns."""
+    """Every corner of the month in one job (S12): site, corner + the 15 columns.
+
+    With ``newest``: every month ``month`` .. ``newest`` too (backfill in one job), keyed
+    by ``target_date`` as well."""
     corners = corners or star_corners()
+    within = ("site", "corner", "target_date") if newest else ("site", "corner")
     spark = t["lineitem"].sparkSession
     # The corner table has one row per configured code (tens of rows): a fixed bound.
     config = (
@@ -254,7 +271,7 @@ def star_all_corners(
         .withColumnRenamed("filetype_id", "__fc_code")
     )
     target = (
-        star_material(t, month, tz)
+        star_material(t, month, tz, newest)
         .join(
             config,
             (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")),
@@ -272,12 +289,24 @@ def star_all_corners(
         star_album_tracks(t, tz),
         require_tieup=F.col("require_tieup"),
         tz=tz,
-        within=("site", "corner"),
+        within=within,
         reduce_dimensions=stage_fact,
     )
     if stage_fact:
         fact = stage(fact, "fact")
     rolled = aggregate_musics_to_album(
-        fact, threshold_num=threshold, order_column="release_date", ascending=False, within=("site", "corner")
+        fact, threshold_num=threshold, order_column="release_date", ascending=False, within=within
     )
-    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=("site", "corner"))
+    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)
+
+
+def star_backfill(
+    t: Mapping[str, DataFrame],
+    oldest: str = BACKFILL_OLDEST,
+    newest: str = BACKFILL_NEWEST,
+    corners: Sequence[Corner] | None = None,
+    threshold: int = FLAGSHIP_THRESHOLD,
+    tz: str = JST,
+) -> DataFrame:
+    """Every corner of every month in the range, one job: site, corner, target_date + 15."""
+    return star_all_corners(t, oldest, corners, threshold, tz, newest=newest)

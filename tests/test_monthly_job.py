@@ -137,3 +137,42 @@ def test_catalogue_corner_presets():
     assert len(android.filetype_ids) == 51
     assert len(corner_by_name("dwango_jp_ios", "niconico").filetype_ids) == 24
     assert len(corner_by_name("melody_android", "latest").filetype_ids) == 30
+
+
+def test_backfill_equals_each_month_and_corner(spark, catalogue):
+    from freshcat.plans.monthly_job import backfill_job, target_date_of
+
+    corners = [Corner("s", "strict", "SiteA", ("030300",)),
+               Corner("s", "loose", "SiteA", ("030300",), require_tieup=False)]
+    together = sorted(rows(backfill_job(catalogue, "2023-02", "2023-04", corners, threshold=2)), key=str)
+    apart = []
+    for month in ("2023-02", "2023-03", "2023-04"):
+        for c in corners:
+            apart += [(c.site, c.corner, target_date_of(month)) + r
+                      for r in rows(corner_job(catalogue, month, c, threshold=2))]
+    assert together == sorted(apart, key=str)
+    assert {r[2] for r in together} == {"20230301", "20230401"}
+
+
+def test_run_corner_job_exports_and_registers(spark, catalogue):
+    import os
+    import uuid
+
+    from freshcat.plans.monthly_job import run_corner_job
+    from freshcat.session import checkpoint_dir
+    from freshcat.sources import create_partitioned_table
+
+    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"fact-{uuid.uuid4().hex}")
+    corner = Corner("animelomix_ios", "wallpaper", "SiteA", ("030300",))
+    out = corner_job(catalogue, "2023-03", corner, threshold=2)
+    table = f"fc_fact_{uuid.uuid4().hex[:8]}"
+    create_partitioned_table(spark, table, root, out.schema)
+    path = run_corner_job(catalogue, root, corner, month="2023-03", table=table, threshold=2)
+    assert path.endswith("site=animelomix_ios/corner=wallpaper/target_date=20230301/20230301_animelomix_ios_wallpaper.csv")
+    with open(path.replace("file:", "")) as fh:
+        lines = fh.read().splitlines()
+    assert lines[0].startswith("pickup,music_id,music_name,material_id")
+    assert len(lines) == 3 and lines[1].split(",")[3] == "i9"
+    back = spark.table(table)
+    assert back.count() == 2
+    assert {r.target_date for r in back.select("target_date").collect()} == {"20230301"}
