@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from freshcat.functions.calendar import day_sequence, month_key, month_sequence
-from freshcat.functions.defaults import default_if_null, null_to_text, presence_flag
+from freshcat.functions.defaults import default_if_null, null_to_text
 from freshcat.functions.timezone import JST, local_epoch_seconds, to_local_wall_clock
 from freshcat.operators import (
     Hop,
@@ -217,10 +217,18 @@ def q_redundant_join(spark, base):
     return Tables(spark, base)["lineitem"].select("l_partkey", "l_suppkey").distinct()
 
 
+FLAG_SCHEMA = StructType([StructField("artist_id", LongType()), StructField("is_johnnys", StringType())])
+
+
 def q_flag_lookup(spark, base):
+    # the flag list is a CSV-backed lookup table in the catalogue (S5): derive it from the
+    # tables, keep it as header CSV, read it back with its schema, then look it up
     t = Tables(spark, base)
+    path = _scratch(spark, "flag_list")
+    star_flags(t).write.mode("overwrite").option("header", "true").csv(path)
+    flags = read_csv_lookup(spark, path, FLAG_SCHEMA)
     suppliers = t["supplier"].select(F.col("s_suppkey").alias("artist_id"), "s_name")
-    return flag_lookup(suppliers, star_flags(t), "artist_id", "artist_id", "is_johnnys", "johnnys")
+    return flag_lookup(suppliers, flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
 
 
 def q_null_defaults(spark, base):
