@@ -80,16 +80,29 @@ class Tables(dict):
         self._raw: dict[str, DataFrame] = {}
 
     def __missing__(self, name: str) -> DataFrame:
-        frame = load(self.spark, self.base, name)
+        frame = _cached(self.spark, self.base, name, True)
         self[name] = frame
         return frame
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = load(self.spark, self.base, name, spread=False)
+            self._raw[name] = _cached(self.spark, self.base, name, False)
         return self._raw[name]
 
 
+# Lazy scan frames per (session, folder, table): a frame holds only its plan and the file
+# listing, so queries of one session share the footer reads (the driver tables are
+# read-only inputs).
+_SCANS: dict[tuple, DataFrame] = {}
+
+
+def _cached(spark: SparkSession, base: str, name: str, spread: bool) -> DataFrame:
+    key = (id(spark), spark.sparkContext.applicationId, base, name, spread)
+    if key not in _SCANS:
+        _SCANS[key] = load(spark, base, name, spread=spread)
+    return _SCANS[key]
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

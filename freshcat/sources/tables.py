@@ -29,11 +29,12 @@ DRIVER_TABLES = (
 SPREAD_MIN_BYTES = 8 << 20
 
 
-def _path_bytes(spark: SparkSession, path: str) -> int:
+def _path_stats(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(file count, total bytes) of a path, from one file-system call."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+    summary = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hpath)
+    return int(summary.getFileCount()), int(summary.getLength())
 
 
 def load(spark: SparkSession, base: str, name: str, spread: bool = True) -> DataFrame:
@@ -52,11 +53,22 @@ def load(spark: SparkSession, base: str, name: str, spread: bool = True) -> Data
     df = spark.read.parquet(path)
     if spread:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and _path_bytes(spark, path) >= SPREAD_MIN_BYTES:
+        files, size = _path_stats(spark, path)
+        split = _conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128MB"))
+        splits = max(files, -(-size // split))
+        if splits < cores and size >= SPREAD_MIN_BYTES:
             df = df.repartition(cores)
     return df
 
 
+def _conf_bytes(text: str) -> int:
+    text = str(text).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if text and text[-1] in units:
+        return int(float(text[:-1]) * units[text[-1]])
+    return int(text)
+
+
 def load_all(spark: SparkSession, base: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
     return {name: load(spark, base, name) for name in names}
 
