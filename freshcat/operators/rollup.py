@@ -33,6 +33,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from freshcat.operators.ordering import total_order_items
 
@@ -136,17 +137,30 @@ def rollup_groups(
 
     types = {f.name: f.dataType for f in df.schema.fields}
     album_kind, music_kind = kinds
+    # A swapped pair with one string side (e.g. an int release date and a text album
+    # date) is returned as string, the type the lenient coercion gave; under ANSI the
+    # union would otherwise try to turn the text into a number and fail.
+    as_text = {
+        name
+        for name, src in group_values.items()
+        if name in types
+        and types[name] != types[src]
+        and (isinstance(types[name], StringType) or isinstance(types[src], StringType))
+    }
 
     def item_row(name: str):
         if name == kind_column:
             return F.lit(music_kind).alias(name)
+        if name in as_text:
+            return F.col(name).cast("string").alias(name)
         return F.col(name)
 
     def group_row(name: str):
         if name == kind_column:
             return F.lit(album_kind).alias(name)
         if name in group_values:
-            return F.col(group_values[name]).alias(name)
+            col = F.col(group_values[name])
+            return (col.cast("string") if name in as_text else col).alias(name)
         if name in blank:
             return F.lit(None).cast(types[name]).alias(name)
         if name in zero:
