@@ -50,6 +50,7 @@ from freshcat.plans.star import (
     star_tieup_bridge,
     star_tieups,
 )
+from freshcat.plans.star_catalogue import catalogue_corner_job
 from freshcat.session import checkpoint_dir, stage
 from freshcat.sources import (
     create_partitioned_table,
@@ -434,6 +435,10 @@ def q_new_arrivals_backfill(spark, base):
     return star_backfill(Tables(spark, base))
 
 
+def q_catalogue_corner_job(spark, base):
+    return catalogue_corner_job(Tables(spark, base))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd_current": q_scd_current,
     "dim_project": q_dim_project,
@@ -470,4 +475,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_arrivals": q_new_arrivals,
     "new_arrivals_all_corners": q_new_arrivals_all_corners,
     "new_arrivals_backfill": q_new_arrivals_backfill,
+    "catalogue_corner_job": q_catalogue_corner_job,
 }

@@ -119,6 +119,7 @@ def album_dimension(
     ids: DataFrame,
     material: DataFrame,
     tz: str = JST,
+    id_type: str = "int",
 ) -> DataFrame:
     """Album rows with one row per first-group track (C6 + C2).
 
@@ -158,7 +159,7 @@ def album_dimension(
         *(["__fc_album_month"] if by_month else []),
         "asset_structure",
     )
-    return explode_tracks(albums)
+    return explode_tracks(albums, id_type=id_type)
 
 
 def fact_projection(
@@ -264,8 +265,12 @@ def corner_job(
     tz: str = JST,
     collection_bridge_fallback=None,
     stage_fact: bool = True,
+    id_type: str = "int",
 ) -> DataFrame:
-    """One (site, corner, month): the 15-column result, newest first."""
+    """One (site, corner, month): the 15-column result, newest first.
+
+    ``id_type``: type of the asset ids in the album documents (``int`` in the catalogue).
+    """
     material = material_dimension(tables, month, tz)
     target = corner_filter(material, "site_name", corner.site_name, "filetype_id", corner.filetype_ids)
     if stage_fact:
@@ -279,7 +284,7 @@ def corner_job(
         tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"]
     )
     ids = id_map(tables)
-    tracks = album_dimension(headers, bridge, ids, material, tz)
+    tracks = album_dimension(headers, bridge, ids, material, tz, id_type=id_type)
     fact = new_arrivals_fact(
         target,
         current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),

@@ -223,6 +223,117 @@ def backfill_sql(oldest=BACKFILL_OLDEST, newest=BACKFILL_NEWEST, threshold=FLAGS
     )
 
 
+def catalogue_sql(month=FLAGSHIP_MONTH, segment=FLAGSHIP_SEGMENT, types=FLAGSHIP_TYPES,
+                  threshold=FLAGSHIP_THRESHOLD) -> str:
+    """The catalogue-schema job on catalogue tables derived from the star, written with
+    raw joins and a JSON parse in DuckDB (no shape rule)."""
+    slots = (
+        f"array_to_string(list_transform(range(1, {TRACK_SLOTS + 1}), "
+        f"lambda i: '{{\"AssetId\": ' || CAST(o.o_orderkey * {ASSET_STRIDE} + i AS VARCHAR) || '}}'), ', ')"
+    )
+    doc = f"""CASE o.o_orderpriority
+      WHEN '1-URGENT' THEN '{{"Groups": [{{"Items": [' || {slots} || ']}}, {{"Items": [{{"AssetId": 0}}]}}]}}'
+      WHEN '2-HIGH' THEN '{{"Items": [{{"AssetId": 0}}], "Groups": [{{"Items": [' || {slots} || ']}}]}}'
+      WHEN '3-MEDIUM' THEN '{{"Groups": [{{"Items": [' || {slots} || ']}}]}}'
+      WHEN '4-NOT SPECIFIED' THEN '{{"Groups": []}}'
+      ELSE 'not json' END"""
+    album_cols = "album_music_id, album_music_name, album_artist_id, album_artist_name, album_release_date"
+    return f"""WITH
+lines AS (
+  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                   CAST(l_suppkey AS VARCHAR)) AS item_id, * FROM lineitem
+),
+dim_item AS (
+  SELECT item_id AS id, concat_ws('/', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS name,
+         l_shipdate AS delivery_start_date,
+         CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN l_shipdate END AS catalog_end_date
+  FROM lines
+),
+item_artist AS (SELECT item_id, l_suppkey AS artist_id FROM lines),
+item_ftdt AS (SELECT l.item_id, p.p_type AS filetype_id FROM lines l LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+music_item AS (SELECT item_id, l_partkey AS music_id FROM lines),
+item_site AS (
+  SELECT c.c_mktsegment AS site_name, l.item_id
+  FROM lines l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+),
+material AS (
+  SELECT i.id, i.name, i.delivery_start_date, a.artist_id, f.filetype_id, mi.music_id, s.site_name,
+         m.p_name AS music_name, ar.s_name AS artist_name
+  FROM dim_item i
+  LEFT JOIN item_artist a ON i.id = a.item_id
+  LEFT JOIN item_ftdt f ON i.id = f.item_id
+  LEFT JOIN music_item mi ON i.id = mi.item_id
+  LEFT JOIN item_site s ON i.id = s.item_id
+  LEFT JOIN part m ON mi.music_id = m.p_partkey
+  LEFT JOIN supplier ar ON a.artist_id = ar.s_suppkey
+  WHERE i.catalog_end_date IS NULL AND strftime(i.delivery_start_date + INTERVAL 9 HOUR, '%Y-%m') = '{month}'
+),
+target AS (SELECT * FROM material WHERE site_name = '{segment}' AND filetype_id IN ({_q(types)})),
+idmap AS (
+  SELECT DISTINCT l_orderkey AS collection_id, l_orderkey * {ASSET_STRIDE} + l_linenumber AS asset_id,
+         item_id AS material_id FROM lines
+),
+detail AS (
+  SELECT o.o_orderkey AS id, 'order ' || CAST(o.o_orderkey AS VARCHAR) AS title_title,
+         CASE WHEN o.o_orderstatus = 'F' THEN 'Album' ELSE 'Single' END AS release_type,
+         'AlbumName' AS title_titletype, 'ja-Hani' AS title_titlelanguage,
+         CASE WHEN o.o_orderpriority = '5-LOW' THEN 'en' ELSE 'ja-Hani' END AS artist_names_language,
+         c.c_name AS artist_names_text, {doc} AS asset_structure
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE o.o_orderstatus <> 'P'
+),
+bridge AS (SELECT o_orderkey AS collection_detail_id, o_orderkey AS collection_id FROM orders WHERE o_orderstatus <> 'P'),
+albums AS (
+  SELECT d.id AS album_music_id, d.title_title AS album_music_name, m.artist_id AS album_artist_id,
+         d.artist_names_text AS album_artist_name, {local_epoch('m.delivery_start_date')} AS album_release_date,
+         d.asset_structure
+  FROM detail d
+  LEFT JOIN bridge b ON d.id = b.collection_detail_id
+  LEFT JOIN idmap x ON b.collection_id = x.collection_id
+  LEFT JOIN material m ON x.material_id = m.id
+  WHERE d.release_type = 'Album' AND d.title_titletype = 'AlbumName' AND d.title_titlelanguage = 'ja-Hani'
+    AND d.artist_names_language = 'ja-Hani'
+),
+parsed AS (
+  SELECT *, CASE WHEN json_valid(asset_structure)
+                 THEN CAST(json_extract(asset_structure, '$.Groups[0].Items[*].AssetId') AS BIGINT[]) END AS ids
+  FROM albums
+),
+tracks AS (
+  SELECT {album_cols}, unnest(ids) AS album_track_asset_id FROM parsed WHERE len(ids) > 0
+  UNION ALL
+  SELECT {album_cols}, CAST(NULL AS BIGINT) FROM parsed WHERE ids IS NULL OR len(ids) = 0
+),
+tieup_bridge AS (
+  SELECT p_partkey AS music_id, {brand_no()} AS tieup_id, p_size AS pattern_id FROM part WHERE p_size <= {TIEUP_MAX_SIZE}
+),
+tieup AS (
+  SELECT b AS id, p_brand AS name, NULLIF(CAST(floor((b - 1) / 5) AS INTEGER), 0) AS detailgenre_id,
+         CASE WHEN b >= {UNSEARCHABLE_FROM_BRAND} THEN 0 ELSE 1 END AS searchable
+  FROM (SELECT DISTINCT p_brand, {brand_no()} AS b FROM part)
+),
+flags AS (
+  SELECT s.s_suppkey AS artist_id, n.n_name AS is_johnnys
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE r.r_name = '{FLAG_REGION}'
+),
+fact AS (
+  SELECT DISTINCT 1 AS pickup, t.id AS material_id, t.name AS material_name, t.music_id, t.music_name,
+         t.artist_id, t.artist_name, {local_epoch('t.delivery_start_date')} AS release_date,
+         COALESCE(b.pattern_id, 0) AS pattern_id, COALESCE(u.detailgenre_id, 0) AS tieup_detail_genre_id,
+         COALESCE(CAST(u.name AS VARCHAR), 'null') AS tieup_name, CAST(COALESCE(u.id, 0) AS INTEGER) AS tieup_id,
+         CASE WHEN j.is_johnnys IS NULL THEN 0 ELSE 1 END AS johnnys, 0 AS score,
+         k.album_music_id, k.album_music_name, k.album_artist_id, k.album_artist_name, k.album_release_date
+  FROM target t
+  LEFT JOIN idmap x ON t.id = x.material_id
+  LEFT JOIN tieup_bridge b ON t.music_id = b.music_id
+  LEFT JOIN tieup u ON b.tieup_id = u.id
+  LEFT JOIN flags j ON t.artist_id = j.artist_id
+  LEFT JOIN tracks k ON x.asset_id = k.album_track_asset_id
+  WHERE u.searchable <> 0
+)""" + rollup_dedup_ctes(threshold) + f"\nSELECT {', '.join(OUTPUT_COLUMNS)} FROM dd WHERE rn_dd = 1"
+
+
 def whole_rollup_sql(threshold: int, top_k: int | None = None) -> str:
     return (
         "WITH " + star_ctes(None) + "," + fact_cte(True) + rollup_dedup_ctes(threshold, top_k, dedup=False)
@@ -341,4 +452,5 @@ SELECT month, row_count, rows_before FROM w WHERE rows_before < 5000""",
     "new_arrivals": flagship_sql(),
     "new_arrivals_all_corners": all_corners_sql(),
     "new_arrivals_backfill": backfill_sql(),
+    "catalogue_corner_job": catalogue_sql(),
 }
