@@ -51,15 +51,15 @@ def global_row_number(
     """
     exprs = total_order(df, order, ties)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *exprs)
-    counts = ranged.select(F.spark_partition_id().alias("__fc_pid")).groupBy("__fc_pid").agg(
-        F.count(F.lit(1)).alias("__fc_cnt")
-    )
     ranged = (
-        ranged.sortWithinPartitions(*exprs)
+        df.repartitionByRange(n, *exprs)
+        .sortWithinPartitions(*exprs)
         .withColumn("__fc_pid", F.spark_partition_id())
         .withColumn("__fc_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("__fc_pid").cast("bigint"), 33))
     )
+    # counted from the same frame: its nondeterministic position column stops column
+    # pruning, so both branches share one range exchange (one sampling, one shuffle)
+    counts = ranged.groupBy("__fc_pid").agg(F.count(F.lit(1)).alias("__fc_cnt"))
     running = Window.orderBy("__fc_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__fc_pid", F.coalesce(F.sum("__fc_cnt").over(running), F.lit(0)).alias("__fc_off"))
     return (

@@ -42,10 +42,18 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+              "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     cols = df.columns
+    described = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    for field in df.schema.fields:
+        spark_type = field.dataType.simpleString()
+        assert DUCK_TYPES.get(spark_type, spark_type) == described[field.name], field.name
     got = Counter(tuple(_norm(v) for v in r) for r in df.collect())
     res = duck.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
