@@ -126,9 +126,10 @@ def q_dim_project(spark, base):
 
 
 def q_jst_shift(spark, base):
-    ev = Tables(spark, base)["events"]
-    # the stored column is TIMESTAMP_NTZ (a UTC wall clock); keep the shifted value NTZ too
-    return ev.select("event_id", "event_type", to_local_wall_clock("ts").cast("timestamp_ntz").alias("ts_local"))
+    ev = Tables(spark, base)["events"].select("event_id", "event_type", "ts")
+    # replaced in place (P3); the stored column is TIMESTAMP_NTZ (a UTC wall clock), so the
+    # shifted value is kept NTZ too
+    return ev.withColumn("ts", to_local_wall_clock("ts").cast("timestamp_ntz"))
 
 
 def q_jst_epoch(spark, base):

@@ -348,7 +348,7 @@ ORACLE_SQL: dict[str, str] = {
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem
 WHERE (CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN l_shipdate END) IS NULL""",
     "dim_project": "SELECT p_partkey AS music_id, p_name AS music_name, p_type AS filetype_id FROM part",
-    "jst_shift": "SELECT event_id, event_type, ts + INTERVAL 9 HOUR AS ts_local FROM events",
+    "jst_shift": "SELECT event_id, event_type, ts + INTERVAL 9 HOUR AS ts FROM events",
     "jst_epoch": f"SELECT event_id, {local_epoch('ts')} AS epoch_local FROM events",
     "month_filter": f"""
 SELECT o_orderkey, o_custkey, o_orderdate FROM orders

@@ -176,3 +176,47 @@ def test_run_corner_job_exports_and_registers(spark, catalogue):
     back = spark.table(table)
     assert back.count() == 2
     assert {r.target_date for r in back.select("target_date").collect()} == {"20230301"}
+
+
+def test_empty_collection_bridge_falls_back(spark, catalogue):
+    # the amuse corner re-reads the collection bridge when the first scan comes back empty
+    amuse = Corner("melody_android", "amuse", "SiteA", ("030300",), require_tieup=False,
+                   fallback_collection_bridge=True)
+    empty = dict(catalogue)
+    empty["dim_collection_collection_detail"] = catalogue["dim_collection_collection_detail"].limit(0)
+    fallback = lambda: catalogue["dim_collection_collection_detail"]
+    got = rows(corner_job(empty, "2023-03", amuse, threshold=2, collection_bridge_fallback=fallback))
+    assert got == [NINE, ALBUM, FOUR]
+    # without the fallback the album is still found through its own track list, but the
+    # bridge to its items is missing: no album artist, no album release date
+    plain = Corner("s", "c", "SiteA", ("030300",), require_tieup=False)
+    album = [r for r in rows(corner_job(empty, "2023-03", plain, threshold=2)) if r[13] == "album"]
+    assert len(album) == 1 and album[0][1] == "c1" and album[0][5] is None and album[0][7] is None
+
+
+def test_default_month_is_the_local_month():
+    import datetime as _dt
+    from zoneinfo import ZoneInfo
+
+    from freshcat.plans.monthly_job import current_month, export_name, target_date_of
+
+    assert current_month() == _dt.datetime.now(ZoneInfo("Asia/Tokyo")).strftime("%Y-%m")
+    assert target_date_of("2023-03") == "20230301"
+    assert export_name("2023-03", "animelomix_ios", "voice") == "20230301_animelomix_ios_voice.csv"
+
+
+def test_run_all_corners_exports_each_corner(spark, catalogue):
+    import os
+    import uuid
+
+    from freshcat.plans.monthly_job import run_all_corners
+    from freshcat.session import checkpoint_dir
+
+    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"all-{uuid.uuid4().hex}")
+    corners = [Corner("s", "strict", "SiteA", ("030300",)), Corner("t", "other", "SiteB", ("030300",)),
+               Corner("u", "empty", "SiteC", ("030300",))]
+    paths = sorted(p.replace("file:", "") for p in run_all_corners(catalogue, root, corners, month="2023-03",
+                                                                   threshold=2))
+    assert [os.path.basename(p) for p in paths] == ["20230301_s_strict.csv", "20230301_t_other.csv"]
+    with open(paths[0]) as fh:
+        assert len(fh.read().splitlines()) == 3  # header + i9 + album
