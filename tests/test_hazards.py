@@ -101,3 +101,21 @@ def test_existing_rank_column_does_not_collide(spark):
     df = spark.createDataFrame([("a", 2, 1), ("a", 1, 5), (None, 3, 2)], ["k", "rank", "v"])
     got = sorted(rows(first_per_key(df, "k", [("rank", True)])), key=str)
     assert got == sorted([("a", 1, 5), (None, 3, 2)], key=str)
+
+
+def test_album_attributes_need_the_item_in_the_month(spark):
+    # the album dimension reads the month-filtered material: an album whose item started
+    # in another month keeps its tracks but loses artist and release date
+    from freshcat.plans.monthly_job import album_dimension
+
+    headers = spark.createDataFrame(
+        [("c1", "one", "art", '{"Groups": [{"Items": [{"AssetId": 1}]}]}')],
+        "id string, title_title string, artist_names_text string, asset_structure string",
+    )
+    bridge = spark.createDataFrame([("c1", "col1")], "collection_detail_id string, collection_id string")
+    ids = spark.createDataFrame([("col1", 1, "in_month"), ("col1", 1, "other_month")],
+                                "collection_id string, asset_id int, material_id string")
+    material = spark.createDataFrame([("in_month", "r1", dt.datetime(2023, 3, 5, tzinfo=UTC))],
+                                     "id string, artist_id string, delivery_start_date timestamp")
+    got = rows(album_dimension(headers, bridge, ids, material))
+    assert sorted(((r[2], r[5]) for r in got), key=str) == sorted([(None, 1), ("r1", 1)], key=str)
