@@ -38,7 +38,7 @@ from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_pa
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
 from freshcat.operators.filters import corner_filter, current_rows, in_local_month, in_local_months
-from freshcat.operators.joins import Hop, join_hop, snowflake_left_join
+from freshcat.operators.joins import Hop, join_hop, semi_reduce, snowflake_left_join
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
 from freshcat.plans.monthly_job import new_arrivals_fact
@@ -174,9 +174,17 @@ def album_document(orderkey: Column, priority: Column) -> Column:
     )
 
 
-def star_album_headers(t: Mapping[str, DataFrame], tz: str = JST) -> DataFrame:
-    """Albums with their JSON structure (input of the track explode)."""
+def star_album_headers(t: Mapping[str, DataFrame], tz: str = JST, only_orders: DataFrame | None = None) -> DataFrame:
+    """Albums with their JSON structure (input of the track explode).
+
+    ``only_orders`` (column ``o_orderkey``): build documents for these orders only. An
+    album document lists only its own order's line slots, so the albums that can match a
+    set of assets are exactly the orders ``asset div 8``; pruning by them before the JSON
+    is built and parsed is exact.
+    """
     orders = t["orders"].where(F.col("o_orderstatus").isin(list(ALBUM_STATUSES)))
+    if only_orders is not None:
+        orders = semi_reduce(orders, "o_orderkey", only_orders, "o_orderkey")
     albums = snowflake_left_join(orders, [Hop(t["customer"], "o_custkey", "c_custkey", {"c_name": "__fc_cname"})])
     return albums.select(
         F.col("o_orderkey").alias("album_music_id"),
@@ -188,9 +196,14 @@ def star_album_headers(t: Mapping[str, DataFrame], tz: str = JST) -> DataFrame:
     )
 
 
-def star_album_tracks(t: Mapping[str, DataFrame], tz: str = JST) -> DataFrame:
-    """Album dimension (C6): one row per first-group track."""
-    return explode_tracks(star_album_headers(t, tz), id_type="bigint")
+def star_album_tracks(t: Mapping[str, DataFrame], tz: str = JST, for_assets: DataFrame | None = None) -> DataFrame:
+    """Album dimension (C6): one row per first-group track.
+
+    ``for_assets`` (column ``asset_id``): only albums that can hold these assets."""
+    only = None
+    if for_assets is not None:
+        only = for_assets.select(F.floor(F.col("asset_id") / ASSET_STRIDE).cast("bigint").alias("o_orderkey"))
+    return explode_tracks(star_album_headers(t, tz, only), id_type="bigint")
 
 
 def star_fact(
@@ -217,7 +230,7 @@ def star_fact(
         star_tieup_bridge(t),
         star_tieups(t),
         star_flags(t),
-        star_album_tracks(t, tz),
+        star_album_tracks(t, tz, for_assets=target if stage_target else None),
         require_tieup=require_tieup,
         tz=tz,
         reduce_dimensions=stage_target,
@@ -286,7 +299,7 @@ def star_all_corners(
         star_tieup_bridge(t),
         star_tieups(t),
         star_flags(t),
-        star_album_tracks(t, tz),
+        star_album_tracks(t, tz, for_assets=target if stage_fact else None),
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
