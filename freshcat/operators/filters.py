@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from freshcat.functions.timezone import JST, month_range_predicate
 
@@ -50,6 +51,11 @@ def corner_filter(
     size is pushed into the scan as a set filter.
     """
     codes = list(codes)
+    dtype = df.schema[code_column].dataType
+    if isinstance(dtype, IntegralType):
+        # text codes against a numeric column compare as numbers ("070040" matches 70040);
+        # a code that is not a number cannot match (H6) instead of failing under ANSI
+        codes = [int(c) for c in codes if str(c).strip().lstrip("+-").isdigit()]
     return df.filter((F.col(site_column) == F.lit(site_value)) & F.col(code_column).isin(codes))
 
 

@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 
 @dataclass
@@ -62,10 +63,24 @@ def join_hop(left: DataFrame, hop: Hop, tag: str = "0") -> DataFrame:
     )
     if hop.broadcast:
         right = F.broadcast(right)
-    cond: Column = reduce(lambda a, b: a & b, [F.col(lk) == F.col(t) for lk, t in zip(left_keys, tmp)])
+    ltypes = {f.name: f.dataType for f in left.schema.fields}
+    rtypes = {f.name: f.dataType for f in right.schema.fields}
+    pairs = [key_pair(F.col(lk), ltypes[lk], F.col(t), rtypes[t]) for lk, t in zip(left_keys, tmp)]
+    cond: Column = reduce(lambda a, b: a & b, [a == b for a, b in pairs])
     return left.join(right, cond, hop.how).drop(*tmp)
 
 
+def key_pair(left: Column, ltype, right: Column, rtype) -> tuple[Column, Column]:
+    """Join keys of a numeric and a text column compare as numbers, with text that is not
+    a number matching nothing (hazard H6: the lenient engine did this; ANSI would fail the
+    whole job on the first non-numeric id). Other type pairs are left to Spark."""
+    if isinstance(ltype, StringType) and isinstance(rtype, NumericType):
+        return left.try_cast(rtype), right
+    if isinstance(rtype, StringType) and isinstance(ltype, NumericType):
+        return left, right.try_cast(ltype)
+    return left, right
+
+
 def snowflake_left_join(base: DataFrame, hops: Sequence[Hop]) -> DataFrame:
     """Apply the hops in order; later hops may use columns brought by earlier ones."""
     out = base

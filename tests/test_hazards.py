@@ -119,3 +119,50 @@ def test_album_attributes_need_the_item_in_the_month(spark):
                                      "id string, artist_id string, delivery_start_date timestamp")
     got = rows(album_dimension(headers, bridge, ids, material))
     assert sorted(((r[2], r[5]) for r in got), key=str) == sorted([(None, 1), ("r1", 1)], key=str)
+
+
+def test_int_key_against_text_key(spark):
+    from freshcat.operators import Hop, join_hop
+
+    left = spark.createDataFrame([(70040, "a"), (5, "b")], "code int, v string")
+    right = spark.createDataFrame([("070040", "x"), ("abc", "y"), ("5", "z")], "code string, w string")
+    got = sorted(rows(join_hop(left, Hop(right, "code", "code", ["w"]))))
+    assert got == [(5, "b", "z"), (70040, "a", "x")]
+    ints = spark.createDataFrame([("S", 70040), ("S", 70041)], "site string, code int")
+    assert rows(corner_filter(ints, "site", "S", "code", ["070040", "x1"])) == [("S", 70040)]
+
+
+def test_top_k_cut_inside_ties_is_stable(spark):
+    schema = StructType(
+        [StructField(c, StringType()) for c in (
+            "material_id", "material_name", "music_id", "music_name", "artist_id", "artist_name", "pattern_id",
+            "tieup_detail_genre_id", "tieup_name", "tieup_id", "johnnys", "album_music_id", "album_music_name",
+            "album_artist_id", "album_artist_name", "album_release_date", "release_date")]
+        + [StructField("pickup", IntegerType()), StructField("score", IntegerType())]
+    )
+    data = [(f"m{i}", "n", "mu", "x", "a", "an", "p", "g", "t", "ti", "j", "A" if i % 2 else None, "An", "aa",
+             "aan", "ar", "r", 1, 0) for i in range(12)]
+    outs = set()
+    for parts in (1, 4, 9):
+        df = spark.createDataFrame(data, schema).repartition(parts)
+        outs.add(tuple(rows(aggregate_musics_to_album(df, top_k=5, threshold_num=2, order_column="score"))))
+    assert len(outs) == 1
+    (only,) = outs
+    # first five by the tie-break columns: m0, m1, m10, m11, m2; m1 and m11 form album A
+    assert [r[3] for r in only] == ["m0", None, "m10", "m2"]
+
+
+def test_tieup_order_follows_the_column_type(spark):
+    from freshcat.operators import filter_duplicate_tieup_item
+
+    cols = ("pickup int, music_id string, music_name string, material_id string, material_name string, "
+            "artist_id string, artist_name string, release_date string, pattern_id string, "
+            "tieup_detail_genre_id string, tieup_name string, tieup_id {t}, johnnys string, "
+            "transition_type string, score int")
+    base = [(1, "m", "n", "mat", "mn", "a", "an", "r", "p", "g", "tn", "9", "j", "music", 1),
+            (1, "m", "n", "mat", "mn", "a", "an", "r", "p", "g", "tn", "10", "j", "music", 1)]
+    as_text = rows(filter_duplicate_tieup_item(spark.createDataFrame(base, cols.format(t="string"))))
+    as_int = rows(filter_duplicate_tieup_item(
+        spark.createDataFrame([r[:11] + (int(r[11]),) + r[12:] for r in base], cols.format(t="int"))))
+    assert as_text[0][11] == "10"  # text order: "10" < "9"
+    assert as_int[0][11] == 9
