@@ -386,7 +386,7 @@ def run_corner_job(
     result = corner_job(tables, month, corner, threshold=threshold, tz=tz)
     values = {"site": corner.site, "corner": corner.corner, "target_date": target_date_of(month)}
     order = [F.col("release_date").desc()] + [F.col(c).asc() for c in result.columns if c != "release_date"]
-    write_partitioned_csv(result, root, values, order=order)
+    write_partitioned_csv(result, root, values, order=order, single_file=True)
     path = export_named_file(spark, partition_dir(root, values), export_name(month, corner.site, corner.corner))
     if table:
         register_partitions(spark, table)
@@ -413,7 +413,7 @@ def run_all_corners(
     order = [F.col("release_date").desc()] + [
         F.col(c).asc() for c in result.columns if c not in ("release_date", "site", "corner", "target_date")
     ]
-    write_partitioned_csv(result, root, order=order)
+    write_partitioned_csv(result, root, order=order, single_file=True)
     paths = []
     for c in corners:  # the configuration, not the data: at most a few dozen entries
         values = {"site": c.site, "corner": c.corner, "target_date": target_date_of(month)}

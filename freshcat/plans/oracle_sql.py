@@ -423,9 +423,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY part_key ORDER BY l_suppkey ASC
 SELECT part_key, l_suppkey, l_orderkey, l_linenumber FROM r WHERE rn = 1 OR part_key IS NULL""",
     "scan_fallback": "SELECT p_partkey, p_name FROM part",
     "csv_roundtrip": """
-SELECT n_nationkey, n_name, n_regionkey,
-       CASE n_regionkey WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'null' ELSE n_name END AS note
-FROM nation""",
+SELECT c_custkey, c_name, c_nationkey,
+       CASE c_mktsegment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN NULL WHEN 'FURNITURE' THEN 'null'
+            ELSE c_name END AS note
+FROM customer""",
     "partition_roundtrip": """
 SELECT o.o_orderkey, o.o_totalprice, lower(c.c_mktsegment) AS site, 'orders' AS corner,
        strftime(date_trunc('month', o.o_orderdate + INTERVAL 9 HOUR), '%Y%m%d') AS target_date

@@ -1,7 +1,8 @@
 """Sinks (S6-S10, C5): partitioned CSV output, named export, registration, audit.
 
-Output layout: ``{root}/site=<site>/corner=<corner>/target_date=<YYYYMMDD>/`` with one CSV
-(header) per partition. Writes use dynamic partition overwrite, so rewriting one month
+Output layout: ``{root}/site=<site>/corner=<corner>/target_date=<YYYYMMDD>/`` with header
+CSV files (exactly one, sorted, for the corner-month export). Writes use dynamic partition
+overwrite, so rewriting one month
 (or one corner) leaves every other partition in place, and a retried task or job simply
 rewrites its own partitions (idempotent under executor loss).
 """
@@ -29,7 +30,7 @@ def write_partitioned_csv(
     partition_values: dict[str, str] | None = None,
     partition_columns: Sequence[str] = PARTITION_COLUMNS,
     order: Sequence[Column] | None = None,
-    single_file: bool = True,
+    single_file: bool = False,
     null_value: str | None = None,
     empty_value: str | None = None,
 ) -> None:
@@ -37,9 +38,11 @@ def write_partitioned_csv(
 
     ``partition_values`` adds constant partition columns (one corner-month job);
     otherwise ``df`` must already carry them (all corners / all months in one job).
+    By default every task writes its own files (no partition passes through one task).
     ``single_file`` gives each partition directory exactly one file, written by one task
-    and sorted by ``order`` inside it -- the export format; the rows of one
-    (site, corner, month) are one month's new arrivals, not a table scan.
+    and sorted by ``order`` inside it -- the export format of the corner jobs, whose
+    partitions hold one month's new arrivals of one corner; do not use it for table-sized
+    partitions.
     """
     out = df
     for name, value in (partition_values or {}).items():

@@ -60,7 +60,7 @@ def test_single_file_per_partition_and_named_export(spark):
     root = _scratch(spark, "export")
     df = spark.createDataFrame([(i, str(i)) for i in range(50)], DATA).repartition(5)
     values = {"site": "s", "corner": "c", "target_date": "20230301"}
-    write_partitioned_csv(df, root, values, order=[F.col("k").desc()])
+    write_partitioned_csv(df, root, values, order=[F.col("k").desc()], single_file=True)
     target_dir = partition_dir(root, values)
     assert len(glob.glob(os.path.join(target_dir, "part-*"))) == 1
     path = export_named_file(spark, target_dir, "20230301_s_c.csv")
