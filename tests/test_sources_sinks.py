@@ -91,3 +91,12 @@ def test_partition_audit_reports_missing_days(spark):
     )
     got = sorted((r.site, r.d.isoformat(), r.row_count) for r in partition_row_counts(written, expected, ("site", "d")).collect())
     assert got == [("s", "2023-03-01", 2), ("s", "2023-03-02", 0), ("s", "2023-03-03", 1), ("s", "2023-03-04", 0)]
+
+
+def test_catalog_table_and_sql_scan(spark):
+    from freshcat.sources import catalog_table, load, sql_scan
+
+    nation = load(spark, "/root/testdata/sf0.001", "nation")
+    nation.createOrReplaceTempView("fc_nation_view")
+    assert catalog_table(spark, None, "fc_nation_view").count() == 25
+    assert sql_scan(spark, "fc_nation_view").columns == ["n_nationkey", "n_name", "n_regionkey"]
