@@ -200,7 +200,7 @@ def new_arrivals_fact(
     tieup_bridge: DataFrame,
     tieups: DataFrame,
     flags: DataFrame,
-    album_tracks: DataFrame,
+    album_tracks: DataFrame | None,
     ids: DataFrame | None = None,
     require_tieup: bool | Column = True,
     tz: str = JST,
@@ -217,14 +217,16 @@ def new_arrivals_fact(
     ``reduce_dimensions``: first cut the tie-up bridge, the flag list, the id map and the
     album tracks down to the keys the target uses (:func:`semi_reduce`). Worth it when the
     target is selective and already materialised (it is read once per reduction).
+    ``album_tracks=None``: the target already carries the album columns.
     """
     if reduce_dimensions:
         tieup_bridge = semi_reduce(tieup_bridge, "music_id", material_target, "music_id")
         flags = semi_reduce(flags, "artist_id", material_target, "artist_id")
         if ids is not None:
             ids = semi_reduce(ids, "material_id", material_target, material_id)
-            album_tracks = semi_reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
-        else:
+            if album_tracks is not None:
+                album_tracks = semi_reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
+        elif album_tracks is not None:
             album_tracks = semi_reduce(album_tracks, "album_track_asset_id", material_target, "asset_id")
     hops = []
     if ids is not None:
@@ -245,8 +247,9 @@ def new_arrivals_fact(
     ]
     joined = snowflake_left_join(material_target, hops)
     joined = flag_lookup(joined, flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
-    album_cols = list(ALBUM_COLUMNS) + (["__fc_album_month"] if "__fc_album_month" in album_tracks.columns else [])
-    joined = join_hop(joined, Hop(album_tracks, "asset_id", "album_track_asset_id", album_cols), tag="t")
+    if album_tracks is not None:
+        album_cols = list(ALBUM_COLUMNS) + (["__fc_album_month"] if "__fc_album_month" in album_tracks.columns else [])
+        joined = join_hop(joined, Hop(album_tracks, "asset_id", "album_track_asset_id", album_cols), tag="t")
     if isinstance(require_tieup, Column):
         flag = F.col("__fc_searchable")
         joined = joined.filter((flag != 0) | (~require_tieup & flag.isNull()))

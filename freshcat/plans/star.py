@@ -79,7 +79,11 @@ def brand_number(column: str = "p_brand") -> Column:
 
 
 def star_items(
-    t: Mapping[str, DataFrame], month: str | None = None, tz: str = JST, newest: str | None = None
+    t: Mapping[str, DataFrame],
+    month: str | None = None,
+    tz: str = JST,
+    newest: str | None = None,
+    with_album: bool = False,
 ) -> DataFrame:
     """Current line items as catalogue items, dated by their order (month-filtered when
     ``month`` is given: the range lands on the ``orders`` scan, and the join to the line
@@ -97,9 +101,12 @@ def star_items(
         F.col("l_suppkey").alias("artist_id"),
         (F.col("l_orderkey") * ASSET_STRIDE + F.col("l_linenumber")).alias("asset_id"),
     )
+    wanted = {"o_orderdate": "delivery_start_date", "o_custkey": "__fc_custkey"}
+    if with_album:
+        wanted.update({"o_orderstatus": "__fc_status", "o_orderpriority": "__fc_priority"})
     items = join_hop(
         current_rows(lines).drop("catalog_end_date"),
-        Hop(t["orders"], "l_orderkey", "o_orderkey", {"o_orderdate": "delivery_start_date", "o_custkey": "__fc_custkey"}),
+        Hop(t["orders"], "l_orderkey", "o_orderkey", wanted),
         tag="o",
     )
     if month and newest:
@@ -112,19 +119,58 @@ def star_items(
 
 
 def star_material(
-    t: Mapping[str, DataFrame], month: str | None = None, tz: str = JST, newest: str | None = None
+    t: Mapping[str, DataFrame],
+    month: str | None = None,
+    tz: str = JST,
+    newest: str | None = None,
+    with_album: bool = False,
 ) -> DataFrame:
     """Material snowflake on the star (C1): item -> part, supplier, customer.
 
-    ``month`` alone: that month; ``month`` .. ``newest``: a range, with ``target_date``."""
-    return snowflake_left_join(
-        star_items(t, month, tz, newest),
+    ``month`` alone: that month; ``month`` .. ``newest``: a range, with ``target_date``.
+    ``with_album``: also the album columns of the item (see :func:`album_of_line`)."""
+    customer = {"c_mktsegment": "site_name"}
+    if with_album:
+        customer["c_name"] = "__fc_cname"
+    material = snowflake_left_join(
+        star_items(t, month, tz, newest, with_album),
         [
             Hop(t["part"], "music_id", "p_partkey", {"p_name": "music_name", "p_type": "filetype_id"}),
             Hop(t["supplier"], "artist_id", "s_suppkey", {"s_name": "artist_name"}),
-            Hop(t["customer"], "__fc_custkey", "c_custkey", {"c_mktsegment": "site_name"}),
+            Hop(t["customer"], "__fc_custkey", "c_custkey", customer),
         ],
-    ).drop("__fc_custkey")
+    )
+    if with_album:
+        material = album_of_line(material, tz)
+    return material.drop("__fc_custkey")
+
+
+def album_of_line(material: DataFrame, tz: str = JST) -> DataFrame:
+    """Album columns of each line, from its own order's album document.
+
+    Same result as exploding every album's first-group tracks and left-joining them on
+    the asset id: a document lists only its own order's slots, so the one album that can
+    list a line's asset is the line's order. The document is parsed here (first group,
+    malformed / empty -> no track) and the line is a track of the album iff its asset is
+    in that list -- no album-track table, no shuffle of it.
+    """
+    from freshcat.functions.nested import asset_structure_schema
+
+    doc = album_document(F.col("l_orderkey"), F.col("__fc_priority"))
+    first = F.get(F.from_json(doc, asset_structure_schema("bigint")).getField("Groups"), F.lit(0))
+    listed = F.coalesce(F.array_contains(first.getField("Items").getField("AssetId"), F.col("asset_id")), F.lit(False))
+    is_track = F.col("__fc_status").isin(list(ALBUM_STATUSES)) & listed
+    values = {
+        "album_music_id": F.col("l_orderkey"),
+        "album_music_name": F.concat(F.lit("order "), F.col("l_orderkey").cast("string")),
+        "album_artist_id": F.col("__fc_custkey"),
+        "album_artist_name": F.col("__fc_cname"),
+        "album_release_date": local_epoch_seconds("delivery_start_date", tz),
+    }
+    out = material
+    for name, value in values.items():
+        out = out.withColumn(name, F.when(is_track, value))
+    return out.drop("__fc_status", "__fc_priority", "__fc_cname")
 
 
 def star_tieup_bridge(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -220,7 +266,7 @@ def star_fact(
     ``stage_target``: write the (selective) target once and cut the dimensions down to
     its keys before joining (semi-join reduction); for the whole-table fact it is off.
     """
-    target = star_material(t, month, tz)
+    target = star_material(t, month, tz, with_album=True)
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
     if stage_target:
@@ -230,7 +276,7 @@ def star_fact(
         star_tieup_bridge(t),
         star_tieups(t),
         star_flags(t),
-        star_album_tracks(t, tz, for_assets=target if stage_target else None),
+        None,
         require_tieup=require_tieup,
         tz=tz,
         reduce_dimensions=stage_target,
@@ -284,7 +330,7 @@ def star_all_corners(
         .withColumnRenamed("filetype_id", "__fc_code")
     )
     target = (
-        star_material(t, month, tz, newest)
+        star_material(t, month, tz, newest, with_album=True)
         .join(
             config,
             (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")),
@@ -299,7 +345,7 @@ def star_all_corners(
         star_tieup_bridge(t),
         star_tieups(t),
         star_flags(t),
-        star_album_tracks(t, tz, for_assets=target if stage_fact else None),
+        None,
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
