@@ -162,6 +162,32 @@ def album_dimension(
     return explode_tracks(albums, id_type=id_type)
 
 
+def album_parts(
+    album_headers: DataFrame,
+    collection_bridge: DataFrame,
+    ids: DataFrame,
+    material: DataFrame,
+    tz: str = JST,
+    id_type: str = "int",
+) -> tuple[DataFrame, DataFrame]:
+    """The album dimension in two linear parts: ``(tracks, variants)``.
+
+    ``tracks``: (album_music_id, album_track_asset_id), one row per first-group track.
+    ``variants``: album_music_id and its distinct album attributes, one per distinct
+    (artist, release date) its id-map rows give (plus ``__fc_album_month`` for month
+    ranges). Joining an asset to ``tracks`` and then to ``variants`` gives the rows of
+    :func:`album_dimension` after the fact's DISTINCT, without building id-map rows x
+    tracks per album (a product inside every album).
+    """
+    tracks = explode_tracks(
+        album_headers.select(F.col("id").alias("album_music_id"), "asset_structure"), id_type=id_type
+    )
+    flat = album_dimension(album_headers.withColumn("asset_structure", F.lit(None).cast("string")),
+                           collection_bridge, ids, material, tz, id_type=id_type)
+    variants = flat.drop("album_track_asset_id").distinct()
+    return tracks, variants
+
+
 def fact_projection(
     joined: DataFrame,
     tz: str = JST,
@@ -208,6 +234,7 @@ def new_arrivals_fact(
     material_id: str = "id",
     material_name: str = "name",
     reduce_dimensions: bool = False,
+    album_variants: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows of the target materials (C7): left joins, tie-up filter, defaults, distinct.
 
@@ -218,6 +245,8 @@ def new_arrivals_fact(
     album tracks down to the keys the target uses (:func:`semi_reduce`). Worth it when the
     target is selective and already materialised (it is read once per reduction).
     ``album_tracks=None``: the target already carries the album columns.
+    ``album_variants``: with it, ``album_tracks`` is the two-column track list of
+    :func:`album_parts` and the album attributes come from the variants.
     """
     if reduce_dimensions:
         tieup_bridge = semi_reduce(tieup_bridge, "music_id", material_target, "music_id")
@@ -228,6 +257,8 @@ def new_arrivals_fact(
                 album_tracks = semi_reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
         elif album_tracks is not None:
             album_tracks = semi_reduce(album_tracks, "album_track_asset_id", material_target, "asset_id")
+        if album_variants is not None and album_tracks is not None:
+            album_variants = semi_reduce(album_variants, "album_music_id", album_tracks, "album_music_id")
     hops = []
     if ids is not None:
         hops.append(Hop(ids, material_id, "material_id", ["asset_id"]))
@@ -247,7 +278,15 @@ def new_arrivals_fact(
     ]
     joined = snowflake_left_join(material_target, hops)
     joined = flag_lookup(joined, flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
-    if album_tracks is not None:
+    if album_tracks is not None and album_variants is not None:
+        joined = join_hop(
+            joined, Hop(album_tracks, "asset_id", "album_track_asset_id", {"album_music_id": "__fc_album"}), tag="t"
+        )
+        album_cols = [c for c in album_variants.columns if c != "album_music_id"]
+        joined = join_hop(
+            joined, Hop(album_variants, "__fc_album", "album_music_id", ["album_music_id"] + album_cols), tag="v"
+        ).drop("__fc_album")
+    elif album_tracks is not None:
         album_cols = list(ALBUM_COLUMNS) + (["__fc_album_month"] if "__fc_album_month" in album_tracks.columns else [])
         joined = join_hop(joined, Hop(album_tracks, "asset_id", "album_track_asset_id", album_cols), tag="t")
     if isinstance(require_tieup, Column):
@@ -287,7 +326,7 @@ def corner_job(
         tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"]
     )
     ids = id_map(tables)
-    tracks = album_dimension(headers, bridge, ids, material, tz, id_type=id_type)
+    tracks, variants = album_parts(headers, bridge, ids, material, tz, id_type=id_type)
     fact = new_arrivals_fact(
         target,
         current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
@@ -298,6 +337,7 @@ def corner_job(
         require_tieup=corner.require_tieup,
         tz=tz,
         reduce_dimensions=stage_fact,
+        album_variants=variants,
     )
     if stage_fact:
         fact = stage(fact, "fact")
@@ -331,7 +371,7 @@ def all_corners_job(
         target = stage(target, "target")
     headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
-    tracks = album_dimension(headers, tables["dim_collection_collection_detail"], ids, material, tz)
+    tracks, variants = album_parts(headers, tables["dim_collection_collection_detail"], ids, material, tz)
     fact = new_arrivals_fact(
         target,
         current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
@@ -343,6 +383,7 @@ def all_corners_job(
         tz=tz,
         within=("site", "corner"),
         reduce_dimensions=stage_fact,
+        album_variants=variants,
     )
     if stage_fact:
         fact = stage(fact, "fact")
@@ -466,7 +507,7 @@ def backfill_job(
         target = stage(target, "target")
     headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
-    tracks = album_dimension(headers, tables["dim_collection_collection_detail"], ids, material, tz)
+    tracks, variants = album_parts(headers, tables["dim_collection_collection_detail"], ids, material, tz)
     fact = new_arrivals_fact(
         target,
         current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
@@ -478,6 +519,7 @@ def backfill_job(
         tz=tz,
         within=within,
         reduce_dimensions=stage_fact,
+        album_variants=variants,
     )
     if stage_fact:
         fact = stage(fact, "fact")
