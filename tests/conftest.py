@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,7 +20,7 @@ def spark():
         app="freshcat-tests",
         master="local[*]",
         shuffle_partitions=8,
-        extra={"spark.driver.memory": "8g"},
+        extra={"spark.driver.memory": "8g", "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="fc-warehouse-")},
     )
     checkpoint_dir(session)
     yield session

@@ -220,3 +220,22 @@ def test_run_all_corners_exports_each_corner(spark, catalogue):
     assert [os.path.basename(p) for p in paths] == ["20230301_s_strict.csv", "20230301_t_other.csv"]
     with open(paths[0]) as fh:
         assert len(fh.read().splitlines()) == 3  # header + i9 + album
+
+
+def test_cli_runs_one_corner_from_the_session_catalog(spark, catalogue):
+    import os
+    import uuid
+
+    from freshcat.plans import cli
+    from freshcat.session import checkpoint_dir
+
+    db = f"fc_cat_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    for name, frame in catalogue.items():
+        frame.write.mode("overwrite").saveAsTable(f"{db}.{name}")
+    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"cli-{uuid.uuid4().hex}")
+    assert cli.parse(["--output", root, "--all-corners"]).all_corners
+    tables = cli.catalogue_tables(spark, db, db)
+    assert set(tables) == set(catalogue)
+    corner = Corner("s", "c", "SiteA", ("030300",))
+    assert rows(corner_job(tables, "2023-03", corner, threshold=2)) == [NINE, ALBUM]
