@@ -100,3 +100,13 @@ def test_catalog_table_and_sql_scan(spark):
     nation.createOrReplaceTempView("fc_nation_view")
     assert catalog_table(spark, None, "fc_nation_view").count() == 25
     assert sql_scan(spark, "fc_nation_view").columns == ["n_nationkey", "n_name", "n_regionkey"]
+
+
+def test_stage_cuts_the_lineage(spark):
+    from freshcat.session import stage
+
+    src = spark.range(0, 100).withColumn("sq", F.col("id") * F.col("id")).where("id % 7 = 0")
+    staged = stage(src, "unit")
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "parquet" in plan and "Range" not in plan
+    assert staged.count() == 15 and checkpoint_dir(spark).replace("file:", "") in staged.inputFiles()[0]
