@@ -166,3 +166,27 @@ def test_tieup_order_follows_the_column_type(spark):
         spark.createDataFrame([r[:11] + (int(r[11]),) + r[12:] for r in base], cols.format(t="int"))))
     assert as_text[0][11] == "10"  # text order: "10" < "9"
     assert as_int[0][11] == 9
+
+
+def test_month_items_prune_bridge_scans_with_runtime_filters(spark):
+    # on big tables Spark builds a bloom filter from the month's items and applies it in
+    # the bridge scans of the material snowflake; lower the size thresholds to see it here
+    from freshcat.plans.driver_queries import Tables
+    from freshcat.plans.monthly_job import material_dimension
+    from freshcat.plans.star_catalogue import catalogue_from_star
+
+    conf = {
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        m = material_dimension(catalogue_from_star(Tables(spark, "/root/testdata/sf0.001")), "1996-03")
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("might_contain") >= 4
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
