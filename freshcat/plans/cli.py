@@ -1,7 +1,7 @@
 """Command-line entry point for cluster runs (``spark-submit -m`` style).
 
     spark-submit ... -m freshcat.plans.cli --output s3a://bucket/fact_new_arrivals \\
-        [--month 2023-03] [--site animelomix_ios --corner wallpaper | --all-corners] \\
+        [--month 2023-03] [--site SITE --corner CORNER | --all-corners] \\
         [--backfill-from 2022-04] [--catalog-db datacatalog] [--flag-db new_arrivals] \\
         [--table new_arrivals.fact_new_arrivals] [--threshold 5]
 

@@ -130,13 +130,14 @@ def test_all_corners_equals_each_corner(spark, catalogue):
 
 def test_catalogue_corner_presets():
     assert len(CATALOGUE_CORNERS) == 8
-    amuse = corner_by_name("melody_android", "amuse")
-    assert not amuse.require_tieup and amuse.filetype_ids == ("070840",)
-    android = corner_by_name("dwango_jp_android", "niconico")
-    assert "70040" in android.filetype_ids and "070040" not in android.filetype_ids
-    assert len(android.filetype_ids) == 51
-    assert len(corner_by_name("dwango_jp_ios", "niconico").filetype_ids) == 24
-    assert len(corner_by_name("melody_android", "latest").filetype_ids) == 30
+    assert len({(c.site, c.corner) for c in CATALOGUE_CORNERS}) == 8
+    assert sorted(len(c.filetype_ids) for c in CATALOGUE_CORNERS) == [1, 1, 1, 1, 1, 24, 30, 51]
+    tolerant = [c for c in CATALOGUE_CORNERS if not c.require_tieup]
+    assert len(tolerant) == 1 and tolerant[0].filetype_ids == ("070840",) and tolerant[0].fallback_collection_bridge
+    longest = max(CATALOGUE_CORNERS, key=lambda c: len(c.filetype_ids))
+    assert "70040" in longest.filetype_ids and "070040" not in longest.filetype_ids
+    first = CATALOGUE_CORNERS[0]
+    assert corner_by_name(first.site, first.corner) is first
 
 
 def test_backfill_equals_each_month_and_corner(spark, catalogue):
@@ -163,12 +164,12 @@ def test_run_corner_job_exports_and_registers(spark, catalogue):
     from freshcat.sources import create_partitioned_table
 
     root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"fact-{uuid.uuid4().hex}")
-    corner = Corner("animelomix_ios", "wallpaper", "SiteA", ("030300",))
+    corner = Corner("site_a", "wallpaper", "SiteA", ("030300",))
     out = corner_job(catalogue, "2023-03", corner, threshold=2)
     table = f"fc_fact_{uuid.uuid4().hex[:8]}"
     create_partitioned_table(spark, table, root, out.schema)
     path = run_corner_job(catalogue, root, corner, month="2023-03", table=table, threshold=2)
-    assert path.endswith("site=animelomix_ios/corner=wallpaper/target_date=20230301/20230301_animelomix_ios_wallpaper.csv")
+    assert path.endswith("site=site_a/corner=wallpaper/target_date=20230301/20230301_site_a_wallpaper.csv")
     with open(path.replace("file:", "")) as fh:
         lines = fh.read().splitlines()
     assert lines[0].startswith("pickup,music_id,music_name,material_id")
@@ -180,7 +181,7 @@ def test_run_corner_job_exports_and_registers(spark, catalogue):
 
 def test_empty_collection_bridge_falls_back(spark, catalogue):
     # the amuse corner re-reads the collection bridge when the first scan comes back empty
-    amuse = Corner("melody_android", "amuse", "SiteA", ("030300",), require_tieup=False,
+    amuse = Corner("site_m", "tolerant", "SiteA", ("030300",), require_tieup=False,
                    fallback_collection_bridge=True)
     empty = dict(catalogue)
     empty["dim_collection_collection_detail"] = catalogue["dim_collection_collection_detail"].limit(0)
@@ -202,7 +203,7 @@ def test_default_month_is_the_local_month():
 
     assert current_month() == _dt.datetime.now(ZoneInfo("Asia/Tokyo")).strftime("%Y-%m")
     assert target_date_of("2023-03") == "20230301"
-    assert export_name("2023-03", "animelomix_ios", "voice") == "20230301_animelomix_ios_voice.csv"
+    assert export_name("2023-03", "site_a", "voice") == "20230301_site_a_voice.csv"
 
 
 def test_run_all_corners_exports_each_corner(spark, catalogue):
