@@ -53,7 +53,7 @@ from freshcat.operators.joins import (
 )
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
-from freshcat.session import stage
+from freshcat.session import stage, worth_reducing
 
 ALBUM_COLUMNS = ("album_music_id", "album_music_name", "album_artist_id", "album_artist_name", "album_release_date")
 
@@ -336,7 +336,7 @@ def corner_job(
         ids=ids,
         require_tieup=corner.require_tieup,
         tz=tz,
-        reduce_dimensions=stage_fact,
+        reduce_dimensions=stage_fact and worth_reducing(target),
         album_variants=variants,
     )
     if stage_fact:
@@ -382,7 +382,7 @@ def all_corners_job(
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=("site", "corner"),
-        reduce_dimensions=stage_fact,
+        reduce_dimensions=stage_fact and worth_reducing(target),
         album_variants=variants,
     )
     if stage_fact:
@@ -518,7 +518,7 @@ def backfill_job(
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
-        reduce_dimensions=stage_fact,
+        reduce_dimensions=stage_fact and worth_reducing(target),
         album_variants=variants,
     )
     if stage_fact:

@@ -42,7 +42,7 @@ from freshcat.operators.joins import Hop, join_hop, semi_reduce, snowflake_left_
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
 from freshcat.plans.monthly_job import new_arrivals_fact
-from freshcat.session import stage
+from freshcat.session import stage, worth_reducing
 
 # Fixed values of the star mapping (parameters of the driver queries).
 FLAGSHIP_MONTH = "1996-03"
@@ -269,8 +269,10 @@ def star_fact(
     target = star_material(t, month, tz, with_album=True)
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
+    reduce = False
     if stage_target:
         target = stage(target, "target")
+        reduce = worth_reducing(target)
     return new_arrivals_fact(
         target,
         star_tieup_bridge(t),
@@ -279,7 +281,7 @@ def star_fact(
         None,
         require_tieup=require_tieup,
         tz=tz,
-        reduce_dimensions=stage_target,
+        reduce_dimensions=reduce,
     )
 
 
@@ -338,8 +340,10 @@ def star_all_corners(
         )
         .drop("__fc_site", "__fc_code")
     )
+    reduce = False
     if stage_fact:
         target = stage(target, "target")
+        reduce = worth_reducing(target)
     fact = new_arrivals_fact(
         target,
         star_tieup_bridge(t),
@@ -349,7 +353,7 @@ def star_all_corners(
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
-        reduce_dimensions=stage_fact,
+        reduce_dimensions=reduce,
     )
     if stage_fact:
         fact = stage(fact, "fact")

@@ -240,3 +240,16 @@ def test_cli_runs_one_corner_from_the_session_catalog(spark, catalogue):
     assert set(tables) == set(catalogue)
     corner = Corner("s", "c", "SiteA", ("030300",))
     assert rows(corner_job(tables, "2023-03", corner, threshold=2)) == [NINE, ALBUM]
+
+
+def test_reduction_is_skipped_above_the_size_bound(spark, catalogue):
+    corner = Corner("s", "c", "SiteA", ("030300",))
+    spark.conf.set("freshcat.reduce.maxTargetBytes", "0")
+    try:
+        assert rows(corner_job(catalogue, "2023-03", corner, threshold=2)) == [NINE, ALBUM]
+    finally:
+        spark.conf.unset("freshcat.reduce.maxTargetBytes")
+    from freshcat.session import stage, worth_reducing
+
+    small = stage(spark.range(10), "tiny")
+    assert worth_reducing(small)
