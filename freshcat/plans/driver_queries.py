@@ -50,6 +50,7 @@ from freshcat.plans.star import (
     star_tieup_bridge,
     star_tieups,
 )
+from freshcat.plans.monthly_job import rollup_fact
 from freshcat.plans.star_catalogue import catalogue_corner_job
 from freshcat.session import checkpoint_dir, stage
 from freshcat.sources import (
@@ -302,7 +303,7 @@ def q_album_rollup(spark, base):
 
 def q_album_rollup_topk(spark, base):
     fact = stage(star_fact(Tables(spark, base)), "fact")
-    return aggregate_musics_to_album(fact, top_k=5000, threshold_num=5, order_column="release_date", ascending=False)
+    return rollup_fact(fact, threshold=5, top_k=5000)
 
 
 def _part_keys(spark, base):

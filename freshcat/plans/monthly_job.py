@@ -28,7 +28,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshcat.functions.defaults import default_if_null, null_to_text
@@ -51,6 +51,8 @@ from freshcat.operators.joins import (
     semi_reduce,
     snowflake_left_join,
 )
+from freshcat.operators.ordering import total_order
+from freshcat.operators.ranking import top_k as top_k_rows
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
 from freshcat.session import stage, worth_reducing
@@ -298,6 +300,31 @@ def new_arrivals_fact(
     return joined.select(*[F.col(w) for w in within], *cols).distinct()
 
 
+def rollup_fact(
+    fact: DataFrame,
+    threshold: int,
+    top_k: int | None = None,
+    within: Sequence[str] = (),
+    stage_cut: bool = True,
+) -> DataFrame:
+    """The rollup step of the jobs (newest first). With ``top_k`` the cut is taken once and
+    staged (k rows per ``within`` group), so the rollup's branches read the cut instead of
+    each re-running the top-k over the whole fact; same rows, same total order."""
+    order = [("release_date", False)]
+    if top_k and stage_cut:
+        within = list(within)
+        if within:
+            rank = Window.partitionBy(*within).orderBy(*total_order(fact, order, exclude=within))
+            cut = fact.withColumn("__fc_rank", F.row_number().over(rank)).where(F.col("__fc_rank") <= top_k)
+            cut = cut.drop("__fc_rank")
+        else:
+            cut = top_k_rows(fact, order, top_k)
+        fact, top_k = stage(cut, "cut"), None
+    return aggregate_musics_to_album(
+        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False, within=within
+    )
+
+
 def corner_job(
     tables: Mapping[str, DataFrame],
     month: str,
@@ -341,9 +368,7 @@ def corner_job(
     )
     if stage_fact:
         fact = stage(fact, "fact")
-    rolled = aggregate_musics_to_album(
-        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False
-    )
+    rolled = rollup_fact(fact, threshold, top_k, stage_cut=stage_fact)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False)
 
 
@@ -387,14 +412,7 @@ def all_corners_job(
     )
     if stage_fact:
         fact = stage(fact, "fact")
-    rolled = aggregate_musics_to_album(
-        fact,
-        top_k=top_k,
-        threshold_num=threshold,
-        order_column="release_date",
-        ascending=False,
-        within=("site", "corner"),
-    )
+    rolled = rollup_fact(fact, threshold, top_k, within=("site", "corner"), stage_cut=stage_fact)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=("site", "corner"))
 
 
@@ -523,7 +541,5 @@ def backfill_job(
     )
     if stage_fact:
         fact = stage(fact, "fact")
-    rolled = aggregate_musics_to_album(
-        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False, within=within
-    )
+    rolled = rollup_fact(fact, threshold, top_k, within=within, stage_cut=stage_fact)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)

@@ -41,7 +41,7 @@ from freshcat.operators.filters import corner_filter, current_rows, in_local_mon
 from freshcat.operators.joins import Hop, join_hop, semi_reduce, snowflake_left_join
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
-from freshcat.plans.monthly_job import new_arrivals_fact
+from freshcat.plans.monthly_job import new_arrivals_fact, rollup_fact
 from freshcat.session import stage, worth_reducing
 
 # Fixed values of the star mapping (parameters of the driver queries).
@@ -303,9 +303,7 @@ def star_new_arrivals(
     fact = star_fact(t, month, segment, types, tz=tz, stage_target=stage_fact)
     if stage_fact:
         fact = stage(fact, "fact")
-    rolled = aggregate_musics_to_album(
-        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False
-    )
+    rolled = rollup_fact(fact, threshold, top_k, stage_cut=stage_fact)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False)
 
 

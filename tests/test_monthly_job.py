@@ -253,3 +253,16 @@ def test_reduction_is_skipped_above_the_size_bound(spark, catalogue):
 
     small = stage(spark.range(10), "tiny")
     assert worth_reducing(small)
+
+
+def test_top_k_cut_staged_or_not_gives_the_same_rows(spark, catalogue):
+    corner = Corner("s", "c", "SiteA", ("030300",), require_tieup=False)
+    staged = rows(corner_job(catalogue, "2023-03", corner, threshold=2, top_k=2))
+    inline = rows(corner_job(catalogue, "2023-03", corner, threshold=2, top_k=2, stage_fact=False))
+    assert staged == inline and len(staged) <= 2
+    corners = [corner, Corner("t", "other", "SiteB", ("030300",))]
+    together = sorted(rows(all_corners_job(catalogue, "2023-03", corners, threshold=2, top_k=2)), key=str)
+    apart = []
+    for c in corners:
+        apart += [(c.site, c.corner) + r for r in rows(corner_job(catalogue, "2023-03", c, threshold=2, top_k=2))]
+    assert together == sorted(apart, key=str)
