@@ -9,10 +9,10 @@ Stages (the order of the catalogue job):
 
 1. material: current item rows of the month (pushed-down UTC range) -> snowflake (C1)
 2. corner filter (site contract + file type codes)
-3. album dimension (C6): album headers -> collection bridge -> id map -> material,
-   then the first-group track explode (C2)
-4. fact (C7): id map, tie-up bridge, tie-up, flag list, album tracks (all left joins),
-   tie-up filter, projection with defaults, ``distinct``
+3. album dimension (C6): album headers -> collection bridge -> id map -> material, and
+   the first-group track explode (C2), kept as two linear tables (:func:`album_parts`)
+4. fact (C7): id map, tie-up bridge, tie-up, flag list, album track -> album variant
+   (all left joins), tie-up filter, projection with defaults, ``distinct``
 5. album rollup (C3, threshold 5, newest first)
 6. tie-up de-duplication (C4)
 
@@ -115,24 +115,22 @@ def id_map(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def album_dimension(
+def album_rows(
     album_headers: DataFrame,
     collection_bridge: DataFrame,
     ids: DataFrame,
     material: DataFrame,
     tz: str = JST,
-    id_type: str = "int",
 ) -> DataFrame:
-    """Album rows with one row per first-group track (C6 + C2).
+    """Album header rows with the artist and release date their id-map rows lead to.
 
     ``album_headers``: selected album detail rows; ``collection_bridge``:
     (collection_detail_id, collection_id); ``ids``: (collection_id, asset_id, material_id);
-    ``material``: the material dimension (id, artist_id, delivery_start_date). Artist and
-    release date come from the material found through the id map; in the catalogue job
-    that material is already month-filtered, so albums whose item started in another
-    month get NULL there (H12). When ``material`` covers several months (it carries
-    ``target_date``), that month is kept as ``__fc_album_month`` so the fact can apply the
-    same rule per month.
+    ``material``: the material dimension (id, artist_id, delivery_start_date). In the
+    catalogue job that material is already month-filtered, so albums whose item started in
+    another month get NULL artist and date (H12). When ``material`` covers several months
+    (it carries ``target_date``), that month is kept as ``__fc_album_month`` so the fact can
+    apply the same rule per month. One row per id-map row of the album (left joins).
     """
     by_month = "target_date" in material.columns
     wanted = {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start"}
@@ -152,7 +150,7 @@ def album_dimension(
             Hop(material, "__fc_album_material", "id", wanted),
         ],
     )
-    albums = joined.select(
+    return joined.select(
         "album_music_id",
         "album_music_name",
         "album_artist_id",
@@ -161,7 +159,20 @@ def album_dimension(
         *(["__fc_album_month"] if by_month else []),
         "asset_structure",
     )
-    return explode_tracks(albums, id_type=id_type)
+
+
+def album_dimension(
+    album_headers: DataFrame,
+    collection_bridge: DataFrame,
+    ids: DataFrame,
+    material: DataFrame,
+    tz: str = JST,
+    id_type: str = "int",
+) -> DataFrame:
+    """Album rows with one row per first-group track (C6 + C2), in the catalogue's flat
+    form: every id-map row of an album times every track of it. The jobs use
+    :func:`album_parts` instead."""
+    return explode_tracks(album_rows(album_headers, collection_bridge, ids, material, tz), id_type=id_type)
 
 
 def album_parts(
@@ -184,9 +195,7 @@ def album_parts(
     tracks = explode_tracks(
         album_headers.select(F.col("id").alias("album_music_id"), "asset_structure"), id_type=id_type
     )
-    flat = album_dimension(album_headers.withColumn("asset_structure", F.lit(None).cast("string")),
-                           collection_bridge, ids, material, tz, id_type=id_type)
-    variants = flat.drop("album_track_asset_id").distinct()
+    variants = album_rows(album_headers, collection_bridge, ids, material, tz).drop("asset_structure").distinct()
     return tracks, variants
 
 
