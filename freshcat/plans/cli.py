@@ -17,7 +17,7 @@ import sys
 
 from freshcat.plans.corners import CATALOGUE_CORNERS, corner_by_name
 from freshcat.plans.monthly_job import backfill_job, current_month, run_all_corners, run_corner_job
-from freshcat.session import checkpoint_dir, get_session
+from freshcat.session import checkpoint_dir, drop_staged_since, get_session, staged_mark
 
 # Catalogue table names read by the monthly job.
 CATALOG_TABLES = (
@@ -71,8 +71,10 @@ def main(argv=None) -> int:
     if args.backfill_from:
         from freshcat.sources.sinks import register_partitions, write_partitioned_csv
 
+        mark = staged_mark()
         result = backfill_job(tables, args.backfill_from, month, CATALOGUE_CORNERS, threshold=args.threshold)
         write_partitioned_csv(result, args.output, single_file=True)
+        drop_staged_since(spark, mark)
         if args.table:
             register_partitions(spark, args.table)
     elif args.all_corners:

@@ -55,7 +55,7 @@ from freshcat.operators.ordering import total_order
 from freshcat.operators.ranking import top_k as top_k_rows
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
-from freshcat.session import stage, worth_reducing
+from freshcat.session import drop_staged_since, stage, staged_mark, worth_reducing
 
 ALBUM_COLUMNS = ("album_music_id", "album_music_name", "album_artist_id", "album_artist_name", "album_release_date")
 
@@ -454,10 +454,12 @@ def run_corner_job(
 
     month = month or current_month(tz)
     spark = tables["dim_hub_item"].sparkSession
+    mark = staged_mark()
     result = corner_job(tables, month, corner, threshold=threshold, tz=tz)
     values = {"site": corner.site, "corner": corner.corner, "target_date": target_date_of(month)}
     order = [F.col("release_date").desc()] + [F.col(c).asc() for c in result.columns if c != "release_date"]
     write_partitioned_csv(result, root, values, order=order, single_file=True)
+    drop_staged_since(spark, mark)
     path = export_named_file(spark, partition_dir(root, values), export_name(month, corner.site, corner.corner))
     if table:
         register_partitions(spark, table)
@@ -478,6 +480,7 @@ def run_all_corners(
 
     month = month or current_month(tz)
     spark = tables["dim_hub_item"].sparkSession
+    mark = staged_mark()
     result = all_corners_job(tables, month, corners, threshold=threshold, tz=tz).withColumn(
         "target_date", F.lit(target_date_of(month))
     )
@@ -485,6 +488,7 @@ def run_all_corners(
         F.col(c).asc() for c in result.columns if c not in ("release_date", "site", "corner", "target_date")
     ]
     write_partitioned_csv(result, root, order=order, single_file=True)
+    drop_staged_since(spark, mark)
     paths = []
     for c in corners:  # the configuration, not the data: at most a few dozen entries
         values = {"site": c.site, "corner": c.corner, "target_date": target_date_of(month)}

@@ -93,9 +93,31 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _STAGED.append(path)
     return spark.read.parquet(path)
 
 
+_STAGED: list[str] = []
+
+
+def staged_mark() -> int:
+    """A mark to pass to :func:`drop_staged_since` once the staged frames are consumed."""
+    return len(_STAGED)
+
+
+def drop_staged_since(spark: SparkSession, mark: int) -> int:
+    """Delete the intermediates staged after ``mark`` (call only after the action that
+    read them has finished). Returns how many folders were removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while len(_STAGED) > mark:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            removed += 1
+    return removed
+
+
 # Above this written size the month's target is not used to cut the dimensions down
 # (``freshcat.reduce.maxTargetBytes``): its key sets would no longer be broadcast and the
 # reduction would add shuffles; the joins then rely on AQE and runtime filters alone.

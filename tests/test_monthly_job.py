@@ -266,3 +266,18 @@ def test_top_k_cut_staged_or_not_gives_the_same_rows(spark, catalogue):
     for c in corners:
         apart += [(c.site, c.corner) + r for r in rows(corner_job(catalogue, "2023-03", c, threshold=2, top_k=2))]
     assert together == sorted(apart, key=str)
+
+
+def test_runner_removes_its_staged_intermediates(spark, catalogue):
+    import os
+    import uuid
+
+    from freshcat.plans.monthly_job import run_corner_job
+    from freshcat.session import checkpoint_dir
+
+    base = checkpoint_dir(spark).replace("file:", "")
+    before = {n for n in os.listdir(base) if n.startswith(("target-", "fact-", "cut-"))}
+    root = os.path.join(base, f"run-{uuid.uuid4().hex}")
+    run_corner_job(catalogue, root, Corner("s", "c", "SiteA", ("030300",)), month="2023-03", threshold=2)
+    after = {n for n in os.listdir(base) if n.startswith(("target-", "fact-", "cut-"))}
+    assert after == before
