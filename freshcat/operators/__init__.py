@@ -1,6 +1,6 @@
 """Reusable frame operators of the catalogue jobs."""
 
-from freshcat.operators.backfill import months_until_target
+from freshcat.operators.backfill import keep_until_target, months_until_target
 from freshcat.operators.dedup import filter_duplicate_tieup_item, first_per_key
 from freshcat.operators.explode import explode_tracks
 from freshcat.operators.filters import (
@@ -31,6 +31,7 @@ __all__ = [
     "having_count",
     "in_local_month",
     "in_local_months",
+    "keep_until_target",
     "join_dim_material",
     "join_hop",
     "months_until_target",

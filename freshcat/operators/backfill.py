@@ -24,18 +24,45 @@ def months_until_target(
     newest: str | None = None,
     oldest: str | None = None,
     output: str = "rows_before",
+    within: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
     """Months (newest first) whose newer months hold fewer than ``target`` rows.
 
-    ``monthly``: one row per month with its row count. ``newest``/``oldest`` bound the range
-    (inclusive, compared with ``month_column`` as given, e.g. ``"1996-03"``).
+    ``monthly``: one row per month (per ``within`` group, e.g. site and corner) with its row
+    count. ``newest``/``oldest`` bound the range (inclusive, compared with ``month_column``
+    as given, e.g. ``"1996-03"``).
     """
     frame = monthly
     if newest is not None:
         frame = frame.where(F.col(month_column) <= F.lit(newest))
     if oldest is not None:
         frame = frame.where(F.col(month_column) >= F.lit(oldest))
-    before = Window.orderBy(F.col(month_column).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        Window.partitionBy(*within)
+        .orderBy(F.col(month_column).desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     return frame.withColumn(output, F.coalesce(F.sum(count_column).over(before), F.lit(0)).cast("bigint")).where(
         F.col(output) < F.lit(target)
     )
+
+
+def keep_until_target(
+    result: DataFrame,
+    target: int,
+    month_column: str = "target_date",
+    within: tuple[str, ...] | list[str] = ("site", "corner"),
+) -> DataFrame:
+    """Rows of the months a newest-first backfill would have published.
+
+    ``result`` holds several months (``month_column``) per ``within`` group; a month is kept
+    when the rows of the newer months of its group stay below ``target``. The decision is a
+    window over one count per (group, month); the rows are kept by a semi join on it.
+    """
+    within = list(within)
+    counts = result.groupBy(*within, month_column).agg(F.count(F.lit(1)).alias("__fc_rows"))
+    needed = months_until_target(counts, month_column, "__fc_rows", target, within=within).select(
+        *within, month_column
+    )
+    keys = within + [month_column]
+    return result.join(needed, keys, "left_semi")

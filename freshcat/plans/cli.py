@@ -17,7 +17,8 @@ import sys
 
 from freshcat.plans.corners import CATALOGUE_CORNERS, corner_by_name
 from freshcat.plans.monthly_job import backfill_job, current_month, run_all_corners, run_corner_job
-from freshcat.session import checkpoint_dir, drop_staged_since, get_session, staged_mark
+from freshcat.operators.backfill import keep_until_target
+from freshcat.session import checkpoint_dir, drop_staged_since, get_session, stage, staged_mark
 
 # Catalogue table names read by the monthly job.
 CATALOG_TABLES = (
@@ -56,6 +57,8 @@ def parse(argv):
     p.add_argument("--flag-db", default="new_arrivals")
     p.add_argument("--table", help="partitioned table to register new partitions in")
     p.add_argument("--threshold", type=int, default=5)
+    p.add_argument("--until-rows", type=int, help="with --backfill-from: publish months newest first per corner "
+                   "until this many rows (the original tool's target: 100)")
     args = p.parse_args(argv)
     if not (args.all_corners or args.backfill_from) and not (args.site and args.corner):
         p.error("give --site and --corner, or --all-corners, or --backfill-from")
@@ -73,6 +76,8 @@ def main(argv=None) -> int:
 
         mark = staged_mark()
         result = backfill_job(tables, args.backfill_from, month, CATALOGUE_CORNERS, threshold=args.threshold)
+        if args.until_rows:
+            result = keep_until_target(stage(result, "backfill"), args.until_rows)
         write_partitioned_csv(result, args.output, single_file=True)
         drop_staged_since(spark, mark)
         if args.table:

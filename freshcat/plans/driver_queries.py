@@ -42,6 +42,7 @@ from freshcat.plans.star import (
     star_album_tracks,
     star_all_corners,
     star_backfill,
+    star_backfill_until_target,
     star_fact,
     star_flags,
     star_items,
@@ -438,6 +439,10 @@ def q_new_arrivals_backfill(spark, base):
     return star_backfill(Tables(spark, base))
 
 
+def q_new_arrivals_backfill_until_target(spark, base):
+    return star_backfill_until_target(Tables(spark, base))
+
+
 def q_catalogue_corner_job(spark, base):
     return catalogue_corner_job(Tables(spark, base))
 
@@ -479,4 +484,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_arrivals_all_corners": q_new_arrivals_all_corners,
     "new_arrivals_backfill": q_new_arrivals_backfill,
     "catalogue_corner_job": q_catalogue_corner_job,
+    "new_arrivals_backfill_until_target": q_new_arrivals_backfill_until_target,
 }

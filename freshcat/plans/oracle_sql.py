@@ -334,6 +334,25 @@ fact AS (
 )""" + rollup_dedup_ctes(threshold) + f"\nSELECT {', '.join(OUTPUT_COLUMNS)} FROM dd WHERE rn_dd = 1"
 
 
+def backfill_until_target_sql(target_rows: int = 100) -> str:
+    within = ("site", "corner", "target_date")
+    cols = ", ".join(OUTPUT_COLUMNS)
+    return (
+        "WITH " + star_ctes(BACKFILL_OLDEST, corners=True, newest=BACKFILL_NEWEST) + "," + fact_cte(None, within)
+        + rollup_dedup_ctes(FLAGSHIP_THRESHOLD, within=within)
+        + f""",
+result AS (SELECT site, corner, target_date, {cols} FROM dd WHERE rn_dd = 1),
+monthly AS (SELECT site, corner, target_date, count(*) AS n FROM result GROUP BY site, corner, target_date),
+needed AS (
+  SELECT site, corner, target_date FROM (
+    SELECT *, COALESCE(SUM(n) OVER (PARTITION BY site, corner ORDER BY target_date DESC
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM monthly) WHERE before < {target_rows}
+)
+SELECT r.* FROM result r JOIN needed USING (site, corner, target_date)"""
+    )
+
+
 def whole_rollup_sql(threshold: int, top_k: int | None = None) -> str:
     return (
         "WITH " + star_ctes(None) + "," + fact_cte(True) + rollup_dedup_ctes(threshold, top_k, dedup=False)
@@ -454,4 +473,5 @@ SELECT month, row_count, rows_before FROM w WHERE rows_before < 5000""",
     "new_arrivals_all_corners": all_corners_sql(),
     "new_arrivals_backfill": backfill_sql(),
     "catalogue_corner_job": catalogue_sql(),
+    "new_arrivals_backfill_until_target": backfill_until_target_sql(),
 }

@@ -371,3 +371,23 @@ def star_backfill(
 ) -> DataFrame:
     """Every corner of every month in the range, one job: site, corner, target_date + 15."""
     return star_all_corners(t, oldest, corners, threshold, tz, newest=newest)
+
+
+BACKFILL_TARGET_ROWS = 100
+
+
+def star_backfill_until_target(
+    t: Mapping[str, DataFrame],
+    oldest: str = BACKFILL_OLDEST,
+    newest: str = BACKFILL_NEWEST,
+    target_rows: int = BACKFILL_TARGET_ROWS,
+    corners: Sequence[Corner] | None = None,
+    threshold: int = FLAGSHIP_THRESHOLD,
+    tz: str = JST,
+) -> DataFrame:
+    """The months a newest-first backfill publishes per corner until ``target_rows``."""
+    from freshcat.operators.backfill import keep_until_target
+
+    # the result is read twice (counts per month, then the kept rows): staged once
+    result = stage(star_backfill(t, oldest, newest, corners, threshold, tz), "backfill")
+    return keep_until_target(result, target_rows)

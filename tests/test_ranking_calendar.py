@@ -55,3 +55,15 @@ def test_months_until_target(spark):
                .orderBy(F.col("month").desc()))
     # 2023-05 (0 before), 2023-04 (40), 2023-03 (70) are needed; 2023-02 has 120 before it
     assert got == [("2023-05", 40, 0), ("2023-04", 30, 40), ("2023-03", 50, 70)]
+
+
+def test_keep_until_target_per_corner(spark):
+    from freshcat.operators import keep_until_target
+
+    data = ([("s", "c", "20230401", i) for i in range(2)] + [("s", "c", "20230301", i) for i in range(3)]
+            + [("s", "c", "20230201", 0)] + [("t", "c", "20230201", i) for i in range(9)])
+    df = spark.createDataFrame(data, "site string, corner string, target_date string, i int")
+    got = sorted({(r.site, r.target_date) for r in keep_until_target(df, 4).collect()})
+    # s/c: April (0 before), March (2 before) kept; February has 5 rows before it
+    assert got == [("s", "20230301"), ("s", "20230401"), ("t", "20230201")]
+    assert keep_until_target(df, 4).count() == 2 + 3 + 9
