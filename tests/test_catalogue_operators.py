@@ -199,3 +199,13 @@ def test_dedup_album_rows_collapse_or_keep(spark):
     assert collapsed[1][1] == "albA"
     kept = rows(filter_duplicate_tieup_item(df, null_key="keep"))
     assert len(kept) == 3
+
+
+def test_dedup_sorts_ascending_when_asked(spark):
+    data = [_music(1, 500), _music(2, 300), _music(4, 100)]
+    out = filter_duplicate_tieup_item(spark.createDataFrame(data, DEDUP_SCHEMA), order_column="score", ascending=True)
+    assert [r[-1] for r in out.collect()] == [100, 300, 500]
+    rolled = aggregate_musics_to_album(_rollup_input(spark), threshold_num=2, order_column="score", ascending=True)
+    # ascending: 10 (F), then album B at the rank of its lowest-scored track (20), 30 (D), 60 (A)
+    assert [(r[1], r[13]) for r in rolled.collect()] == [
+        ("mus6", "music"), ("albB", "album"), ("mus4", "music"), ("mus1", "music")]
