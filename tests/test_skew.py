@@ -84,3 +84,34 @@ def test_hot_key_dedup_is_pre_limited(spark):
     out.collect()
     written = [w for w in _rows_into_window_shuffles(out) if w is not None]
     assert written and max(written) <= 3000 - 1000 + 8
+
+
+def test_hot_join_key_is_split_by_the_skew_join_rule(spark):
+    from freshcat.operators import Hop, join_hop
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        # a third of the left rows carry one artist id
+        left = spark.range(0, 30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("artist_id"), F.col("id").alias("v")
+        )
+        right = spark.range(0, 30000).select(F.col("id").alias("a_id"), (F.col("id") * 2).alias("w"))
+        out = join_hop(left, Hop(right, "artist_id", "a_id", ["w"]))
+        assert out.count() == 30000
+        out.collect()
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
