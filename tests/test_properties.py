@@ -162,3 +162,27 @@ def test_rollup_equals_the_window_form(spark, spec, threshold, k):
                                                         order_column="release_date").collect()]
     theirs = [tuple(r) for r in _window_form(df, threshold, k).collect()]
     assert ours == theirs
+
+
+@SETTINGS
+@given(keys=st.lists(st.tuples(st.sampled_from([None, "m1", "m2", "m3"]), st.sampled_from([None, "t1", "t2"]),
+                               st.integers(0, 3)), max_size=25))
+def test_dedup_equals_the_window_form(spark, keys):
+    from freshcat.operators import filter_duplicate_tieup_item
+    from freshcat.operators.ordering import total_order
+    from freshcat.operators.rollup import OUTPUT_COLUMNS
+
+    rows_in = []
+    for i, (mat, tie, score) in enumerate(keys):
+        values = {c: f"{c}{i}" for c in OUTPUT_COLUMNS}
+        values.update(material_id=mat, tieup_id=tie, pickup=1, score=score, transition_type="music")
+        rows_in.append(tuple(values[c] for c in OUTPUT_COLUMNS))
+    schema = ", ".join(f"{c} {'int' if c in ('pickup', 'score') else 'string'}" for c in OUTPUT_COLUMNS)
+    df = spark.createDataFrame(rows_in, schema).repartition(3)
+    ours = [tuple(r) for r in filter_duplicate_tieup_item(df).collect()]
+    # literal form: row_number per material_id (all NULL ids in one partition), then order
+    order = total_order(df, [("tieup_id", True)], exclude=["material_id"])
+    first = df.withColumn("rn", F.row_number().over(Window.partitionBy("material_id").orderBy(*order)))
+    first = first.where("rn = 1").drop("rn")
+    theirs = [tuple(r) for r in first.orderBy(*total_order(first, [("score", False)])).collect()]
+    assert ours == theirs
