@@ -154,3 +154,24 @@ def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str)
     tmp = "__fc_semi_key"
     keys = small.select(F.col(small_key).alias(tmp)).where(F.col(tmp).isNotNull()).distinct()
     return big.join(keys, F.col(big_key) == F.col(tmp), "left_semi")
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a frame (from file sizes and the plan), no job run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    text = text.strip().lower().rstrip("b")
+    return int(float(text[:-1]) * units[text[-1]]) if text and text[-1] in units else int(text)
+
+
+def semi_reduce_if_large(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
+    """:func:`semi_reduce` unless ``big`` is already within the broadcast threshold by
+    Catalyst's estimate: such a side is broadcast whole, and cutting it first only adds
+    jobs."""
+    if estimated_bytes(big) <= broadcast_limit(big):
+        return big
+    return semi_reduce(big, big_key, small, small_key)

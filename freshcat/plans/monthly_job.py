@@ -48,7 +48,7 @@ from freshcat.operators.joins import (
     flag_lookup,
     join_dim_material,
     join_hop,
-    semi_reduce,
+    semi_reduce_if_large,
     snowflake_left_join,
 )
 from freshcat.operators.ordering import total_order
@@ -260,16 +260,17 @@ def new_arrivals_fact(
     :func:`album_parts` and the album attributes come from the variants.
     """
     if reduce_dimensions:
-        tieup_bridge = semi_reduce(tieup_bridge, "music_id", material_target, "music_id")
-        flags = semi_reduce(flags, "artist_id", material_target, "artist_id")
+        reduce = semi_reduce_if_large
+        tieup_bridge = reduce(tieup_bridge, "music_id", material_target, "music_id")
+        flags = reduce(flags, "artist_id", material_target, "artist_id")
         if ids is not None:
-            ids = semi_reduce(ids, "material_id", material_target, material_id)
+            ids = reduce(ids, "material_id", material_target, material_id)
             if album_tracks is not None:
-                album_tracks = semi_reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
+                album_tracks = reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
         elif album_tracks is not None:
-            album_tracks = semi_reduce(album_tracks, "album_track_asset_id", material_target, "asset_id")
+            album_tracks = reduce(album_tracks, "album_track_asset_id", material_target, "asset_id")
         if album_variants is not None and album_tracks is not None:
-            album_variants = semi_reduce(album_variants, "album_music_id", album_tracks, "album_music_id")
+            album_variants = reduce(album_variants, "album_music_id", album_tracks, "album_music_id")
     hops = []
     if ids is not None:
         hops.append(Hop(ids, material_id, "material_id", ["asset_id"]))
