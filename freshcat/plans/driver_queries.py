@@ -65,9 +65,6 @@ from freshcat.sources import (
 )
 from freshcat.sources.sinks import partition_row_counts
 
-STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-
 class Tables(dict):
     """Lazily loaded driver tables of one scale factor.
 
