@@ -47,6 +47,8 @@ from freshcat.operators.joins import (
     Hop,
     flag_lookup,
     join_dim_material,
+    broadcast_limit,
+    estimated_bytes,
     join_hop,
     semi_reduce_if_large,
     snowflake_left_join,
@@ -115,6 +117,21 @@ def id_map(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def prepare_target(target: DataFrame, dimensions: Sequence[DataFrame | None], enabled: bool = True) -> tuple[DataFrame, bool]:
+    """Stage the target and decide on the semi-join reduction -- only when it can matter.
+
+    When every dimension is within the broadcast threshold by Catalyst's estimate, they
+    are broadcast whole: the target is read once and neither staged nor used to cut
+    anything. Otherwise it is written once (it feeds one semi join per large dimension)
+    and the reduction runs if the written target is small enough
+    (:func:`freshcat.session.worth_reducing`).
+    """
+    if not enabled or all(estimated_bytes(d) <= broadcast_limit(d) for d in dimensions if d is not None):
+        return target, False
+    staged = stage(target, "target")
+    return staged, worth_reducing(staged)
+
+
 def album_rows(
     album_headers: DataFrame,
     collection_bridge: DataFrame,
@@ -335,6 +352,15 @@ def rollup_fact(
     )
 
 
+def catalogue_dimensions(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Current tie-up bridge, current tie-ups and the flag list, projected."""
+    return (
+        current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
+        current_rows(tables["dim_hub_tieup"]).select("id", "name", "detailgenre_id", "searchable"),
+        tables["johnnys_csv"].select("artist_id", "is_johnnys"),
+    )
+
+
 def corner_job(
     tables: Mapping[str, DataFrame],
     month: str,
@@ -352,8 +378,6 @@ def corner_job(
     """
     material = material_dimension(tables, month, tz)
     target = corner_filter(material, "site_name", corner.site_name, "filetype_id", corner.filetype_ids)
-    if stage_fact:
-        target = stage(target, "target")
     bridge = tables["dim_collection_collection_detail"]
     if corner.fallback_collection_bridge and collection_bridge_fallback is not None:
         from freshcat.sources.tables import first_non_empty
@@ -364,16 +388,18 @@ def corner_job(
     )
     ids = id_map(tables)
     tracks, variants = album_parts(headers, bridge, ids, material, tz, id_type=id_type)
+    tie_bridge, tieups, flags = catalogue_dimensions(tables)
+    target, reduce = prepare_target(target, [tie_bridge, flags, ids, tracks, variants], stage_fact)
     fact = new_arrivals_fact(
         target,
-        current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
-        current_rows(tables["dim_hub_tieup"]).select("id", "name", "detailgenre_id", "searchable"),
-        tables["johnnys_csv"].select("artist_id", "is_johnnys"),
+        tie_bridge,
+        tieups,
+        flags,
         tracks,
         ids=ids,
         require_tieup=corner.require_tieup,
         tz=tz,
-        reduce_dimensions=stage_fact and worth_reducing(target),
+        reduce_dimensions=reduce,
         album_variants=variants,
     )
     if stage_fact:
@@ -402,22 +428,22 @@ def all_corners_job(
         (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")),
         "inner",
     ).drop("__fc_site", "__fc_code")
-    if stage_fact:
-        target = stage(target, "target")
     headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
     tracks, variants = album_parts(headers, tables["dim_collection_collection_detail"], ids, material, tz)
+    tie_bridge, tieups, flags = catalogue_dimensions(tables)
+    target, reduce = prepare_target(target, [tie_bridge, flags, ids, tracks, variants], stage_fact)
     fact = new_arrivals_fact(
         target,
-        current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
-        current_rows(tables["dim_hub_tieup"]).select("id", "name", "detailgenre_id", "searchable"),
-        tables["johnnys_csv"].select("artist_id", "is_johnnys"),
+        tie_bridge,
+        tieups,
+        flags,
         tracks,
         ids=ids,
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=("site", "corner"),
-        reduce_dimensions=stage_fact and worth_reducing(target),
+        reduce_dimensions=reduce,
         album_variants=variants,
     )
     if stage_fact:
@@ -535,22 +561,22 @@ def backfill_job(
     target = material.join(
         config, (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")), "inner"
     ).drop("__fc_site", "__fc_code")
-    if stage_fact:
-        target = stage(target, "target")
     headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
     tracks, variants = album_parts(headers, tables["dim_collection_collection_detail"], ids, material, tz)
+    tie_bridge, tieups, flags = catalogue_dimensions(tables)
+    target, reduce = prepare_target(target, [tie_bridge, flags, ids, tracks, variants], stage_fact)
     fact = new_arrivals_fact(
         target,
-        current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
-        current_rows(tables["dim_hub_tieup"]).select("id", "name", "detailgenre_id", "searchable"),
-        tables["johnnys_csv"].select("artist_id", "is_johnnys"),
+        tie_bridge,
+        tieups,
+        flags,
         tracks,
         ids=ids,
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
-        reduce_dimensions=stage_fact and worth_reducing(target),
+        reduce_dimensions=reduce,
         album_variants=variants,
     )
     if stage_fact:

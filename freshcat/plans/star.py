@@ -41,8 +41,8 @@ from freshcat.operators.filters import corner_filter, current_rows, in_local_mon
 from freshcat.operators.joins import Hop, join_hop, semi_reduce, snowflake_left_join
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
-from freshcat.plans.monthly_job import new_arrivals_fact, rollup_fact
-from freshcat.session import stage, worth_reducing
+from freshcat.plans.monthly_job import new_arrivals_fact, prepare_target, rollup_fact
+from freshcat.session import stage
 
 # Fixed values of the star mapping (parameters of the driver queries).
 FLAGSHIP_MONTH = "1996-03"
@@ -56,6 +56,7 @@ ASSET_STRIDE = 8
 TIEUP_MAX_SIZE = 45
 UNSEARCHABLE_FROM_BRAND = 21
 FLAG_REGION = "ASIA"
+FLAG_VALUE = "listed"
 ALBUM_STATUSES = ("F", "O")
 STAR_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 STAR_TYPE_GROUPS = {
@@ -191,10 +192,15 @@ def star_tieups(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def star_flags(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The flag list: suppliers of the nations of one region, with a present flag value.
+
+    Built with semi joins: a supplier is listed at most once whatever the nation table
+    holds, and Catalyst sizes the result by the supplier side (an inner join would be
+    estimated as a product of its inputs)."""
     regions = t["region"].where(F.col("r_name") == FLAG_REGION).select("r_regionkey")
-    nations = t["nation"].join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
-    return t["supplier"].join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "inner").select(
-        F.col("s_suppkey").alias("artist_id"), F.col("n_name").alias("is_johnnys")
+    nations = t["nation"].join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    return t["supplier"].join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select(
+        F.col("s_suppkey").alias("artist_id"), F.lit(FLAG_VALUE).alias("is_johnnys")
     )
 
 
@@ -269,15 +275,13 @@ def star_fact(
     target = star_material(t, month, tz, with_album=True)
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
-    reduce = False
-    if stage_target:
-        target = stage(target, "target")
-        reduce = worth_reducing(target)
+    tie_bridge, flags = star_tieup_bridge(t), star_flags(t)
+    target, reduce = prepare_target(target, [tie_bridge, flags], stage_target)
     return new_arrivals_fact(
         target,
-        star_tieup_bridge(t),
+        tie_bridge,
         star_tieups(t),
-        star_flags(t),
+        flags,
         None,
         require_tieup=require_tieup,
         tz=tz,
@@ -338,15 +342,13 @@ def star_all_corners(
         )
         .drop("__fc_site", "__fc_code")
     )
-    reduce = False
-    if stage_fact:
-        target = stage(target, "target")
-        reduce = worth_reducing(target)
+    tie_bridge, flags = star_tieup_bridge(t), star_flags(t)
+    target, reduce = prepare_target(target, [tie_bridge, flags], stage_fact)
     fact = new_arrivals_fact(
         target,
-        star_tieup_bridge(t),
+        tie_bridge,
         star_tieups(t),
-        star_flags(t),
+        flags,
         None,
         require_tieup=F.col("require_tieup"),
         tz=tz,
