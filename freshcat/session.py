@@ -77,6 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
         configured = tempfile.mkdtemp(prefix="freshcat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
