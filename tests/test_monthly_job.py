@@ -304,3 +304,33 @@ def test_forced_reduction_gives_the_same_rows(spark, catalogue):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
     assert reduced == plain
     assert star_reduced == star_plain
+
+
+def test_cli_end_to_end_for_a_preset_corner(spark, catalogue):
+    import os
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from freshcat.plans import cli
+    from freshcat.session import checkpoint_dir
+
+    preset = CATALOGUE_CORNERS[0]
+    db = f"fc_cli_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    for name, frame in catalogue.items():
+        if name == "dim_hub_item_and_site_contract":
+            frame = frame.withColumn("site_name", F.when(F.col("site_name") == "SiteA", F.lit(preset.site_name))
+                                     .otherwise(F.col("site_name")))
+        if name == "dim_hub_item_and_ftdt":
+            frame = frame.withColumn("filetype_id", F.when(F.col("filetype_id") == "030300",
+                                                           F.lit(preset.filetype_ids[0])).otherwise(F.col("filetype_id")))
+        frame.write.mode("overwrite").saveAsTable(f"{db}.{name}")
+    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"cli-{uuid.uuid4().hex}")
+    assert cli.main(["--output", root, "--site", preset.site, "--corner", preset.corner, "--month", "2023-03",
+                     "--catalog-db", db, "--flag-db", db, "--threshold", "2"]) == 0
+    name = f"20230301_{preset.site}_{preset.corner}.csv"
+    path = os.path.join(root, f"site={preset.site}", f"corner={preset.corner}", "target_date=20230301", name)
+    with open(path) as fh:
+        lines = fh.read().splitlines()
+    assert len(lines) == 3 and lines[2].split(",")[13] == "album"
