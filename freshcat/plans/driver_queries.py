@@ -38,6 +38,7 @@ from freshcat.plans.star import (
     ASSET_STRIDE,
     FLAGSHIP_MONTH,
     FLAGSHIP_SEGMENT,
+    FLAGSHIP_TOP_K,
     FLAGSHIP_TYPES,
     star_album_tracks,
     star_all_corners,
@@ -440,6 +441,10 @@ def q_new_arrivals_backfill_until_target(spark, base):
     return star_backfill_until_target(Tables(spark, base))
 
 
+def q_new_arrivals_topk(spark, base):
+    return star_new_arrivals(Tables(spark, base), top_k=FLAGSHIP_TOP_K)
+
+
 def q_catalogue_corner_job(spark, base):
     return catalogue_corner_job(Tables(spark, base))
 
@@ -482,4 +487,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_arrivals_backfill": q_new_arrivals_backfill,
     "catalogue_corner_job": q_catalogue_corner_job,
     "new_arrivals_backfill_until_target": q_new_arrivals_backfill_until_target,
+    "new_arrivals_topk": q_new_arrivals_topk,
 }

@@ -18,6 +18,7 @@ from freshcat.plans.star import (
     FLAGSHIP_MONTH,
     FLAGSHIP_SEGMENT,
     FLAGSHIP_THRESHOLD,
+    FLAGSHIP_TOP_K,
     FLAGSHIP_TYPES,
     TIEUP_MAX_SIZE,
     TRACK_SLOTS,
@@ -197,10 +198,11 @@ dd AS (SELECT *, row_number() OVER (PARTITION BY {by_w}material_id ORDER BY tieu
     return text
 
 
-def flagship_sql(month=FLAGSHIP_MONTH, segment=FLAGSHIP_SEGMENT, types=FLAGSHIP_TYPES, threshold=FLAGSHIP_THRESHOLD) -> str:
+def flagship_sql(month=FLAGSHIP_MONTH, segment=FLAGSHIP_SEGMENT, types=FLAGSHIP_TYPES, threshold=FLAGSHIP_THRESHOLD,
+                 top_k=None) -> str:
     where = f"WHERE site_name = '{segment}' AND filetype_id IN ({_q(types)})"
     return (
-        "WITH " + star_ctes(month, where) + "," + fact_cte(True) + rollup_dedup_ctes(threshold)
+        "WITH " + star_ctes(month, where) + "," + fact_cte(True) + rollup_dedup_ctes(threshold, top_k)
         + f"\nSELECT {', '.join(OUTPUT_COLUMNS)} FROM dd WHERE rn_dd = 1"
     )
 
@@ -474,4 +476,5 @@ SELECT month, row_count, rows_before FROM w WHERE rows_before < 5000""",
     "new_arrivals_backfill": backfill_sql(),
     "catalogue_corner_job": catalogue_sql(),
     "new_arrivals_backfill_until_target": backfill_until_target_sql(),
+    "new_arrivals_topk": flagship_sql(top_k=FLAGSHIP_TOP_K),
 }

@@ -49,6 +49,7 @@ FLAGSHIP_MONTH = "1996-03"
 FLAGSHIP_SEGMENT = "BUILDING"
 FLAGSHIP_TYPES = ("ECONOMY", "LARGE", "MEDIUM")
 FLAGSHIP_THRESHOLD = 2
+FLAGSHIP_TOP_K = 20
 BACKFILL_OLDEST = "1996-01"
 BACKFILL_NEWEST = "1996-06"
 TRACK_SLOTS = 7
