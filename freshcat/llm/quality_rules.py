@@ -22,14 +22,15 @@ SYMBOLS = "#*$%&|<>"
 
 
 def with_grams(words: DataFrame, buckets: int) -> DataFrame:
-    """A row for each word: its bucket ``one`` and, unless it is the last, the bucket ``two``
+    """A row for each word (one of nulls for none): its bucket ``one`` and, unless it is the last, the bucket ``two``
     of the pair with the next word.
 
     c is a word's CRC-32: ``one`` is c mod B, ``two`` is (31 c1 + c2) mod B + B. The rows are
     made, hashed and summed inside one generated loop; none is written anywhere.
     """
     code = lambda w: F.crc32(w.cast("binary"))
-    rows = words.select("*", F.posexplode("words").alias("pos", "word"))
+    # outer: for an inner one Spark adds a filter on the array below, and splits texts twice
+    rows = words.select("*", F.posexplode_outer("words").alias("pos", "word"))
     after = F.get("words", F.col("pos") + 1)
     return rows.select(
         *[c for c in words.columns if c != "words"],

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from freshcat.llm.chat_format import prefix_target_examples, read_back
 from freshcat.llm.common import table
+from freshcat.llm.decontaminate import contaminated
 from freshcat.llm.packing import pack_documents
 from freshcat.llm.quality_rules import quality_rules, trusted_ids
+from freshcat.llm.sentence_spans import remove_repeated_spans
 from freshcat.llm.sharding import shard_by_bytes
+from freshcat.llm.simhash import near_duplicates
+from freshcat.llm.suffix_dedup import repeated_bytes
 from freshcat.llm.token_counts import count_tokens, read_vocabulary
 
 
@@ -47,6 +51,25 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), read_vocabulary(vocabulary_path("piece_bpe_32k.model")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeated_bytes(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_spans(table(spark, sf_dir, "documents")).drop("whole")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start", "distance")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -55,5 +78,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_quality_rules, op3_chat_format, op4_packing, op5_token_counts, op10_sharding)
+    for f in (op2_quality_rules, op3_chat_format, op4_packing, op5_token_counts, op6_suffix_dedup, op7_simhash,
+              op8_sentence_spans, op9_decontaminate, op10_sharding)
 }
