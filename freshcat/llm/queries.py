@@ -9,6 +9,7 @@ from freshcat.llm.chat_format import prefix_target_examples, read_back
 from freshcat.llm.common import table
 from freshcat.llm.decontaminate import contaminated
 from freshcat.llm.packing import pack_documents
+from freshcat.llm.quality_classifier import fit_on_labels, grade_documents
 from freshcat.llm.quality_rules import quality_rules, trusted_ids
 from freshcat.llm.sentence_spans import remove_repeated_spans
 from freshcat.llm.sharding import shard_by_bytes
@@ -24,6 +25,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return grade_documents(docs, fit_on_labels(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), trusted_ids(table(spark, sf_dir, "labels")))
 
@@ -78,6 +84,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_quality_rules, op3_chat_format, op4_packing, op5_token_counts, op6_suffix_dedup, op7_simhash,
+    for f in (op1_quality_classifier, op2_quality_rules, op3_chat_format, op4_packing, op5_token_counts, op6_suffix_dedup, op7_simhash,
               op8_sentence_spans, op9_decontaminate, op10_sharding)
 }
