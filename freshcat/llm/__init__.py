@@ -10,4 +10,7 @@ Conventions shared by all operators
 * A null text is an empty text, a null id is an ordinary value (joins on ids are null-safe).
 * Intermediates that several branches read are written under ``spark.checkpoint.dir``
   (:func:`freshcat.llm.common.stage`); that also cuts the lineage for lost executors.
+* Two sides that both grow with the data are joined with a ``merge`` hint: the plan is then
+  the same at every size, and skewed partitions are still split by adaptive execution. Sides
+  with a proven or counted bound are broadcast.
 """

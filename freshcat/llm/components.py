@@ -14,13 +14,13 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    return both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node's smaller neighbours and the node itself are linked to the least of them."""
     least = links.groupBy("b").agg(F.min("a").alias("m"))
-    return links.join(least, "b").select(F.col("m").alias("x"), F.col("a").alias("y")).unionByName(least.select(F.col("m").alias("x"), F.col("b").alias("y"))).where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return links.join(least.hint("merge"), "b").select(F.col("m").alias("x"), F.col("a").alias("y")).unionByName(least.select(F.col("m").alias("x"), F.col("b").alias("y"))).where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -176,6 +176,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no copy of a benchmark item."""
     found = contaminated(docs, benchmark).select(F.col("doc_id").alias("c_id"), F.col("th").alias("c_th")).distinct()
-    found = stage(found, "contaminated")
+    found = stage(found, "contaminated").hint("merge")
     keyed = docs.select(F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash"))
     return keyed.join(found, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("hash") == F.col("c_th")), "left_anti").select("whole.*")

@@ -89,11 +89,11 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_SPAN_
     spans = stage(rows.mapInPandas(hashed, "doc_id long, th long, hashes array<long>"), "spans")
     each = spans.select("doc_id", "th", F.posexplode("hashes").alias("unit", "h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    found = stage(each.join(shared, "h"), "shared-spans")  # only what repeats goes on
+    found = stage(each.join(shared.hint("merge"), "h"), "shared-spans")  # only what repeats goes on
     unstage(spans)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "unit")
     first = found.groupBy("h").agg(F.min(place).alias("first"))  # partial minima: a hot run is a row a task
-    later = found.join(first, "h").where(place != F.col("first"))
+    later = found.join(first.hint("merge"), "h").where(place != F.col("first"))
     return later.groupBy("doc_id", "th").agg(
         F.collect_set("unit").alias("starts"), F.array_sort(F.collect_set("first.doc_id")).alias("first_doc_ids"))
 
@@ -115,7 +115,7 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MI
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).withColumn("th", F.xxhash64("text"))
     marks = repeated_spans(docs, span, min_words, id_col, text_col)
-    joined = keyed.join(marks.withColumnsRenamed({"doc_id": "m_id", "th": "m_th"}),
+    joined = keyed.join(marks.withColumnsRenamed({"doc_id": "m_id", "th": "m_th"}).hint("merge"),
                         F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
 
     @F.pandas_udf("text string, n_removed long, n_spans long")

@@ -158,7 +158,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> Da
     index = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / F.lit(tile)).cast("int")
-    dealt = index.join(shared, "key").select(
+    dealt = index.join(shared.hint("merge"), "key").select(
         "key", "fp", chunks.alias("chunks"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("chunk"))
     # chunk c meets every chunk: tiles (min, max); inside its own tile all pairs, else across
     tiles = dealt.select(
@@ -195,13 +195,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     rows = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(near_links(distinct, max_bits))
-    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+    placed = distinct.join(roots.hint("merge"), distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = stage(placed, "roots")
     unstage(distinct)
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = placed.join(ids, "root").select("fp", "root", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "th", "fp", "root", "component_id")
+    by_fp = placed.join(ids.hint("merge"), "root").select("fp", "root", "component_id")
+    return rows.join(by_fp.hint("merge"), "fp").select("doc_id", "th", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -212,5 +212,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     chosen = found.groupBy("root").agg(F.min(order).alias("o")).select("o.doc_id", "o.th")
     keyed = docs.select(F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("id"),
                         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash"))
-    kept = keyed.join(chosen, keyed["id"].eqNullSafe(chosen["doc_id"]) & (keyed["hash"] == chosen["th"]), "left_semi")
+    kept = keyed.join(chosen.hint("merge"), keyed["id"].eqNullSafe(chosen["doc_id"]) & (keyed["hash"] == chosen["th"]), "left_semi")
     return kept.dropDuplicates(["id", "hash"]).select("whole.*")

@@ -31,7 +31,7 @@ TASK_CONTEXTS = 50_000
 #: Bytes of text hashed at once.
 BLOCK = 1 << 19
 
-_BASE, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
+_BASE, _OTHER = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd multipliers
 _BYTES = np.random.default_rng(11).integers(0, 2**64, (2, 256), dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -46,8 +46,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the second multiplier and of its inverse modulo 2^64."""
     if len(_POWERS.get("up", ())) < n:
         size = max(n, BLOCK + 4 * LENGTH)
-        inverse = np.uint64(pow(int(_OTHER), -1, 1 << 64))
-        for name, factor in (("up", _OTHER), ("down", inverse)):
+        for name, factor in (("up", _OTHER), ("down", pow(_OTHER, -1, 1 << 64))):
             row = np.full(size, factor, dtype=np.uint64)
             row[0] = 1
             _POWERS[name] = np.multiply.accumulate(row)
@@ -71,8 +70,8 @@ def _block_anchors(data: np.ndarray, start: np.ndarray, end: np.ndarray, length:
         return (np.empty(0, np.int64), *np.empty((2, 0), np.uint64))
     g, have, factor = _BYTES[0][data], 1, _BASE
     while have < gram:  # gram is a power of two
-        g = g[:-have] * factor + g[have:]
-        factor, have = factor * factor, 2 * have
+        g = g[:-have] * np.uint64(factor) + g[have:]
+        factor, have = factor * factor % (1 << 64), 2 * have
     g = _mix(g) | np.uint64(1)
     width = length - gram + 1
     least = _slide(g, width, np.minimum)
@@ -219,7 +218,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, task
 
     all_anchors = stage(rows.mapInPandas(find, "doc_id long, th long, g long, c long, n long"), "anchors")
     grams = all_anchors.groupBy("g").agg(F.sum("n").alias("total"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("total > 1")
-    found = stage(all_anchors.join(grams.select("g", (F.col("c0") == F.col("c1")).alias("single")), "g"), "repeated-anchors")
+    found = stage(all_anchors.join(grams.select("g", (F.col("c0") == F.col("c1")).alias("single")).hint("merge"), "g"), "repeated-anchors")
     unstage(all_anchors)
 
     # contexts of grams that have several, each fetched from one document that holds it
@@ -243,7 +242,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, task
                     "after": [texts[i][p:p + length] for i, p in zip(part["k"], part["at"])],
                 })
 
-    here = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th"))).select("data", "wanted")
+    here = rows.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th"))).select("data", "wanted")
     # equal rows fetch the same context more than once: the first of each is taken
     contexts = stage(here.mapInPandas(fetch, "g long, c long, copies long, before binary, after binary"), "contexts")
     many = contexts.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > task_contexts)
@@ -278,15 +277,15 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, task
 
     each = contexts.join(hot, "g", "left_semi").dropDuplicates(["g", "c"]).mapInPandas(windows, "g long, c long, copies long, o long, w binary")
     again = each.groupBy("g", "o", "w").agg(F.sum("copies").alias("t")).where("t > 1").select("g", "o", "w")
-    by_window = each.join(again, ["g", "o", "w"]).groupBy("g", "c").agg(F.min("o").alias("least"), F.max("o").alias("most"))
+    by_window = each.join(again.hint("merge"), ["g", "o", "w"]).groupBy("g", "c").agg(F.min("o").alias("least"), F.max("o").alias("most"))
     verdicts = verdicts.unionByName(by_window) if not hot.isEmpty() else verdicts
 
     # back to the documents: -1 marks a gram with one context, where every window repeats
     marks = found.where("single").select("doc_id", "th", "g", "c", F.lit(-1).cast("long").alias("least"), F.lit(-1).cast("long").alias("most")).unionByName(
-        found.where(~F.col("single")).join(verdicts, ["g", "c"]).select("doc_id", "th", "g", "c", "least", "most"))
+        found.where(~F.col("single")).join(verdicts.hint("merge"), ["g", "c"]).select("doc_id", "th", "g", "c", "least", "most"))
     listed = marks.groupBy(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th")).agg(
         F.collect_set(F.struct("g", "c", "least", "most")).alias("marks"))
-    joined = rows.join(listed, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
+    joined = rows.join(listed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
 
     @F.pandas_udf("kept binary, n_removed long, n_spans long")
     def cut(data: pd.Series, marked: pd.Series) -> pd.DataFrame:
