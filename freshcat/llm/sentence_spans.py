@@ -52,30 +52,37 @@ def sentences(text: str, max_words: int = MAX_SENTENCE_WORDS) -> list[tuple[int,
 
 
 def runs(units: list[tuple[int, int, list[str]]], span: int = SPAN, min_words: int = MIN_SPAN_WORDS) -> list[tuple[int, int, int]]:
-    """(first unit, units, hash) of every run: from each unit, at least ``span`` units and
-    ``min_words`` words. A start from which the text has too little left has no run."""
+    """(first unit, units, hash) of every run, by place: the shortest run from each unit, and
+    the shortest one to each unit, of at least ``span`` units and ``min_words`` words."""
     import xxhash
 
     joined = [" ".join(words) for _, _, words in units]
-    counts = [len(words) for _, _, words in units]
-    out = []
-    for i in range(len(units) - span + 1):
-        j = i + span
-        words = sum(counts[i:j])
-        while words < min_words and j < len(units):
-            words += counts[j]
+    before = [0]
+    for _, _, words in units:
+        before.append(before[-1] + len(words))
+    n, found, i, j = len(units), set(), 0, span
+    for i in range(n - span + 1):  # from unit i
+        j = max(j, i + span)
+        while j < n and before[j] - before[i] < min_words:
             j += 1
-        if words < min_words:
+        if before[j] - before[i] < min_words:
             break
-        out.append((i, j - i, xxhash.xxh64_intdigest(" ".join(joined[i:j]).encode("utf-8", "surrogatepass"), 7) - (1 << 63)))
-    return out
+        found.add((i, j - i))
+    i = 0
+    for j in range(span, n + 1):  # to the unit before j
+        while i + 1 <= j - span and before[j] - before[i + 1] >= min_words:
+            i += 1
+        if before[j] - before[i] >= min_words:
+            found.add((i, j - i))
+    return [(i, k, xxhash.xxh64_intdigest(" ".join(joined[i:i + k]).encode("utf-8", "surrogatepass"), 7) - (1 << 63)) for i, k in sorted(found)]
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_SPAN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, th, starts, first_doc_ids): for each document that has any, the first units
-    of its repeated runs that are not first, and the ids of documents where those are first.
+    """(doc_id, th, later, first_doc_ids): for each document that has any, the numbers (in
+    :func:`runs`) of its repeated runs that are not first, and the ids of documents where
+    those are first.
 
-    The first occurrence of a run is the one with the least (id, text hash, unit), null ids
+    The first occurrence of a run is the one with the least (id, text hash, number), null ids
     last. Runs of one document repeat too.
     """
     ship_package(docs.sparkSession)
@@ -87,15 +94,15 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_SPAN_
 
     rows = with_text_hash(id_text(docs, id_col, text_col))
     spans = stage(rows.mapInPandas(hashed, "doc_id long, th long, hashes array<long>"), "spans")
-    each = spans.select("doc_id", "th", F.posexplode("hashes").alias("unit", "h"))
+    each = spans.select("doc_id", "th", F.posexplode("hashes").alias("run", "h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     found = stage(each.join(shared.hint("merge"), "h"), "shared-spans")  # only what repeats goes on
     unstage(spans)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "unit")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "run")
     first = found.groupBy("h").agg(F.min(place).alias("first"))  # partial minima: a hot run is a row a task
-    later = found.join(first.hint("merge"), "h").where(place != F.col("first"))
-    return later.groupBy("doc_id", "th").agg(
-        F.collect_set("unit").alias("starts"), F.array_sort(F.collect_set("first.doc_id")).alias("first_doc_ids"))
+    others = found.join(first.hint("merge"), "h").where(place != F.col("first"))
+    return others.groupBy("doc_id", "th").agg(
+        F.collect_set("run").alias("later"), F.array_sort(F.collect_set("first.doc_id")).alias("first_doc_ids"))
 
 
 def remove_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_SPAN_WORDS,
@@ -119,25 +126,25 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MI
                         F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
 
     @F.pandas_udf("text string, n_removed long, n_spans long")
-    def cut(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, later: pd.Series) -> pd.DataFrame:
         out = []
-        for text, marked in zip(texts, starts):
+        for text, marked in zip(texts, later):
             if marked is None or not len(marked):
                 out.append((text, 0, 0))
                 continue
             units, gone = sentences(text), set()
-            length = {i: n for i, n, _ in runs(units, span, min_words)}
-            for i in marked:
-                gone.update(range(i, i + length[i]))
+            every = runs(units, span, min_words)
+            for run in marked:
+                gone.update(range(every[run][0], every[run][0] + every[run][1]))
             left = [text[a:b] for k, (a, b, _) in enumerate(units) if k not in gone]
             removed = sum(len(text[units[k][0]:units[k][1]].encode("utf-8", "surrogatepass")) for k in gone)
             out.append(("".join(left), removed, sum(k - 1 not in gone for k in gone)))
         return pd.DataFrame(out, columns=["text", "n_removed", "n_spans"])
 
-    untouched = F.col("starts").isNull()
+    untouched = F.col("later").isNull()
     done = joined.select(
         "doc_id", "whole", F.octet_length("text").cast("long").alias("n_bytes"),
-        cut(F.when(untouched, F.lit("")).otherwise(F.col("text")), "starts").alias("c"), "text", untouched.alias("same"), "first_doc_ids")
+        cut(F.when(untouched, F.lit("")).otherwise(F.col("text")), "later").alias("c"), "text", untouched.alias("same"), "first_doc_ids")
     return done.select(
         "doc_id", "whole", F.when(F.col("same"), F.col("text")).otherwise(F.col("c.text")).alias("text"), "n_bytes",
         "c.n_removed", "c.n_spans", F.coalesce("first_doc_ids", F.array().cast("array<long>")).alias("first_doc_ids"))

@@ -1,0 +1,106 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+import xxhash
+
+from freshcat.llm import quality_rules as Q
+from freshcat.llm.common import table
+
+SCHEMA = "doc_id long, text string, score string, kept string"
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def code(word):
+    h = xxhash.xxh64_intdigest(word.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def hash_longs(*values):
+    """XXH64 of longs one after another, each seeded with the hash before."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest((v % (1 << 64)).to_bytes(8, "little"), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def buckets(text, b):
+    codes = [code(w) for w in words_of(text)]
+    return [c % b for c in codes] + [b + hash_longs(x, y) % b for x, y in zip(codes, codes[1:])]
+
+
+def brute(docs, trusted, b=Q.BUCKETS, threshold=Q.THRESHOLD):
+    raw, target = Counter(), Counter()
+    for i, t in docs:
+        raw.update(buckets(t, b))
+        if i is not None and i in trusted:
+            target.update(buckets(t, b))
+    out = []
+    for i, t in docs:
+        w = words_of(t)
+        windows = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+        seen = Counter(windows)
+        repeat = len({k + j for k, x in enumerate(windows) if seen[x] > 1 for j in range(3)})
+        lines = [x for x in (t or "").split("\n") if words_of(x)]
+        grams = buckets(t, b)
+        share = sum(raw.values()) / sum(target.values()) if target else 0
+        ratios = [math.log((target[g] * share + 1) / (raw[g] + 1)) if target else 0.0 for g in grams]
+        score = sum(ratios) / len(ratios) if ratios else 0.0
+        failed = len(w) < 50 or 100 * repeat > 50 * len(w)
+        symbols = sum(c in "#*$%&|<>" for c in t or "")
+        out.append((i, len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), repeat, failed, score, not failed and score >= threshold))
+    return out
+
+
+def same(got, want):
+    key = lambda r: tuple(-1 if x is None else x for x in r[:7])
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert [r[:7] + r[8:] for r in got] == [r[:7] + r[8:] for r in want]
+    assert all(math.isclose(a[7], b[7], abs_tol=1e-8) for a, b in zip(got, want))
+
+
+def test_hard_texts(spark):
+    line = "one two three four"
+    texts = [None, "", "  \n\t ", "word", "\x0blead and trail\x0c ", "a b c a b c", "x " * 60, "é ü " * 30 + "\n\n a\nb\n a\n",
+             "\n".join([line] * 20), " ".join(f"w{i}" for i in range(300)), "### *** | <b> " + " ".join(f"v{i}" for i in range(60)),
+             " ".join(f"u{i % 70}" for i in range(140)), " ".join(str(i * i % 97) for i in range(4000))]
+    rows = [(i, t, "clash", "no") for i, t in enumerate(texts)] + [(None, texts[9], "", ""), (9, texts[9], "", "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    ids = spark.createDataFrame([(9,), (10,), (None,), (9,)], "doc_id long")
+    same(Q.quality_rules(docs, ids).collect(), brute([r[:2] for r in rows], {9, 10}))
+    kept = Q.keep_good(docs, ids)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r, x in zip(rows, brute([r[:2] for r in rows], {9, 10})) if x[8]), key=str)
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])  # shuffled or broadcast trusted ids: the same rows
+def test_query_equals_brute_force(spark, monkeypatch, limit):
+    from freshcat.llm.queries import op2_quality_rules
+
+    monkeypatch.setattr(Q, "BROADCAST_IDS", limit)
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in table(spark, folder, "documents").select("doc_id", "text").collect()]
+    trusted = {r.doc_id for r in table(spark, folder, "labels").collect() if r.quality == 1 and r.toxic == 0}
+    same(op2_quality_rules(spark, folder).collect(), brute(docs, trusted))
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    ids = spark.createDataFrame([], "doc_id long")
+    assert Q.quality_rules(none, ids).collect() == []
+    text = " ".join(f"w{i}" for i in range(60))
+    assert [(r.score, r.kept) for r in Q.quality_rules(spark.createDataFrame([(1, text, "", "")], SCHEMA), ids).collect()] == [(0.0, True)]
+
+
+def test_junk_goes_and_clean_text_stays(spark):
+    from freshcat.llm.queries import op2_quality_rules
+
+    folder = "/root/testdata/sf0.01"
+    judged = op2_quality_rules(spark, folder).join(table(spark, folder, "labels"), "doc_id").where("not base_failed")
+    counts = {(r.quality, r.toxic, r.kept): r["count"] for r in judged.groupBy("quality", "toxic", "kept").count().collect()}
+    assert counts.get((1, 0, False), 0) == 0
+    assert counts.get((0, 0, True), 0) <= 0.1 * counts[(0, 0, False)]
