@@ -30,8 +30,3 @@ def default_if_null(column: Column | str, default, data_type: DataType | None =
 def null_to_text(column: Column | str, text: str = "null") -> Column:
     """NULL -> the literal text ``"null"``, result cast to string."""
     return F.coalesce(_col(column).cast("string"), F.lit(text))
-
-
-def presence_flag(column: Column | str) -> Column:
-    """1 when the lookup value is present (any non-NULL value, even 0/false), else 0."""
-    return _col(column).isNotNull().cast("int")

@@ -26,15 +26,13 @@ def to_local_wall_clock(column: Column | str, tz: str = JST) -> Column:
     return F.from_utc_timestamp(col, tz)
 
 
-def local_epoch_seconds(column: Column | str, tz: str = JST, as_int: bool = True) -> Column:
+def local_epoch_seconds(column: Column | str, tz: str = JST) -> Column:
     """Epoch seconds of the *shifted* wall clock, as the catalogue jobs compute it.
 
-    The value is ``true epoch + zone offset`` (hazard H4: 9 h ahead for JST). With
-    ``as_int`` the result is INT like the reference job, but values past 2038-01-19 become
-    NULL instead of failing the whole job under ANSI (H3); ``as_int=False`` keeps BIGINT.
+    The value is ``true epoch + zone offset`` (hazard H4: 9 h ahead for JST), a BIGINT: no
+    date is lost after 2038-01-19 (H3).
     """
-    seconds = F.unix_seconds(to_local_wall_clock(column, tz))
-    return seconds.try_cast("int") if as_int else seconds
+    return F.unix_seconds(to_local_wall_clock(column, tz))
 
 
 def local_month_bounds(month: str, tz: str = JST) -> tuple[datetime, datetime]:

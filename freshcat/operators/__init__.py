@@ -11,7 +11,7 @@ from freshcat.operators.filters import (
     in_local_months,
     searchable,
 )
-from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, semi_reduce, snowflake_left_join
+from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, key_pair, snowflake_left_join
 from freshcat.operators.ordering import total_order, total_order_items
 from freshcat.operators.ranking import global_row_number, having_count, top_k
 from freshcat.operators.rollup import OUTPUT_COLUMNS, aggregate_musics_to_album, rollup_groups
@@ -37,7 +37,7 @@ __all__ = [
     "months_until_target",
     "rollup_groups",
     "searchable",
-    "semi_reduce",
+    "key_pair",
     "snowflake_left_join",
     "top_k",
     "total_order",

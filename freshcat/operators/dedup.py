@@ -8,8 +8,8 @@ NULL keys: a window partitions all NULL-key rows together. The catalogue job rel
 that by accident -- group rows after the rollup have ``material_id`` NULL, so all of them
 collapse into one (hazard H8). ``null_key`` makes the choice explicit:
 
-* ``"collapse"`` (default, the catalogue's result): keep the single first NULL-key row,
-  computed as a top-1 (partial top-1 per task, then a merge), never as one big window;
+* ``"collapse"`` (default, the catalogue's result): keep the single first NULL-key row; it
+  is the same window, in which every task sends at most one NULL-key row;
 * ``"keep"``: NULL-key rows pass through untouched;
 * ``"drop"``: NULL-key rows are removed.
 """
@@ -46,17 +46,17 @@ def first_per_key(
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    window = Window.partitionBy(*within, *keys).orderBy(*exprs)
-    keyed = df.where(has_key).withColumn(_RN, F.row_number().over(window)).where(F.col(_RN) == 1).drop(_RN)
+    first = F.row_number().over(Window.partitionBy(*within, *keys).orderBy(*exprs))
+    if null_key == "collapse" and len(keys) == 1:
+        # one window over all rows: the NULL rows are a key like another, cut to a row a task
+        return df.withColumn(_RN, first).where(F.col(_RN) == 1).drop(_RN)
+    keyed = df.where(has_key).withColumn(_RN, first).where(F.col(_RN) == 1).drop(_RN)
     if null_key == "drop":
         return keyed
     nulls = df.where(~has_key)
     if null_key == "collapse":
-        if within:
-            first = Window.partitionBy(*within).orderBy(*exprs)
-            nulls = nulls.withColumn(_RN, F.row_number().over(first)).where(F.col(_RN) == 1).drop(_RN)
-        else:
-            nulls = nulls.orderBy(*exprs).limit(1)
+        one = F.row_number().over(Window.partitionBy(*within, F.lit(0)).orderBy(*exprs))
+        nulls = nulls.withColumn(_RN, one).where(F.col(_RN) == 1).drop(_RN)
     elif null_key != "keep":
         raise ValueError("null_key must be 'collapse', 'keep' or 'drop'")
     return keyed.unionByName(nulls)

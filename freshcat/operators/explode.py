@@ -13,7 +13,7 @@ def explode_tracks(
     df: DataFrame,
     structure_column: str = "asset_structure",
     output: str = "album_track_asset_id",
-    id_type: str | DataType = "int",
+    id_type: str | DataType = "bigint",
 ) -> DataFrame:
     """One row per track id of the album's **first** group; drops the JSON column.
 

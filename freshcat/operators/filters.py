@@ -50,13 +50,20 @@ def corner_filter(
     (``"070040"`` and ``"70040"`` are different strings, hazard H6). An IN-list of this
     size is pushed into the scan as a set filter.
     """
+    return df.filter((F.col(site_column) == F.lit(site_value)) & codes_in(df, code_column, codes))
+
+
+def codes_in(df: DataFrame, code_column: str, codes: Iterable) -> Column:
+    """``code IN (codes)``, compared in the column's own type.
+
+    Text codes against a numeric column compare as numbers ("070040" matches 70040); a code
+    that is not a number cannot match (H6) instead of failing under ANSI."""
     codes = list(codes)
-    dtype = df.schema[code_column].dataType
-    if isinstance(dtype, IntegralType):
-        # text codes against a numeric column compare as numbers ("070040" matches 70040);
-        # a code that is not a number cannot match (H6) instead of failing under ANSI
+    if isinstance(df.schema[code_column].dataType, IntegralType):
         codes = [int(c) for c in codes if str(c).strip().lstrip("+-").isdigit()]
-    return df.filter((F.col(site_column) == F.lit(site_value)) & F.col(code_column).isin(codes))
+    else:
+        codes = [str(c) for c in codes]
+    return F.col(code_column).isin(codes)
 
 
 def all_of(df: DataFrame, equals: Mapping[str, object] | None = None, null: Iterable[str] = ()) -> DataFrame:

@@ -7,8 +7,7 @@ never a duplicate column name and never a drop-by-lineage (hazard H7: dropping
 
 Physical strategy is left to Catalyst + AQE: a right side that turns out small at run
 time is broadcast, a skewed key is split by the skew-join rule, and a selective filter on
-the left side can prune the right scan through a runtime bloom filter. ``broadcast=True``
-on a hop is only for dimensions with a fixed, known bound (e.g. a 25-row nation table).
+the left side can prune the right scan through a runtime bloom filter.
 """
 
 from __future__ import annotations
@@ -35,7 +34,6 @@ class Hop:
     right_key: str | Sequence[str]
     columns: Mapping[str, str] | Sequence[str] | None = None
     how: str = "left"
-    broadcast: bool = False
 
 
 def _as_list(keys: str | Sequence[str]) -> list[str]:
@@ -61,8 +59,6 @@ def join_hop(left: DataFrame, hop: Hop, tag: str = "0") -> DataFrame:
         *[F.col(k).alias(t) for k, t in zip(right_keys, tmp)],
         *[F.col(src).alias(dst) for src, dst in mapping.items()],
     )
-    if hop.broadcast:
-        right = F.broadcast(right)
     ltypes = {f.name: f.dataType for f in left.schema.fields}
     rtypes = {f.name: f.dataType for f in right.schema.fields}
     pairs = [key_pair(F.col(lk), ltypes[lk], F.col(t), rtypes[t]) for lk, t in zip(left_keys, tmp)]
@@ -138,40 +134,6 @@ def flag_lookup(
     reduced = flags.select(
         F.col(right_key).alias(tmp), F.col(flag_column).isNotNull().cast("int").alias(output)
     ).distinct()
-    joined = df.join(reduced, F.col(left_key) == F.col(tmp), "left").drop(tmp)
+    left, right = key_pair(F.col(left_key), df.schema[left_key].dataType, F.col(tmp), reduced.schema[tmp].dataType)
+    joined = df.join(reduced, left == right, "left").drop(tmp)
     return joined.withColumn(output, F.coalesce(F.col(output), F.lit(0)))
-
-
-def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
-    """Keep only rows of ``big`` whose ``big_key`` occurs in ``small.small_key``.
-
-    A declarative semi-join reduction: when ``small`` is a selective frame (one month of
-    one corner) its distinct keys are tiny, AQE broadcasts them after measuring them at
-    run time, and ``big`` is filtered inside its scan tasks instead of being shuffled
-    whole into a join. If the keys turn out large, the same plan runs as a shuffled semi
-    join. The result is unchanged for a later equi join on these keys.
-    """
-    tmp = "__fc_semi_key"
-    keys = small.select(F.col(small_key).alias(tmp)).where(F.col(tmp).isNotNull()).distinct()
-    return big.join(keys, F.col(big_key) == F.col(tmp), "left_semi")
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (from file sizes and the plan), no job run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.strip().lower().rstrip("b")
-    return int(float(text[:-1]) * units[text[-1]]) if text and text[-1] in units else int(text)
-
-
-def semi_reduce_if_large(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
-    """:func:`semi_reduce` unless ``big`` is already within the broadcast threshold by
-    Catalyst's estimate: such a side is broadcast whole, and cutting it first only adds
-    jobs."""
-    if estimated_bytes(big) <= broadcast_limit(big):
-        return big
-    return semi_reduce(big, big_key, small, small_key)

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshcat.operators.ordering import total_order
+from freshcat.session import stage
 
 
 def top_k(df: DataFrame, order: Sequence[tuple | str], k: int, ties: Sequence[tuple | str] | None = None) -> DataFrame:
-    """First ``k`` rows by a total order (F8, O4): ``TakeOrderedAndProject``, i.e. a
-    partial top-k in every task and one merge of ``tasks x k`` rows. ``k`` falsy = all."""
+    """First ``k`` rows in a total order (F8, O4): ``TakeOrderedAndProject``, i.e. a partial
+    top-k in every task and one merge; a large ``k`` is cut by rank and range-sorted instead
+    (:func:`first_rows`). ``k`` falsy = all."""
     exprs = total_order(df, order, ties)
+    if k and k > MERGED_ROWS:
+        return first_rows(df, order, k, ties).orderBy(*exprs)
     return df.orderBy(*exprs).limit(k) if k else df.orderBy(*exprs)
 
 
@@ -36,34 +40,56 @@ def global_row_number(
     ties: Sequence[tuple | str] | None = None,
     output: str = "rank",
     partitions: int | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """``row_number() over (order by ...)`` without pulling every row into one task.
+    """``row_number() over ([partition by within] order by ...)``, a BIGINT, without pulling
+    every row (or every row of a ``within`` group) into one task (W1).
 
-    1. range-partition by the total order and sort inside each partition -- partition
-       ``p`` holds exactly the rows ranked between the rows of ``p-1`` and ``p+1``;
-    2. count rows per partition (one row per partition) and turn the counts into start
-       offsets with a running sum over that tiny frame;
-    3. rank = offset of the partition + position inside it.
-
-    The range exchange appears once and is reused by both branches, so the two reads see
-    the same partitions. The offset table has one row per partition: a broadcast with a
-    fixed bound.
+    1. range-partition by ``within`` and the total order, and write that down with the number
+       of the partition each row fell into (under the checkpoint folder): what follows reads
+       the same partitions however often it runs;
+    2. count rows per partition (and group): one row each, at most groups + partitions rows;
+       a running sum over them gives each partition its start in the group;
+    3. rank = start + position inside (partition, group).
     """
-    exprs = total_order(df, order, ties)
+    within = list(within)
+    exprs = total_order(df, order, ties, exclude=within)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *exprs)
-        .sortWithinPartitions(*exprs)
-        .withColumn("__fc_pid", F.spark_partition_id())
-        .withColumn("__fc_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("__fc_pid").cast("bigint"), 33))
+    keys = [F.col(w).asc() for w in within]
+    ranged = stage(df.repartitionByRange(n, *keys, *exprs).withColumn("__fc_pid", F.spark_partition_id()), "ranged")
+    inside = Window.partitionBy("__fc_pid", *within).orderBy(*exprs)
+    counts = ranged.groupBy("__fc_pid", *within).agg(F.count(F.lit(1)).alias("__fc_cnt"))
+    running = Window.partitionBy(*within).orderBy("__fc_pid").rowsBetween(Window.unboundedPreceding, -1)
+    tmp = [f"__fc_w{i}" for i in range(len(within))]
+    starts = counts.select(
+        F.col("__fc_pid").alias("__fc_p"), *[F.col(w).alias(t) for w, t in zip(within, tmp)],
+        F.coalesce(F.sum("__fc_cnt").over(running), F.lit(0)).alias("__fc_off"),
     )
-    # counted from the same frame: its nondeterministic position column stops column
-    # pruning, so both branches share one range exchange (one sampling, one shuffle)
-    counts = ranged.groupBy("__fc_pid").agg(F.count(F.lit(1)).alias("__fc_cnt"))
-    running = Window.orderBy("__fc_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__fc_pid", F.coalesce(F.sum("__fc_cnt").over(running), F.lit(0)).alias("__fc_off"))
+    same = F.col("__fc_pid") == F.col("__fc_p")
+    for w, t in zip(within, tmp):
+        same = same & F.col(w).eqNullSafe(F.col(t))
     return (
-        ranged.join(F.broadcast(offsets), "__fc_pid")
-        .withColumn(output, (F.col("__fc_off") + F.col("__fc_pos") + 1).cast("int"))
-        .drop("__fc_pid", "__fc_pos", "__fc_off")
+        ranged.withColumn("__fc_pos", F.row_number().over(inside))
+        .join(starts if within else F.broadcast(starts), same)
+        .withColumn(output, (F.col("__fc_off") + F.col("__fc_pos")).cast("bigint"))
+        .drop("__fc_pid", "__fc_p", "__fc_pos", "__fc_off", *tmp)
     )
+
+
+#: Up to so many rows a group, tasks x k rows may meet in one task (as Spark's own top-k and
+#: limited windows do); more are cut by their rank in a range-partitioned table.
+MERGED_ROWS = 1000
+
+
+def first_rows(df: DataFrame, order: Sequence[tuple | str], k: int, ties: Sequence[tuple | str] | None = None,
+               within: Sequence[str] = ()) -> DataFrame:
+    """The first ``k`` rows by a total order, of the table or of every ``within`` group (F8),
+    in no order. Any ``k`` gives the same rows as a full ranking would."""
+    if k > MERGED_ROWS:
+        ranked = global_row_number(df, order, ties, output="__fc_rank", within=within)
+        return ranked.where(F.col("__fc_rank") <= k).drop("__fc_rank")
+    exprs = total_order(df, order, ties, exclude=list(within))
+    if not within:
+        return df.orderBy(*exprs).limit(k)
+    rank = F.row_number().over(Window.partitionBy(*within).orderBy(*exprs))
+    return df.withColumn("__fc_rank", rank).where(F.col("__fc_rank") <= k).drop("__fc_rank")

@@ -13,16 +13,17 @@ Semantics (same result as a global ``row_number`` + group count + per-group
 
 Plan, chosen for scale:
 
-* no global ``row_number`` (it moves every row into one task): the top-k cut is
-  ``orderBy().limit(k)`` (per-partition top-k, then a k-row merge) and the final order
+* no global ``row_number`` (it moves every row into one task): the top-k cut is a partial
+  top-k with a merge, or by rank for a large k (:func:`first_rows`), and the final order
   is a distributed range sort;
 * the group counts are a partial + final hash aggregate (map-side combine, so a group
-  holding a third of the rows is pre-counted in every task) joined back by a renamed key
-  -- AQE broadcasts it when small and splits a skewed key otherwise;
+  holding a third of the rows is pre-counted in every task); rows of small groups are an
+  anti join and rows of large groups a semi join with them -- AQE broadcasts the large
+  groups' keys when they are few and splits a skewed key otherwise;
 * only rows of large groups enter the per-group window, and ``row_number() = 1`` is
   planned as a partial ``WindowGroupLimit`` before the shuffle, so a hot group ships
   one row per task, not all its rows;
-* NULL-group rows never enter a window (hazard H7 puts them all in one partition).
+* NULL-group rows enter neither join nor window (they would all meet in one partition).
 
 ``group_column`` is used for the count *and* the window (H11).
 """
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from freshcat.operators.ordering import total_order_items
+from freshcat.operators.ranking import first_rows
 
 # The fact columns of the catalogue job and how a group row is built.
 OUTPUT_COLUMNS = (
@@ -93,9 +95,12 @@ def rollup_groups(
     kind_column: str = KIND_COLUMN,
     kinds: tuple[str, str] = KINDS,
     within: Sequence[str] = (),
+    sort: bool = True,
 ) -> DataFrame:
     """Roll rows of large groups up into one group row; see the module docstring.
 
+    ``sort=False`` leaves out the final order for callers that rank or group again.
+
     ``order``: ``[(column, ascending), ...]``; ``ties`` completes it to a total order
     (default: every other column ascending), which fixes the surviving row and makes the
     top-k cut identical in both branches that read it (H9).
@@ -114,13 +119,7 @@ def rollup_groups(
 
     directions = [asc for _, asc in items]
     base_order = by([n for n, _ in items], directions)
-    if not top_k:
-        base = df
-    elif within:
-        cut = Window.partitionBy(*within).orderBy(*base_order)
-        base = df.withColumn(_RN, F.row_number().over(cut)).where(F.col(_RN) <= top_k).drop(_RN)
-    else:
-        base = df.orderBy(*base_order).limit(top_k)
+    base = first_rows(df, order, top_k, ties, within) if top_k else df
 
     tmp_within = [f"__fc_w{i}" for i in range(len(within))]
     large = (
@@ -133,7 +132,9 @@ def rollup_groups(
     cond = F.col(group_column) == F.col(_GROUP)
     for w, t in zip(within, tmp_within):
         cond = cond & (F.col(w) == F.col(t))
-    joined = base.join(large, cond, "left").drop(*tmp_within)
+    # rows without a group (all with one key, null) go past the joins
+    alone = base.where(F.col(group_column).isNull())
+    grouped = base.where(F.col(group_column).isNotNull())
 
     types = {f.name: f.dataType for f in df.schema.fields}
     album_kind, music_kind = kinds
@@ -168,19 +169,19 @@ def rollup_groups(
         return F.col(name)
 
     keep = [F.col(w) for w in within]
-    singles = joined.where(F.col(_GROUP).isNull()).select(*keep, *[item_row(c) for c in output], *hidden)
+    small = grouped.join(large, cond, "left_anti")
+    singles = alone.unionByName(small).select(*keep, *[item_row(c) for c in output], *hidden)
     best = Window.partitionBy(*within, group_column).orderBy(*base_order)
     groups = (
-        joined.where(F.col(_GROUP).isNotNull())
+        grouped.join(large, cond, "left_semi")
         .withColumn(_RN, F.row_number().over(best))
         .where(F.col(_RN) == 1)
         .select(*keep, *[group_row(c) for c in output], *hidden)
     )
-    return (
-        singles.unionByName(groups)
-        .orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
-        .select(*within, *output)
-    )
+    rolled = singles.unionByName(groups)
+    if sort:
+        rolled = rolled.orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
+    return rolled.select(*within, *output)
 
 
 def aggregate_musics_to_album(
@@ -192,6 +193,7 @@ def aggregate_musics_to_album(
     group_column: str = "album_music_id",
     ties: Sequence[tuple | str] | None = None,
     within: Sequence[str] = (),
+    sort: bool = True,
 ) -> DataFrame:
     """Catalogue signature of :func:`rollup_groups` (15 output columns, C3)."""
     return rollup_groups(
@@ -202,4 +204,5 @@ def aggregate_musics_to_album(
         top_k=top_k,
         ties=ties,
         within=within,
+        sort=sort,
     )

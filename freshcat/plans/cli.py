@@ -1,13 +1,16 @@
 """Command-line entry point for cluster runs (``spark-submit -m`` style).
 
-    spark-submit ... -m freshcat.plans.cli --output s3a://bucket/fact_new_arrivals \\
+    spark-submit ... -m freshcat.plans.cli --output s3a://bucket/new_arrivals \\
+        --corners corners.json --tables tables.json \\
         [--month 2023-03] [--site SITE --corner CORNER | --all-corners] \\
-        [--backfill-from 2022-04] [--catalog-db datacatalog] [--flag-db new_arrivals] \\
-        [--table new_arrivals.fact_new_arrivals] [--threshold 5]
+        [--backfill-from 2022-04 [--until-rows 100] [--skip-months 2022-06,2022-07]] \\
+        [--table db.new_arrivals] [--threshold 5]
 
-Without ``--month`` the current month in the catalogue's zone (JST) is used. Tables are
-read from the session catalog (``spark.table``); the output layout, export names and
-partition registration are those of :func:`run_corner_job` / :func:`run_all_corners`.
+Without ``--month`` the current month in the catalogue's zone (JST) is used. The two JSON
+files hold the corners (:mod:`freshcat.plans.corners`) and the catalogue's tables by role
+(:mod:`freshcat.plans.catalogue`). ``--backfill-from`` publishes every month up to
+``--month``, of the corner given by ``--site`` and ``--corner`` or of all corners. All ways
+publish alike (:func:`freshcat.plans.monthly_job.publish`).
 """
 
 from __future__ import annotations
@@ -15,79 +18,50 @@ from __future__ import annotations
 import argparse
 import sys
 
-from freshcat.plans.corners import CATALOGUE_CORNERS, corner_by_name
-from freshcat.plans.monthly_job import backfill_job, current_month, run_all_corners, run_corner_job
-from freshcat.operators.backfill import keep_until_target
-from freshcat.session import checkpoint_dir, drop_staged_since, get_session, stage, staged_mark
-
-# Catalogue table names read by the monthly job.
-CATALOG_TABLES = (
-    "dim_hub_item",
-    "dim_hub_item_and_artist",
-    "dim_hub_item_and_ftdt",
-    "dim_hub_music_and_item",
-    "dim_hub_item_and_site_contract",
-    "dim_hub_music",
-    "dim_hub_artist",
-    "dim_id_provider_zocalo_item_provider",
-    "dim_hub_music_and_music_genre",
-    "dim_hub_music_and_tieup",
-    "dim_hub_tieup",
-    "dim_collection_detail",
-    "dim_collection_collection_detail",
-)
-FLAG_TABLE = "johnnys_csv"
-
-
-def catalogue_tables(spark, catalog_db: str, flag_db: str) -> dict:
-    tables = {name: spark.table(f"{catalog_db}.{name}") for name in CATALOG_TABLES}
-    tables[FLAG_TABLE] = spark.table(f"{flag_db}.{FLAG_TABLE}")
-    return tables
+from freshcat.plans.catalogue import read_role, read_tables
+from freshcat.plans.corners import corner_by_name, read_corners
+from freshcat.plans.monthly_job import run_job
+from freshcat.session import checkpoint_dir, get_session
 
 
 def parse(argv):
     p = argparse.ArgumentParser(prog="freshcat", description="monthly new-arrivals datasets")
     p.add_argument("--output", required=True, help="root of site=/corner=/target_date= partitions")
+    p.add_argument("--corners", required=True, help="JSON file of the corners")
+    p.add_argument("--tables", required=True, help="JSON file of the catalogue's tables by role")
     p.add_argument("--month", help="YYYY-MM (default: current month in JST)")
     p.add_argument("--site")
     p.add_argument("--corner")
     p.add_argument("--all-corners", action="store_true")
-    p.add_argument("--backfill-from", help="oldest month YYYY-MM: every month up to --month, all corners")
-    p.add_argument("--catalog-db", default="datacatalog")
-    p.add_argument("--flag-db", default="new_arrivals")
+    p.add_argument("--backfill-from", help="oldest month YYYY-MM: every month up to --month")
+    p.add_argument("--until-rows", type=int, help="with --backfill-from: months newest first per corner until so many rows")
+    p.add_argument("--skip-months", default="", help="comma-separated months that count but are not rewritten")
     p.add_argument("--table", help="partitioned table to register new partitions in")
     p.add_argument("--threshold", type=int, default=5)
-    p.add_argument("--until-rows", type=int, help="with --backfill-from: publish months newest first per corner "
-                   "until this many rows (the original tool's target: 100)")
     args = p.parse_args(argv)
-    if not (args.all_corners or args.backfill_from) and not (args.site and args.corner):
+    if bool(args.site) != bool(args.corner):
+        p.error("give both --site and --corner")
+    if not (args.all_corners or args.backfill_from or args.site):
         p.error("give --site and --corner, or --all-corners, or --backfill-from")
+    if args.all_corners and args.site:
+        p.error("--all-corners does not go with --site and --corner")
     return args
 
 
 def main(argv=None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
+    corners = read_corners(args.corners)
+    if args.site:
+        corners = (corner_by_name(args.site, args.corner, corners),)
     spark = get_session(app="freshcat-new-arrivals")
     checkpoint_dir(spark)
-    tables = catalogue_tables(spark, args.catalog_db, args.flag_db)
-    month = args.month or current_month()
-    if args.backfill_from:
-        from freshcat.sources.sinks import register_partitions, write_partitioned_csv
-
-        mark = staged_mark()
-        result = backfill_job(tables, args.backfill_from, month, CATALOGUE_CORNERS, threshold=args.threshold)
-        if args.until_rows:
-            result = keep_until_target(stage(result, "backfill"), args.until_rows)
-        write_partitioned_csv(result, args.output, single_file=True)
-        drop_staged_since(spark, mark)
-        if args.table:
-            register_partitions(spark, args.table)
-    elif args.all_corners:
-        for path in run_all_corners(tables, args.output, CATALOGUE_CORNERS, month, args.table, args.threshold):
-            print(path)
-    else:
-        corner = corner_by_name(args.site, args.corner)
-        print(run_corner_job(tables, args.output, corner, month, args.table, args.threshold))
+    paths = run_job(
+        read_tables(spark, args.tables), args.output, corners, args.month, oldest=args.backfill_from, table=args.table,
+        threshold=args.threshold, until_rows=args.until_rows, skip_months=[m for m in args.skip_months.split(",") if m],
+        bridge_fallback=lambda: read_role(spark, args.tables, "album_collection"),
+    )
+    for path in paths:
+        print(path)
     return 0
 
 

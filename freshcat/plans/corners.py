@@ -1,12 +1,19 @@
-"""Corner configuration (S12): one parameter row per (site, corner) replaces a script each.
+"""Corner configuration (S12): one entry per (site, corner) replaces a script each.
 
-The eight catalogue corners differ only in the site contract name, the file type codes,
-and (one corner) a tie-up filter that keeps items without a tie-up plus a fallback scan
-for an empty collection bridge.
+Corners differ in the site contract name, the file type codes, a tie-up filter that may
+keep items without a tie-up, and a fallback scan for an empty collection bridge. They are
+read from a JSON file that the user gives:
+
+    [{"site": "shop_ios", "corner": "wallpaper", "site_name": "Shop (iOS)",
+      "filetype_ids": ["030300"], "require_tieup": true, "fallback_collection_bridge": false}]
+
+Codes are strings and compared as strings with a text column (``"070040"`` and ``"70040"``
+are different values), as numbers with a numeric one.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -24,58 +31,6 @@ class Corner:
     fallback_collection_bridge: bool = False
 
 
-# Site contract names and file type codes of the eight catalogue corners.
-# Codes are strings and compared as strings; some lists hold codes without the leading
-# zero on purpose (they are distinct values of the catalogue).
-CATALOGUE_CORNERS = (
-    Corner("animelomix_ios", "wallpaper", "アニメロミックス(iOS)", ("030300",)),
-    Corner("animelomix_ios", "voice", "アニメロミックス(iOS)", ("110600",)),
-    Corner("animelomix_android", "wallpaper", "アニメロミックス(Android)", ("030300",)),
-    Corner("animelomix_android", "voice", "アニメロミックス(Android)", ("110600",)),
-    Corner(
-        "dwango_jp_ios",
-        "niconico",
-        "dwango.jp(iPhone)",
-        (
-            "281300", "281400", "070040", "070041", "070060", "070061", "070140", "070141", "070240", "070340",
-            "070440", "070540", "070640", "070740", "070840", "070940", "071040", "071140", "071240", "071340",
-            "071400", "071540", "071600", "071700",
-        ),
-    ),
-    Corner(
-        "dwango_jp_android",
-        "niconico",
-        "dwango.jp(Android)",
-        (
-            "10070040", "10070041", "10070060", "10070061", "10070140", "10070141", "10070240", "10070241",
-            "10070340", "10070341", "10070440", "10070441", "10070540", "10070541", "10070640", "10070641",
-            "10070740", "10070840", "10070940", "10071040", "10071041", "10071140", "10071141", "10071240",
-            "10071340", "10071400", "10071540",
-            "281300", "281400",
-            "70040", "70041", "70060", "70061", "70140", "70141", "70240", "70340", "70440", "70540", "70640",
-            "70740", "70840", "70940", "71040", "71140", "71240", "71340", "71400", "71540", "71600", "71700",
-        ),
-    ),
-    Corner(
-        "melody_android",
-        "latest",
-        "dwango.jp(着メロ取り放題)(Android)",
-        (
-            "010010", "010011", "010020", "010030", "010040", "010041", "010050", "010110", "010111", "010120",
-            "010130", "010140", "010210", "010211", "010220", "010230", "010240", "010310", "010430", "010510",
-            "010520", "010640", "010740", "010810", "010910", "011020", "011140", "011220", "011300", "011410",
-        ),
-    ),
-    Corner(
-        "melody_android",
-        "amuse",
-        "dwango.jp(着メロ取り放題)(Android)",
-        ("070840",),
-        require_tieup=False,
-        fallback_collection_bridge=True,
-    ),
-)
-
 CORNER_SCHEMA = StructType(
     [
         StructField("site", StringType(), False),
@@ -98,7 +53,17 @@ def corner_frame(spark: SparkSession, corners: Sequence[Corner]) -> DataFrame:
     return spark.createDataFrame(data, CORNER_SCHEMA)
 
 
-def corner_by_name(site: str, corner: str, corners: Sequence[Corner] = CATALOGUE_CORNERS) -> Corner:
+def read_corners(path: str) -> tuple[Corner, ...]:
+    """Corners of a JSON file; unknown keys, repeated and empty entries are errors."""
+    with open(path, encoding="utf-8") as f:
+        entries = json.load(f)
+    corners = tuple(Corner(**{**e, "filetype_ids": tuple(map(str, e.get("filetype_ids", ())))}) for e in entries)
+    if not corners or len({(c.site, c.corner) for c in corners}) < len(corners):
+        raise ValueError(f"{path}: no corners, or a (site, corner) twice")
+    return corners
+
+
+def corner_by_name(site: str, corner: str, corners: Sequence[Corner]) -> Corner:
     for c in corners:
         if c.site == site and c.corner == corner:
             return c

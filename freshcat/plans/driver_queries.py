@@ -53,7 +53,15 @@ from freshcat.plans.star import (
     star_tieups,
 )
 from freshcat.plans.monthly_job import rollup_fact
-from freshcat.plans.star_catalogue import catalogue_corner_job
+from freshcat.plans.star_catalogue import (
+    catalogue_all_corners,
+    catalogue_backfill,
+    catalogue_corner_job,
+    catalogue_empty_bridge,
+    catalogue_export,
+    catalogue_repeated_headers,
+    catalogue_text_ids,
+)
 from freshcat.session import checkpoint_dir, stage
 from freshcat.sources import (
     create_partitioned_table,
@@ -66,29 +74,18 @@ from freshcat.sources import (
 )
 from freshcat.sources.sinks import partition_row_counts
 
-class Tables(dict):
-    """Lazily loaded driver tables of one scale factor.
 
-    ``tables[name]`` is the scan spread over the cores when its files give too few
-    splits (whole-table plans); ``tables.raw(name)`` is the plain scan, for plans whose
-    first step is selective (a month) and gain nothing from a shuffle before it.
-    """
+class Tables(dict):
+    """Lazily loaded driver tables of one scale factor."""
 
     def __init__(self, spark: SparkSession, base: str):
         super().__init__()
         self.spark = spark
         self.base = base
-        self._raw: dict[str, DataFrame] = {}
 
     def __missing__(self, name: str) -> DataFrame:
-        frame = _cached(self.spark, self.base, name, True)
-        self[name] = frame
-        return frame
-
-    def raw(self, name: str) -> DataFrame:
-        if name not in self._raw:
-            self._raw[name] = _cached(self.spark, self.base, name, False)
-        return self._raw[name]
+        self[name] = _cached(self.spark, self.base, name)
+        return self[name]
 
 
 # Lazy scan frames per (session, folder, table): a frame holds only its plan and the file
@@ -97,10 +94,10 @@ class Tables(dict):
 _SCANS: dict[tuple, DataFrame] = {}
 
 
-def _cached(spark: SparkSession, base: str, name: str, spread: bool) -> DataFrame:
-    key = (id(spark), spark.sparkContext.applicationId, base, name, spread)
+def _cached(spark: SparkSession, base: str, name: str) -> DataFrame:
+    key = (id(spark), spark.sparkContext.applicationId, base, name)
     if key not in _SCANS:
-        _SCANS[key] = load(spark, base, name, spread=spread)
+        _SCANS[key] = load(spark, base, name)
     return _SCANS[key]
 
 
@@ -137,6 +134,13 @@ def q_jst_epoch(spark, base):
     return ev.select("event_id", local_epoch_seconds("ts").alias("epoch_local"))
 
 
+def q_jst_epoch_far(spark, base):
+    # a century on: past every 32-bit second
+    ev = Tables(spark, base)["events"]
+    later = F.col("ts") + F.make_interval(years=F.lit(100))
+    return ev.select("event_id", local_epoch_seconds(later, JST).alias("epoch_local"))
+
+
 def q_month_filter(spark, base):
     orders = Tables(spark, base)["orders"]
     return in_local_month(orders, "o_orderdate", FLAGSHIP_MONTH).select("o_orderkey", "o_custkey", "o_orderdate")
@@ -228,8 +232,10 @@ def q_tieup_searchable_or_null(spark, base):
 
 def q_redundant_join(spark, base):
     # the catalogue job joins a genre bridge on a mismatched key and selects nothing from
-    # it; under DISTINCT that join cannot change the result, so it is not written
-    return Tables(spark, base)["lineitem"].select("l_partkey", "l_suppkey").distinct()
+    # it; under DISTINCT that join cannot change the result, and the optimiser removes it
+    t = Tables(spark, base)
+    joined = snowflake_left_join(t["lineitem"], [Hop(t["part"], "l_orderkey", "p_partkey", ["p_name"])])
+    return joined.select("l_partkey", "l_suppkey").distinct()
 
 
 FLAG_SCHEMA = StructType([StructField("artist_id", LongType()), StructField("is_johnnys", StringType())])
@@ -398,8 +404,11 @@ def q_partition_roundtrip(spark, base):
 def q_partition_audit(spark, base):
     ev = Tables(spark, base)["events"]
     written = ev.select("event_type", F.to_date("ts").alias("day"))
+    first, days = ev.agg(
+        F.min(F.to_date("ts")), F.datediff(F.max(F.to_date("ts")), F.min(F.to_date("ts"))) + 1
+    ).first()  # the calendar that the events span
     expected = ev.select("event_type").distinct().select(
-        "event_type", F.explode(day_sequence(F.lit("2024-01-01"), 31)).alias("day")
+        "event_type", F.explode(day_sequence(F.lit(str(first or "1970-01-01")), days or 1)).alias("day")
     )
     return partition_row_counts(written, expected, keys=("event_type", "day"))
 
@@ -449,6 +458,30 @@ def q_catalogue_corner_job(spark, base):
     return catalogue_corner_job(Tables(spark, base))
 
 
+def q_catalogue_all_corners(spark, base):
+    return catalogue_all_corners(Tables(spark, base))
+
+
+def q_catalogue_backfill(spark, base):
+    return catalogue_backfill(Tables(spark, base))
+
+
+def q_catalogue_corner_job_text_ids(spark, base):
+    return catalogue_text_ids(Tables(spark, base))
+
+
+def q_catalogue_repeated_headers(spark, base):
+    return catalogue_repeated_headers(Tables(spark, base))
+
+
+def q_catalogue_empty_bridge(spark, base):
+    return catalogue_empty_bridge(Tables(spark, base))
+
+
+def q_export_roundtrip(spark, base):
+    return catalogue_export(Tables(spark, base), _scratch(spark, "export"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd_current": q_scd_current,
     "dim_project": q_dim_project,
@@ -488,4 +521,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalogue_corner_job": q_catalogue_corner_job,
     "new_arrivals_backfill_until_target": q_new_arrivals_backfill_until_target,
     "new_arrivals_topk": q_new_arrivals_topk,
+    "jst_epoch_far": q_jst_epoch_far,
+    "catalogue_all_corners": q_catalogue_all_corners,
+    "catalogue_backfill": q_catalogue_backfill,
+    "catalogue_corner_job_text_ids": q_catalogue_corner_job_text_ids,
+    "catalogue_repeated_headers": q_catalogue_repeated_headers,
+    "catalogue_empty_bridge": q_catalogue_empty_bridge,
+    "export_roundtrip": q_export_roundtrip,
 }

@@ -1,65 +1,52 @@
-"""The monthly new-arrivals job (C6-C8, S11, S12) over the catalogue's own tables.
+"""The monthly new-arrivals job (C6-C8, S11, S12) over a catalogue of dimension tables.
 
-``tables`` maps catalogue table names to frames (from ``spark.table`` on a metastore, or
-``freshcat.sources.load`` on files). The job is one lazy plan; the only action is the
-write in :func:`run_corner_job` / :func:`run_all_corners` (plus the staging writes of
-the target and the fact).
+``tables`` maps the roles of :data:`freshcat.plans.catalogue.ROLES` to frames. One pipeline,
+:func:`arrivals_job`, takes corners and a range of months; one corner, all corners and a
+backfill are calls of it, so they cannot differ. It is one plan; the only eager step is the
+staging write of the fact.
 
 Stages (the order of the catalogue job):
 
-1. material: current item rows of the month (pushed-down UTC range) -> snowflake (C1)
-2. corner filter (site contract + file type codes)
-3. album dimension (C6): album headers -> collection bridge -> id map -> material, and
+1. material: current item rows of the months (pushed-down UTC range) -> snowflake (C1)
+2. corner filter: the configuration's sites and codes as pushed IN lists, then the corner
+   table (tens of rows, broadcast)
+3. album dimension (C6): album headers -> collection bridge -> id map -> item and artist, and
    the first-group track explode (C2), kept as two linear tables (:func:`album_parts`)
 4. fact (C7): id map, tie-up bridge, tie-up, flag list, album track -> album variant
    (all left joins), tie-up filter, projection with defaults, ``distinct``
 5. album rollup (C3, threshold 5, newest first)
 6. tie-up de-duplication (C4)
 
-The catalogue job also left-joins the music genre bridge on the *item* id and selects
-nothing from it (J13); under the ``distinct`` that join cannot change the result, so it
-is not written. The global sort before the rollup (O1) is dropped as the rollup ranks
-again.
+The genre bridge that the catalogue job also left-joins on the *item* id selects nothing
+(J13); under the ``distinct`` it cannot change the result, so it is not written. The global
+sort before the rollup (O1) is dropped as the rollup ranks again. Every join compares text
+and number keys by the same rule (:func:`freshcat.operators.joins.key_pair`), and nothing
+depends on the size of the data: physical strategies are Catalyst's and AQE's.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshcat.functions.defaults import default_if_null, null_to_text
-from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_partition
+from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_bounds, local_month_partition
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
-from freshcat.operators.filters import (
-    all_of,
-    corner_filter,
-    current_rows,
-    in_local_month,
-    in_local_months,
-    searchable,
-)
-from freshcat.operators.joins import (
-    Hop,
-    flag_lookup,
-    join_dim_material,
-    broadcast_limit,
-    estimated_bytes,
-    join_hop,
-    semi_reduce_if_large,
-    snowflake_left_join,
-)
+from freshcat.operators.filters import all_of, codes_in, current_rows, in_local_months, searchable
+from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, key_pair, snowflake_left_join
 from freshcat.operators.ordering import total_order
-from freshcat.operators.ranking import top_k as top_k_rows
+from freshcat.operators.ranking import first_rows
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
-from freshcat.session import drop_staged_since, stage, staged_mark, worth_reducing
+from freshcat.session import drop_staged_since, stage, staged_mark
 
 ALBUM_COLUMNS = ("album_music_id", "album_music_name", "album_artist_id", "album_artist_name", "album_release_date")
+WITHIN = ("site", "corner", "target_date")
 
 # The album header selection of the catalogue job.
 ALBUM_HEADER_FILTER = {
@@ -75,144 +62,90 @@ def current_month(tz: str = JST) -> str:
     return datetime.now(ZoneInfo(tz)).strftime("%Y-%m")
 
 
-def material_dimension(
-    tables: Mapping[str, DataFrame],
-    month: str | None = None,
-    tz: str = JST,
-    newest: str | None = None,
-) -> DataFrame:
-    """Current items (of ``month`` when given) joined to their bridges and dimensions.
+def month_items(tables: Mapping[str, DataFrame], oldest: str, newest: str, tz: str = JST) -> DataFrame:
+    """Current items that start in local months ``oldest`` .. ``newest``, with their month as
+    ``target_date`` (``YYYYMM01``)."""
+    item = current_rows(tables["item"]).select("id", "name", "delivery_start_date", "delivery_end_date")
+    return in_local_months(item, "delivery_start_date", oldest, newest, tz).withColumn(
+        "target_date", local_month_partition("delivery_start_date", tz)
+    )
 
-    With ``newest``, ``month`` is the oldest month of a range and every row gets its local
-    month as ``target_date`` (``YYYYMM01``).
-    """
-    item = current_rows(tables["dim_hub_item"]).select("id", "name", "delivery_start_date", "delivery_end_date")
-    if month and newest:
-        item = in_local_months(item, "delivery_start_date", month, newest, tz).withColumn(
-            "target_date", local_month_partition("delivery_start_date", tz)
-        )
-    elif month:
-        item = in_local_month(item, "delivery_start_date", month, tz)
+
+def material_dimension(tables: Mapping[str, DataFrame], oldest: str, newest: str | None = None, tz: str = JST) -> DataFrame:
+    """The months' items joined to their bridges and dimensions."""
     return join_dim_material(
-        item,
-        current_rows(tables["dim_hub_item_and_artist"]).select("item_id", "artist_id"),
-        current_rows(tables["dim_hub_item_and_ftdt"]).select("item_id", "filetype_id"),
-        current_rows(tables["dim_hub_music_and_item"]).select("item_id", "music_id"),
-        current_rows(tables["dim_hub_item_and_site_contract"]).select("item_id", "site_name"),
-        current_rows(tables["dim_hub_music"]).select("id", F.col("name").alias("music_name")),
-        current_rows(tables["dim_hub_artist"]).select("id", F.col("name").alias("artist_name")),
+        month_items(tables, oldest, newest or oldest, tz),
+        current_rows(tables["item_artist"]).select("item_id", "artist_id"),
+        current_rows(tables["item_filetype"]).select("item_id", "filetype_id"),
+        current_rows(tables["item_music"]).select("item_id", "music_id"),
+        current_rows(tables["item_site"]).select("item_id", "site_name"),
+        current_rows(tables["music"]).select("id", F.col("name").alias("music_name")),
+        current_rows(tables["artist"]).select("id", F.col("name").alias("artist_name")),
     )
 
 
-def id_map(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Provider id map (collection, asset, material), current and distinct (A3)."""
-    return (
-        current_rows(tables["dim_id_provider_zocalo_item_provider"])
-        .select(
-            F.col("dam2018_collection_id").alias("collection_id"),
-            F.col("dam2018_asset_id").alias("asset_id"),
-            F.col("zocalo_item_id").alias("material_id"),
-        )
-        .distinct()
-    )
+def corner_targets(material: DataFrame, corners: Sequence[Corner]) -> DataFrame:
+    """Material of the corners, with ``site``, ``corner`` and ``require_tieup``.
 
+    The sites and codes of all corners are IN lists on the material's own columns, so they
+    reach the scans of the bridges; which corner a row belongs to is the join with the corner
+    table, whose size is the configuration's."""
+    spark = material.sparkSession
+    codes = [code for c in corners for code in c.filetype_ids]
+    wanted = material.where(F.col("site_name").isin([c.site_name for c in corners])).where(codes_in(material, "filetype_id", codes))
+    config = corner_frame(spark, corners).select(
+        "site", "corner", "require_tieup", F.col("site_name").alias("__fc_site"), F.col("filetype_id").alias("__fc_code"))
+    types = {f.name: f.dataType for f in material.schema.fields}
+    left, right = key_pair(F.col("filetype_id"), types["filetype_id"], F.col("__fc_code"), config.schema["__fc_code"].dataType)
+    return wanted.join(F.broadcast(config), (F.col("site_name") == F.col("__fc_site")) & (left == right)).drop("__fc_site", "__fc_code")
 
-def prepare_target(target: DataFrame, dimensions: Sequence[DataFrame | None], enabled: bool = True) -> tuple[DataFrame, bool]:
-    """Stage the target and decide on the semi-join reduction -- only when it can matter.
 
-    When every dimension is within the broadcast threshold by Catalyst's estimate, they
-    are broadcast whole: the target is read once and neither staged nor used to cut
-    anything. Otherwise it is written once (it feeds one semi join per large dimension)
-    and the reduction runs if the written target is small enough
-    (:func:`freshcat.session.worth_reducing`).
-    """
-    if not enabled or all(estimated_bytes(d) <= broadcast_limit(d) for d in dimensions if d is not None):
-        return target, False
-    staged = stage(target, "target")
-    return staged, worth_reducing(staged)
+def id_map(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Provider id map (collection, asset, material), current and distinct (A3)."""
+    return current_rows(tables["id_map"]).select("collection_id", "asset_id", "material_id").distinct()
 
 
-def album_rows(
+def album_parts(
     album_headers: DataFrame,
     collection_bridge: DataFrame,
     ids: DataFrame,
-    material: DataFrame,
+    items: DataFrame,
     tz: str = JST,
-) -> DataFrame:
-    """Album header rows with the artist and release date their id-map rows lead to.
-
-    ``album_headers``: selected album detail rows; ``collection_bridge``:
-    (collection_detail_id, collection_id); ``ids``: (collection_id, asset_id, material_id);
-    ``material``: the material dimension (id, artist_id, delivery_start_date). In the
-    catalogue job that material is already month-filtered, so albums whose item started in
-    another month get NULL artist and date (H12). When ``material`` covers several months
-    (it carries ``target_date``), that month is kept as ``__fc_album_month`` so the fact can
-    apply the same rule per month. One row per id-map row of the album (left joins).
+    id_type: str = "bigint",
+) -> tuple[DataFrame, DataFrame]:
+    """The album dimension (C6 + C2) in two linear parts: ``(tracks, variants)``.
+
+    ``tracks``: (album_music_id, __fc_header, album_track_asset_id), one row per first-group
+    track. ``variants``: the same two keys and the distinct album attributes, one per distinct
+    (name, artist, release date, month) that the header's id-map rows lead to. ``__fc_header``
+    tells header rows of one album id apart by what they hold (name, artist name, document),
+    so an id may repeat. Joining an asset to ``tracks`` and then to ``variants`` gives, after
+    the fact's DISTINCT, what joining the header to its id-map rows and its tracks gives,
+    without building id-map rows x tracks inside every album.
+
+    ``items``: (id, artist_id, delivery_start_date, target_date). An item's artist and date
+    count only for facts of its own month (H12): ``__fc_album_month`` carries it.
     """
-    by_month = "target_date" in material.columns
-    wanted = {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start"}
-    if by_month:
-        wanted["target_date"] = "__fc_album_month"
     headers = album_headers.select(
         F.col("id").alias("album_music_id"),
         F.col("title_title").alias("album_music_name"),
         F.col("artist_names_text").alias("album_artist_name"),
         "asset_structure",
+        F.sha2(F.to_json(F.struct("title_title", "artist_names_text", "asset_structure")), 256).alias("__fc_header"),
     )
-    joined = snowflake_left_join(
-        headers,
+    tracks = explode_tracks(headers.select("album_music_id", "__fc_header", "asset_structure"), id_type=id_type)
+    variants = snowflake_left_join(
+        headers.drop("asset_structure"),
         [
             Hop(collection_bridge, "album_music_id", "collection_detail_id", ["collection_id"]),
             Hop(ids, "collection_id", "collection_id", {"material_id": "__fc_album_material"}),
-            Hop(material, "__fc_album_material", "id", wanted),
+            Hop(items, "__fc_album_material", "id",
+                {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start", "target_date": "__fc_album_month"}),
         ],
-    )
-    return joined.select(
-        "album_music_id",
-        "album_music_name",
-        "album_artist_id",
-        "album_artist_name",
-        local_epoch_seconds("__fc_album_start", tz).alias("album_release_date"),
-        *(["__fc_album_month"] if by_month else []),
-        "asset_structure",
-    )
-
-
-def album_dimension(
-    album_headers: DataFrame,
-    collection_bridge: DataFrame,
-    ids: DataFrame,
-    material: DataFrame,
-    tz: str = JST,
-    id_type: str = "int",
-) -> DataFrame:
-    """Album rows with one row per first-group track (C6 + C2), in the catalogue's flat
-    form: every id-map row of an album times every track of it. The jobs use
-    :func:`album_parts` instead."""
-    return explode_tracks(album_rows(album_headers, collection_bridge, ids, material, tz), id_type=id_type)
-
-
-def album_parts(
-    album_headers: DataFrame,
-    collection_bridge: DataFrame,
-    ids: DataFrame,
-    material: DataFrame,
-    tz: str = JST,
-    id_type: str = "int",
-) -> tuple[DataFrame, DataFrame]:
-    """The album dimension in two linear parts: ``(tracks, variants)``.
-
-    ``tracks``: (album_music_id, album_track_asset_id), one row per first-group track.
-    ``variants``: album_music_id and its distinct album attributes, one per distinct
-    (artist, release date) its id-map rows give (plus ``__fc_album_month`` for month
-    ranges). Joining an asset to ``tracks`` and then to ``variants`` gives the rows of
-    :func:`album_dimension` after the fact's DISTINCT, without building id-map rows x
-    tracks per album (a product inside every album).
-    """
-    tracks = explode_tracks(
-        album_headers.select(F.col("id").alias("album_music_id"), "asset_structure"), id_type=id_type
-    )
-    variants = album_rows(album_headers, collection_bridge, ids, material, tz).drop("asset_structure").distinct()
+    ).select(
+        "album_music_id", "__fc_header", "album_music_name", "album_artist_id", "album_artist_name",
+        local_epoch_seconds("__fc_album_start", tz).alias("album_release_date"), "__fc_album_month",
+    ).distinct()
     return tracks, variants
 
 
@@ -226,7 +159,7 @@ def fact_projection(
     types = {f.name: f.dataType for f in joined.schema.fields}
     album = {c: F.col(c) for c in ALBUM_COLUMNS}
     if "__fc_album_month" in types:
-        # several months in one job: album attributes count only from the fact's month
+        # album attributes count only from the fact's month
         same = F.col("__fc_album_month") == F.col("target_date")
         for c in ("album_artist_id", "album_release_date"):
             album[c] = F.when(same, F.col(c)).alias(c)
@@ -261,36 +194,18 @@ def new_arrivals_fact(
     within: Sequence[str] = (),
     material_id: str = "id",
     material_name: str = "name",
-    reduce_dimensions: bool = False,
     album_variants: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows of the target materials (C7): left joins, tie-up filter, defaults, distinct.
 
     ``ids`` (material_id -> asset_id) is joined when the material has no ``asset_id`` yet.
     ``require_tieup``: True = ``searchable != 0`` (F6), False = also keep items without a
-    tie-up (F7); a boolean column selects per row (all corners in one job).
-    ``reduce_dimensions``: first cut the tie-up bridge, the flag list, the id map and the
-    album tracks down to the keys the target uses (:func:`semi_reduce`). Worth it when the
-    target is selective and already materialised (it is read once per reduction).
-    ``album_tracks=None``: the target already carries the album columns.
-    ``album_variants``: with it, ``album_tracks`` is the two-column track list of
-    :func:`album_parts` and the album attributes come from the variants.
+    tie-up (F7); a boolean column selects per row. ``album_tracks`` and ``album_variants`` are
+    the two parts of :func:`album_parts`; None: the target already carries the album columns.
     """
-    if reduce_dimensions:
-        reduce = semi_reduce_if_large
-        tieup_bridge = reduce(tieup_bridge, "music_id", material_target, "music_id")
-        flags = reduce(flags, "artist_id", material_target, "artist_id")
-        if ids is not None:
-            ids = reduce(ids, "material_id", material_target, material_id)
-            if album_tracks is not None:
-                album_tracks = reduce(album_tracks, "album_track_asset_id", ids, "asset_id")
-        elif album_tracks is not None:
-            album_tracks = reduce(album_tracks, "album_track_asset_id", material_target, "asset_id")
-        if album_variants is not None and album_tracks is not None:
-            album_variants = reduce(album_variants, "album_music_id", album_tracks, "album_music_id")
     hops = []
     if ids is not None:
-        hops.append(Hop(ids, material_id, "material_id", ["asset_id"]))
+        hops.append(Hop(ids.select("material_id", "asset_id").distinct(), material_id, "material_id", ["asset_id"]))
     hops += [
         Hop(tieup_bridge, "music_id", "music_id", {"tieup_id": "__fc_tieup_ref", "pattern_id": "__fc_pattern_id"}),
         Hop(
@@ -305,151 +220,101 @@ def new_arrivals_fact(
             },
         ),
     ]
-    joined = snowflake_left_join(material_target, hops)
-    joined = flag_lookup(joined, flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
-    if album_tracks is not None and album_variants is not None:
-        joined = join_hop(
-            joined, Hop(album_tracks, "asset_id", "album_track_asset_id", {"album_music_id": "__fc_album"}), tag="t"
-        )
-        album_cols = [c for c in album_variants.columns if c != "album_music_id"]
-        joined = join_hop(
-            joined, Hop(album_variants, "__fc_album", "album_music_id", ["album_music_id"] + album_cols), tag="v"
-        ).drop("__fc_album")
-    elif album_tracks is not None:
-        album_cols = list(ALBUM_COLUMNS) + (["__fc_album_month"] if "__fc_album_month" in album_tracks.columns else [])
-        joined = join_hop(joined, Hop(album_tracks, "asset_id", "album_track_asset_id", album_cols), tag="t")
+    joined = flag_lookup(snowflake_left_join(material_target, hops), flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
+    # the tie-up filter reads nothing from the albums: it comes before their joins
     if isinstance(require_tieup, Column):
         flag = F.col("__fc_searchable")
         joined = joined.filter((flag != 0) | (~require_tieup & flag.isNull()))
     else:
         joined = searchable(joined, "__fc_searchable", keep_missing=not require_tieup)
+    if album_tracks is not None:
+        joined = join_hop(joined, Hop(
+            album_tracks.where(F.col("album_track_asset_id").isNotNull()), "asset_id", "album_track_asset_id",
+            {"album_music_id": "__fc_album", "__fc_header": "__fc_header_of"}), tag="t")
+        # rows without an album (all with one key, null) do not go through the second join
+        no_album = F.col("__fc_album").isNull()
+        attributes = [c for c in album_variants.columns if c not in ("album_music_id", "__fc_header")]
+        found = join_hop(joined.where(~no_album), Hop(
+            album_variants, ["__fc_album", "__fc_header_of"], ["album_music_id", "__fc_header"], attributes), tag="v")
+        types = {f.name: f.dataType for f in album_variants.schema.fields}
+        plain = joined.where(no_album).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in attributes])
+        joined = found.unionByName(plain).withColumnRenamed("__fc_album", "album_music_id").drop("__fc_header_of")
     cols = fact_projection(joined, tz, material_id, material_name)
     return joined.select(*[F.col(w) for w in within], *cols).distinct()
 
 
-def rollup_fact(
-    fact: DataFrame,
-    threshold: int,
-    top_k: int | None = None,
-    within: Sequence[str] = (),
-    stage_cut: bool = True,
-) -> DataFrame:
+def rollup_fact(fact: DataFrame, threshold: int, top_k: int | None = None, within: Sequence[str] = (), sort: bool = True) -> DataFrame:
     """The rollup step of the jobs (newest first). With ``top_k`` the cut is taken once and
-    staged (k rows per ``within`` group), so the rollup's branches read the cut instead of
-    each re-running the top-k over the whole fact; same rows, same total order."""
-    order = [("release_date", False)]
-    if top_k and stage_cut:
-        within = list(within)
-        if within:
-            rank = Window.partitionBy(*within).orderBy(*total_order(fact, order, exclude=within))
-            cut = fact.withColumn("__fc_rank", F.row_number().over(rank)).where(F.col("__fc_rank") <= top_k)
-            cut = cut.drop("__fc_rank")
-        else:
-            cut = top_k_rows(fact, order, top_k)
-        fact, top_k = stage(cut, "cut"), None
+    staged (k rows per ``within`` group), so the rollup's branches read the cut; same rows,
+    same total order. ``sort=False`` for callers that rank again."""
+    if top_k:
+        fact = stage(first_rows(fact, [("release_date", False)], top_k, within=within), "cut")
     return aggregate_musics_to_album(
-        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False, within=within
-    )
-
-
-def catalogue_dimensions(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Current tie-up bridge, current tie-ups and the flag list, projected."""
-    return (
-        current_rows(tables["dim_hub_music_and_tieup"]).select("music_id", "tieup_id", "pattern_id"),
-        current_rows(tables["dim_hub_tieup"]).select("id", "name", "detailgenre_id", "searchable"),
-        tables["johnnys_csv"].select("artist_id", "is_johnnys"),
+        fact, threshold_num=threshold, order_column="release_date", ascending=False, within=within, sort=sort
     )
 
 
-def corner_job(
+def arrivals_job(
     tables: Mapping[str, DataFrame],
-    month: str,
-    corner: Corner,
+    corners: Sequence[Corner],
+    oldest: str,
+    newest: str | None = None,
     threshold: int = 5,
     top_k: int | None = None,
     tz: str = JST,
-    collection_bridge_fallback=None,
-    stage_fact: bool = True,
-    id_type: str = "int",
+    bridge_fallback: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
-    """One (site, corner, month): the 15-column result, newest first.
+    """Every corner of every month ``oldest`` .. ``newest`` (default: the one month):
+    site, corner, target_date + the 15 columns, newest first inside each (C8, C9, S12).
 
-    ``id_type``: type of the asset ids in the album documents (``int`` in the catalogue).
+    ``bridge_fallback`` re-reads the collection bridge where the first scan is empty and a
+    corner asks for it (S3). The fact feeds the branches of the rollup and is staged once.
     """
-    material = material_dimension(tables, month, tz)
-    target = corner_filter(material, "site_name", corner.site_name, "filetype_id", corner.filetype_ids)
-    bridge = tables["dim_collection_collection_detail"]
-    if corner.fallback_collection_bridge and collection_bridge_fallback is not None:
-        from freshcat.sources.tables import first_non_empty
-
-        bridge = first_non_empty(lambda: tables["dim_collection_collection_detail"], collection_bridge_fallback)
-    headers = all_of(
-        tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"]
-    )
+    from freshcat.sources.tables import first_non_empty
+
+    newest = newest or oldest
+    target = corner_targets(material_dimension(tables, oldest, newest, tz), corners)
+    bridge = tables["album_collection"]
+    if bridge_fallback is not None and any(c.fallback_collection_bridge for c in corners):
+        bridge = first_non_empty(lambda: tables["album_collection"], bridge_fallback)
+    headers = all_of(tables["album_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
-    tracks, variants = album_parts(headers, bridge, ids, material, tz, id_type=id_type)
-    tie_bridge, tieups, flags = catalogue_dimensions(tables)
-    target, reduce = prepare_target(target, [tie_bridge, flags, ids, tracks, variants], stage_fact)
-    fact = new_arrivals_fact(
-        target,
-        tie_bridge,
-        tieups,
-        flags,
-        tracks,
-        ids=ids,
-        require_tieup=corner.require_tieup,
-        tz=tz,
-        reduce_dimensions=reduce,
-        album_variants=variants,
+    # of the snowflake the albums use artist and start date; its other joins only repeat rows
+    items = snowflake_left_join(
+        month_items(tables, oldest, newest, tz).select("id", "delivery_start_date", "target_date"),
+        [Hop(current_rows(tables["item_artist"]).select("item_id", "artist_id"), "id", "item_id")],
     )
-    if stage_fact:
-        fact = stage(fact, "fact")
-    rolled = rollup_fact(fact, threshold, top_k, stage_cut=stage_fact)
-    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False)
-
-
-def all_corners_job(
-    tables: Mapping[str, DataFrame],
-    month: str,
-    corners: Sequence[Corner],
-    threshold: int = 5,
-    top_k: int | None = None,
-    tz: str = JST,
-    stage_fact: bool = True,
-) -> DataFrame:
-    """Every corner of one month in one job (S12): the corner table (tens of rows,
-    broadcast) replaces the per-script ``site = ... AND code IN (...)`` filter, and
-    (site, corner) prefix every rollup/dedup key. Result columns: site, corner + 15."""
-    spark = tables["dim_hub_item"].sparkSession
-    material = material_dimension(tables, month, tz)
-    config = F.broadcast(corner_frame(spark, corners))
-    target = material.join(
-        config.withColumnRenamed("site_name", "__fc_site").withColumnRenamed("filetype_id", "__fc_code"),
-        (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")),
-        "inner",
-    ).drop("__fc_site", "__fc_code")
-    headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
-    ids = id_map(tables)
-    tracks, variants = album_parts(headers, tables["dim_collection_collection_detail"], ids, material, tz)
-    tie_bridge, tieups, flags = catalogue_dimensions(tables)
-    target, reduce = prepare_target(target, [tie_bridge, flags, ids, tracks, variants], stage_fact)
+    tracks, variants = album_parts(headers, bridge, ids, items, tz)
     fact = new_arrivals_fact(
         target,
-        tie_bridge,
-        tieups,
-        flags,
+        current_rows(tables["music_tieup"]).select("music_id", "tieup_id", "pattern_id"),
+        current_rows(tables["tieup"]).select("id", "name", "detailgenre_id", "searchable"),
+        tables["flags"].select("artist_id", "is_johnnys"),
         tracks,
         ids=ids,
         require_tieup=F.col("require_tieup"),
         tz=tz,
-        within=("site", "corner"),
-        reduce_dimensions=reduce,
+        within=WITHIN,
         album_variants=variants,
     )
-    if stage_fact:
-        fact = stage(fact, "fact")
-    rolled = rollup_fact(fact, threshold, top_k, within=("site", "corner"), stage_cut=stage_fact)
-    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=("site", "corner"))
+    rolled = rollup_fact(stage(fact, "fact"), threshold, top_k, within=WITHIN, sort=False)
+    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=WITHIN)
+
+
+def corner_job(tables: Mapping[str, DataFrame], month: str, corner: Corner, **options) -> DataFrame:
+    """One (site, corner, month): the 15-column result, newest first."""
+    result = arrivals_job(tables, [corner], month, **options).drop(*WITHIN)
+    return result.orderBy(*total_order(result, [("release_date", False)]))
+
+
+def all_corners_job(tables: Mapping[str, DataFrame], month: str, corners: Sequence[Corner], **options) -> DataFrame:
+    """Every corner of one month in one job (S12): site, corner + the 15 columns."""
+    return arrivals_job(tables, corners, month, **options).drop("target_date")
+
+
+def backfill_job(tables: Mapping[str, DataFrame], oldest: str, newest: str, corners: Sequence[Corner], **options) -> DataFrame:
+    """Every corner of every month ``oldest`` .. ``newest`` in one job (C9 re-aimed)."""
+    return arrivals_job(tables, corners, oldest, newest, **options)
 
 
 def target_date_of(month: str) -> str:
@@ -462,124 +327,99 @@ def export_name(month: str, site: str, corner: str) -> str:
     return f"{target_date_of(month)}_{site}_{corner}.csv"
 
 
-def run_corner_job(
-    tables: Mapping[str, DataFrame],
+def months_between(oldest: str, newest: str) -> list[str]:
+    """Months ``YYYY-MM`` from oldest to newest, both included."""
+    first, last = (int(m[:4]) * 12 + int(m[5:7]) - 1 for m in (oldest, newest))
+    return [f"{k // 12:04d}-{k % 12 + 1:02d}" for k in range(first, last + 1)]
+
+
+def publish(
+    result: DataFrame,
     root: str,
-    corner: Corner,
-    month: str | None = None,
+    corners: Sequence[Corner],
+    months: Sequence[str],
     table: str | None = None,
-    threshold: int = 5,
-    tz: str = JST,
-) -> str:
-    """Compute one corner-month and publish it (C8 end to end, S6-S9, C5).
+) -> list[str]:
+    """Publish (site, corner, target_date) partitions, one named CSV file each.
 
-    Writes one header CSV, newest first, into ``site=/corner=/target_date=`` under
-    ``root`` (dynamic overwrite: other months stay), renames it to its export name and,
-    when ``table`` is given, registers the partition. Returns the exported file path.
+    Every corner and month given ends as exactly one file with a header: rows newest first,
+    or no rows (also where an earlier run had some). Partitions not given are not touched.
+    Corners and months are configuration and calendar, so they may be looped over.
     """
-    from freshcat.sources.sinks import export_named_file, partition_dir, register_partitions, write_partitioned_csv
+    from freshcat.sources.sinks import export_header_only, export_named_file, find_files, partition_dir, register_partitions, write_partitioned_csv
 
-    month = month or current_month(tz)
-    spark = tables["dim_hub_item"].sparkSession
-    mark = staged_mark()
-    result = corner_job(tables, month, corner, threshold=threshold, tz=tz)
-    values = {"site": corner.site, "corner": corner.corner, "target_date": target_date_of(month)}
-    order = [F.col("release_date").desc()] + [F.col(c).asc() for c in result.columns if c != "release_date"]
-    write_partitioned_csv(result, root, values, order=order, single_file=True)
-    drop_staged_since(spark, mark)
-    path = export_named_file(spark, partition_dir(root, values), export_name(month, corner.site, corner.corner))
+    spark = result.sparkSession
+    columns = [c for c in result.columns if c not in WITHIN]
+    order = [F.col("release_date").desc(), *[F.col(c).asc() for c in columns if c != "release_date"]]
+    wanted = result.where(F.col("target_date").isin([target_date_of(m) for m in months]))
+    write_partitioned_csv(wanted, root, order=order, single_file=True)
+    paths = []
+    for c in corners:
+        for month in months:
+            directory = partition_dir(root, {"site": c.site, "corner": c.corner, "target_date": target_date_of(month)})
+            name = export_name(month, c.site, c.corner)
+            done = export_named_file(spark, directory, name) if find_files(spark, directory, "part-*") else export_header_only(spark, directory, name, columns)
+            paths.append(done)
     if table:
         register_partitions(spark, table)
-    return path
+    return paths
 
 
-def run_all_corners(
+def run_job(
     tables: Mapping[str, DataFrame],
     root: str,
     corners: Sequence[Corner],
     month: str | None = None,
+    oldest: str | None = None,
     table: str | None = None,
     threshold: int = 5,
     tz: str = JST,
+    until_rows: int | None = None,
+    skip_months: Iterable[str] = (),
+    bridge_fallback: Callable[[], DataFrame] | None = None,
 ) -> list[str]:
-    """Every corner of a month in one job, one export file per corner (S12 + sinks)."""
-    from freshcat.sources.sinks import export_named_file, partition_dir, register_partitions, write_partitioned_csv
+    """Compute and publish corners for a month, or for months ``oldest`` .. ``month``.
+
+    ``until_rows``: publish, per corner, the months newest first until so many rows (the
+    other months' partitions are left alone). ``skip_months`` count but are not rewritten.
+    Staged tables are removed whether the run succeeds or not. Returns the files.
+    """
+    from freshcat.operators.backfill import keep_until_target
 
     month = month or current_month(tz)
-    spark = tables["dim_hub_item"].sparkSession
+    oldest = oldest or month
+    for m in (month, oldest, *skip_months):
+        local_month_bounds(m, tz)  # a bad month fails before anything is written
+    spark = tables["item"].sparkSession
     mark = staged_mark()
-    result = all_corners_job(tables, month, corners, threshold=threshold, tz=tz).withColumn(
-        "target_date", F.lit(target_date_of(month))
-    )
-    order = [F.col("release_date").desc()] + [
-        F.col(c).asc() for c in result.columns if c not in ("release_date", "site", "corner", "target_date")
-    ]
-    write_partitioned_csv(result, root, order=order, single_file=True)
-    drop_staged_since(spark, mark)
-    paths = []
-    for c in corners:  # the configuration, not the data: at most a few dozen entries
-        values = {"site": c.site, "corner": c.corner, "target_date": target_date_of(month)}
-        directory = partition_dir(root, values)
-        if _exists(spark, directory):
-            paths.append(export_named_file(spark, directory, export_name(month, c.site, c.corner)))
-    if table:
-        register_partitions(spark, table)
-    return paths
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-
-
-def backfill_job(
-    tables: Mapping[str, DataFrame],
-    oldest: str,
-    newest: str,
-    corners: Sequence[Corner],
-    threshold: int = 5,
-    top_k: int | None = None,
-    tz: str = JST,
-    stage_fact: bool = True,
-) -> DataFrame:
-    """Every corner of every month ``oldest`` .. ``newest`` in one job (C9 re-aimed).
-
-    Equal to running :func:`corner_job` once per (corner, month) and stacking the results:
-    one pushable range scan, the month as ``target_date`` in every rollup/dedup key, and
-    album attributes taken only from items of the fact's own month (H12).
-    Result: site, corner, target_date + the 15 columns.
-    """
-    spark = tables["dim_hub_item"].sparkSession
-    within = ("site", "corner", "target_date")
-    material = material_dimension(tables, oldest, tz, newest=newest)
-    config = (
-        F.broadcast(corner_frame(spark, corners))
-        .withColumnRenamed("site_name", "__fc_site")
-        .withColumnRenamed("filetype_id", "__fc_code")
-    )
-    target = material.join(
-        config, (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")), "inner"
-    ).drop("__fc_site", "__fc_code")
-    headers = all_of(tables["dim_collection_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
-    ids = id_map(tables)
-    tracks, variants = album_parts(headers, tables["dim_collection_collection_detail"], ids, material, tz)
-    tie_bridge, tieups, flags = catalogue_dimensions(tables)
-    target, reduce = prepare_target(target, [tie_bridge, flags, ids, tracks, variants], stage_fact)
-    fact = new_arrivals_fact(
-        target,
-        tie_bridge,
-        tieups,
-        flags,
-        tracks,
-        ids=ids,
-        require_tieup=F.col("require_tieup"),
-        tz=tz,
-        within=within,
-        reduce_dimensions=reduce,
-        album_variants=variants,
-    )
-    if stage_fact:
-        fact = stage(fact, "fact")
-    rolled = rollup_fact(fact, threshold, top_k, within=within, stage_cut=stage_fact)
-    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)
+    try:
+        result = stage(arrivals_job(tables, corners, oldest, month, threshold=threshold, tz=tz, bridge_fallback=bridge_fallback), "result")
+        months = [m for m in months_between(oldest, month) if m not in set(skip_months)]
+        if until_rows is None:
+            return publish(result, root, corners, months, table)
+        kept = stage(keep_until_target(result, until_rows), "kept")
+        # corners x months rows at most
+        needed = {(r.site, r.corner, r.target_date) for r in kept.select(*WITHIN).distinct().collect()}
+        paths = []
+        for c in corners:
+            own = [m for m in months if (c.site, c.corner, target_date_of(m)) in needed]
+            if own:
+                part = kept.where((F.col("site") == c.site) & (F.col("corner") == c.corner))
+                paths += publish(part, root, [c], own)
+        if table:
+            from freshcat.sources.sinks import register_partitions
+
+            register_partitions(spark, table)
+        return paths
+    finally:
+        drop_staged_since(spark, mark)
+
+
+def run_corner_job(tables: Mapping[str, DataFrame], root: str, corner: Corner, month: str | None = None, **options) -> str:
+    """Compute one corner-month and publish it (C8 end to end). Returns the file."""
+    return run_job(tables, root, [corner], month, **options)[0]
+
+
+def run_all_corners(tables: Mapping[str, DataFrame], root: str, corners: Sequence[Corner], month: str | None = None, **options) -> list[str]:
+    """Every corner of a month in one job, one export file per corner (S12 + sinks)."""
+    return run_job(tables, root, corners, month, **options)

@@ -51,7 +51,7 @@ def _q(values) -> str:
 
 
 def local_epoch(expr: str) -> str:
-    return f"CAST(floor(epoch({expr} + INTERVAL 9 HOUR)) AS INTEGER)"
+    return f"CAST(floor(epoch({expr} + INTERVAL 9 HOUR)) AS BIGINT)"
 
 
 def brand_no(expr: str = "p_brand") -> str:
@@ -225,21 +225,52 @@ def backfill_sql(oldest=BACKFILL_OLDEST, newest=BACKFILL_NEWEST, threshold=FLAGS
     )
 
 
-def catalogue_sql(month=FLAGSHIP_MONTH, segment=FLAGSHIP_SEGMENT, types=FLAGSHIP_TYPES,
-                  threshold=FLAGSHIP_THRESHOLD) -> str:
+def catalogue_sql(month=FLAGSHIP_MONTH, segment=FLAGSHIP_SEGMENT, types=FLAGSHIP_TYPES, threshold=FLAGSHIP_THRESHOLD,
+                  newest=None, corners=False, text_ids=False, repeated=False, select=None) -> str:
     """The catalogue-schema job on catalogue tables derived from the star, written with
-    raw joins and a JSON parse in DuckDB (no shape rule)."""
-    slots = (
-        f"array_to_string(list_transform(range(1, {TRACK_SLOTS + 1}), "
-        f"lambda i: '{{\"AssetId\": ' || CAST(o.o_orderkey * {ASSET_STRIDE} + i AS VARCHAR) || '}}'), ', ')"
-    )
+    raw joins and a JSON parse in DuckDB (no shape rule).
+
+    ``corners``: every corner, months ``month`` .. ``newest``; ``text_ids``: every third asset
+    id of the id map is no number; ``repeated``: every third album has a second header row."""
+    def slot_list(key):
+        return (
+            f"array_to_string(list_transform(range(1, {TRACK_SLOTS + 1}), "
+            f"lambda i: '{{\"AssetId\": ' || CAST({key} * {ASSET_STRIDE} + i AS VARCHAR) || '}}'), ', ')"
+        )
+
+    slots = slot_list("o.o_orderkey")
+    within = ("site", "corner", "target_date") if corners else ()
+    keep = "".join(f"t.{w}, " for w in within)
+    if corners:
+        rows = [
+            f"('{c.site}', '{c.corner}', '{c.site_name}', '{code}', {str(c.require_tieup).upper()})"
+            for c in star_corners() for code in c.filetype_ids
+        ]
+        target = (
+            "cfg(site, corner, cfg_site_name, cfg_code, require_tieup) AS (VALUES " + ", ".join(rows) + "),\n"
+            "target AS (SELECT cfg.site, cfg.corner, cfg.require_tieup, m.* FROM material m "
+            "JOIN cfg ON m.site_name = cfg.cfg_site_name AND m.filetype_id = cfg.cfg_code),"
+        )
+        tieup_test = "u.searchable <> 0 OR (NOT t.require_tieup AND u.searchable IS NULL)"
+    else:
+        target = f"target AS (SELECT * FROM material WHERE site_name = '{segment}' AND filetype_id IN ({_q(types)})),"
+        tieup_test = "u.searchable <> 0"
+    asset = f"l_orderkey * {ASSET_STRIDE} + l_linenumber"
+    if text_ids:
+        asset = f"CASE WHEN ({asset}) % 3 = 0 THEN 'x-' || CAST({asset} AS VARCHAR) ELSE CAST({asset} AS VARCHAR) END"
+    again = ""
+    if repeated:
+        again = f"""
+  UNION ALL SELECT id, title_title || ' (again)', release_type, title_titletype, title_titlelanguage,
+         artist_names_language, artist_names_text, '{{"Groups": [{{"Items": [' || {slot_list("(id + 1)")} || ']}}]}}'
+  FROM heads WHERE id % 3 = 0"""
     doc = f"""CASE o.o_orderpriority
       WHEN '1-URGENT' THEN '{{"Groups": [{{"Items": [' || {slots} || ']}}, {{"Items": [{{"AssetId": 0}}]}}]}}'
       WHEN '2-HIGH' THEN '{{"Items": [{{"AssetId": 0}}], "Groups": [{{"Items": [' || {slots} || ']}}]}}'
       WHEN '3-MEDIUM' THEN '{{"Groups": [{{"Items": [' || {slots} || ']}}]}}'
       WHEN '4-NOT SPECIFIED' THEN '{{"Groups": []}}'
       ELSE 'not json' END"""
-    album_cols = "album_music_id, album_music_name, album_artist_id, album_artist_name, album_release_date"
+    album_cols = "album_music_id, album_music_name, album_artist_id, album_artist_name, album_release_date, album_month"
     return f"""WITH
 lines AS (
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
@@ -260,7 +291,8 @@ item_site AS (
 ),
 material AS (
   SELECT i.id, i.name, i.delivery_start_date, a.artist_id, f.filetype_id, mi.music_id, s.site_name,
-         m.p_name AS music_name, ar.s_name AS artist_name
+         m.p_name AS music_name, ar.s_name AS artist_name,
+         strftime(i.delivery_start_date + INTERVAL 9 HOUR, '%Y%m') || '01' AS target_date
   FROM dim_item i
   LEFT JOIN item_artist a ON i.id = a.item_id
   LEFT JOIN item_ftdt f ON i.id = f.item_id
@@ -268,14 +300,12 @@ material AS (
   LEFT JOIN item_site s ON i.id = s.item_id
   LEFT JOIN part m ON mi.music_id = m.p_partkey
   LEFT JOIN supplier ar ON a.artist_id = ar.s_suppkey
-  WHERE i.catalog_end_date IS NULL AND strftime(i.delivery_start_date + INTERVAL 9 HOUR, '%Y-%m') = '{month}'
+  WHERE i.catalog_end_date IS NULL
+    AND strftime(i.delivery_start_date + INTERVAL 9 HOUR, '%Y-%m') BETWEEN '{month}' AND '{newest or month}'
 ),
-target AS (SELECT * FROM material WHERE site_name = '{segment}' AND filetype_id IN ({_q(types)})),
-idmap AS (
-  SELECT DISTINCT l_orderkey AS collection_id, l_orderkey * {ASSET_STRIDE} + l_linenumber AS asset_id,
-         item_id AS material_id FROM lines
-),
-detail AS (
+{target}
+idmap AS (SELECT DISTINCT l_orderkey AS collection_id, {asset} AS asset_id, item_id AS material_id FROM lines),
+heads AS (
   SELECT o.o_orderkey AS id, 'order ' || CAST(o.o_orderkey AS VARCHAR) AS title_title,
          CASE WHEN o.o_orderstatus = 'F' THEN 'Album' ELSE 'Single' END AS release_type,
          'AlbumName' AS title_titletype, 'ja-Hani' AS title_titlelanguage,
@@ -284,11 +314,12 @@ detail AS (
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   WHERE o.o_orderstatus <> 'P'
 ),
+detail AS (SELECT * FROM heads{again}),
 bridge AS (SELECT o_orderkey AS collection_detail_id, o_orderkey AS collection_id FROM orders WHERE o_orderstatus <> 'P'),
 albums AS (
   SELECT d.id AS album_music_id, d.title_title AS album_music_name, m.artist_id AS album_artist_id,
          d.artist_names_text AS album_artist_name, {local_epoch('m.delivery_start_date')} AS album_release_date,
-         d.asset_structure
+         m.target_date AS album_month, d.asset_structure
   FROM detail d
   LEFT JOIN bridge b ON d.id = b.collection_detail_id
   LEFT JOIN idmap x ON b.collection_id = x.collection_id
@@ -320,20 +351,21 @@ flags AS (
   WHERE r.r_name = '{FLAG_REGION}'
 ),
 fact AS (
-  SELECT DISTINCT 1 AS pickup, t.id AS material_id, t.name AS material_name, t.music_id, t.music_name,
+  SELECT DISTINCT {keep}1 AS pickup, t.id AS material_id, t.name AS material_name, t.music_id, t.music_name,
          t.artist_id, t.artist_name, {local_epoch('t.delivery_start_date')} AS release_date,
          COALESCE(b.pattern_id, 0) AS pattern_id, COALESCE(u.detailgenre_id, 0) AS tieup_detail_genre_id,
          COALESCE(CAST(u.name AS VARCHAR), 'null') AS tieup_name, CAST(COALESCE(u.id, 0) AS INTEGER) AS tieup_id,
          CASE WHEN j.is_johnnys IS NULL THEN 0 ELSE 1 END AS johnnys, 0 AS score,
-         k.album_music_id, k.album_music_name, k.album_artist_id, k.album_artist_name, k.album_release_date
+         k.album_music_id, k.album_music_name, CASE WHEN k.album_month = t.target_date THEN k.album_artist_id END AS album_artist_id,
+         k.album_artist_name, CASE WHEN k.album_month = t.target_date THEN k.album_release_date END AS album_release_date
   FROM target t
   LEFT JOIN idmap x ON t.id = x.material_id
   LEFT JOIN tieup_bridge b ON t.music_id = b.music_id
   LEFT JOIN tieup u ON b.tieup_id = u.id
   LEFT JOIN flags j ON t.artist_id = j.artist_id
-  LEFT JOIN tracks k ON x.asset_id = k.album_track_asset_id
-  WHERE u.searchable <> 0
-)""" + rollup_dedup_ctes(threshold) + f"\nSELECT {', '.join(OUTPUT_COLUMNS)} FROM dd WHERE rn_dd = 1"
+  LEFT JOIN tracks k ON TRY_CAST(x.asset_id AS BIGINT) = k.album_track_asset_id
+  WHERE {tieup_test}
+)""" + rollup_dedup_ctes(threshold, within=within) + f"\nSELECT {select or ', '.join((*within, *OUTPUT_COLUMNS))} FROM dd WHERE rn_dd = 1"
 
 
 def backfill_until_target_sql(target_rows: int = 100) -> str:
@@ -424,7 +456,7 @@ FROM tracks""",
     "having_count": "SELECT l_orderkey, count(l_orderkey) AS row_count FROM lineitem GROUP BY l_orderkey HAVING count(l_orderkey) >= 5",
     "global_rank": """
 SELECT o_orderkey, o_totalprice,
-       CAST(row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS FIRST) AS INTEGER) AS rank
+       CAST(row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS FIRST) AS BIGINT) AS rank
 FROM orders""",
     "topk": """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS FIRST LIMIT 100""",
@@ -455,7 +487,8 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 WHERE strftime(o.o_orderdate + INTERVAL 9 HOUR, '%Y-%m') IN ('1996-03', '1996-04')""",
     "partition_audit": """
 WITH types AS (SELECT DISTINCT event_type FROM events),
-days AS (SELECT CAST(d AS DATE) AS day FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) g(d)),
+span AS (SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events),
+days AS (SELECT CAST(d AS DATE) AS day FROM span, generate_series(CAST(first AS TIMESTAMP), CAST(last AS TIMESTAMP), INTERVAL 1 DAY) g(d)),
 expected AS (SELECT event_type, day FROM types CROSS JOIN days),
 counts AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY event_type, CAST(ts AS DATE))
 SELECT e.event_type, e.day, COALESCE(c.row_count, 0) AS row_count
@@ -475,6 +508,14 @@ SELECT month, row_count, rows_before FROM w WHERE rows_before < 5000""",
     "new_arrivals_all_corners": all_corners_sql(),
     "new_arrivals_backfill": backfill_sql(),
     "catalogue_corner_job": catalogue_sql(),
+    "jst_epoch_far": f"SELECT event_id, {local_epoch('ts + INTERVAL 100 YEAR')} AS epoch_local FROM events",
+    "catalogue_all_corners": catalogue_sql(corners=True, select=", ".join(("site", "corner", *OUTPUT_COLUMNS))),
+    "catalogue_backfill": catalogue_sql(BACKFILL_OLDEST, newest=FLAGSHIP_MONTH, corners=True),
+    "catalogue_corner_job_text_ids": catalogue_sql(text_ids=True),
+    "catalogue_repeated_headers": catalogue_sql(repeated=True),
+    "catalogue_empty_bridge": catalogue_sql(),
+    "export_roundtrip": catalogue_sql(corners=True, select=", ".join(
+        (*OUTPUT_COLUMNS, "site", "corner", "target_date", "target_date || '_' || site || '_' || corner || '.csv' AS file"))),
     "new_arrivals_backfill_until_target": backfill_until_target_sql(),
     "new_arrivals_topk": flagship_sql(top_k=FLAGSHIP_TOP_K),
 }

@@ -38,10 +38,9 @@ from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_pa
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
 from freshcat.operators.filters import corner_filter, current_rows, in_local_month, in_local_months
-from freshcat.operators.joins import Hop, join_hop, semi_reduce, snowflake_left_join
-from freshcat.operators.rollup import aggregate_musics_to_album
-from freshcat.plans.corners import Corner, corner_frame
-from freshcat.plans.monthly_job import new_arrivals_fact, prepare_target, rollup_fact
+from freshcat.operators.joins import Hop, join_hop, snowflake_left_join
+from freshcat.plans.corners import Corner
+from freshcat.plans.monthly_job import corner_targets, new_arrivals_fact, rollup_fact
 from freshcat.session import stage
 
 # Fixed values of the star mapping (parameters of the driver queries).
@@ -91,7 +90,7 @@ def star_items(
     ``month`` is given: the range lands on the ``orders`` scan, and the join to the line
     items becomes an inner join that a runtime bloom filter can prune)."""
     key = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    source = t.raw("lineitem") if month and hasattr(t, "raw") else t["lineitem"]
+    source = t["lineitem"]
     lines = source.select(
         F.concat_ws("-", *key).alias("id"),
         F.concat_ws("/", key[0], key[1]).alias("name"),
@@ -227,17 +226,9 @@ def album_document(orderkey: Column, priority: Column) -> Column:
     )
 
 
-def star_album_headers(t: Mapping[str, DataFrame], tz: str = JST, only_orders: DataFrame | None = None) -> DataFrame:
-    """Albums with their JSON structure (input of the track explode).
-
-    ``only_orders`` (column ``o_orderkey``): build documents for these orders only. An
-    album document lists only its own order's line slots, so the albums that can match a
-    set of assets are exactly the orders ``asset div 8``; pruning by them before the JSON
-    is built and parsed is exact.
-    """
+def star_album_headers(t: Mapping[str, DataFrame], tz: str = JST) -> DataFrame:
+    """Albums with their JSON structure (input of the track explode)."""
     orders = t["orders"].where(F.col("o_orderstatus").isin(list(ALBUM_STATUSES)))
-    if only_orders is not None:
-        orders = semi_reduce(orders, "o_orderkey", only_orders, "o_orderkey")
     albums = snowflake_left_join(orders, [Hop(t["customer"], "o_custkey", "c_custkey", {"c_name": "__fc_cname"})])
     return albums.select(
         F.col("o_orderkey").alias("album_music_id"),
@@ -249,14 +240,9 @@ def star_album_headers(t: Mapping[str, DataFrame], tz: str = JST, only_orders: D
     )
 
 
-def star_album_tracks(t: Mapping[str, DataFrame], tz: str = JST, for_assets: DataFrame | None = None) -> DataFrame:
-    """Album dimension (C6): one row per first-group track.
-
-    ``for_assets`` (column ``asset_id``): only albums that can hold these assets."""
-    only = None
-    if for_assets is not None:
-        only = for_assets.select(F.floor(F.col("asset_id") / ASSET_STRIDE).cast("bigint").alias("o_orderkey"))
-    return explode_tracks(star_album_headers(t, tz, only), id_type="bigint")
+def star_album_tracks(t: Mapping[str, DataFrame], tz: str = JST) -> DataFrame:
+    """Album dimension (C6): one row per first-group track."""
+    return explode_tracks(star_album_headers(t, tz))
 
 
 def star_fact(
@@ -266,27 +252,13 @@ def star_fact(
     types: Sequence[str] | None = None,
     require_tieup: bool = True,
     tz: str = JST,
-    stage_target: bool = False,
 ) -> DataFrame:
-    """New-arrivals fact (C7) on the star; no month/corner = every current line item.
-
-    ``stage_target``: write the (selective) target once and cut the dimensions down to
-    its keys before joining (semi-join reduction); for the whole-table fact it is off.
-    """
+    """New-arrivals fact (C7) on the star; no month/corner = every current line item."""
     target = star_material(t, month, tz, with_album=True)
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
-    tie_bridge, flags = star_tieup_bridge(t), star_flags(t)
-    target, reduce = prepare_target(target, [tie_bridge, flags], stage_target)
     return new_arrivals_fact(
-        target,
-        tie_bridge,
-        star_tieups(t),
-        flags,
-        None,
-        require_tieup=require_tieup,
-        tz=tz,
-        reduce_dimensions=reduce,
+        target, star_tieup_bridge(t), star_tieups(t), star_flags(t), None, require_tieup=require_tieup, tz=tz
     )
 
 
@@ -302,13 +274,13 @@ def star_new_arrivals(
 ) -> DataFrame:
     """The monthly corner job end to end on the star (C8): 15 columns, newest first.
 
-    The fact feeds three branches of the rollup and two of the de-duplication; it is
-    staged once (see :func:`freshcat.session.stage`) unless ``stage_fact`` is False.
+    The fact feeds the branches of the rollup; it is staged once (see
+    :func:`freshcat.session.stage`) unless ``stage_fact`` is False.
     """
-    fact = star_fact(t, month, segment, types, tz=tz, stage_target=stage_fact)
+    fact = star_fact(t, month, segment, types, tz=tz)
     if stage_fact:
         fact = stage(fact, "fact")
-    rolled = rollup_fact(fact, threshold, top_k, stage_cut=stage_fact)
+    rolled = rollup_fact(fact, threshold, top_k, sort=False)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False)
 
 
@@ -327,40 +299,20 @@ def star_all_corners(
     by ``target_date`` as well."""
     corners = corners or star_corners()
     within = ("site", "corner", "target_date") if newest else ("site", "corner")
-    spark = t["lineitem"].sparkSession
-    # The corner table has one row per configured code (tens of rows): a fixed bound.
-    config = (
-        F.broadcast(corner_frame(spark, corners))
-        .withColumnRenamed("site_name", "__fc_site")
-        .withColumnRenamed("filetype_id", "__fc_code")
-    )
-    target = (
-        star_material(t, month, tz, newest, with_album=True)
-        .join(
-            config,
-            (F.col("site_name") == F.col("__fc_site")) & (F.col("filetype_id") == F.col("__fc_code")),
-            "inner",
-        )
-        .drop("__fc_site", "__fc_code")
-    )
-    tie_bridge, flags = star_tieup_bridge(t), star_flags(t)
-    target, reduce = prepare_target(target, [tie_bridge, flags], stage_fact)
+    target = corner_targets(star_material(t, month, tz, newest, with_album=True), corners)
     fact = new_arrivals_fact(
         target,
-        tie_bridge,
+        star_tieup_bridge(t),
         star_tieups(t),
-        flags,
+        star_flags(t),
         None,
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
-        reduce_dimensions=reduce,
     )
     if stage_fact:
         fact = stage(fact, "fact")
-    rolled = aggregate_musics_to_album(
-        fact, threshold_num=threshold, order_column="release_date", ascending=False, within=within
-    )
+    rolled = rollup_fact(fact, threshold, within=within, sort=False)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)
 
 

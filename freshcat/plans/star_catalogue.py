@@ -12,6 +12,7 @@ them on the item id -- the shape of the catalogue, not a plan one would pick for
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +21,13 @@ from freshcat.operators.joins import Hop, snowflake_left_join
 from freshcat.plans.corners import Corner
 from freshcat.plans.star import (
     ASSET_STRIDE,
+    BACKFILL_OLDEST,
     FLAGSHIP_MONTH,
     FLAGSHIP_SEGMENT,
     FLAGSHIP_THRESHOLD,
     FLAGSHIP_TYPES,
     album_document,
+    star_corners,
     star_flags,
     star_tieup_bridge,
     star_tieups,
@@ -41,7 +44,7 @@ def _item_key() -> F.Column:
 
 
 def catalogue_from_star(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Fourteen catalogue tables (lazy) derived from the driver tables."""
+    """The catalogue tables (lazy) derived from the driver tables."""
     li = t["lineitem"]
     lines = li.select(
         _item_key().alias("item_id"),
@@ -87,27 +90,26 @@ def catalogue_from_star(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         _no_end(),
     )
     return {
-        "dim_hub_item": item,
-        "dim_hub_item_and_artist": lines.select("item_id", F.col("l_suppkey").alias("artist_id"), _no_end()),
-        "dim_hub_item_and_ftdt": ftdt.select("item_id", "filetype_id", _no_end()),
-        "dim_hub_music_and_item": lines.select("item_id", F.col("l_partkey").alias("music_id"), _no_end()),
-        "dim_hub_item_and_site_contract": site.select("site_name", "item_id", _no_end()),
-        "dim_hub_music": t["part"].select(
+        "item": item,
+        "item_artist": lines.select("item_id", F.col("l_suppkey").alias("artist_id"), _no_end()),
+        "item_filetype": ftdt.select("item_id", "filetype_id", _no_end()),
+        "item_music": lines.select("item_id", F.col("l_partkey").alias("music_id"), _no_end()),
+        "item_site": site.select("site_name", "item_id", _no_end()),
+        "music": t["part"].select(
             F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("tieup"), _no_end()
         ),
-        "dim_hub_artist": t["supplier"].select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), _no_end()),
-        "dim_id_provider_zocalo_item_provider": lines.select(
-            F.col("l_orderkey").alias("dam2018_collection_id"),
-            (F.col("l_orderkey") * ASSET_STRIDE + F.col("l_linenumber")).alias("dam2018_asset_id"),
-            F.col("item_id").alias("zocalo_item_id"),
+        "artist": t["supplier"].select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), _no_end()),
+        "id_map": lines.select(
+            F.col("l_orderkey").alias("collection_id"),
+            (F.col("l_orderkey") * ASSET_STRIDE + F.col("l_linenumber")).alias("asset_id"),
+            F.col("item_id").alias("material_id"),
             _no_end(),
         ),
-        "dim_hub_music_and_music_genre": t["part"].select(F.col("p_partkey").alias("music_id"), _no_end()),
-        "johnnys_csv": star_flags(t),
-        "dim_hub_music_and_tieup": star_tieup_bridge(t).select("music_id", "tieup_id", "pattern_id", _no_end()),
-        "dim_hub_tieup": star_tieups(t).select("id", "name", "detailgenre_id", "searchable", _no_end()),
-        "dim_collection_detail": headers,
-        "dim_collection_collection_detail": orders.select(
+        "flags": star_flags(t),
+        "music_tieup": star_tieup_bridge(t).select("music_id", "tieup_id", "pattern_id", _no_end()),
+        "tieup": star_tieups(t).select("id", "name", "detailgenre_id", "searchable", _no_end()),
+        "album_detail": headers,
+        "album_collection": orders.select(
             F.col("o_orderkey").alias("collection_detail_id"), F.col("o_orderkey").alias("collection_id")
         ),
     }
@@ -120,4 +122,65 @@ def catalogue_corner_job(t: Mapping[str, DataFrame], month: str = FLAGSHIP_MONTH
     """The catalogue-schema corner job on the derived catalogue (C1, C6-C8 as written)."""
     from freshcat.plans.monthly_job import corner_job
 
-    return corner_job(catalogue_from_star(t), month, CATALOGUE_CORNER, threshold=FLAGSHIP_THRESHOLD, id_type="bigint")
+    return corner_job(catalogue_from_star(t), month, CATALOGUE_CORNER, threshold=FLAGSHIP_THRESHOLD)
+
+
+def catalogue_all_corners(t: Mapping[str, DataFrame], month: str = FLAGSHIP_MONTH) -> DataFrame:
+    """Every corner of the month: the function the command line runs."""
+    from freshcat.plans.monthly_job import all_corners_job
+
+    return all_corners_job(catalogue_from_star(t), month, star_corners(), threshold=FLAGSHIP_THRESHOLD)
+
+
+def catalogue_backfill(t: Mapping[str, DataFrame], oldest: str = BACKFILL_OLDEST, newest: str = FLAGSHIP_MONTH) -> DataFrame:
+    """Every corner of several months: the function the command line runs."""
+    from freshcat.plans.monthly_job import backfill_job
+
+    return backfill_job(catalogue_from_star(t), oldest, newest, star_corners(), threshold=FLAGSHIP_THRESHOLD)
+
+
+def catalogue_text_ids(t: Mapping[str, DataFrame], month: str = FLAGSHIP_MONTH) -> DataFrame:
+    """The corner job where the id map's asset ids are text, some of them no numbers."""
+    from freshcat.plans.monthly_job import corner_job
+
+    tables = catalogue_from_star(t)
+    asset = F.col("asset_id").cast("string")
+    text = F.when(F.col("asset_id") % 3 == 0, F.concat(F.lit("x-"), asset)).otherwise(asset)
+    tables["id_map"] = tables["id_map"].withColumn("asset_id", text)
+    return corner_job(tables, month, CATALOGUE_CORNER, threshold=FLAGSHIP_THRESHOLD)
+
+
+def catalogue_repeated_headers(t: Mapping[str, DataFrame], month: str = FLAGSHIP_MONTH) -> DataFrame:
+    """The corner job where album ids repeat: of every third album a second current header row
+    has another name and lists the next order's tracks."""
+    from freshcat.plans.monthly_job import corner_job
+
+    tables = catalogue_from_star(t)
+    heads = tables["album_detail"]
+    again = heads.where(F.col("id") % 3 == 0).withColumn("title_title", F.concat("title_title", F.lit(" (again)"))).withColumn(
+        "asset_structure", album_document(F.col("id") + 1, F.lit("3-MEDIUM")))
+    tables["album_detail"] = heads.unionByName(again)
+    return corner_job(tables, month, CATALOGUE_CORNER, threshold=FLAGSHIP_THRESHOLD)
+
+
+def catalogue_empty_bridge(t: Mapping[str, DataFrame], month: str = FLAGSHIP_MONTH) -> DataFrame:
+    """The corner job where the first scan of the collection bridge comes back empty (S3)."""
+    from freshcat.plans.monthly_job import corner_job
+
+    tables = catalogue_from_star(t)
+    full = tables["album_collection"]
+    tables["album_collection"] = full.where(F.col("collection_id") < 0)
+    corner = replace(CATALOGUE_CORNER, fallback_collection_bridge=True)
+    return corner_job(tables, month, corner, threshold=FLAGSHIP_THRESHOLD, bridge_fallback=lambda: full)
+
+
+def catalogue_export(t: Mapping[str, DataFrame], root: str, month: str = FLAGSHIP_MONTH) -> DataFrame:
+    """Publish every corner and one without rows, and read the named files back."""
+    from freshcat.plans.monthly_job import corner_job, run_all_corners
+    from freshcat.sources.sinks import read_partitioned_csv
+
+    tables = catalogue_from_star(t)
+    corners = [*star_corners(), Corner("nowhere", "empty", "NO SUCH SITE", ("NONE",))]
+    run_all_corners(tables, root, corners, month, threshold=FLAGSHIP_THRESHOLD)
+    schema = corner_job(tables, month, CATALOGUE_CORNER).schema
+    return read_partitioned_csv(t["lineitem"].sparkSession, root, schema).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))

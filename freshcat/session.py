@@ -119,27 +119,3 @@ def drop_staged_since(spark: SparkSession, mark: int) -> int:
         if path.getFileSystem(conf).delete(path, True):
             removed += 1
     return removed
-
-
-# Above this written size the month's target is not used to cut the dimensions down
-# (``freshcat.reduce.maxTargetBytes``): its key sets would no longer be broadcast and the
-# reduction would add shuffles; the joins then rely on AQE and runtime filters alone.
-REDUCE_MAX_TARGET_BYTES = 1 << 30
-
-
-def frame_bytes(df: DataFrame) -> int:
-    """Total size of the files a (staged) frame reads, from the file system."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for name in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        total += int(path.getFileSystem(conf).getFileStatus(path).getLen())
-    return total
-
-
-def worth_reducing(target: DataFrame) -> bool:
-    """True when the staged target is small enough for a semi-join reduction to pay."""
-    limit = int(target.sparkSession.conf.get("freshcat.reduce.maxTargetBytes", str(REDUCE_MAX_TARGET_BYTES)))
-    return frame_bytes(target) <= limit

@@ -51,7 +51,8 @@ def write_partitioned_csv(
     if single_file:
         out = out.repartition(*[F.col(c) for c in cols])
         if order:
-            out = out.sortWithinPartitions(*order)
+            # by partition first: the writer then has nothing left to sort, and keeps the order
+            out = out.sortWithinPartitions(*[F.col(c).asc() for c in cols], *order)
     writer = (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -111,6 +112,29 @@ def export_named_file(spark: SparkSession, directory: str, file_name: str, patte
     return str(target.toString())
 
 
+def find_files(spark: SparkSession, directory: str, pattern: str) -> list[str]:
+    """Files of a directory that match, through the path's Hadoop FileSystem (none: empty)."""
+    path_cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_cls(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    statuses = fs.globStatus(path_cls(directory.rstrip("/") + "/" + pattern))
+    return sorted(str(s.getPath().toString()) for s in (statuses or []) if s.isFile())
+
+
+def export_header_only(spark: SparkSession, directory: str, file_name: str, columns: Sequence[str]) -> str:
+    """Make ``directory`` hold one file with nothing but a header: a partition without rows,
+    which a dynamic overwrite leaves as it was."""
+    path_cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_cls(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path_cls(directory), True)
+    target = path_cls(directory.rstrip("/") + "/" + file_name)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray((",".join(columns) + "\n").encode()))
+    finally:
+        stream.close()
+    return str(target.toString())
+
+
 def create_partitioned_table(
     spark: SparkSession,
     table: str,

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
-from freshcat.plans.corners import CATALOGUE_CORNERS, Corner, corner_by_name
+from freshcat.plans.corners import Corner, corner_by_name, read_corners
 from freshcat.plans.monthly_job import all_corners_job, corner_job
 from tests.conftest import rows
 
@@ -52,39 +52,38 @@ def catalogue(spark):
     site = [("SiteA", i) for i in ("i1", "i2", "i3", "i4", "i5", "i6", "i8", "i9")] + [("SiteB", "i7")]
     doc = '{"Groups": [{"Items": [{"AssetId": 101}, {"AssetId": 102}, {"AssetId": 103}]}]}'
     return {
-        "dim_hub_item": df(item_rows, ("id", S), ("name", S), ("delivery_start_date", T), ("delivery_end_date", T),
+        "item": df(item_rows, ("id", S), ("name", S), ("delivery_start_date", T), ("delivery_end_date", T),
                            ("catalog_end_date", T)),
-        "dim_hub_item_and_artist": df([(a, b, None) for a, b in bridge], ("item_id", S), ("artist_id", S),
+        "item_artist": df([(a, b, None) for a, b in bridge], ("item_id", S), ("artist_id", S),
                                       ("catalog_end_date", T)),
-        "dim_hub_item_and_ftdt": df([(a, b, None) for a, b in ftdt], ("item_id", S), ("filetype_id", S),
+        "item_filetype": df([(a, b, None) for a, b in ftdt], ("item_id", S), ("filetype_id", S),
                                     ("catalog_end_date", T)),
-        "dim_hub_music_and_item": df([(a, b, None) for a, b in music_item], ("item_id", S), ("music_id", S),
+        "item_music": df([(a, b, None) for a, b in music_item], ("item_id", S), ("music_id", S),
                                      ("catalog_end_date", T)),
-        "dim_hub_item_and_site_contract": df([(a, b, None) for a, b in site], ("site_name", S), ("item_id", S),
+        "item_site": df([(a, b, None) for a, b in site], ("site_name", S), ("item_id", S),
                                              ("catalog_end_date", T)),
-        "dim_hub_music": df([(m, f"song {m}", None, None) for m in ("m1", "m2", "m3", "m4", "m9")], ("id", S),
+        "music": df([(m, f"song {m}", None, None) for m in ("m1", "m2", "m3", "m4", "m9")], ("id", S),
                             ("name", S), ("tieup", S), ("catalog_end_date", T)),
-        "dim_hub_artist": df([("r1", "artist one", None), ("r2", "artist two", None)], ("id", S), ("name", S),
+        "artist": df([("r1", "artist one", None), ("r2", "artist two", None)], ("id", S), ("name", S),
                              ("catalog_end_date", T)),
-        "dim_id_provider_zocalo_item_provider": df(
+        "id_map": df(
             [("col1", 101, "i1", None), ("col1", 102, "i2", None), ("col1", 103, "i3", None),
              ("col1", 103, "i3", None)],
-            ("dam2018_collection_id", S), ("dam2018_asset_id", I), ("zocalo_item_id", S), ("catalog_end_date", T)),
-        "dim_hub_music_and_music_genre": df([("m1", None)], ("music_id", S), ("catalog_end_date", T)),
-        "johnnys_csv": df([("r1", "x"), ("r1", "x")], ("artist_id", S), ("is_johnnys", S)),
-        "dim_hub_music_and_tieup": df(
+            ("collection_id", S), ("asset_id", I), ("material_id", S), ("catalog_end_date", T)),
+        "flags": df([("r1", "x"), ("r1", "x")], ("artist_id", S), ("is_johnnys", S)),
+        "music_tieup": df(
             [("m1", 10, 1, None), ("m2", 10, 2, None), ("m2", 20, None, None), ("m3", 30, 3, None),
              ("m9", 10, 9, None)],
             ("music_id", S), ("tieup_id", I), ("pattern_id", I), ("catalog_end_date", T)),
-        "dim_hub_tieup": df(
+        "tieup": df(
             [(10, "tie ten", 7, 1, None), (20, "tie twenty", None, 1, None), (30, "tie thirty", 8, 0, None)],
             ("id", I), ("name", S), ("detailgenre_id", I), ("searchable", I), ("catalog_end_date", T)),
-        "dim_collection_detail": df(
+        "album_detail": df(
             [("c1", "album one", "Album", "AlbumName", "ja-Hani", "ja-Hani", "album artist", doc, None),
              ("c2", "single", "Single", "AlbumName", "ja-Hani", "ja-Hani", "x", doc, None)],
             ("id", S), ("title_title", S), ("release_type", S), ("title_titletype", S), ("title_titlelanguage", S),
             ("artist_names_language", S), ("artist_names_text", S), ("asset_structure", S), ("catalog_end_date", T)),
-        "dim_collection_collection_detail": df([("c1", "col1"), ("c2", "col1")], ("collection_detail_id", S),
+        "album_collection": df([("c1", "col1"), ("c2", "col1")], ("collection_detail_id", S),
                                                ("collection_id", S)),
     }
 
@@ -128,16 +127,18 @@ def test_all_corners_equals_each_corner(spark, catalogue):
     assert together == sorted(apart, key=str)
 
 
-def test_catalogue_corner_presets():
-    assert len(CATALOGUE_CORNERS) == 8
-    assert len({(c.site, c.corner) for c in CATALOGUE_CORNERS}) == 8
-    assert sorted(len(c.filetype_ids) for c in CATALOGUE_CORNERS) == [1, 1, 1, 1, 1, 24, 30, 51]
-    tolerant = [c for c in CATALOGUE_CORNERS if not c.require_tieup]
-    assert len(tolerant) == 1 and tolerant[0].filetype_ids == ("070840",) and tolerant[0].fallback_collection_bridge
-    longest = max(CATALOGUE_CORNERS, key=lambda c: len(c.filetype_ids))
-    assert "70040" in longest.filetype_ids and "070040" not in longest.filetype_ids
-    first = CATALOGUE_CORNERS[0]
-    assert corner_by_name(first.site, first.corner) is first
+def test_corners_are_read_from_a_file(tmp_path):
+    path = tmp_path / "corners.json"
+    path.write_text('[{"site": "a", "corner": "x", "site_name": "A", "filetype_ids": ["070040", 70040]},'
+                    ' {"site": "a", "corner": "y", "site_name": "A", "filetype_ids": [], "require_tieup": false}]')
+    first, second = read_corners(str(path))
+    assert first == Corner("a", "x", "A", ("070040", "70040")) and not second.require_tieup
+    assert corner_by_name("a", "y", (first, second)) is second
+    with pytest.raises(KeyError):
+        corner_by_name("b", "y", (first, second))
+    path.write_text("[]")
+    with pytest.raises(ValueError):
+        read_corners(str(path))
 
 
 def test_backfill_equals_each_month_and_corner(spark, catalogue):
@@ -184,9 +185,9 @@ def test_empty_collection_bridge_falls_back(spark, catalogue):
     amuse = Corner("site_m", "tolerant", "SiteA", ("030300",), require_tieup=False,
                    fallback_collection_bridge=True)
     empty = dict(catalogue)
-    empty["dim_collection_collection_detail"] = catalogue["dim_collection_collection_detail"].limit(0)
-    fallback = lambda: catalogue["dim_collection_collection_detail"]
-    got = rows(corner_job(empty, "2023-03", amuse, threshold=2, collection_bridge_fallback=fallback))
+    empty["album_collection"] = catalogue["album_collection"].limit(0)
+    fallback = lambda: catalogue["album_collection"]
+    got = rows(corner_job(empty, "2023-03", amuse, threshold=2, bridge_fallback=fallback))
     assert got == [NINE, ALBUM, FOUR]
     # without the fallback the album is still found through its own track list, but the
     # bridge to its items is missing: no album artist, no album release date
@@ -206,6 +207,12 @@ def test_default_month_is_the_local_month():
     assert export_name("2023-03", "site_a", "voice") == "20230301_site_a_voice.csv"
 
 
+def _files(root):
+    import os
+
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if not f.startswith((".", "_")))
+
+
 def test_run_all_corners_exports_each_corner(spark, catalogue):
     import os
     import uuid
@@ -216,56 +223,120 @@ def test_run_all_corners_exports_each_corner(spark, catalogue):
     root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"all-{uuid.uuid4().hex}")
     corners = [Corner("s", "strict", "SiteA", ("030300",)), Corner("t", "other", "SiteB", ("030300",)),
                Corner("u", "empty", "SiteC", ("030300",))]
-    paths = sorted(p.replace("file:", "") for p in run_all_corners(catalogue, root, corners, month="2023-03",
-                                                                   threshold=2))
-    assert [os.path.basename(p) for p in paths] == ["20230301_s_strict.csv", "20230301_t_other.csv"]
-    with open(paths[0]) as fh:
-        assert len(fh.read().splitlines()) == 3  # header + i9 + album
+    run = lambda tables: sorted(p.replace("file:", "") for p in run_all_corners(tables, root, corners, month="2023-03", threshold=2))
+    paths = run(catalogue)
+    assert [os.path.basename(p) for p in paths] == ["20230301_s_strict.csv", "20230301_t_other.csv", "20230301_u_empty.csv"]
+    lines = lambda p: open(p).read().splitlines()
+    assert len(lines(paths[0])) == 3  # header + i9 + album
+    assert len(lines(paths[2])) == 1 and lines(paths[2]) == lines(paths[0])[:1]  # no arrivals: the header
+    assert _files(root) == sorted(paths)
+    # a rerun in which everything has gone leaves no old rows, nor any file more
+    gone = {**catalogue, "item": catalogue["item"].limit(0)}
+    assert run(gone) == paths and all(len(lines(p)) == 1 for p in paths) and _files(root) == sorted(paths)
+
+
+def _config(spark, catalogue, tmp_path, empty=()):
+    """The catalogue saved as tables with columns of other names, and the two files."""
+    import json
+    import uuid
+
+    db = f"fc_cat_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    tables = {}
+    for name, frame in catalogue.items():
+        if name == "id_map":
+            frame = frame.withColumnRenamed("asset_id", "provider_asset")
+        (frame.limit(0) if name in empty else frame).write.mode("overwrite").saveAsTable(f"{db}.t_{name}")
+        tables[name] = f"{db}.t_{name}"
+    tables["id_map"] = {"table": tables["id_map"], "columns": {"asset_id": "provider_asset"}}
+    (tmp_path / "tables.json").write_text(json.dumps(tables))
+    corners = [{"site": "s", "corner": "strict", "site_name": "SiteA", "filetype_ids": ["030300"]},
+               {"site": "s", "corner": "loose", "site_name": "SiteA", "filetype_ids": ["030300"], "require_tieup": False}]
+    (tmp_path / "corners.json").write_text(json.dumps(corners))
+    root = str(tmp_path / "out")
+    return root, ["--output", root, "--corners", str(tmp_path / "corners.json"), "--tables", str(tmp_path / "tables.json"), "--threshold", "2"]
+
+
+def test_cli_one_corner_all_corners_and_backfill(spark, catalogue, tmp_path):
+    import os
 
+    from freshcat.plans import cli
 
-def test_cli_runs_one_corner_from_the_session_catalog(spark, catalogue):
+    root, args = _config(spark, catalogue, tmp_path)
+    names = lambda: [os.path.basename(f) for f in _files(root)]
+    assert cli.main([*args, "--site", "s", "--corner", "strict", "--month", "2023-03"]) == 0
+    assert names() == ["20230301_s_strict.csv"]
+    # a backfill of one corner leaves the others alone; a skipped month is not written
+    assert cli.main([*args, "--site", "s", "--corner", "strict", "--month", "2023-05", "--backfill-from", "2023-02", "--skip-months", "2023-03,2023-05"]) == 0
+    assert names() == [f"{m}_s_strict.csv" for m in ("20230201", "20230301", "20230401")]
+    before = {f: os.path.getmtime(f) for f in _files(root)}
+    assert cli.main([*args, "--all-corners", "--month", "2023-03"]) == 0
+    assert len(names()) == 4 and sum(os.path.getmtime(f) == t for f, t in before.items()) == 2
+    # sorted by release date, newest first, in every way of running
+    assert cli.main([*args, "--month", "2023-04", "--backfill-from", "2023-03"]) == 0
+    for f in _files(root):
+        table = [line.split(",") for line in open(f).read().splitlines()]
+        dates = [int(r[table[0].index("release_date")]) for r in table[1:]]
+        assert dates == sorted(dates, reverse=True)
+    for bad in (["--site", "s"], [], ["--all-corners", "--site", "s", "--corner", "strict"]):
+        with pytest.raises(SystemExit):
+            cli.parse([*args, *bad])
+
+
+def test_cli_backfill_until_rows_stops_at_the_newest_months(spark, catalogue, tmp_path):
     import os
-    import uuid
 
     from freshcat.plans import cli
-    from freshcat.session import checkpoint_dir
 
-    db = f"fc_cat_{uuid.uuid4().hex[:6]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name, frame in catalogue.items():
-        frame.write.mode("overwrite").saveAsTable(f"{db}.{name}")
-    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"cli-{uuid.uuid4().hex}")
-    assert cli.parse(["--output", root, "--all-corners"]).all_corners
-    tables = cli.catalogue_tables(spark, db, db)
-    assert set(tables) == set(catalogue)
-    corner = Corner("s", "c", "SiteA", ("030300",))
-    assert rows(corner_job(tables, "2023-03", corner, threshold=2)) == [NINE, ALBUM]
+    root, args = _config(spark, catalogue, tmp_path)
+    assert cli.main([*args, "--site", "s", "--corner", "loose", "--month", "2023-04", "--backfill-from", "2023-02", "--until-rows", "1"]) == 0
+    assert [os.path.basename(f) for f in _files(root)] == ["20230401_s_loose.csv"]
 
 
-def test_reduction_is_skipped_above_the_size_bound(spark, catalogue):
+def test_text_asset_ids_with_and_without_broadcasts(spark, catalogue):
+    # an asset id that is no number matches nothing, whatever the join strategy
+    from pyspark.sql import functions as F
+
     corner = Corner("s", "c", "SiteA", ("030300",))
-    spark.conf.set("freshcat.reduce.maxTargetBytes", "0")
+    ids = catalogue["id_map"].withColumn("asset_id", F.when(F.col("asset_id") == 102, "x-9").otherwise(F.col("asset_id").cast("string")))
+    tables = {**catalogue, "id_map": ids}
+    plain = rows(corner_job(tables, "2023-03", corner, threshold=2))
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        assert rows(corner_job(catalogue, "2023-03", corner, threshold=2)) == [NINE, ALBUM]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        assert rows(corner_job(tables, "2023-03", corner, threshold=2)) == plain
     finally:
-        spark.conf.unset("freshcat.reduce.maxTargetBytes")
-    from freshcat.session import stage, worth_reducing
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    # i2 lost its asset, so one track of the album is left: below the threshold
+    assert [(r[3], r[13]) for r in plain] == [("i9", "music"), ("i1", "music"), ("i2", "music")]
+
+
+def test_codes_are_compared_alike_in_every_job(spark, catalogue):
+    # on a numeric code column, text codes compare as numbers and others match nothing
+    from pyspark.sql import functions as F
+
+    tables = {**catalogue, "item_filetype": catalogue["item_filetype"].withColumn("filetype_id", F.col("filetype_id").cast("int"))}
+    corner = Corner("s", "c", "SiteA", ("030300", "none"))
+    assert rows(corner_job(tables, "2023-03", corner, threshold=2)) == [NINE, ALBUM]
+    assert [r[2:] for r in sorted(rows(all_corners_job(tables, "2023-03", [corner], threshold=2)), key=str)] == sorted([NINE, ALBUM], key=str)
+
 
-    small = stage(spark.range(10), "tiny")
-    assert worth_reducing(small)
+def test_corner_filters_reach_the_bridges(spark, catalogue):
+    from freshcat.plans.monthly_job import corner_targets, material_dimension
 
+    corners = [Corner("s", "a", "SiteA", ("030300",)), Corner("t", "b", "SiteB", ("110600",))]
+    plan = corner_targets(material_dimension(catalogue, "2023-03"), corners)._jdf.queryExecution().optimizedPlan().toString()
+    assert "site_name#" in plan and " IN (SiteA,SiteB)" in plan and " IN (030300,110600)" in plan
 
-def test_top_k_cut_staged_or_not_gives_the_same_rows(spark, catalogue):
+
+def test_top_k_per_corner_equals_each_corner(spark, catalogue):
     corner = Corner("s", "c", "SiteA", ("030300",), require_tieup=False)
-    staged = rows(corner_job(catalogue, "2023-03", corner, threshold=2, top_k=2))
-    inline = rows(corner_job(catalogue, "2023-03", corner, threshold=2, top_k=2, stage_fact=False))
-    assert staged == inline and len(staged) <= 2
     corners = [corner, Corner("t", "other", "SiteB", ("030300",))]
     together = sorted(rows(all_corners_job(catalogue, "2023-03", corners, threshold=2, top_k=2)), key=str)
     apart = []
     for c in corners:
         apart += [(c.site, c.corner) + r for r in rows(corner_job(catalogue, "2023-03", c, threshold=2, top_k=2))]
-    assert together == sorted(apart, key=str)
+    assert together == sorted(apart, key=str) and len(apart) <= 4
 
 
 def test_runner_removes_its_staged_intermediates(spark, catalogue):
@@ -276,61 +347,12 @@ def test_runner_removes_its_staged_intermediates(spark, catalogue):
     from freshcat.session import checkpoint_dir
 
     base = checkpoint_dir(spark).replace("file:", "")
-    before = {n for n in os.listdir(base) if n.startswith(("target-", "fact-", "cut-"))}
+    before = {n for n in os.listdir(base) if n.startswith(("result-", "fact-", "cut-"))}
     root = os.path.join(base, f"run-{uuid.uuid4().hex}")
     run_corner_job(catalogue, root, Corner("s", "c", "SiteA", ("030300",)), month="2023-03", threshold=2)
-    after = {n for n in os.listdir(base) if n.startswith(("target-", "fact-", "cut-"))}
+    after = {n for n in os.listdir(base) if n.startswith(("result-", "fact-", "cut-"))}
     assert after == before
-
-
-def test_forced_reduction_gives_the_same_rows(spark, catalogue):
-    # a 1-byte broadcast threshold makes every dimension "large": the target is staged
-    # and the dimensions are cut to its keys; results must not change
-    import __spark_entry__ as entry
-
-    corner = Corner("s", "c", "SiteA", ("030300",), require_tieup=False)
-    plain = rows(corner_job(catalogue, "2023-03", corner, threshold=2))
-    star_plain = sorted(rows(entry.queries()["new_arrivals"](spark, "/root/testdata/sf0.001")), key=str)
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-        from freshcat.session import staged_mark, _STAGED
-
-        mark = staged_mark()
-        reduced = rows(corner_job(catalogue, "2023-03", corner, threshold=2))
-        assert any("target-" in p for p in _STAGED[mark:])
-        star_reduced = sorted(rows(entry.queries()["new_arrivals"](spark, "/root/testdata/sf0.001")), key=str)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
-    assert reduced == plain
-    assert star_reduced == star_plain
-
-
-def test_cli_end_to_end_for_a_preset_corner(spark, catalogue):
-    import os
-    import uuid
-
-    from pyspark.sql import functions as F
-
-    from freshcat.plans import cli
-    from freshcat.session import checkpoint_dir
-
-    preset = CATALOGUE_CORNERS[0]
-    db = f"fc_cli_{uuid.uuid4().hex[:6]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name, frame in catalogue.items():
-        if name == "dim_hub_item_and_site_contract":
-            frame = frame.withColumn("site_name", F.when(F.col("site_name") == "SiteA", F.lit(preset.site_name))
-                                     .otherwise(F.col("site_name")))
-        if name == "dim_hub_item_and_ftdt":
-            frame = frame.withColumn("filetype_id", F.when(F.col("filetype_id") == "030300",
-                                                           F.lit(preset.filetype_ids[0])).otherwise(F.col("filetype_id")))
-        frame.write.mode("overwrite").saveAsTable(f"{db}.{name}")
-    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"cli-{uuid.uuid4().hex}")
-    assert cli.main(["--output", root, "--site", preset.site, "--corner", preset.corner, "--month", "2023-03",
-                     "--catalog-db", db, "--flag-db", db, "--threshold", "2"]) == 0
-    name = f"20230301_{preset.site}_{preset.corner}.csv"
-    path = os.path.join(root, f"site={preset.site}", f"corner={preset.corner}", "target_date=20230301", name)
-    with open(path) as fh:
-        lines = fh.read().splitlines()
-    assert len(lines) == 3 and lines[2].split(",")[13] == "album"
+    # a failing run cleans up too
+    with pytest.raises(Exception):
+        run_corner_job(catalogue, "nosuchscheme://x", Corner("s", "c", "SiteA", ("030300",)), month="2023-03", threshold=2)
+    assert {n for n in os.listdir(base) if n.startswith(("result-", "fact-", "cut-"))} == before
