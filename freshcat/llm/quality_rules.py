@@ -7,10 +7,10 @@ over its n-grams of log(p_target / p_raw); a fixed threshold decides for every d
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshcat.llm.common import SPACES, as_row, id_text, split_words, stage
+from freshcat.llm.common import as_row, id_text, split_words, stage
 
 BUCKETS = 65_521
 SMOOTHING = 1.0
@@ -18,35 +18,38 @@ SMOOTHING = 1.0
 THRESHOLD = -0.2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: Trusted ids up to which they are broadcast; beyond, the same join shuffles.
+BROADCAST_IDS = 2_000_000
 SYMBOLS = "#*$%&|<>"
 
 
-def with_grams(words: DataFrame, buckets: int) -> DataFrame:
-    """A row for each word (one of nulls for none): its bucket ``one`` and, unless it is the last, the bucket ``two``
-    of the pair with the next word.
+def with_codes(texts: DataFrame) -> DataFrame:
+    """``texts`` plus ``codes``: the XXH64 (seed 42) of every word, an array of longs that is
+    computed once a text; everything below works on it."""
+    words = texts.select("*", split_words(F.col("text")).alias("words"))
+    return words.select("*", F.inline(as_row(codes=F.transform("words", lambda w: F.xxhash64(w)))))
 
-    c is a word's CRC-32: ``one`` is c mod B, ``two`` is (31 c1 + c2) mod B + B. The rows are
-    made, hashed and summed inside one generated loop; none is written anywhere.
-    """
-    code = lambda w: F.crc32(w.cast("binary"))
-    # outer: for an inner one Spark adds a filter on the array below, and splits texts twice
-    rows = words.select("*", F.posexplode_outer("words").alias("pos", "word"))
-    after = F.get("words", F.col("pos") + 1)
-    return rows.select(
-        *[c for c in words.columns if c != "words"],
-        F.pmod(code(F.col("word")), F.lit(buckets)).cast("int").alias("one"),
-        (F.pmod(code(F.col("word")) * F.lit(31) + code(after), F.lit(buckets)) + F.lit(buckets)).cast("int").alias("two"),
-    )
+
+def bucket_of(code: Column, buckets: int) -> Column:
+    """Bucket of a word."""
+    return F.pmod(code, F.lit(buckets)).cast("int")
 
 
-def with_repeat_words(words: DataFrame) -> DataFrame:
+def pair_bucket_of(code: Column, after: Column, buckets: int) -> Column:
+    """Bucket of a pair of neighbours, from B to 2 B - 1; null without a second word."""
+    return F.when(after.isNotNull(), F.pmod(F.xxhash64(code, after), F.lit(buckets)).cast("int") + F.lit(buckets))
+
+
+def with_repeat_words(coded: DataFrame) -> DataFrame:
     """Plus n_repeat_words: words in 3-word windows that occur twice or more in the text
     (windows by 64-bit hash). Each step's array is computed once (see ``as_row``)."""
-    last = F.size("words") - 3
+    last = F.size("codes") - 3
     at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    window = lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))
-    hashed = words.select("*", F.inline(as_row(windows=F.transform(at, window))))
-    ordered = hashed.select("*", F.inline(as_row(ordered=F.sort_array("windows"))))
+    window = lambda i: F.xxhash64(F.get("codes", i), F.get("codes", i + 1), F.get("codes", i + 2))
+    hashed = coded.select("*", F.inline(as_row(windows=F.transform(at, window))))
+    # most texts have no such window and never sort
+    some = F.size(F.array_distinct("windows")) < F.size("windows")
+    ordered = hashed.select("*", F.inline(as_row(ordered=F.when(some, F.sort_array("windows")).otherwise(F.array().cast("array<long>")))))
     again = F.filter("ordered", lambda h, i: h == F.get("ordered", i + 1))
     found = ordered.select("*", F.inline(as_row(again=F.array_distinct(again))))
     # a few hashes are looked up one by one; many are found as neighbours in hash order
@@ -57,7 +60,7 @@ def with_repeat_words(words: DataFrame) -> DataFrame:
     starts = F.when(F.size("again") <= 32, few).otherwise(many)
     covered = F.size(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2)))))
     return found.select(
-        *words.columns, F.when(F.size("again") == 0, F.lit(0)).otherwise(covered).cast("long").alias("n_repeat_words"))
+        *coded.columns, F.when(F.size("again") == 0, F.lit(0)).otherwise(covered).cast("long").alias("n_repeat_words"))
 
 
 def gram_ratios(docs: DataFrame, target_ids: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,13 +68,17 @@ def gram_ratios(docs: DataFrame, target_ids: DataFrame, buckets: int = BUCKETS,
     2 x ``buckets`` rows at any corpus size. Both corpora are counted whole; without target
     n-grams every ratio is 0."""
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("target_id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    flagged = texts.join(ids, texts["id"] == ids["target_id"], "left").select(
-        F.col("target_id").isNotNull().cast("int").alias("trusted"),
-        split_words(F.coalesce("text", F.lit(""))).alias("words"),
-    )
+    ids = stage(ids, "target-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    flagged = texts.join(ids, texts["id"] == ids["target_id"], "left").select(F.col("target_id").isNotNull().cast("int").alias("trusted"), "text")
+    # the rows for words and pairs are made, hashed and summed in one generated loop. Outer:
+    # for an inner explode Spark adds a filter on the array below it, and computes it twice
+    each = with_codes(flagged).select("trusted", "codes", F.posexplode_outer("codes").alias("at", "code"))
+    after = F.get("codes", F.col("at") + 1)
     counts = (
-        with_grams(flagged, buckets).select("trusted", F.explode(F.array("one", "two")).alias("bucket"))
+        each.select("trusted", F.explode(F.array(bucket_of(F.col("code"), buckets), pair_bucket_of(F.col("code"), after, buckets))).alias("bucket"))
         .where(F.col("bucket").isNotNull())
         .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
     )
@@ -91,17 +98,14 @@ def judge(texts: DataFrame, ratios: DataFrame, buckets: int, threshold: float) -
     for bucket, ratio in ratios.select("bucket", "ratio").collect():  # at most 2 x buckets rows
         table[bucket] = ratio
     ratio_of = lambda b: F.get(F.from_json(F.lit(str(table)), "array<double>"), b)  # noqa: E731  folded once
-    words = with_repeat_words(texts.select("*", split_words(F.col("text")).alias("words")))
-    codes = words.select("*", F.inline(as_row(codes=F.transform("words", lambda w: F.crc32(w.cast("binary"))))))
-    code = lambda i: F.get("codes", i)
-    one = lambda i: ratio_of(F.pmod(code(i), F.lit(buckets)).cast("int"))
-    two = lambda i: ratio_of((F.pmod(code(i) * F.lit(31) + code(i + 1), F.lit(buckets)) + F.lit(buckets)).cast("int"))
-    n = F.size("words")
-    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + one(i) + F.coalesce(two(i), F.lit(0.0)))
+    codes = with_repeat_words(with_codes(texts))
+    code, n = (lambda i: F.get("codes", i)), F.size("codes")
+    pair = lambda i: F.coalesce(ratio_of(pair_bucket_of(code(i), code(i + 1), buckets)), F.lit(0.0))
+    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + ratio_of(bucket_of(code(i), buckets)) + pair(i))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     counted = codes.select(
         *texts.columns, n.cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", SPACES, "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
