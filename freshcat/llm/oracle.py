@@ -1,3 +1,117 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+The others need XXH64 (op2, op7), a tokenizer (op4, op5), a fitted model (op1) or every
+string of 200 bytes (op6); their tests compare them with brute force. op8 and op9 depend on
+hashing only inside the operator: the SQL of op9 compares words themselves (in SQL op8's
+sentence rules are not to be had; a test has them by brute force).
+"""
+
+from __future__ import annotations
+
+#: CRC-32 of UTF-8 bytes from its defining polynomial, a byte a step (fixed value: the
+#: reflected polynomial 0xEDB88320).
+CRC32 = """
+crc_table AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b::UBIGINT, range(8)::UBIGINT[]),
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END) AS v
+    FROM range(256) r(b))
+),
+crc AS (
+  SELECT text, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(0, strlen(text)),
+      lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::UBIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::INT + 1])), 4294967295::UBIGINT)::BIGINT AS crc
+  FROM (SELECT DISTINCT coalesce(text, '') AS text FROM documents), crc_table
+)"""
+
+SHARDS = """
+sized AS (
+  SELECT d.doc_id, (strlen(c.text) + 1)::BIGINT AS size, c.crc AS text_crc32
+  FROM documents d JOIN crc c ON coalesce(d.text, '') = c.text
+),
+summed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto,
+         sum(size) OVER () AS total,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) AS place
+  FROM sized
+),
+placed AS (SELECT *, least(15, ((2 * upto - size) * 16) // (2 * total))::INT AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       (place - min(place) OVER (PARTITION BY shard))::BIGINT AS slot, CAST(NULL AS INT) AS grown_shard
+FROM placed"""
+
+CHAT = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+),
+sized AS (
+  SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS last,
+         length('<|im_start|>') + 1 + length('<|im_end|>') + 1
+           + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n'))
+           + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+upto AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS prefix FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(prefix) FILTER (role = 'assistant' OR n = last))::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant') AS n_examples
+FROM upto GROUP BY conv_id"""
+
+#: Every window of the item's size at every place of every document, without an index.
+LEAKS = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS w
+  FROM (SELECT DISTINCT doc_id, text FROM documents)
+),
+b AS (
+  SELECT item_id, v, len(v) AS size, least(5, len(v)) AS k FROM (
+    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS v
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) WHERE len(v) > 0
+),
+ish AS (
+  SELECT item_id, v, size, k, s, count(*) AS n FROM (
+    SELECT item_id, v, size, k, unnest(list_transform(range(1, size - k + 2), lambda i: array_to_string(v[i:i + k - 1], ' '))) AS s FROM b)
+  GROUP BY ALL
+),
+sizes AS (SELECT DISTINCT k FROM b),
+dsh AS (
+  SELECT doc_id, w, k, p - 1 AS p, array_to_string(w[p:p + k - 1], ' ') AS s
+  FROM d, sizes, unnest(range(1, greatest(len(w) - k + 2, 1))) r(p)
+),
+-- a window that is similar at all holds a shared shingle: windows around each place of one
+places AS (
+  SELECT DISTINCT x.doc_id, x.w, i.item_id, i.v, i.size, i.k, x.p FROM dsh x JOIN (SELECT DISTINCT item_id, v, size, k, s FROM ish) i ON x.k = i.k AND x.s = i.s
+),
+wins AS (
+  SELECT DISTINCT doc_id, w, item_id, v, size, k, st
+  FROM places, unnest(range(greatest(p - size + 1, 0), greatest(least(p, len(w) - size), 0) + 1)) r(st)
+),
+wsh AS (
+  SELECT doc_id, w, item_id, v, size, k, st, s, count(*) AS n FROM (
+    SELECT *, unnest(list_transform(range(1, len(w[st + 1:st + size]) - k + 2), lambda i: array_to_string(w[st + i:least(st + i + k - 1, st + size)], ' '))) AS s FROM wins)
+  GROUP BY ALL
+),
+wn AS (SELECT doc_id, w, item_id, v, st, sum(n) AS n FROM wsh GROUP BY ALL),
+inn AS (SELECT item_id, v, sum(n) AS n FROM ish GROUP BY ALL),
+both_ AS (
+  SELECT x.doc_id, x.w, x.item_id, x.v, x.st, sum(least(x.n, i.n)) AS n
+  FROM wsh x JOIN ish i ON x.item_id = i.item_id AND x.v = i.v AND x.s = i.s GROUP BY ALL
+),
+sim AS (
+  SELECT a.doc_id, a.w, a.item_id, a.v, a.st, a.n / (c.n + e.n - a.n) AS similarity
+  FROM both_ a JOIN wn c ON a.doc_id IS NOT DISTINCT FROM c.doc_id AND a.w = c.w AND a.item_id = c.item_id AND a.v = c.v AND a.st = c.st
+  JOIN inn e ON a.item_id = e.item_id AND a.v = e.v
+)
+SELECT doc_id, item_id, round(max(similarity), 6) AS similarity, arg_min(st, (1 - similarity, st)) AS start
+FROM sim WHERE similarity >= 0.8 GROUP BY doc_id, w, item_id, v"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_format": CHAT,
+    "op9_decontaminate": LEAKS,
+    "op10_sharding": "WITH " + CRC32.strip() + "," + SHARDS,
+}

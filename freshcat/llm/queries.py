@@ -73,7 +73,7 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "item_id", "similarity", "start", "distance")
+    return found.select("doc_id", "item_id", "similarity", "start")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
