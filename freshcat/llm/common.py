@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -25,18 +25,26 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for an application, so that they need
-    not have it installed (Spark copies the archive to every executor)."""
+    not have it installed: an archive in the shared checkpoint folder, which Spark copies to
+    every executor."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="freshcat-py-"), "freshcat.zip")
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, files in os.walk(root):
             for name in files:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    archive = f"{checkpoint_dir(spark).rstrip('/')}/py-{uuid.uuid4().hex}/freshcat.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(archive)
+    stream = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(bytearray(packed.getvalue()))
+    finally:
+        stream.close()
     sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
 
