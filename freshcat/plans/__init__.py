@@ -1,6 +1,7 @@
 """Composite jobs built from the operators.
 
-* ``corners``        the eight catalogue corners (fixed configuration) and their join table
+* ``corners``        corners from a JSON file and their join table
+* ``catalogue``      the catalogue's tables by role, from a JSON file
 * ``monthly_job``    the monthly job over the catalogue's own tables: material, album
                      dimension, fact, rollup, dedup; one corner, all corners, a month range,
                      newest-first publishing, and the runners that write, export and register

@@ -181,13 +181,13 @@ def test_run_corner_job_exports_and_registers(spark, catalogue):
 
 
 def test_empty_collection_bridge_falls_back(spark, catalogue):
-    # the amuse corner re-reads the collection bridge when the first scan comes back empty
-    amuse = Corner("site_m", "tolerant", "SiteA", ("030300",), require_tieup=False,
+    # a corner that asks for it re-reads the collection bridge when the first scan comes back empty
+    asking = Corner("site_m", "tolerant", "SiteA", ("030300",), require_tieup=False,
                    fallback_collection_bridge=True)
     empty = dict(catalogue)
     empty["album_collection"] = catalogue["album_collection"].limit(0)
     fallback = lambda: catalogue["album_collection"]
-    got = rows(corner_job(empty, "2023-03", amuse, threshold=2, bridge_fallback=fallback))
+    got = rows(corner_job(empty, "2023-03", asking, threshold=2, bridge_fallback=fallback))
     assert got == [NINE, ALBUM, FOUR]
     # without the fallback the album is still found through its own track list, but the
     # bridge to its items is missing: no album artist, no album release date
