@@ -218,8 +218,10 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, task
 
     all_anchors = stage(rows.mapInPandas(find, "doc_id long, th long, g long, c long, n long"), "anchors")
     grams = all_anchors.groupBy("g").agg(F.sum("n").alias("total"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("total > 1")
-    found = stage(all_anchors.join(grams.select("g", (F.col("c0") == F.col("c1")).alias("single")).hint("merge"), "g"), "repeated-anchors")
-    unstage(all_anchors)
+    # written first: with nothing but exchanges below a join, a hot gram is split over tasks
+    grams = stage(grams.select("g", (F.col("c0") == F.col("c1")).alias("single")), "repeated-grams")
+    found = stage(all_anchors.join(grams.hint("merge"), "g"), "repeated-anchors")
+    unstage(all_anchors, grams)
 
     # contexts of grams that have several, each fetched from one document that holds it
     holder = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
