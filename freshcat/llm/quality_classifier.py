@@ -114,8 +114,23 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, size: int = FEATURES, samp
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
     few = F.slice(F.sort_array(features(F.col("text"), size)), 1, SAMPLE_FEATURES)
-    got = joined.select("doc_id", "grade", few.alias("f")).orderBy("doc_id", "grade").limit(2 * sample).toPandas()
-    return fit([np.asarray(f, dtype=np.int64) for f in got["f"]], got["grade"].to_numpy(np.int64), size)
+    rows = joined.select("doc_id", "grade", few.alias("f")).orderBy("doc_id", "grade").limit(2 * sample)
+
+    def fitted(got: pd.DataFrame) -> pd.DataFrame:
+        got = got.sort_values(["doc_id", "grade"], kind="stable")
+        model = fit([np.asarray(f, dtype=np.int32) for f in got["f"]], got["grade"].to_numpy(np.int64), size)
+        used = np.flatnonzero(model.weights)
+        return pd.DataFrame({"feature": np.concatenate([used, -1 - np.arange(len(model.thresholds))]),
+                             "value": np.concatenate([model.weights[used], model.thresholds])})
+
+    # the sample's bound makes it one task's work; the driver only gets the model
+    ship_package(docs.sparkSession)
+    found = rows.groupBy(F.lit(0).alias("one")).applyInPandas(fitted, "feature int, value double").toPandas()
+    if not len(found):
+        return fit([], np.empty(0, np.int64), size)
+    weights, at, value = np.zeros(size), found["feature"].to_numpy(), found["value"].to_numpy()
+    weights[at[at >= 0]] = value[at >= 0]
+    return OrdinalModel(weights, value[at < 0][np.argsort(-at[at < 0])])
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel, tail_grade: int = 2, least_tail: float = 0.5,
