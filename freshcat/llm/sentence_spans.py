@@ -95,11 +95,12 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_SPAN_
     rows = with_text_hash(id_text(docs, id_col, text_col))
     spans = stage(rows.mapInPandas(hashed, "doc_id long, th long, hashes array<long>"), "spans")
     each = spans.select("doc_id", "th", F.posexplode("hashes").alias("run", "h"))
-    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written first: with nothing but exchanges below a join, a hot hash is split over tasks
+    shared = stage(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "shared-hashes")
     found = stage(each.join(shared.hint("merge"), "h"), "shared-spans")  # only what repeats goes on
-    unstage(spans)
+    unstage(spans, shared)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "run")
-    first = found.groupBy("h").agg(F.min(place).alias("first"))  # partial minima: a hot run is a row a task
+    first = stage(found.groupBy("h").agg(F.min(place).alias("first")), "first-spans")  # partial minima: a hot run is a row a task
     others = found.join(first.hint("merge"), "h").where(place != F.col("first"))
     return others.groupBy("doc_id", "th").agg(
         F.collect_set("run").alias("later"), F.array_sort(F.collect_set("first.doc_id")).alias("first_doc_ids"))
