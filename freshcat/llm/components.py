@@ -10,17 +10,20 @@ from freshcat.llm.common import stage, unstage
 MAX_ROUNDS = 60
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    linked = both.join(least.hint("merge"), "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    return linked, least
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A node's smaller neighbours and the node itself are linked to the least of them."""
-    least = links.groupBy("b").agg(F.min("a").alias("m"))
-    return links.join(least.hint("merge"), "b").select(F.col("m").alias("x"), F.col("a").alias("y")).unionByName(least.select(F.col("m").alias("x"), F.col("b").alias("y"))).where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    least = stage(links.groupBy("b").agg(F.min("a").alias("m")), "least")
+    neighbours = links.join(least.hint("merge"), "b").select(F.col("m").alias("x"), F.col("a").alias("y"))
+    own = least.select(F.col("m").alias("x"), F.col("b").alias("y"))
+    return neighbours.unionByName(own).where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")), least
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,8 +31,8 @@ def components(links: DataFrame) -> DataFrame:
     least node of its component.
 
     Each round is two star contractions: grouped minima (with partial aggregation, so a hub
-    of any degree is one row a task) joined back on the node (a hub's rows are split by the
-    skew join of adaptive execution). It ends when the links are stars around the roots. Every
+    of any degree is one row a task), written and joined back on the node: with nothing but
+    exchanges below the join, adaptive execution splits a hub's rows over tasks. It ends when the links are stars around the roots. Every
     round is written under ``spark.checkpoint.dir``, which cuts the lineage; the driver only
     sees one checksum a round. Self-links and repeated links are allowed, null ends are not.
     """
@@ -42,8 +45,12 @@ def components(links: DataFrame) -> DataFrame:
         if again == state:
             break
         state, before = again, now
-        now = stage(ordered(_small_star(_large_star(before).distinct())), "links")
-        unstage(before)
+        large, least = _large_star(before)
+        middle = stage(large.distinct(), "links")
+        unstage(before, least)
+        small, least = _small_star(middle)
+        now = stage(ordered(small), "links")
+        unstage(middle, least)
     else:
         raise RuntimeError(f"no end after {MAX_ROUNDS} rounds")
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

@@ -156,7 +156,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> Da
         for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))
     ]
     index = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
-    shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written first: with nothing but exchanges below a join, a hot key is split over tasks
+    shared = stage(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-keys")
     chunks = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     dealt = index.join(shared.hint("merge"), "key").select(
         "key", "fp", chunks.alias("chunks"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("chunk"))
@@ -199,7 +200,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = stage(placed, "roots")
     unstage(distinct)
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = stage(placed.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     by_fp = placed.join(ids.hint("merge"), "root").select("fp", "root", "component_id")
     return rows.join(by_fp.hint("merge"), "fp").select("doc_id", "th", "fp", "root", "component_id")
 
