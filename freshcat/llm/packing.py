@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,8 @@ from freshcat.llm.common import id_text, ship_package, stage
 WINDOW = 4096
 #: Remainders packed together by one task.
 GROUP_PIECES = 50_000
-#: Words a Python worker remembers; the memory is emptied when it is full.
-CACHED_WORDS = 300_000
+#: Words a task remembers; once full, further words are encoded when they occur.
+CACHED_WORDS = 600_000
 
 _TOKENIZERS: dict[int, object] = {}
 
@@ -39,13 +40,13 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.known: dict[bytes, bytes] = {}
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
+    def encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out = {}
         for k in range(0, len(words), 20_000):
             block = words[k:k + 20_000]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in block], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(block, found, strict=True))
+            out.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(block, found, strict=True))
+        return out
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text; texts are taken a few MB at a time."""
@@ -56,16 +57,17 @@ class WordIds:
                 split.append(texts[at].encode().split())
                 size += len(texts[at])
                 at += 1
-            new = set().union(*split) if split else set()
-            missing = list(new.difference(self.known))
-            if missing:
-                if len(self.known) + len(missing) > CACHED_WORDS:
-                    self.known.clear()
-                    missing = list(new)
-                self.learn(missing)
-            get = self.known.__getitem__
-            for words in split:
-                yield b"".join(map(get, words))
+            new = self.encoded(list(set().union(*split).difference(self.known)))
+            room = CACHED_WORDS - len(self.known)
+            self.known.update(islice(new.items(), max(room, 0)))
+            if len(new) > room:  # the memory is full: it holds the words seen first, mostly the frequent ones
+                known, late = self.known.get, new.get
+                for words in split:
+                    yield b"".join([known(w) or late(w, b"") for w in words])
+            else:
+                get = self.known.__getitem__
+                for words in split:
+                    yield b"".join(map(get, words))
 
 
 def _word_ids(key: int, tokenizer_json) -> WordIds:
@@ -98,17 +100,20 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW,
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _word_ids(key, sent)
         last = np.array([end_id], dtype="<u4").tobytes()
-        for b in batches:
-            rows = []
-            for doc_id, ids in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), words.texts(b["text"].tolist()), strict=True):
-                ids += last
-                tokens = len(ids) // 4
-                for start, length in cut(tokens, window):
-                    part = ids[4 * start:4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(part), tokens) + ((np.frombuffer(part, "<u4").astype(np.int32),) if keep_ids else ()))
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+        try:
+            for b in batches:
+                rows = []
+                for doc_id, ids in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), words.texts(b["text"].tolist()), strict=True):
+                    ids += last
+                    tokens = len(ids) // 4
+                    for start, length in cut(tokens, window):
+                        part = ids[4 * start:4 * (start + length)]
+                        rows.append((doc_id, start, length, zlib.crc32(part), tokens) + ((np.frombuffer(part, "<u4").astype(np.int32),) if keep_ids else ()))
+                out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
+                out["doc_id"] = out["doc_id"].astype("Int64")
+                yield out
+        finally:
+            words.known = {}  # an idle worker keeps no memory from the next stage
 
     return id_text(docs, id_col, text_col).mapInPandas(pieces, schema)
 
