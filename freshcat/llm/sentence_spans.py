@@ -7,6 +7,7 @@ and sentences covered by any repeated run that is not the first of its kind go.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,35 +17,83 @@ from pyspark.sql import functions as F
 from freshcat.llm.common import id_text, ship_package, stage, unstage, with_text_hash
 
 SPAN = 3
-#: A longer sentence counts as pieces of so many words, so text without full stops has units.
+#: A longer sentence counts as pieces of so many words at most, so text without full stops has units.
 MAX_SENTENCE_WORDS = 12
+#: A longer sentence is cut before the word of least hash of any so many consecutive words.
+CUT_WORDS = 8
 #: A run goes on until it has so many words: runs of a few short words repeat by chance.
 MIN_SPAN_WORDS = 12
 
 _END = re.compile(r"[.!?]+(?=\s)\s*|\n\s*")
-_WORD = re.compile(r"\S+")
+#: Scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han): a character counts as a word.
+_SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_SPACELESS}]|[^\s{_SPACELESS}]+")
+#: So does a character of a longer word.
+MAX_WORD_CHARS = 200
+_SPACELESS_CHARACTER = re.compile(f"[{_SPACELESS}]")
+_SPACED_WORD = re.compile(r"\S+")
+
+
+def placed_words(text: str, start: int, end: int) -> list[tuple[int, str]]:
+    """(start, lower-case word) of the words in a part of a text."""
+    out = []
+    for m in _WORD.finditer(text, start, end):
+        if m.end() - m.start() <= MAX_WORD_CHARS:
+            out.append((m.start(), m.group().lower()))
+        else:
+            out += [(i, text[i].lower()) for i in range(m.start(), m.end())]
+    return out
+
+
+def content_cuts(words: list[str], window: int = CUT_WORDS) -> list[int]:
+    """Numbers of the words that start a new piece: in each ``window`` consecutive words the
+    one of least hash, the last of equals.
+
+    A place depends on the words within ``window`` of it alone, so equal passages are cut
+    alike wherever they begin, from the first cut in their first ``window`` words to the last
+    one in their last. No piece is longer than ``window``.
+    """
+    hashes = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    cuts, at = [], -1
+    for end in range(window - 1, len(hashes)):
+        low = end - window + 1
+        if at < low:
+            part = hashes[low:end + 1]
+            at = end - part[::-1].index(min(part))
+        elif hashes[end] <= hashes[at]:
+            at = end
+        else:
+            continue
+        if at:
+            cuts.append(at)
+    return cuts
 
 
 def sentences(text: str, max_words: int = MAX_SENTENCE_WORDS) -> list[tuple[int, int, list[str]]]:
     """(start, end, lower-case words) of each unit; the units cover the whole text.
 
     A sentence ends after . ! or ? before white space, and at a line feed; white space
-    belongs to the sentence before it (at the start of a text, to the first one).
+    belongs to the sentence before it (at the start of a text, to the first one). One of more
+    than ``max_words`` words is cut at places its words choose (:func:`content_cuts`).
     """
     bounds = [m.end() for m in _END.finditer(text)]
     if not bounds or bounds[-1] < len(text):
         bounds.append(len(text))
     units, start = [], 0
+    # most texts: words are what white space parts
+    spaced = max(map(len, text.split()), default=0) <= MAX_WORD_CHARS and not _SPACELESS_CHARACTER.search(text)
     for end in bounds:
-        words = text[start:end].lower().split()
+        placed = [] if spaced else placed_words(text, start, end)
+        words = text[start:end].lower().split() if spaced else [w for _, w in placed]
         if not words:
             continue  # blank: goes with the next sentence
         if len(words) <= max_words:
             units.append((start, end, words))
         else:
-            at = [m.start() for m in _WORD.finditer(text, start, end)]
-            cuts = [start, *at[max_words::max_words], end]
-            units += [(a, b, text[a:b].lower().split()) for a, b in zip(cuts, cuts[1:])]
+            places = [m.start() for m in _SPACED_WORD.finditer(text, start, end)] if spaced else [a for a, _ in placed]
+            cuts = [0, *content_cuts(words, min(CUT_WORDS, max_words)), len(words)]
+            at = [start, *[places[k] for k in cuts[1:-1]], end]
+            units += [(at[k], at[k + 1], words[cuts[k]:cuts[k + 1]]) for k in range(len(at) - 1)]
         start = end
     if units and start < len(text):  # blank rest
         units[-1] = (units[-1][0], len(text), units[-1][2])

@@ -92,3 +92,61 @@ def test_a_passage_in_two_documents_stays_only_in_the_first(spark):
     got = {r.doc_id: r for r in P.remove_repeated_spans(docs).collect()}
     assert got[0].n_removed == 0
     assert all(got[k].n_removed >= 0.8 * len(passage) and 0 in got[k].first_doc_ids for k in range(1, 5))
+
+
+def gone_words(text, words, length=50):
+    """Word numbers of ``text`` in a run of ``length`` words that ``words`` has too."""
+    own = text.lower().split()
+    known = {tuple(words[i:i + length]) for i in range(len(words) - length + 1)}
+    return {k for i in range(len(own) - length + 1) if tuple(own[i:i + length]) in known for k in range(i, i + length)}
+
+
+def test_repeats_of_50_words_at_every_offset(spark):
+    """Passages without a stop, with one near the end, or in prose, beginning at each offset of
+    a long sentence, found by comparing words: most of each goes, and no word of another place."""
+    rng = np.random.default_rng(9)
+    fresh = lambda n: ["w" + "".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+    plain, late, middle = fresh(50), fresh(60), fresh(50)
+    late[50] += "."
+    middle[24] += "?"
+    rows = [(0, " ".join(fresh(5) + plain + fresh(9) + late + fresh(7) + middle + fresh(4)))]
+    for k in range(26):
+        rows += [(100 * n + k + 1, " ".join(fresh(k) + p + fresh(30 - k))) for n, p in enumerate((plain, late, middle))]
+    got = {r.doc_id: r for r in P.remove_repeated_spans(spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)).collect()}
+    assert got[0].n_removed == 0
+    first = rows[0][1].lower().split()
+    for i, text in rows[1:]:
+        repeated = gone_words(text, first)
+        assert len(repeated) >= 50
+        words = text.lower().split()
+        left = got[i].text.lower().split()
+        assert set(words) - set(left) <= {words[k] for k in repeated}  # fresh words are all different
+        assert len(words) - len(left) >= len(repeated) - 2 * (P.CUT_WORDS - 1), i
+        assert 0 in got[i].first_doc_ids
+
+
+def test_repeats_in_text_without_white_space(spark):
+    rng = np.random.default_rng(10)
+    for low, high in ((0x4E00, 0x9FA5), (0x3041, 0x3096), (0x61, 0x7A)):
+        fresh = lambda n: "".join(map(chr, rng.integers(low, high, n)))  # noqa: B023, E731
+        passage = fresh(50)
+        # the characters beside the passage differ, so that it is just 50 long
+        rows = [(k, fresh(200 + k) + chr(0x430 + k) + passage + chr(0x430 + k) + fresh(89)) for k in range(15)]
+        got = {r.doc_id: r for r in P.remove_repeated_spans(spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA)).collect()}
+        assert got[0].text == rows[0][1]
+        for k in range(1, 15):
+            at = len(rows[k][1]) - 90 - 50
+            assert got[k].text.startswith(rows[k][1][:at]) and got[k].text.endswith(rows[k][1][-90:])
+            assert 50 - 2 * (P.CUT_WORDS - 1) <= len(rows[k][1]) - len(got[k].text) <= 50
+
+
+def test_equal_passages_are_cut_alike_at_every_phase():
+    rng = np.random.default_rng(11)
+    for pool in (3, 40, 10**6):
+        for _ in range(40):
+            passage, inner = [f"w{x}" for x in rng.integers(0, pool, 50)], set()
+            for k in range(13):
+                cuts = P.content_cuts([f"x{x}" for x in rng.integers(0, 99, k)] + passage + ["y"] * 9)
+                assert max(b - a for a, b in zip([0, *cuts], [*cuts, k + 59])) <= P.CUT_WORDS
+                inner.add(tuple(c - k for c in cuts if P.CUT_WORDS - 1 <= c - k <= 50 - P.CUT_WORDS))
+            assert len(inner) == 1
