@@ -4,9 +4,10 @@ A window is a run of as many words as a benchmark item has. Windows and items ge
 fingerprints over their word shingles; multi-index Hamming blocks find all fingerprints
 within a radius; the exact weighted similarity of the shingles decides.
 
-Windows are only made where they can pass: a window that is similar at all shares a shingle
-with the item, so each run of shared shingles gives the window that lies on the item there,
-and those up to ``slack`` words before and after it.
+Windows are only made where the first of the most similar ones can be. A window whose last
+shingle is not the item's can move a word to the left and lose nothing, so only windows that
+end with a shingle of the item count (and the one at the document's start); and a window can
+only pass with enough places of the item's shingles in it, in whatever order.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ SIMILARITY = 0.8
 #: Bits that two fingerprints may differ in, blocks, and bits of a block that may differ in
 #: an index look-up: 10 blocks and 19 bits leave a block with at most 1.
 RADIUS, BLOCKS, FLIPS = 19, 10, 1
-SLACK = 2
 #: Rows of the item tables up to which they are broadcast; beyond, the same joins shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Letters, marks and digits make words; case does not count.
@@ -77,7 +77,7 @@ def shingles_of(words: Column, k: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, slack: int = SLACK,
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, th, item_id, similarity, start, distance): a row for each document and item
     of which the document holds a copy: the most similar window (the first of equals).
@@ -102,40 +102,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     def run_hash(words: Column, at: Column, k: int) -> Column:
         return F.xxhash64(F.lit(k), *[F.get(words, at + j) for j in range(k)])
 
-    # 1. runs of shared shingles: only the first shingle of a run goes on
+    # 1. places of the items' shingles in the documents
     at_item = items.select("*", F.posexplode("iwords").alias("q", "w")).where(F.col("q") <= F.col("length") - F.col("k"))
     grams = stage(at_item.select(
-        "item", "length", "k", "q", F.get("iwords", F.col("q") - 1).alias("before"),
+        "item", "length", "k",
         F.coalesce(*[F.when(F.col("k") == k, run_hash(F.col("iwords"), F.col("q"), k)) for k in sizes], F.lit(0)).alias("gram"),
-    ), "item-shingles")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("th"),
-                        words_of(F.col(text_col)).alias("words"))
+    ).distinct(), "item-shingles")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("th"), F.col(text_col).alias("text"))
+    texts = keyed.select("doc_id", "th", words_of(F.col("text")).alias("words"))
     # outer: for an inner one Spark adds a filter on the array below, and splits texts twice
     places = texts.select("*", F.posexplode_outer("words").alias("p", "w"))
     hashes = [F.when(F.col("p") <= F.size("words") - k, run_hash(F.col("words"), F.col("p"), k)) for k in sizes]
-    probed = places.select("doc_id", "th", "words", "p", (F.explode(F.array(*hashes)) if len(hashes) > 1 else (hashes or [F.lit(None).cast("long")])[0]).alias("gram"))
-    start = F.col("p") - F.col("q")
-    base = F.greatest(F.least(start - slack, F.size("words") - F.col("length")), F.lit(0))
-    windows = (
-        probed.join(bounded(grams), "gram")
-        .where((F.col("q") == 0) | (F.col("p") == 0) | (F.get("words", F.col("p") - 1) != F.col("before")))
-        .select(
-            "doc_id", "th", "length", "k",
-            start.alias("start"),
-            # the words of all windows that start up to ``slack`` words off
-            base.alias("base"),
-            F.slice("words", base + 1, F.greatest(start + slack - base, F.lit(0)) + F.col("length")).alias("near"),
-            F.size("words").alias("total"),
-        )
-    )
-    windows = stage(windows, "windows")
-    shifted = windows.select("*", F.explode(F.sequence(F.lit(-slack), F.lit(slack))).alias("off")).select(
-        "doc_id", "th", "length", "k",
-        F.greatest(F.least(F.col("start") + F.col("off"), F.col("total") - F.col("length")), F.lit(0)).alias("start"), "base", "near",
-    )
-    cut = shifted.select(
-        "doc_id", "th", "length", "k", "start", F.slice("near", F.col("start") - F.col("base") + 1, F.col("length")).alias("wwords"),
-    ).where(F.size("wwords") >= F.col("k")).dropDuplicates(["doc_id", "th", "length", "k", "start"])
+    probed = places.select("doc_id", "th", F.size("words").alias("total"), "p", (F.explode(F.array(*hashes)) if len(hashes) > 1 else (hashes or [F.lit(None).cast("long")])[0]).alias("gram"))
+    hits = probed.join(bounded(grams), "gram").groupBy("doc_id", "th", "total", "item", "length", "k").agg(F.array_sort(F.collect_set("p")).alias("places"))
+    # a window of w shingles passes if it shares s with the item's i: s / (w + i - s) >= similarity
+    of_window = F.least("length", "total") - F.col("k") + 1
+    needed = F.ceil(F.lit(similarity) * (of_window + F.col("length") - F.col("k") + 1) / F.lit(1 + similarity) - F.lit(1e-6)).cast("int")
+    hits = hits.select("doc_id", "th", "length", "k", "places", of_window.alias("w"), F.greatest(needed, F.lit(1)).alias("needed"))
+    ends = F.filter("places", lambda p, i: p - F.get("places", i - F.col("needed") + 1) < F.col("w"))
+    starts = hits.select("doc_id", "th", "length", "k", F.explode(ends).alias("p")).select(
+        "doc_id", "th", "length", "k", F.greatest(F.col("p") - F.col("length") + F.col("k"), F.lit(0)).alias("start")).distinct()
+    starts = stage(starts, "window-starts")
+    # a row for each document with windows, and its words again
+    few = starts.count() <= BROADCAST_ROWS
+    each = starts.groupBy("doc_id", "th").agg(F.collect_list(F.struct("length", "k", "start")).alias("at"))
+    each = stage(each.withColumnsRenamed({"doc_id": "s_id", "th": "s_th"}), "window-documents")
+    again = keyed.join(F.broadcast(each) if few else each.hint("merge"), F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("th") == F.col("s_th")))
+    # rows equal in id and text are one document
+    again = again.groupBy("doc_id", "th").agg(F.first("text").alias("text"), F.first("at").alias("at"))
+    windows = again.select("doc_id", "th", words_of(F.col("text")).alias("words"), "at").select("doc_id", "th", "words", F.inline("at"))
+    cut = windows.select("doc_id", "th", "length", "k", "start", F.slice("words", F.col("start") + 1, F.col("length")).alias("wwords"))
     names = ["doc_id", "th", "length", "start"]
     cut = stage(cut.select(*names, shingles_of(F.col("wwords"), F.col("k")).alias("shingles")), "window-shingles")
 

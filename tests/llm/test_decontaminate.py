@@ -95,3 +95,52 @@ def test_fingerprint_bits(spark):
     for r in got:
         h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in text[r.k]]
         assert r.fp % 2**64 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@pytest.mark.parametrize("rows", [10**6, 0])
+def test_reordered_items_in_other_text(spark, monkeypatch, rows):
+    monkeypatch.setattr(D, "BROADCAST_ROWS", rows)
+    rng = np.random.default_rng(15)
+    prose = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    a, b, c = prose(30), prose(30), prose(59)
+    echo = prose(12) * 3 + prose(14)  # shingles that occur three times
+    items = [(1, " ".join(a + b)), (2, " ".join(c)), (3, " ".join(echo))]
+    turned = [b + a, c[49:] + c[:49], a[20:] + b + a[:20], echo[12:] + echo[:12], echo[-14:] + echo[:-14], echo[24:36] + echo[:24] + echo[36:]]
+    docs = []
+    for k, v in enumerate(turned):
+        docs += [(10 * k, " ".join(prose(40) + v + prose(25))), (10 * k + 1, " ".join(v)), (10 * k + 2, " ".join(prose(3) + v)), (10 * k + 3, " ".join(v + prose(70)))]
+    docs += [(200, " ".join(prose(9) + b + prose(9) + a)), (None, docs[0][1]), (None, docs[0][1])]
+    want = brute(docs, items)
+    assert {i for _, i, _ in want} == {1, 2, 3} and {"0", "10"} <= {d for d, _, _ in want} and ("0", 1, round(52 / 60, 6)) in want
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = D.contaminated(spark.createDataFrame([(*d, "", "") for d in docs], DOCS), bench).collect()
+    assert {(str(r.doc_id), r.item_id, r.similarity) for r in got} == want
+    assert len(got) == len(want)
+
+
+def first_best(text, item):
+    w, v = words(text), words(item)
+    k = min(5, len(v))
+    want, best = shingles(v, k), (0, 0)
+    for s in range(max(len(w) - len(v), 0) + 1):
+        have = shingles(w[s:s + len(v)], k)
+        both = sum((want & have).values())
+        best = max(best, (both / (sum(want.values()) + sum(have.values()) - both) if have else 0, -s))
+    return -best[1]
+
+
+def test_start_is_the_first_of_the_most_similar_windows(spark):
+    docs, items = made()
+    texts, by_item = {(str(i), D_hash(t)): t for i, t in docs}, dict(items)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = D.contaminated(spark.createDataFrame([(*d, "", "") for d in docs], DOCS), bench).collect()
+    assert got
+    for r in got:
+        assert r.start == first_best(texts[(str(r.doc_id), r.th)], by_item[r.item_id])
+
+
+def D_hash(text):
+    import xxhash
+
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
