@@ -83,9 +83,14 @@ def as_row(**cols: Column) -> Column:
     return F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared checkpoint folder that nothing has used."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_path = path

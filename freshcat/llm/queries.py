@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshcat.llm.addressable_codes import read_token_files, write_token_files
 from freshcat.llm.chat_format import prefix_target_examples, read_back
-from freshcat.llm.common import table
+from freshcat.llm.collocations import collocations
+from freshcat.llm.common import new_path, table
 from freshcat.llm.decontaminate import contaminated
+from freshcat.llm.lexical_search import search
 from freshcat.llm.packing import pack_documents
 from freshcat.llm.quality_classifier import fit_on_labels, grade_documents
 from freshcat.llm.quality_rules import quality_rules, trusted_ids
@@ -82,8 +85,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-codes")
+    write_token_files(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), path)
+    return read_token_files(spark, path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_quality_classifier, op2_quality_rules, op3_chat_format, op4_packing, op5_token_counts, op6_suffix_dedup, op7_simhash,
-              op8_sentence_spans, op9_decontaminate, op10_sharding)
+              op8_sentence_spans, op9_decontaminate, op10_sharding, op11_collocations, op12_lexical_search, op13_token_files)
 }
