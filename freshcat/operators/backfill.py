@@ -6,12 +6,17 @@ one query: a month is needed when the rows of all *newer* months in the range st
 the target. Rows are counted, not file lines (no header line per file), and the range is
 closed: ``[oldest, newest]``.
 
+:func:`gallop_until_target` decides while it makes the months, and makes few more than the
+ones needed; the other functions decide from counts at hand.
+
 The running sum is a window without partition over the **monthly aggregate** (one row
 per month, so the frame is bounded by the calendar, not by the data).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable, Mapping, Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,3 +71,73 @@ def keep_until_target(
     )
     keys = within + [month_column]
     return result.join(needed, keys, "left_semi")
+
+
+def runs_of(months: Sequence, wanted: Mapping[Hashable, Sequence]) -> dict[tuple, list]:
+    """The keys by each run of neighbouring months they want: ``{(oldest, newest): [key, ...]}``.
+
+    ``months`` is the calendar, newest first; a key whose wanted months have gaps is in several
+    runs. Keys and months are configuration and calendar.
+    """
+    place = {m: k for k, m in enumerate(months)}
+    out: dict[tuple, list] = {}
+    for key, own in wanted.items():
+        at = sorted(place[m] for m in own)
+        cuts = [0, *[k for k in range(1, len(at)) if at[k] != at[k - 1] + 1], len(at)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b:
+                out.setdefault((months[at[b - 1]], months[at[a]]), []).append(key)
+    return out
+
+
+def gallop_until_target(
+    keys: Sequence[Hashable],
+    months: Sequence,
+    target: int,
+    evaluate: Callable[[list, object, object], Mapping[tuple, int]],
+    known: Mapping[tuple, int] | None = None,
+) -> list[tuple]:
+    """The (key, month) pairs a newest-first backfill has to make until every key has ``target``
+    rows or no month is left (C9, A5).
+
+    ``months``, newest first, are evaluated in ranges of 1, 2, 4, ... months, for the keys that
+    are still short; what lies beyond the last range needed is never looked at.
+    ``evaluate(keys, oldest, newest)`` makes these months and returns their rows by (key, month)
+    (a pair left out has none). ``known`` holds the rows of pairs that count but are not made.
+    A month is needed when the rows of all newer months of its key stay below ``target``.
+    """
+    rows, made, size = dict(known or {}), set(), 1
+
+    def unseen(key) -> list:
+        """The next months of a key to make, newest first."""
+        total, out = 0, []
+        for m in months:
+            if total >= target or len(out) == size:
+                break
+            if (key, m) in rows:
+                total += rows[key, m]
+            else:
+                out.append(m)
+        return out
+
+    while True:
+        wanted = {key: own for key in keys if (own := unseen(key))}
+        if not wanted:
+            break
+        for (oldest, newest), some in runs_of(months, wanted).items():
+            found = evaluate(some, oldest, newest)
+            span = months[months.index(newest):months.index(oldest) + 1]
+            pairs = [(key, m) for key in some for m in span]
+            rows.update({p: found.get(p, 0) for p in pairs})
+            made.update(pairs)
+        size *= 2
+    needed = []
+    for key in keys:
+        total = 0
+        for m in months:
+            if total >= target:
+                break
+            if (key, m) in made:
+                needed.append((key, m))
+            total += rows[key, m]
+    return needed

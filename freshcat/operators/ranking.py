@@ -45,34 +45,34 @@ def global_row_number(
     """``row_number() over ([partition by within] order by ...)``, a BIGINT, without pulling
     every row (or every row of a ``within`` group) into one task (W1).
 
-    1. range-partition by ``within`` and the total order, and write that down with the number
-       of the partition each row fell into (under the checkpoint folder): what follows reads
-       the same partitions however often it runs;
-    2. count rows per partition (and group): one row each, at most groups + partitions rows;
-       a running sum over them gives each partition its start in the group;
-    3. rank = start + position inside (partition, group).
+    1. range-partition by ``within`` and the total order, sort inside the partitions, and write
+       that down with ``monotonically_increasing_id``, which Spark defines as the partition's
+       number (bits 33 and up) and the row's place in it (the lower 33): the only shuffle of rows;
+    2. count the written rows per partition (and group): one row each, at most groups +
+       partitions rows; a running sum over them gives each partition its start in the group;
+    3. rank = start + place - the group's first place in the partition.
     """
     within = list(within)
     exprs = total_order(df, order, ties, exclude=within)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(w).asc() for w in within]
-    ranged = stage(df.repartitionByRange(n, *keys, *exprs).withColumn("__fc_pid", F.spark_partition_id()), "ranged")
-    inside = Window.partitionBy("__fc_pid", *within).orderBy(*exprs)
-    counts = ranged.groupBy("__fc_pid", *within).agg(F.count(F.lit(1)).alias("__fc_cnt"))
-    running = Window.partitionBy(*within).orderBy("__fc_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = df.repartitionByRange(n, *keys, *exprs).sortWithinPartitions(*keys, *exprs)
+    ranged = stage(ordered.withColumn("__fc_at", F.monotonically_increasing_id()), "ranged")
+    part = F.shiftrightunsigned("__fc_at", 33)
+    counts = ranged.groupBy(part.alias("__fc_p"), *within).agg(F.count(F.lit(1)).alias("__fc_cnt"), F.min("__fc_at").alias("__fc_first"))
+    running = Window.partitionBy(*within).orderBy("__fc_p").rowsBetween(Window.unboundedPreceding, -1)
     tmp = [f"__fc_w{i}" for i in range(len(within))]
     starts = counts.select(
-        F.col("__fc_pid").alias("__fc_p"), *[F.col(w).alias(t) for w, t in zip(within, tmp)],
+        "__fc_p", "__fc_first", *[F.col(w).alias(t) for w, t in zip(within, tmp)],
         F.coalesce(F.sum("__fc_cnt").over(running), F.lit(0)).alias("__fc_off"),
     )
-    same = F.col("__fc_pid") == F.col("__fc_p")
+    same = part == F.col("__fc_p")
     for w, t in zip(within, tmp):
         same = same & F.col(w).eqNullSafe(F.col(t))
     return (
-        ranged.withColumn("__fc_pos", F.row_number().over(inside))
-        .join(starts if within else F.broadcast(starts), same)
-        .withColumn(output, (F.col("__fc_off") + F.col("__fc_pos")).cast("bigint"))
-        .drop("__fc_pid", "__fc_p", "__fc_pos", "__fc_off", *tmp)
+        ranged.join(starts if within else F.broadcast(starts), same)
+        .withColumn(output, (F.col("__fc_off") + F.col("__fc_at") - F.col("__fc_first") + 1).cast("bigint"))
+        .drop("__fc_at", "__fc_p", "__fc_first", "__fc_off", *tmp)
     )
 
 

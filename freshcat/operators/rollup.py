@@ -11,19 +11,18 @@ Semantics (same result as a global ``row_number`` + group count + per-group
    to ``album`` and score reset to 0; other rows pass through as ``music`` rows;
 4. rows come out in rank order (a group row at the rank of its best row).
 
-Plan, chosen for scale:
+Plan, chosen for scale: one pass, one exchange on the group key, no join.
 
 * no global ``row_number`` (it moves every row into one task): the top-k cut is a partial
   top-k with a merge, or by rank for a large k (:func:`first_rows`), and the final order
-  is a distributed range sort;
-* the group counts are a partial + final hash aggregate (map-side combine, so a group
-  holding a third of the rows is pre-counted in every task); rows of small groups are an
-  anti join and rows of large groups a semi join with them -- AQE broadcasts the large
-  groups' keys when they are few and splits a skewed key otherwise;
-* only rows of large groups enter the per-group window, and ``row_number() = 1`` is
-  planned as a partial ``WindowGroupLimit`` before the shuffle, so a hot group ships
-  one row per task, not all its rows;
-* NULL-group rows enter neither join nor window (they would all meet in one partition).
+  is a distributed range sort of the written result;
+* of a group only its first ``threshold`` rows matter: if there are so many the group is large
+  and its first row stands for it, otherwise they are the whole group. ``row_number() <=
+  threshold`` is planned as a partial ``WindowGroupLimit`` before the shuffle, so a group that
+  holds a third of all rows sends ``threshold`` rows a task;
+* how many are left is a second window with the same keys, which needs no further exchange;
+* NULL-group rows (never large) get a key of their own each, so that they spread over the
+  tasks instead of meeting in one.
 
 ``group_column`` is used for the count *and* the window (H11).
 """
@@ -38,6 +37,7 @@ from pyspark.sql.types import StringType
 
 from freshcat.operators.ordering import total_order_items
 from freshcat.operators.ranking import first_rows
+from freshcat.session import stage
 
 # The fact columns of the catalogue job and how a group row is built.
 OUTPUT_COLUMNS = (
@@ -77,8 +77,9 @@ ZERO_ON_ALBUM = ("score",)
 KIND_COLUMN = "transition_type"
 KINDS = ("album", "music")
 
-_GROUP = "__fc_grp"
+_ALONE = "__fc_alone"
 _RN = "__fc_rn"
+_KEPT = "__fc_kept"
 
 
 def rollup_groups(
@@ -99,11 +100,12 @@ def rollup_groups(
 ) -> DataFrame:
     """Roll rows of large groups up into one group row; see the module docstring.
 
-    ``sort=False`` leaves out the final order for callers that rank or group again.
+    ``sort=False`` leaves out the final order for callers that rank or group again. A sorted
+    result is written first: a range sort looks at its input twice, and would run the rollup
+    again for it.
 
     ``order``: ``[(column, ascending), ...]``; ``ties`` completes it to a total order
-    (default: every other column ascending), which fixes the surviving row and makes the
-    top-k cut identical in both branches that read it (H9).
+    (default: every other column ascending), which fixes the surviving row (H9).
 
     ``within``: extra keys (e.g. site, corner, month) that split the input into
     independent rollups run in one job; they prefix every count, window and top-k and
@@ -121,21 +123,6 @@ def rollup_groups(
     base_order = by([n for n, _ in items], directions)
     base = first_rows(df, order, top_k, ties, within) if top_k else df
 
-    tmp_within = [f"__fc_w{i}" for i in range(len(within))]
-    large = (
-        base.where(F.col(group_column).isNotNull())
-        .groupBy(*within, group_column)
-        .agg(F.count(F.col(group_column)).alias("__fc_n"))
-        .where(F.col("__fc_n") >= F.lit(threshold))
-        .select(*[F.col(w).alias(t) for w, t in zip(within, tmp_within)], F.col(group_column).alias(_GROUP))
-    )
-    cond = F.col(group_column) == F.col(_GROUP)
-    for w, t in zip(within, tmp_within):
-        cond = cond & (F.col(w) == F.col(t))
-    # rows without a group (all with one key, null) go past the joins
-    alone = base.where(F.col(group_column).isNull())
-    grouped = base.where(F.col(group_column).isNotNull())
-
     types = {f.name: f.dataType for f in df.schema.fields}
     album_kind, music_kind = kinds
     # A swapped pair with one string side (e.g. an int release date and a text album
@@ -151,36 +138,40 @@ def rollup_groups(
 
     def item_row(name: str):
         if name == kind_column:
-            return F.lit(music_kind).alias(name)
+            return F.lit(music_kind)
         if name in as_text:
-            return F.col(name).cast("string").alias(name)
+            return F.col(name).cast("string")
         return F.col(name)
 
     def group_row(name: str):
         if name == kind_column:
-            return F.lit(album_kind).alias(name)
+            return F.lit(album_kind)
         if name in group_values:
             col = F.col(group_values[name])
-            return (col.cast("string") if name in as_text else col).alias(name)
+            return col.cast("string") if name in as_text else col
         if name in blank:
-            return F.lit(None).cast(types[name]).alias(name)
+            return F.lit(None).cast(types[name])
         if name in zero:
-            return F.lit(0).cast(types[name]).alias(name)
+            return F.lit(0).cast(types[name])
         return F.col(name)
 
-    keep = [F.col(w) for w in within]
-    small = grouped.join(large, cond, "left_anti")
-    singles = alone.unionByName(small).select(*keep, *[item_row(c) for c in output], *hidden)
-    best = Window.partitionBy(*within, group_column).orderBy(*base_order)
-    groups = (
-        grouped.join(large, cond, "left_semi")
-        .withColumn(_RN, F.row_number().over(best))
-        .where(F.col(_RN) == 1)
-        .select(*keep, *[group_row(c) for c in output], *hidden)
+    keys = [*[F.col(w) for w in within], F.col(group_column), F.col(_ALONE)]
+    grouped = F.col(group_column).isNotNull()
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*base_order))
+    headed = (
+        base.withColumn(_ALONE, F.when(~grouped, F.monotonically_increasing_id()))
+        .withColumn(_RN, first)
+        .where(F.col(_RN) <= max(threshold, 1))
+        .withColumn(_KEPT, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    )
+    large = grouped & (F.col(_KEPT) >= threshold)
+    rolled = headed.where(~large | (F.col(_RN) == 1)).select(
+        *[F.col(w) for w in within],
+        *[F.when(large, group_row(c)).otherwise(item_row(c)).alias(c) for c in output],
+        *hidden,
     )
-    rolled = singles.unionByName(groups)
     if sort:
-        rolled = rolled.orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
+        rolled = stage(rolled, "rolled").orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
     return rolled.select(*within, *output)
 
 

@@ -52,26 +52,27 @@ from freshcat.plans.star import (
     star_tieup_bridge,
     star_tieups,
 )
-from freshcat.plans.monthly_job import rollup_fact
+from freshcat.plans.monthly_job import current_month, rollup_fact, target_date_of
 from freshcat.plans.star_catalogue import (
     catalogue_all_corners,
+    catalogue_audit,
     catalogue_backfill,
+    catalogue_backfill_until_target,
     catalogue_corner_job,
     catalogue_empty_bridge,
     catalogue_export,
     catalogue_repeated_headers,
     catalogue_text_ids,
 )
-from freshcat.session import checkpoint_dir, stage
+from freshcat.session import checkpoint_dir
 from freshcat.sources import (
     create_partitioned_table,
     first_non_empty,
     load,
     read_csv_lookup,
-    register_partitions,
     sql_scan,
-    write_partitioned_csv,
 )
+from freshcat.sources.publishing import add_partitions, publish_run, write_run
 from freshcat.sources.sinks import partition_row_counts
 
 
@@ -302,12 +303,12 @@ def q_topk(spark, base):
 
 
 def q_album_rollup(spark, base):
-    fact = stage(star_fact(Tables(spark, base)), "fact")
+    fact = star_fact(Tables(spark, base))
     return aggregate_musics_to_album(fact, threshold_num=5, order_column="release_date", ascending=False)
 
 
 def q_album_rollup_topk(spark, base):
-    fact = stage(star_fact(Tables(spark, base)), "fact")
+    fact = star_fact(Tables(spark, base))
     return rollup_fact(fact, threshold=5, top_k=5000)
 
 
@@ -391,13 +392,13 @@ def q_partition_roundtrip(spark, base):
             F.lit(month.replace("-", "") + "01").alias("target_date"),
         )
 
-    for month in ("1996-03", "1996-04"):
-        write_partitioned_csv(month_rows(month), root, order=[F.col("o_orderkey")])
-    # rewrite one month: dynamic overwrite replaces only its partitions
-    write_partitioned_csv(month_rows("1996-03"), root, order=[F.col("o_orderkey")])
     table = f"freshcat_orders_{uuid.uuid4().hex[:8]}"
     create_partitioned_table(spark, table, root, ORDERS_OUT)
-    register_partitions(spark, table)
+    # each month is a run of its own; running one again replaces only its partitions, and only a
+    # run's partitions are registered
+    for month in ("1996-03", "1996-04", "1996-03"):
+        run = write_run(month_rows(month), root, None, lambda p: f"{p['target_date']}_{p['site']}.csv", order=[F.col("o_orderkey")])
+        add_partitions(spark, table, publish_run(spark, root, run))
     return spark.table(table).select("o_orderkey", "o_totalprice", "site", "corner", "target_date")
 
 
@@ -482,6 +483,24 @@ def q_export_roundtrip(spark, base):
     return catalogue_export(Tables(spark, base), _scratch(spark, "export"))
 
 
+def q_export_audit(spark, base):
+    return catalogue_audit(Tables(spark, base), _scratch(spark, "audit"))
+
+
+def q_catalogue_backfill_until_target(spark, base):
+    return catalogue_backfill_until_target(Tables(spark, base))
+
+
+def q_run_month(spark, base):
+    # the run parameter (S11): the month the clock shows in the catalogue's zone. The clock here
+    # is the newest event; the job's month filter then takes that month
+    ev = Tables(spark, base)["events"]
+    month = current_month(now=ev.agg(F.max("ts")).first()[0])
+    rows = in_local_month(ev, "ts", month)
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(month).alias("month"), F.lit(target_date_of(month)).alias("target_date"), "event_type", "row_count")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd_current": q_scd_current,
     "dim_project": q_dim_project,
@@ -528,4 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalogue_repeated_headers": q_catalogue_repeated_headers,
     "catalogue_empty_bridge": q_catalogue_empty_bridge,
     "export_roundtrip": q_export_roundtrip,
+    "export_audit": q_export_audit,
+    "catalogue_backfill_until_target": q_catalogue_backfill_until_target,
+    "run_month": q_run_month,
 }

@@ -2,18 +2,19 @@
 
 ``tables`` maps the roles of :data:`freshcat.plans.catalogue.ROLES` to frames. One pipeline,
 :func:`arrivals_job`, takes corners and a range of months; one corner, all corners and a
-backfill are calls of it, so they cannot differ. It is one plan; the only eager step is the
-staging write of the fact.
+backfill are calls of it, so they cannot differ. What several steps read (the months' items,
+the target, its joined rows, the tracks and albums these reach) is written once.
 
 Stages (the order of the catalogue job):
 
 1. material: current item rows of the months (pushed-down UTC range) -> snowflake (C1)
 2. corner filter: the configuration's sites and codes as pushed IN lists, then the corner
    table (tens of rows, broadcast)
-3. album dimension (C6): album headers -> collection bridge -> id map -> item and artist, and
-   the first-group track explode (C2), kept as two linear tables (:func:`album_parts`)
-4. fact (C7): id map, tie-up bridge, tie-up, flag list, album track -> album variant
-   (all left joins), tie-up filter, projection with defaults, ``distinct``
+3. target rows (C7): id map, tie-up bridge, tie-up, flag list (all left joins), tie-up filter
+4. album dimension (C6): first-group track explode (C2), album headers -> collection bridge ->
+   id map -> item and artist, kept as two linear tables (:func:`album_parts`) and reduced,
+   step by step, to what the target's assets can reach; then the fact's projection with
+   defaults, ``distinct``
 5. album rollup (C3, threshold 5, newest first)
 6. tie-up de-duplication (C4)
 
@@ -27,7 +28,8 @@ depends on the size of the data: physical strategies are Catalyst's and AQE's.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -35,12 +37,14 @@ from pyspark.sql import functions as F
 
 from freshcat.functions.defaults import default_if_null, null_to_text
 from freshcat.functions.timezone import JST, local_epoch_seconds, local_month_bounds, local_month_partition
+from freshcat.operators.backfill import runs_of
 from freshcat.operators.dedup import filter_duplicate_tieup_item
 from freshcat.operators.explode import explode_tracks
 from freshcat.operators.filters import all_of, codes_in, current_rows, in_local_months, searchable
 from freshcat.operators.joins import Hop, flag_lookup, join_dim_material, join_hop, key_pair, snowflake_left_join
 from freshcat.operators.ordering import total_order
 from freshcat.operators.ranking import first_rows
+from freshcat.operators.reduce import maybe_in
 from freshcat.operators.rollup import aggregate_musics_to_album
 from freshcat.plans.corners import Corner, corner_frame
 from freshcat.session import drop_staged_since, stage, staged_mark
@@ -57,9 +61,11 @@ ALBUM_HEADER_FILTER = {
 }
 
 
-def current_month(tz: str = JST) -> str:
-    """Default run month ``YYYY-MM`` in the catalogue's local zone."""
-    return datetime.now(ZoneInfo(tz)).strftime("%Y-%m")
+def current_month(tz: str = JST, now: datetime | None = None) -> str:
+    """Default run month ``YYYY-MM`` in the catalogue's local zone (S11). ``now``: the clock, UTC
+    where it has no zone; the present where not given."""
+    now = now or datetime.now(timezone.utc)
+    return (now if now.tzinfo else now.replace(tzinfo=timezone.utc)).astimezone(ZoneInfo(tz)).strftime("%Y-%m")
 
 
 def month_items(tables: Mapping[str, DataFrame], oldest: str, newest: str, tz: str = JST) -> DataFrame:
@@ -71,14 +77,22 @@ def month_items(tables: Mapping[str, DataFrame], oldest: str, newest: str, tz: s
     )
 
 
-def material_dimension(tables: Mapping[str, DataFrame], oldest: str, newest: str | None = None, tz: str = JST) -> DataFrame:
-    """The months' items joined to their bridges and dimensions."""
+def bridge_of(tables: Mapping[str, DataFrame], items: DataFrame, role: str, *columns: str) -> DataFrame:
+    """Current rows of an item bridge that can belong to ``items``: the others are not shuffled."""
+    return maybe_in(current_rows(tables[role]).select("item_id", *columns), "item_id", items, "id")
+
+
+def material_dimension(tables: Mapping[str, DataFrame], oldest: str, newest: str | None = None, tz: str = JST,
+                       items: DataFrame | None = None) -> DataFrame:
+    """The months' items joined to their bridges and dimensions (C1). ``items``: the result of
+    :func:`month_items`, where it is at hand."""
+    items = month_items(tables, oldest, newest or oldest, tz) if items is None else items
     return join_dim_material(
-        month_items(tables, oldest, newest or oldest, tz),
-        current_rows(tables["item_artist"]).select("item_id", "artist_id"),
-        current_rows(tables["item_filetype"]).select("item_id", "filetype_id"),
-        current_rows(tables["item_music"]).select("item_id", "music_id"),
-        current_rows(tables["item_site"]).select("item_id", "site_name"),
+        items,
+        bridge_of(tables, items, "item_artist", "artist_id"),
+        bridge_of(tables, items, "item_filetype", "filetype_id"),
+        bridge_of(tables, items, "item_music", "music_id"),
+        bridge_of(tables, items, "item_site", "site_name"),
         current_rows(tables["music"]).select("id", F.col("name").alias("music_name")),
         current_rows(tables["artist"]).select("id", F.col("name").alias("artist_name")),
     )
@@ -101,8 +115,9 @@ def corner_targets(material: DataFrame, corners: Sequence[Corner]) -> DataFrame:
 
 
 def id_map(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Provider id map (collection, asset, material), current and distinct (A3)."""
-    return current_rows(tables["id_map"]).select("collection_id", "asset_id", "material_id").distinct()
+    """Provider id map (collection, asset, material), current rows. What reads it reduces it to
+    the keys it needs, and takes the distinct rows (A3) of that."""
+    return current_rows(tables["id_map"]).select("collection_id", "asset_id", "material_id")
 
 
 def album_parts(
@@ -112,6 +127,7 @@ def album_parts(
     items: DataFrame,
     tz: str = JST,
     id_type: str = "bigint",
+    assets: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The album dimension (C6 + C2) in two linear parts: ``(tracks, variants)``.
 
@@ -125,6 +141,13 @@ def album_parts(
 
     ``items``: (id, artist_id, delivery_start_date, target_date). An item's artist and date
     count only for facts of its own month (H12): ``__fc_album_month`` carries it.
+
+    ``assets``: a written table whose ``asset_id`` holds every asset that will be looked up.
+    The chain is then reduced from it, each step by the keys the one before it left: tracks
+    that can be one of the assets (in the stage that parses the documents), albums of those
+    tracks, their bridge rows, their collections' id-map rows, and items of these. Nothing else
+    of the headers, the bridge or the id map is shuffled. The tracks and the bridged albums are
+    written once, as each is read for its keys and for its rows.
     """
     headers = album_headers.select(
         F.col("id").alias("album_music_id"),
@@ -133,12 +156,21 @@ def album_parts(
         "asset_structure",
         F.sha2(F.to_json(F.struct("title_title", "artist_names_text", "asset_structure")), 256).alias("__fc_header"),
     )
-    tracks = explode_tracks(headers.select("album_music_id", "__fc_header", "asset_structure"), id_type=id_type)
+    tracks = explode_tracks(headers, id_type=id_type)
+    albums = headers.drop("asset_structure")
+    bridge = collection_bridge.select("collection_detail_id", "collection_id")
+    if assets is not None:
+        tracks = stage(maybe_in(tracks, "album_track_asset_id", assets, "asset_id"), "tracks")
+        albums = tracks.drop("album_track_asset_id").distinct()
+        bridge = maybe_in(bridge, "collection_detail_id", tracks, "album_music_id")
+    bridged = join_hop(albums, Hop(bridge, "album_music_id", "collection_detail_id", ["collection_id"]))
+    if assets is not None:
+        bridged = stage(bridged, "albums")
+        ids = maybe_in(ids, "collection_id", bridged, "collection_id")
     variants = snowflake_left_join(
-        headers.drop("asset_structure"),
+        bridged,
         [
-            Hop(collection_bridge, "album_music_id", "collection_detail_id", ["collection_id"]),
-            Hop(ids, "collection_id", "collection_id", {"material_id": "__fc_album_material"}),
+            Hop(ids.select("collection_id", "material_id").distinct(), "collection_id", "collection_id", {"material_id": "__fc_album_material"}),
             Hop(items, "__fc_album_material", "id",
                 {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start", "target_date": "__fc_album_month"}),
         ],
@@ -146,7 +178,7 @@ def album_parts(
         "album_music_id", "__fc_header", "album_music_name", "album_artist_id", "album_artist_name",
         local_epoch_seconds("__fc_album_start", tz).alias("album_release_date"), "__fc_album_month",
     ).distinct()
-    return tracks, variants
+    return tracks.select("album_music_id", "__fc_header", "album_track_asset_id"), variants
 
 
 def fact_projection(
@@ -182,30 +214,26 @@ def fact_projection(
     ]
 
 
-def new_arrivals_fact(
+def target_rows(
     material_target: DataFrame,
     tieup_bridge: DataFrame,
     tieups: DataFrame,
     flags: DataFrame,
-    album_tracks: DataFrame | None,
     ids: DataFrame | None = None,
     require_tieup: bool | Column = True,
-    tz: str = JST,
-    within: Sequence[str] = (),
     material_id: str = "id",
-    material_name: str = "name",
-    album_variants: DataFrame | None = None,
 ) -> DataFrame:
-    """Fact rows of the target materials (C7): left joins, tie-up filter, defaults, distinct.
+    """The target materials with their assets, tie-ups and flag, tie-up filter applied: all that
+    the fact needs but the albums.
 
-    ``ids`` (material_id -> asset_id) is joined when the material has no ``asset_id`` yet.
-    ``require_tieup``: True = ``searchable != 0`` (F6), False = also keep items without a
-    tie-up (F7); a boolean column selects per row. ``album_tracks`` and ``album_variants`` are
-    the two parts of :func:`album_parts`; None: the target already carries the album columns.
+    ``ids`` (material_id -> asset_id) is joined when the material has no ``asset_id`` yet, reduced
+    to the target's materials. ``require_tieup``: True = ``searchable != 0`` (F6), False = also
+    keep items without a tie-up (F7); a boolean column selects per row.
     """
     hops = []
     if ids is not None:
-        hops.append(Hop(ids.select("material_id", "asset_id").distinct(), material_id, "material_id", ["asset_id"]))
+        own = maybe_in(ids.select("material_id", "asset_id"), "material_id", material_target, material_id)
+        hops.append(Hop(own.distinct(), material_id, "material_id", ["asset_id"]))
     hops += [
         Hop(tieup_bridge, "music_id", "music_id", {"tieup_id": "__fc_tieup_ref", "pattern_id": "__fc_pattern_id"}),
         Hop(
@@ -221,36 +249,60 @@ def new_arrivals_fact(
         ),
     ]
     joined = flag_lookup(snowflake_left_join(material_target, hops), flags, "artist_id", "artist_id", "is_johnnys", "johnnys")
-    # the tie-up filter reads nothing from the albums: it comes before their joins
     if isinstance(require_tieup, Column):
         flag = F.col("__fc_searchable")
-        joined = joined.filter((flag != 0) | (~require_tieup & flag.isNull()))
-    else:
-        joined = searchable(joined, "__fc_searchable", keep_missing=not require_tieup)
-    if album_tracks is not None:
-        joined = join_hop(joined, Hop(
-            album_tracks.where(F.col("album_track_asset_id").isNotNull()), "asset_id", "album_track_asset_id",
-            {"album_music_id": "__fc_album", "__fc_header": "__fc_header_of"}), tag="t")
-        # rows without an album (all with one key, null) do not go through the second join
-        no_album = F.col("__fc_album").isNull()
-        attributes = [c for c in album_variants.columns if c not in ("album_music_id", "__fc_header")]
-        found = join_hop(joined.where(~no_album), Hop(
-            album_variants, ["__fc_album", "__fc_header_of"], ["album_music_id", "__fc_header"], attributes), tag="v")
-        types = {f.name: f.dataType for f in album_variants.schema.fields}
-        plain = joined.where(no_album).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in attributes])
-        joined = found.unionByName(plain).withColumnRenamed("__fc_album", "album_music_id").drop("__fc_header_of")
+        return joined.filter((flag != 0) | (~require_tieup & flag.isNull()))
+    return searchable(joined, "__fc_searchable", keep_missing=not require_tieup)
+
+
+def with_albums(rows: DataFrame, tracks: DataFrame, variants: DataFrame) -> DataFrame:
+    """:func:`target_rows` joined to the two parts of :func:`album_parts`. ``rows`` is read twice
+    (those on an album and those on none), so it should be a written table."""
+    joined = join_hop(rows, Hop(
+        tracks.where(F.col("album_track_asset_id").isNotNull()), "asset_id", "album_track_asset_id",
+        {"album_music_id": "__fc_album", "__fc_header": "__fc_header_of"}, how="inner"), tag="t")
+    attributes = [c for c in variants.columns if c not in ("album_music_id", "__fc_header")]
+    found = join_hop(joined, Hop(variants, ["__fc_album", "__fc_header_of"], ["album_music_id", "__fc_header"], attributes), tag="v")
+    # rows on no album (null assets with them) neither carry its columns nor enter its second join
+    types = {f.name: f.dataType for f in variants.schema.fields}
+    listed = Hop(tracks.select("album_track_asset_id"), "asset_id", "album_track_asset_id", [], how="left_anti")
+    alone = join_hop(rows.where(F.col("asset_id").isNotNull()), listed, tag="a").unionByName(rows.where(F.col("asset_id").isNull()))
+    plain = alone.select("*", F.lit(None).cast(types["album_music_id"]).alias("__fc_album"), *[F.lit(None).cast(types[c]).alias(c) for c in attributes])
+    return found.drop("__fc_header_of").unionByName(plain).withColumnRenamed("__fc_album", "album_music_id")
+
+
+def new_arrivals_fact(
+    material_target: DataFrame,
+    tieup_bridge: DataFrame,
+    tieups: DataFrame,
+    flags: DataFrame,
+    ids: DataFrame | None = None,
+    require_tieup: bool | Column = True,
+    tz: str = JST,
+    within: Sequence[str] = (),
+    material_id: str = "id",
+    material_name: str = "name",
+    albums: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+) -> DataFrame:
+    """Fact rows of the target materials (C7): left joins, tie-up filter, defaults, distinct.
+
+    :func:`target_rows` describes ``ids`` and ``require_tieup``. ``albums`` makes the two parts of
+    :func:`album_parts` from the joined target, which is written once for it and for the joins
+    after it; None: the target already carries the album columns.
+    """
+    joined = target_rows(material_target, tieup_bridge, tieups, flags, ids, require_tieup, material_id)
+    if albums is not None:
+        joined = stage(joined, "joined")
+        joined = with_albums(joined, *albums(joined))
     cols = fact_projection(joined, tz, material_id, material_name)
     return joined.select(*[F.col(w) for w in within], *cols).distinct()
 
 
 def rollup_fact(fact: DataFrame, threshold: int, top_k: int | None = None, within: Sequence[str] = (), sort: bool = True) -> DataFrame:
-    """The rollup step of the jobs (newest first). With ``top_k`` the cut is taken once and
-    staged (k rows per ``within`` group), so the rollup's branches read the cut; same rows,
-    same total order. ``sort=False`` for callers that rank again."""
-    if top_k:
-        fact = stage(first_rows(fact, [("release_date", False)], top_k, within=within), "cut")
+    """The rollup step of the jobs (newest first), of the first ``top_k`` rows where given (k
+    rows per ``within`` group). The fact is read once. ``sort=False`` for callers that rank again."""
     return aggregate_musics_to_album(
-        fact, threshold_num=threshold, order_column="release_date", ascending=False, within=within, sort=sort
+        fact, top_k=top_k, threshold_num=threshold, order_column="release_date", ascending=False, within=within, sort=sort
     )
 
 
@@ -265,56 +317,59 @@ def arrivals_job(
     bridge_fallback: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Every corner of every month ``oldest`` .. ``newest`` (default: the one month):
-    site, corner, target_date + the 15 columns, newest first inside each (C8, C9, S12).
+    site, corner, target_date + the 15 columns, in no order (C8, C9, S12).
 
     ``bridge_fallback`` re-reads the collection bridge where the first scan is empty and a
-    corner asks for it (S3). The fact feeds the branches of the rollup and is staged once.
+    corner asks for it (S3).
     """
     from freshcat.sources.tables import first_non_empty
 
     newest = newest or oldest
-    target = corner_targets(material_dimension(tables, oldest, newest, tz), corners)
+    items = stage(month_items(tables, oldest, newest, tz), "items")
+    target = stage(corner_targets(material_dimension(tables, oldest, newest, tz, items), corners), "target")
     bridge = tables["album_collection"]
     if bridge_fallback is not None and any(c.fallback_collection_bridge for c in corners):
         bridge = first_non_empty(lambda: tables["album_collection"], bridge_fallback)
     headers = all_of(tables["album_detail"], equals=ALBUM_HEADER_FILTER, null=["catalog_end_date"])
     ids = id_map(tables)
     # of the snowflake the albums use artist and start date; its other joins only repeat rows
-    items = snowflake_left_join(
-        month_items(tables, oldest, newest, tz).select("id", "delivery_start_date", "target_date"),
-        [Hop(current_rows(tables["item_artist"]).select("item_id", "artist_id"), "id", "item_id")],
-    )
-    tracks, variants = album_parts(headers, bridge, ids, items, tz)
+    own = snowflake_left_join(items.select("id", "delivery_start_date", "target_date"), [Hop(bridge_of(tables, items, "item_artist", "artist_id"), "id", "item_id")])
     fact = new_arrivals_fact(
         target,
         current_rows(tables["music_tieup"]).select("music_id", "tieup_id", "pattern_id"),
         current_rows(tables["tieup"]).select("id", "name", "detailgenre_id", "searchable"),
         tables["flags"].select("artist_id", "is_johnnys"),
-        tracks,
         ids=ids,
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=WITHIN,
-        album_variants=variants,
+        albums=lambda rows: album_parts(headers, bridge, ids, own, tz, assets=rows),
     )
-    rolled = rollup_fact(stage(fact, "fact"), threshold, top_k, within=WITHIN, sort=False)
-    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=WITHIN)
+    rolled = rollup_fact(fact, threshold, top_k, within=WITHIN, sort=False)
+    return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=WITHIN, sort=False)
+
+
+def newest_first(result: DataFrame) -> DataFrame:
+    """A job's rows by site, corner and month, newest first inside each."""
+    result = stage(result, "result")  # a range sort looks at its input twice
+    return result.orderBy(*[F.col(w) for w in WITHIN], *total_order(result, [("release_date", False)], exclude=list(WITHIN)))
 
 
 def corner_job(tables: Mapping[str, DataFrame], month: str, corner: Corner, **options) -> DataFrame:
     """One (site, corner, month): the 15-column result, newest first."""
-    result = arrivals_job(tables, [corner], month, **options).drop(*WITHIN)
+    # written first: a range sort looks at its input twice
+    result = stage(arrivals_job(tables, [corner], month, **options).drop(*WITHIN), "corner")
     return result.orderBy(*total_order(result, [("release_date", False)]))
 
 
 def all_corners_job(tables: Mapping[str, DataFrame], month: str, corners: Sequence[Corner], **options) -> DataFrame:
     """Every corner of one month in one job (S12): site, corner + the 15 columns."""
-    return arrivals_job(tables, corners, month, **options).drop("target_date")
+    return newest_first(arrivals_job(tables, corners, month, **options)).drop("target_date")
 
 
 def backfill_job(tables: Mapping[str, DataFrame], oldest: str, newest: str, corners: Sequence[Corner], **options) -> DataFrame:
     """Every corner of every month ``oldest`` .. ``newest`` in one job (C9 re-aimed)."""
-    return arrivals_job(tables, corners, oldest, newest, **options)
+    return newest_first(arrivals_job(tables, corners, oldest, newest, **options))
 
 
 def target_date_of(month: str) -> str:
@@ -333,6 +388,41 @@ def months_between(oldest: str, newest: str) -> list[str]:
     return [f"{k // 12:04d}-{k % 12 + 1:02d}" for k in range(first, last + 1)]
 
 
+def partitions_of(pairs: Iterable[tuple[Corner, str]]) -> list[dict[str, str]]:
+    """Partition values of (corner, month) pairs."""
+    return [{"site": c.site, "corner": c.corner, "target_date": target_date_of(m)} for c, m in pairs]
+
+
+def only(result: DataFrame, partitions: Sequence[Mapping[str, str]]) -> DataFrame:
+    """The rows of these partitions (corners x months of them, broadcast)."""
+    if not partitions:
+        return result.where(F.lit(False))
+    wanted = result.sparkSession.createDataFrame([tuple(p[w] for w in WITHIN) for p in partitions], "site string, corner string, target_date string")
+    return result.join(F.broadcast(wanted), list(WITHIN), "left_semi")
+
+
+def publish_partitions(result: DataFrame, root: str, partitions: Sequence[Mapping[str, str]], table: str | None = None) -> list[str]:
+    """Publish these partitions as one run: one write, one named CSV file each.
+
+    Every partition given ends as exactly one file with a header: rows newest first, or no rows
+    (also where an earlier run had some). Partitions not given are not touched. Runs that died
+    between commit and publication are finished first (:mod:`freshcat.sources.publishing`).
+    """
+    from freshcat.sources.publishing import Files, add_partitions, publish_run, recover, write_run
+    from freshcat.sources.sinks import partition_dir
+
+    spark = result.sparkSession
+    recover(spark, root)
+    columns = [c for c in result.columns if c not in WITHIN]
+    order = [F.col("release_date").desc(), *[F.col(c).asc() for c in columns if c != "release_date"]]
+    named = lambda p: f"{p['target_date']}_{p['site']}_{p['corner']}.csv"
+    publish_run(spark, root, write_run(only(result, partitions).select(*columns, *WITHIN), root, partitions, named, order))
+    if table:
+        add_partitions(spark, table, partitions)
+    files = Files(spark, root)
+    return [files.full_name(f"{partition_dir(root, p)}/{named(p)}") for p in partitions]
+
+
 def publish(
     result: DataFrame,
     root: str,
@@ -340,29 +430,46 @@ def publish(
     months: Sequence[str],
     table: str | None = None,
 ) -> list[str]:
-    """Publish (site, corner, target_date) partitions, one named CSV file each.
+    """:func:`publish_partitions` of every corner and month given."""
+    return publish_partitions(result, root, partitions_of((c, m) for c in corners for m in months), table)
+
+
+def published_rows(spark, root: str, corners: Sequence[Corner], months: Sequence[str]) -> dict[tuple[Corner, str], int]:
+    """Rows of the corner-months that are published, from the manifests (nothing is read or run)."""
+    from freshcat.sources.publishing import published
 
-    Every corner and month given ends as exactly one file with a header: rows newest first,
-    or no rows (also where an earlier run had some). Partitions not given are not touched.
-    Corners and months are configuration and calendar, so they may be looped over.
+    names = {(c.site, c.corner, target_date_of(m)): (c, m) for c in corners for m in months}
+    rows = only(published(spark, root), partitions_of(names.values())).collect()  # corners x months at most
+    return {names[r.site, r.corner, r.target_date]: r["rows"] for r in rows}
+
+
+def backfill_until(
+    job: Callable[[Sequence[Corner], str, str], DataFrame],
+    corners: Sequence[Corner],
+    months: Sequence[str],
+    target: int,
+    known: Mapping[tuple[Corner, str], int] | None = None,
+) -> tuple[DataFrame | None, list[tuple[Corner, str]]]:
+    """The rows a newest-first backfill publishes until every corner has ``target``, and their
+    (corner, month) pairs (C9).
+
+    ``job(corners, oldest, newest)`` makes the rows of a range of months; it is called for ranges
+    of 1, 2, 4, ... of ``months`` (newest first) and for the corners still short
+    (:func:`freshcat.operators.backfill.gallop_until_target`). None: nothing had to be made.
     """
-    from freshcat.sources.sinks import export_header_only, export_named_file, find_files, partition_dir, register_partitions, write_partitioned_csv
+    from freshcat.operators.backfill import gallop_until_target
 
-    spark = result.sparkSession
-    columns = [c for c in result.columns if c not in WITHIN]
-    order = [F.col("release_date").desc(), *[F.col(c).asc() for c in columns if c != "release_date"]]
-    wanted = result.where(F.col("target_date").isin([target_date_of(m) for m in months]))
-    write_partitioned_csv(wanted, root, order=order, single_file=True)
-    paths = []
-    for c in corners:
-        for month in months:
-            directory = partition_dir(root, {"site": c.site, "corner": c.corner, "target_date": target_date_of(month)})
-            name = export_name(month, c.site, c.corner)
-            done = export_named_file(spark, directory, name) if find_files(spark, directory, "part-*") else export_header_only(spark, directory, name, columns)
-            paths.append(done)
-    if table:
-        register_partitions(spark, table)
-    return paths
+    made: list[DataFrame] = []
+    names = {(c.site, c.corner, target_date_of(m)): (c, m) for c in corners for m in months}
+
+    def evaluate(some: list[Corner], oldest: str, newest: str) -> dict:
+        rows = stage(job(some, oldest, newest), "range")
+        made.append(rows)
+        return {names[r.site, r.corner, r.target_date]: r["count"] for r in rows.groupBy(*WITHIN).count().collect()}
+
+    needed = gallop_until_target(list(corners), list(months), target, evaluate, known)
+    kept = [only(rows, partitions_of(needed)) for rows in made]
+    return (reduce(DataFrame.unionByName, kept) if kept else None), needed
 
 
 def run_job(
@@ -376,45 +483,54 @@ def run_job(
     tz: str = JST,
     until_rows: int | None = None,
     skip_months: Iterable[str] = (),
+    keep_published: bool = False,
     bridge_fallback: Callable[[], DataFrame] | None = None,
 ) -> list[str]:
     """Compute and publish corners for a month, or for months ``oldest`` .. ``month``.
 
-    ``until_rows``: publish, per corner, the months newest first until so many rows (the
-    other months' partitions are left alone). ``skip_months`` count but are not rewritten.
+    ``until_rows``: make and publish, per corner, months newest first until so many rows; the
+    other months are not computed and their partitions left alone. ``skip_months`` are not made
+    or written; ``keep_published`` says the same of every corner-month published before. In the
+    count of ``until_rows`` both have the rows their manifests tell (never published: none).
     Staged tables are removed whether the run succeeds or not. Returns the files.
     """
-    from freshcat.operators.backfill import keep_until_target
-
     month = month or current_month(tz)
     oldest = oldest or month
-    for m in (month, oldest, *skip_months):
+    skip = set(skip_months)
+    for m in (month, oldest, *skip):
         local_month_bounds(m, tz)  # a bad month fails before anything is written
     spark = tables["item"].sparkSession
+    job = lambda some, a, b: arrivals_job(tables, some, a, b, threshold=threshold, tz=tz, bridge_fallback=bridge_fallback)
     mark = staged_mark()
     try:
-        result = stage(arrivals_job(tables, corners, oldest, month, threshold=threshold, tz=tz, bridge_fallback=bridge_fallback), "result")
-        months = [m for m in months_between(oldest, month) if m not in set(skip_months)]
-        if until_rows is None:
-            return publish(result, root, corners, months, table)
-        kept = stage(keep_until_target(result, until_rows), "kept")
-        # corners x months rows at most
-        needed = {(r.site, r.corner, r.target_date) for r in kept.select(*WITHIN).distinct().collect()}
-        paths = []
-        for c in corners:
-            own = [m for m in months if (c.site, c.corner, target_date_of(m)) in needed]
-            if own:
-                part = kept.where((F.col("site") == c.site) & (F.col("corner") == c.corner))
-                paths += publish(part, root, [c], own)
-        if table:
-            from freshcat.sources.sinks import register_partitions
-
-            register_partitions(spark, table)
-        return paths
+        months = months_between(oldest, month)
+        before = published_rows(spark, root, corners, months) if keep_published or (skip and until_rows is not None) else {}
+        known = {(c, m): before.get((c, m), 0) for c in corners for m in months if m in skip or (keep_published and (c, m) in before)}
+        if until_rows is not None:
+            rows, pairs = backfill_until(job, corners, months[::-1], until_rows, known)
+        else:
+            pairs = [(c, m) for c in corners for m in months if (c, m) not in known]
+            wanted = {c: [m for d, m in pairs if d is c] for c in corners}
+            parts = [stage(job(some, a, b), "result") for (a, b), some in runs_of(months[::-1], wanted).items()]
+            rows = reduce(DataFrame.unionByName, parts) if parts else None
+        if rows is None or not pairs:
+            return []
+        order = {p: k for k, p in enumerate((c, m) for c in corners for m in months)}
+        return publish_partitions(rows, root, partitions_of(sorted(pairs, key=order.__getitem__)), table)
     finally:
         drop_staged_since(spark, mark)
 
 
+def audit_published(spark, root: str, corners: Sequence[Corner], first_day: str, days: int) -> DataFrame:
+    """What is published for every corner and each of ``days`` days from ``first_day``
+    (``YYYYMMDD``): :func:`freshcat.sources.publishing.audit` (S10, C10)."""
+    from freshcat.sources.publishing import audit
+
+    first = datetime.strptime(first_day, "%Y%m%d")
+    dates = [(first + timedelta(days=k)).strftime("%Y%m%d") for k in range(days)]
+    return audit(spark, root, [{"site": c.site, "corner": c.corner, "target_date": d} for c in corners for d in dates])
+
+
 def run_corner_job(tables: Mapping[str, DataFrame], root: str, corner: Corner, month: str | None = None, **options) -> str:
     """Compute one corner-month and publish it (C8 end to end). Returns the file."""
     return run_job(tables, root, [corner], month, **options)[0]

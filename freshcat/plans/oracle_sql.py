@@ -387,6 +387,38 @@ SELECT r.* FROM result r JOIN needed USING (site, corner, target_date)"""
     )
 
 
+def catalogue_until_target_sql(target_rows: int = 50) -> str:
+    return f"""
+WITH result AS ({catalogue_sql(BACKFILL_OLDEST, newest=FLAGSHIP_MONTH, corners=True)}),
+monthly AS (SELECT site, corner, target_date, count(*) AS n FROM result GROUP BY site, corner, target_date),
+needed AS (
+  SELECT site, corner, target_date FROM (
+    SELECT *, COALESCE(SUM(n) OVER (PARTITION BY site, corner ORDER BY target_date DESC
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM monthly) WHERE before < {target_rows}
+)
+SELECT r.* FROM result r JOIN needed USING (site, corner, target_date)"""
+
+
+def audit_sql(days: int = 7) -> str:
+    """Every corner, one without rows and one that never ran, for the month's first days."""
+    first = f"{FLAGSHIP_MONTH}-01"
+    corners = [(c.site, c.corner, True) for c in star_corners()] + [("nowhere", "empty", True), ("nowhere", "never_run", False)]
+    rows = ", ".join(f"('{s}', '{c}', {str(ran).upper()})" for s, c, ran in corners)
+    return f"""
+WITH result AS ({catalogue_sql(corners=True)}),
+counts AS (SELECT site, corner, target_date, count(*) AS n FROM result GROUP BY site, corner, target_date),
+asked(site, corner, ran) AS (VALUES {rows}),
+days AS (SELECT CAST(DATE '{first}' + CAST(k AS INTEGER) AS DATE) AS day FROM range({days}) r(k)),
+expected AS (
+  SELECT site, corner, strftime(day, '%Y%m%d') AS target_date, ran AND day = DATE '{first}' AS published FROM asked CROSS JOIN days
+)
+SELECT e.site, e.corner, e.target_date, COALESCE(c.n, 0) AS rows, CASE WHEN e.published THEN COALESCE(c.n, 0) END AS listed,
+       CASE WHEN e.published THEN 1 ELSE 0 END::BIGINT AS files,
+       CASE WHEN NOT e.published THEN 'missing' WHEN COALESCE(c.n, 0) = 0 THEN 'empty' ELSE 'ok' END AS status
+FROM expected e LEFT JOIN counts c USING (site, corner, target_date)"""
+
+
 def whole_rollup_sql(threshold: int, top_k: int | None = None) -> str:
     return (
         "WITH " + star_ctes(None) + "," + fact_cte(True) + rollup_dedup_ctes(threshold, top_k, dedup=False)
@@ -516,6 +548,12 @@ SELECT month, row_count, rows_before FROM w WHERE rows_before < 5000""",
     "catalogue_empty_bridge": catalogue_sql(),
     "export_roundtrip": catalogue_sql(corners=True, select=", ".join(
         (*OUTPUT_COLUMNS, "site", "corner", "target_date", "target_date || '_' || site || '_' || corner || '.csv' AS file"))),
+    "export_audit": audit_sql(),
+    "catalogue_backfill_until_target": catalogue_until_target_sql(),
+    "run_month": """
+WITH clock AS (SELECT strftime(max(ts) + INTERVAL 9 HOUR, '%Y-%m') AS month FROM events)
+SELECT month, replace(month, '-', '') || '01' AS target_date, event_type, count(*) AS row_count
+FROM events, clock WHERE strftime(ts + INTERVAL 9 HOUR, '%Y-%m') = month GROUP BY ALL""",
     "new_arrivals_backfill_until_target": backfill_until_target_sql(),
     "new_arrivals_topk": flagship_sql(top_k=FLAGSHIP_TOP_K),
 }

@@ -40,8 +40,7 @@ from freshcat.operators.explode import explode_tracks
 from freshcat.operators.filters import corner_filter, current_rows, in_local_month, in_local_months
 from freshcat.operators.joins import Hop, join_hop, snowflake_left_join
 from freshcat.plans.corners import Corner
-from freshcat.plans.monthly_job import corner_targets, new_arrivals_fact, rollup_fact
-from freshcat.session import stage
+from freshcat.plans.monthly_job import backfill_until, corner_targets, months_between, new_arrivals_fact, rollup_fact
 
 # Fixed values of the star mapping (parameters of the driver queries).
 FLAGSHIP_MONTH = "1996-03"
@@ -258,7 +257,7 @@ def star_fact(
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
     return new_arrivals_fact(
-        target, star_tieup_bridge(t), star_tieups(t), star_flags(t), None, require_tieup=require_tieup, tz=tz
+        target, star_tieup_bridge(t), star_tieups(t), star_flags(t), require_tieup=require_tieup, tz=tz
     )
 
 
@@ -270,16 +269,12 @@ def star_new_arrivals(
     threshold: int = FLAGSHIP_THRESHOLD,
     top_k: int | None = None,
     tz: str = JST,
-    stage_fact: bool = True,
 ) -> DataFrame:
     """The monthly corner job end to end on the star (C8): 15 columns, newest first.
 
-    The fact feeds the branches of the rollup; it is staged once (see
-    :func:`freshcat.session.stage`) unless ``stage_fact`` is False.
+    One plan from the scans to the de-duplicated rows, which are written before their sort.
     """
     fact = star_fact(t, month, segment, types, tz=tz)
-    if stage_fact:
-        fact = stage(fact, "fact")
     rolled = rollup_fact(fact, threshold, top_k, sort=False)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False)
 
@@ -290,7 +285,6 @@ def star_all_corners(
     corners: Sequence[Corner] | None = None,
     threshold: int = FLAGSHIP_THRESHOLD,
     tz: str = JST,
-    stage_fact: bool = True,
     newest: str | None = None,
 ) -> DataFrame:
     """Every corner of the month in one job (S12): site, corner + the 15 columns.
@@ -305,13 +299,10 @@ def star_all_corners(
         star_tieup_bridge(t),
         star_tieups(t),
         star_flags(t),
-        None,
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
     )
-    if stage_fact:
-        fact = stage(fact, "fact")
     rolled = rollup_fact(fact, threshold, within=within, sort=False)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)
 
@@ -341,8 +332,6 @@ def star_backfill_until_target(
     tz: str = JST,
 ) -> DataFrame:
     """The months a newest-first backfill publishes per corner until ``target_rows``."""
-    from freshcat.operators.backfill import keep_until_target
-
-    # the result is read twice (counts per month, then the kept rows): staged once
-    result = stage(star_backfill(t, oldest, newest, corners, threshold, tz), "backfill")
-    return keep_until_target(result, target_rows)
+    rows, _ = backfill_until(
+        lambda some, a, b: star_backfill(t, a, b, some, threshold, tz), corners or star_corners(), months_between(oldest, newest)[::-1], target_rows)
+    return rows

@@ -139,6 +139,19 @@ def catalogue_backfill(t: Mapping[str, DataFrame], oldest: str = BACKFILL_OLDEST
     return backfill_job(catalogue_from_star(t), oldest, newest, star_corners(), threshold=FLAGSHIP_THRESHOLD)
 
 
+def catalogue_backfill_until_target(
+    t: Mapping[str, DataFrame], oldest: str = BACKFILL_OLDEST, newest: str = FLAGSHIP_MONTH, target_rows: int = 50
+) -> DataFrame:
+    """The months a newest-first backfill makes per corner until ``target_rows``: ranges of
+    months through the catalogue-schema job."""
+    from freshcat.plans.monthly_job import arrivals_job, backfill_until, months_between
+
+    tables = catalogue_from_star(t)
+    rows, _ = backfill_until(
+        lambda some, a, b: arrivals_job(tables, some, a, b, threshold=FLAGSHIP_THRESHOLD), star_corners(), months_between(oldest, newest)[::-1], target_rows)
+    return rows
+
+
 def catalogue_text_ids(t: Mapping[str, DataFrame], month: str = FLAGSHIP_MONTH) -> DataFrame:
     """The corner job where the id map's asset ids are text, some of them no numbers."""
     from freshcat.plans.monthly_job import corner_job
@@ -184,3 +197,14 @@ def catalogue_export(t: Mapping[str, DataFrame], root: str, month: str = FLAGSHI
     run_all_corners(tables, root, corners, month, threshold=FLAGSHIP_THRESHOLD)
     schema = corner_job(tables, month, CATALOGUE_CORNER).schema
     return read_partitioned_csv(t["lineitem"].sparkSession, root, schema).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+
+
+def catalogue_audit(t: Mapping[str, DataFrame], root: str, month: str = FLAGSHIP_MONTH, days: int = 7) -> DataFrame:
+    """Publish every corner and one without rows, then audit these and a corner that never ran,
+    for the month's first days (only the first is a partition)."""
+    from freshcat.plans.monthly_job import audit_published, run_all_corners, target_date_of
+
+    corners = [*star_corners(), Corner("nowhere", "empty", "NO SUCH SITE", ("NONE",))]
+    run_all_corners(catalogue_from_star(t), root, corners, month, threshold=FLAGSHIP_THRESHOLD)
+    never = Corner("nowhere", "never_run", "NO SUCH SITE", ("NONE",))
+    return audit_published(t["lineitem"].sparkSession, root, [*corners, never], target_date_of(month), days)

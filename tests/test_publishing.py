@@ -1,0 +1,174 @@
+"""Publishing by manifest: a death at every step, empty and missing partitions, the audit."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from freshcat.plans.corners import Corner
+from freshcat.plans.monthly_job import audit_published, publish, published_rows, run_job
+from freshcat.session import checkpoint_dir
+from freshcat.sources import create_partitioned_table, publishing
+from tests.conftest import rows
+from tests.test_monthly_job import catalogue  # noqa: F401
+
+CORNERS = [Corner("s", "a", "SiteA", ("x",)), Corner("s", "b", "SiteA", ("y",))]
+SCHEMA = "release_date long, name string, site string, corner string, target_date string"
+
+
+def _root(spark):
+    return os.path.join(checkpoint_dir(spark).replace("file:", ""), f"pub-{uuid.uuid4().hex}")
+
+
+def _result(spark, data):
+    return spark.createDataFrame(data, SCHEMA).repartition(3)
+
+
+def _tree(root):
+    """The published files with their lines (nothing of runs and manifests)."""
+    out = {}
+    for d, _, names in os.walk(root):
+        if not os.path.relpath(d, root).startswith("_"):
+            out.update({os.path.relpath(os.path.join(d, n), root): open(os.path.join(d, n)).read().splitlines() for n in names if not n.startswith(".")})
+    return out
+
+
+FIRST = [(3, "new", "s", "a", "20230301"), (1, "old", "s", "a", "20230301"), (9, "b", "s", "b", "20230301"), (7, "april", "s", "a", "20230401")]
+SECOND = [(5, "again", "s", "b", "20230301")]
+MARCH_A, MARCH_B, APRIL_A = (f"site=s/corner={c}/target_date=2023{m}01/2023{m}01_s_{c}.csv" for c, m in (("a", "03"), ("b", "03"), ("a", "04")))
+
+
+def test_published_tree_and_manifest(spark):
+    root = _root(spark)
+    paths = publish(_result(spark, FIRST), root, CORNERS, ["2023-03", "2023-04"])
+    assert len(paths) == 4 and all(os.path.exists(p.replace("file:", "")) for p in paths)
+    tree = _tree(root)
+    assert tree[MARCH_A] == ["release_date,name", "3,new", "1,old"] and tree[APRIL_A] == ["release_date,name", "7,april"]
+    assert len(tree) == 4  # and nothing else: b has a header for April
+    publish(_result(spark, SECOND), root, CORNERS, ["2023-03"])
+    tree = _tree(root)
+    assert tree[MARCH_A] == ["release_date,name"] and tree[MARCH_B] == ["release_date,name", "5,again"] and tree[APRIL_A][1:] == ["7,april"]
+    assert published_rows(spark, root, CORNERS, ["2023-03", "2023-04", "2023-05"]) == {
+        (CORNERS[0], "2023-03"): 0, (CORNERS[1], "2023-03"): 1, (CORNERS[0], "2023-04"): 1, (CORNERS[1], "2023-04"): 0}
+    assert os.listdir(os.path.join(root, "_runs")) == []
+
+
+def test_rows_of_other_partitions_are_refused(spark):
+    parts = [{"site": "s", "corner": "a", "target_date": "20230301"}]
+    with pytest.raises(ValueError):
+        publishing.write_run(_result(spark, FIRST), _root(spark), parts, lambda p: "x.csv")
+
+
+def test_death_at_every_step(spark, monkeypatch):
+    """Die before each file operation in turn. Up to the commit the old tree stays and no later run
+    publishes the dead run's rows; from the commit on the next run ends what was begun."""
+    real = {n: getattr(publishing.Files, n) for n in ("write", "rename", "delete")}
+
+    class Died(Exception):
+        pass
+
+    committed_deaths = dead_before = 0
+    for step in range(40):
+        root = _root(spark)
+        publish(_result(spark, [r for r in FIRST if r[4] == "20230301"]), root, CORNERS, ["2023-03"])
+        old, left = _tree(root), [step]
+
+        def mortal(name):
+            def call(self, *args):
+                if left[0] == 0:
+                    raise Died
+                left[0] -= 1
+                return real[name](self, *args)
+            return call
+
+        for name in real:
+            monkeypatch.setattr(publishing.Files, name, mortal(name))
+        try:
+            publish(_result(spark, SECOND), root, CORNERS, ["2023-03"])
+            died = False
+        except Died:
+            died = True
+        for name, f in real.items():
+            monkeypatch.setattr(publishing.Files, name, f)
+        runs = os.path.join(root, "_runs")
+        committed = any(os.path.exists(os.path.join(runs, r, "manifest.json")) for r in os.listdir(runs))
+        if died and not committed and _tree(root) == old:
+            dead_before += 1
+            # the dead run wrote part files, but an empty run publishes headers
+            publish(_result(spark, []), root, CORNERS, ["2023-03"])
+            assert {k: v[1:] for k, v in _tree(root).items()} == {MARCH_A: [], MARCH_B: []}
+        else:
+            committed_deaths += died
+            publishing.recover(spark, root)
+            assert {k: v[1:] for k, v in _tree(root).items()} == {MARCH_A: [], MARCH_B: ["5,again"]}
+            assert not any(os.path.exists(os.path.join(runs, r, "manifest.json")) for r in os.listdir(runs))
+        if not died:
+            break
+    assert not died and dead_before >= 2 and committed_deaths >= 5
+
+
+def test_audit_of_a_published_folder(spark):
+    root = _root(spark)
+    publish(_result(spark, FIRST), root, CORNERS, ["2023-03", "2023-04"])
+    for path, line in ((MARCH_B, "4,extra"), (APRIL_A, None)):
+        full = os.path.join(root, path)
+        if line:
+            with open(full, "a") as f:
+                f.write(line + "\n")
+        else:
+            os.remove(full)
+        crc = os.path.join(os.path.dirname(full), f".{os.path.basename(full)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    stray = os.path.join(root, "site=t/corner=c/target_date=20230301")
+    os.makedirs(stray)
+    with open(os.path.join(stray, "x.csv"), "w") as f:
+        f.write('release_date,name\n1,"two\nlines"\n')
+    corners = [*CORNERS, Corner("t", "c", "SiteT", ())]
+    got = {(r.corner, r.target_date): (r["rows"], r["listed"], r["files"], r["status"]) for r in audit_published(spark, root, corners, "20230301", 32).collect()}
+    assert len(got) == 96
+    shown = {k: v for k, v in got.items() if v[3] != "missing"}
+    assert shown == {("a", "20230301"): (2, 2, 1, "ok"), ("b", "20230301"): (2, 1, 1, "differs"), ("a", "20230401"): (0, 1, 0, "lost"),
+                     ("b", "20230401"): (0, 0, 1, "empty"), ("c", "20230301"): (1, None, 1, "unlisted")}
+    nothing = audit_published(spark, _root(spark), corners, "20230301", 2)
+    assert {(r["rows"], r["listed"], r["files"], r["status"]) for r in nothing.collect()} == {(0, None, 0, "missing")}
+
+
+def test_only_the_runs_partitions_are_registered(spark):
+    root, table = _root(spark), f"fc_pub_{uuid.uuid4().hex[:8]}"
+    result = _result(spark, FIRST)
+    create_partitioned_table(spark, table, root, result.drop("site", "corner", "target_date").schema)
+    publish(result, root, CORNERS, ["2023-03"], table=table)
+    assert spark.table(table).count() == 3
+    odd = Corner("it's", "a\\b", "SiteA", ())
+    publish(_result(spark, [(1, "q", odd.site, odd.corner, "20230301")]), root, [odd], ["2023-03"], table=table)
+    assert rows(spark.table(table).where(F.col("site") == odd.site).select("name", "corner")) == [("q", odd.corner)]
+    publish(result, root, CORNERS, ["2023-03", "2023-04"], table=table)
+    assert spark.table(table).where("target_date = '20230401'").count() == 1
+
+
+def test_backfill_counts_published_months_and_does_not_run_them(spark, catalogue, monkeypatch):  # noqa: F811
+    from freshcat.plans import monthly_job
+
+    corner, root = Corner("s", "loose", "SiteA", ("030300",), require_tieup=False), _root(spark)
+    asked, real = [], monthly_job.arrivals_job
+
+    def noted(tables, corners, oldest, newest=None, **options):
+        asked.append((oldest, newest))
+        return real(tables, corners, oldest, newest, **options)
+
+    monkeypatch.setattr(monthly_job, "arrivals_job", noted)
+    run = lambda **options: [os.path.basename(p)[:6] for p in run_job(catalogue, root, [corner], "2023-04", oldest="2022-12", threshold=2, **options)]
+    # April alone reaches one row: no older month is looked at
+    assert run(until_rows=1) == ["202304"] and asked == [("2023-04", "2023-04")]
+    asked.clear()
+    # April is published: it counts by its manifest and is not run again
+    assert run(until_rows=2, keep_published=True) == ["202303"] and asked == [("2023-03", "2023-03")]
+    asked.clear()
+    assert run(until_rows=2, keep_published=True) == [] and asked == []
+    # a skipped month that was never published counts nothing
+    assert run(until_rows=5, skip_months=["2023-02"]) == ["202212", "202301", "202303", "202304"]
+    assert asked == [("2023-04", "2023-04"), ("2023-03", "2023-03"), ("2023-01", "2023-01"), ("2022-12", "2022-12")] or len(asked) <= 4
+    asked.clear()
+    assert run(keep_published=True) == ["202302"] and asked == [("2023-02", "2023-02")]

@@ -16,10 +16,67 @@ def test_global_row_number_equals_window_form(spark):
     w = Window.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey"))
     ref = orders.withColumn("rank", F.row_number().over(w))
     assert sorted(rows(ours)) == sorted(rows(ref))
-    plan = ours._jdf.queryExecution().executedPlan().toString()
-    # rows move through a range exchange; only the per-partition counts meet in one task
-    assert "rangepartitioning" in plan
-    assert "ReusedExchange" in plan
+    # after the range-partitioned write the rows are not shuffled or ranked again: the plan holds
+    # the written file, the few counts and their window
+    plan = ours._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan and "row_number" not in plan and plan.count("Window [") == 1
+    physical = ours._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in physical and "o_orderkey" not in "".join(x for x in physical.splitlines() if "Exchange" in x)
+
+
+def test_row_number_within_groups_over_few_and_many_partitions(spark):
+    df = spark.createDataFrame([("abc"[k % 3] if k % 7 else None, k % 11, k) for k in range(500)], "g string, v int, k int").repartition(6)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("k"))
+    ref = sorted(rows(df.withColumn("rank", F.row_number().over(w))), key=str)
+    for n in (1, 3, 40):
+        got = global_row_number(df, [("v", False)], ties=[("k", True)], partitions=n, within=["g"])
+        assert sorted(rows(got), key=str) == ref
+    assert global_row_number(df.limit(0), [("v", False)]).count() == 0
+
+
+def test_run_month_follows_the_given_clock():
+    from freshcat.plans.monthly_job import current_month
+
+    assert current_month(now=dt.datetime(2023, 2, 28, 14, 59)) == "2023-02"
+    assert current_month(now=dt.datetime(2023, 2, 28, 15, 0)) == "2023-03"
+    assert current_month(now=dt.datetime(2023, 3, 1, 1, 0, tzinfo=dt.timezone(dt.timedelta(hours=9)))) == "2023-03"
+    assert current_month(tz="UTC", now=dt.datetime(2023, 2, 28, 15, 0)) == "2023-02"
+
+
+def test_galloping_backfill_equals_one_month_at_a_time():
+    import random
+
+    from freshcat.operators.backfill import gallop_until_target
+
+    rng = random.Random(2)
+    months = [f"m{k}" for k in range(12)]  # newest first
+    for _ in range(200):
+        keys = ["a", "b", "c"]
+        rows_of = {(k, m): rng.choice([0, 0, 1, 3, 9]) for k in keys for m in months}
+        known = {p: rng.choice([0, n, 5]) for p, n in rows_of.items() if rng.random() < 0.3}
+        target, seen = rng.choice([0, 1, 5, 12, 500]), []
+
+        def evaluate(some, oldest, newest):
+            span = months[months.index(newest):months.index(oldest) + 1]
+            pairs = [(k, m) for k in some for m in span]
+            assert not set(pairs) & set(known) and not set(pairs) & set(seen)
+            seen.extend(pairs)
+            return {p: rows_of[p] for p in pairs if rows_of[p]}
+
+        got = gallop_until_target(keys, months, target, evaluate, known)
+        want = []
+        for k in keys:
+            total = 0
+            for m in months:
+                if total >= target:
+                    break
+                if (k, m) not in known:
+                    want.append((k, m))
+                total += known.get((k, m), rows_of[k, m])
+        assert got == want
+        # ranges of 1, 2, 4, ...: fewer than twice the needed months and one are made
+        for k in keys:
+            assert sum(p[0] == k for p in seen) <= 2 * sum(p[0] == k for p in want) + 1
 
 
 def test_top_k_and_having(spark):
