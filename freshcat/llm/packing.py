@@ -7,6 +7,7 @@ tree indexed by remaining capacity.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -16,13 +17,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshcat.llm.common import id_text, ship_package, stage
+from freshcat.llm.common import cut_tail, id_text, ship_package, stage
 
 WINDOW = 4096
 #: Remainders packed together by one task.
 GROUP_PIECES = 50_000
-#: Words a task remembers; once full, further words are encoded when they occur.
-CACHED_WORDS = 600_000
+#: Words a Python worker remembers (further ones are encoded when they occur), and the longest
+#: it remembers: some 50 MB, kept from task to task.
+CACHED_WORDS, CACHED_LENGTH = 250_000, 40
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 _TOKENIZERS: dict[int, object] = {}
 
@@ -31,21 +34,58 @@ class WordIds:
     """Token ids of texts, as little-endian unsigned 32-bit integers.
 
     The tokenizer's pre-tokenization never joins what ASCII white space parts, so the ids of
-    a text are the ids of its words one after another; the frequent ones are remembered.
+    a text are the ids of its words one after another; the frequent ones are remembered. It parts
+    letters from other signs and lower-cases, so a word of letters below U+0100 is encoded in
+    lower case without its final punctuation, many such words in one call: a token that ends a
+    word ends its ids.
     """
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        # the same model for words that are already lower-cased single words
+        self.lettered = Tokenizer.from_str(tokenizer_json)
+        self.lettered.normalizer = None
+        self.lettered.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
-    def encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out = {}
+    def each(self, words: list[str]) -> list[bytes]:
+        out = []
         for k in range(0, len(words), 20_000):
-            block = words[k:k + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in block], add_special_tokens=False)
-            out.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(block, found, strict=True))
+            found = self.tokenizer.encode_batch_fast(words[k:k + 20_000], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in found]
+        return out
+
+    def lower_case(self, words: list[str]) -> dict[str, bytes]:
+        out = {}
+        for k in range(0, len(words), 10_000):
+            block = words[k:k + 10_000]
+            ids = np.array(self.lettered.encode_batch_fast([" ".join(block)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(block):
+                raise ValueError("the tokenizer does not end words with </w>")
+            raw = ids.tobytes()
+            out.update((w, raw[a:b]) for w, a, b in zip(block, [0, *ends], ends, strict=False))
+        return out
+
+    def encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
+        cuts = {w: cut_tail(w.decode()) for w in words}
+        lettered = {w: (core.lower(), tail) for w, (core, tail) in cuts.items() if LETTERS.fullmatch(core)}
+        cores = self.lower_case(list({core for core, _ in lettered.values()}))
+        tails = list({tail for _, tail in lettered.values()}.difference(self.tails))
+        found = {**self.tails, **dict(zip(tails, self.each(tails), strict=True))}
+        if len(found) < 10_000:
+            self.tails = found
+        out = {w: cores[core] + found[tail] for w, (core, tail) in lettered.items()}
+        odd = [w for w in words if w not in out]
+        out.update(zip(odd, self.each([w.decode() for w in odd]), strict=True))
         return out
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
@@ -53,21 +93,16 @@ class WordIds:
         at = 0
         while at < len(texts):
             split, size = [], 0
-            while at < len(texts) and size < 4_000_000:
+            while at < len(texts) and size < 2_000_000:
                 split.append(texts[at].encode().split())
                 size += len(texts[at])
                 at += 1
-            new = self.encoded(list(set().union(*split).difference(self.known)))
-            room = CACHED_WORDS - len(self.known)
-            self.known.update(islice(new.items(), max(room, 0)))
-            if len(new) > room:  # the memory is full: it holds the words seen first, mostly the frequent ones
-                known, late = self.known.get, new.get
-                for words in split:
-                    yield b"".join([known(w) or late(w, b"") for w in words])
-            else:
-                get = self.known.__getitem__
-                for words in split:
-                    yield b"".join(map(get, words))
+            new = self.encoded(set().union(*split).difference(self.known))
+            room = max(CACHED_WORDS - len(self.known), 0)
+            self.known.update(islice(((w, i) for w, i in new.items() if len(w) <= CACHED_LENGTH), room))
+            known, late = self.known.get, new.get
+            for words in split:
+                yield b"".join([known(w) or late(w, b"") for w in words])
 
 
 def _word_ids(key: int, tokenizer_json) -> WordIds:
@@ -100,20 +135,17 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW,
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _word_ids(key, sent)
         last = np.array([end_id], dtype="<u4").tobytes()
-        try:
-            for b in batches:
-                rows = []
-                for doc_id, ids in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), words.texts(b["text"].tolist()), strict=True):
-                    ids += last
-                    tokens = len(ids) // 4
-                    for start, length in cut(tokens, window):
-                        part = ids[4 * start:4 * (start + length)]
-                        rows.append((doc_id, start, length, zlib.crc32(part), tokens) + ((np.frombuffer(part, "<u4").astype(np.int32),) if keep_ids else ()))
-                out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
-        finally:
-            words.known = {}  # an idle worker keeps no memory from the next stage
+        for b in batches:
+            rows = []
+            for doc_id, ids in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), words.texts(b["text"].tolist()), strict=True):
+                ids += last
+                tokens = len(ids) // 4
+                for start, length in cut(tokens, window):
+                    part = ids[4 * start:4 * (start + length)]
+                    rows.append((doc_id, start, length, zlib.crc32(part), tokens) + ((np.frombuffer(part, "<u4").astype(np.int32),) if keep_ids else ()))
+            out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
+            out["doc_id"] = out["doc_id"].astype("Int64")
+            yield out
 
     return id_text(docs, id_col, text_col).mapInPandas(pieces, schema)
 
@@ -173,24 +205,25 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIEC
     """``pieces`` plus (sequence_id, offset); sequence ids are unique, not gapless.
 
     Every piece is in exactly one sequence and a sequence has no gap between pieces. Pieces
-    are dealt by hash of (id, start, checksum) into groups of about ``group_pieces``; a task
+    are dealt by hash of (id, start, checksum, place in the written pieces) into groups of about ``group_pieces``; a task
     packs a group, so a group leaves a few windows partly empty and the share of padding
     falls with ``group_pieces``. Nothing else grows with the input than the number of groups.
     Ties (equal lengths) are taken in order of id, start and checksum; repeated pieces are
     packed each for itself. No pieces, no rows.
     """
-    pieces = stage(pieces, "pieces")
+    # the written scan position tells equal rows apart, so that they do not meet in one group
+    pieces = stage(pieces.withColumn("seen", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     # a dealt-out row number would change with a retry; the hash does not
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("int"))
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "seen"), F.lit(groups)).cast("int"))
     ship_package(pieces.sparkSession)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, `offset` long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.drop("seen").schema) + ", sequence_id long, `offset` long"
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
+        group = group.sort_values(["doc_id", "start", "ids_crc32", "seen"], kind="stable").reset_index(drop=True)
         sequence, offset = best_fit_decreasing(group["length"].tolist(), window)
         base = int(group["pack_group"].iloc[0]) << 32
-        return group.drop(columns="pack_group").assign(sequence_id=np.asarray(sequence, dtype=np.int64) + base, offset=np.asarray(offset, dtype=np.int64))
+        return group.drop(columns=["pack_group", "seen"]).assign(sequence_id=np.asarray(sequence, dtype=np.int64) + base, offset=np.asarray(offset, dtype=np.int64))
 
     return dealt.groupBy("pack_group").applyInPandas(packed, schema)
 
