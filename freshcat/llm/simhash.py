@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshcat.llm.common import id_text, ship_package, stage, unstage, with_text_hash
+from freshcat.llm.common import id_text, ship_package, sized, stage, unstage, with_text_hash
 from freshcat.llm.components import components
 
 MAX_BITS = 3
@@ -157,7 +157,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> Da
     ]
     index = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
     # written first: with nothing but exchanges below a join, a hot key is split over tasks
-    shared = stage(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-keys")
+    shared = stage(sized(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), len(keys) * fps.count()), "shared-keys")
     chunks = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     dealt = index.join(shared.hint("merge"), "key").select(
         "key", "fp", chunks.alias("chunks"), F.pmod(F.xxhash64("fp"), chunks).cast("int").alias("chunk"))
@@ -195,12 +195,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """
     rows = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    n = distinct.count()
     roots = components(near_links(distinct, max_bits))
     placed = distinct.join(roots.hint("merge"), distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    placed = stage(placed, "roots")
+    placed = stage(sized(placed, n), "roots")
     unstage(distinct)
-    ids = stage(placed.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
+    ids = stage(sized(placed.groupBy("root").agg(F.min("least").alias("component_id")), n), "component-ids")
     by_fp = placed.join(ids.hint("merge"), "root").select("fp", "root", "component_id")
     return rows.join(by_fp.hint("merge"), "fp").select("doc_id", "th", "fp", "root", "component_id")
 
