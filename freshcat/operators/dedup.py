@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from freshcat.operators.ordering import total_order
 from freshcat.operators.rollup import OUTPUT_COLUMNS
-from freshcat.session import stage
 
 _RN = "__fc_rn"
 
@@ -78,13 +77,11 @@ def filter_duplicate_tieup_item(
     """Catalogue signature: one row per material, lowest ``tieup_id`` first, then the
     15 fact columns sorted by ``order_column`` (ties broken by the other columns).
 
-    ``sort=False`` leaves out the order, for callers that order or partition again. A sorted
-    result is written first, as a range sort looks at its input twice."""
+    ``sort=False`` leaves out the order, for callers that order or partition again."""
     within = list(within)
     first = first_per_key(df, key, [(rank_column, True)], ties=ties, null_key=null_key, within=within)
     first = first.select(*within, *output)
     if not sort:
         return first
-    first = stage(first, "first")
     order = [(w, True) for w in within] + [(order_column, ascending)]
     return first.orderBy(*total_order(first, order, ties))

@@ -15,7 +15,7 @@ Plan, chosen for scale: one pass, one exchange on the group key, no join.
 
 * no global ``row_number`` (it moves every row into one task): the top-k cut is a partial
   top-k with a merge, or by rank for a large k (:func:`first_rows`), and the final order
-  is a distributed range sort of the written result;
+  is a distributed range sort;
 * of a group only its first ``threshold`` rows matter: if there are so many the group is large
   and its first row stands for it, otherwise they are the whole group. ``row_number() <=
   threshold`` is planned as a partial ``WindowGroupLimit`` before the shuffle, so a group that
@@ -37,7 +37,6 @@ from pyspark.sql.types import StringType
 
 from freshcat.operators.ordering import total_order_items
 from freshcat.operators.ranking import first_rows
-from freshcat.session import stage
 
 # The fact columns of the catalogue job and how a group row is built.
 OUTPUT_COLUMNS = (
@@ -100,9 +99,9 @@ def rollup_groups(
 ) -> DataFrame:
     """Roll rows of large groups up into one group row; see the module docstring.
 
-    ``sort=False`` leaves out the final order for callers that rank or group again. A sorted
-    result is written first: a range sort looks at its input twice, and would run the rollup
-    again for it.
+    ``sort=False`` leaves out the final order for callers that rank or group again. (A range
+    sort looks at its input twice; what runs twice here is the windows over the rows that were
+    shuffled once, not what is below that exchange.)
 
     ``order``: ``[(column, ascending), ...]``; ``ties`` completes it to a total order
     (default: every other column ascending), which fixes the surviving row (H9).
@@ -171,7 +170,7 @@ def rollup_groups(
         *hidden,
     )
     if sort:
-        rolled = stage(rolled, "rolled").orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
+        rolled = rolled.orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
     return rolled.select(*within, *output)
 
 

@@ -3,7 +3,7 @@
 ``tables`` maps the roles of :data:`freshcat.plans.catalogue.ROLES` to frames. One pipeline,
 :func:`arrivals_job`, takes corners and a range of months; one corner, all corners and a
 backfill are calls of it, so they cannot differ. What several steps read (the months' items,
-the target, its joined rows, the tracks and albums these reach) is written once.
+the target with all it joins, the tracks it reaches) is written once.
 
 Stages (the order of the catalogue job):
 
@@ -146,8 +146,9 @@ def album_parts(
     The chain is then reduced from it, each step by the keys the one before it left: tracks
     that can be one of the assets (in the stage that parses the documents), albums of those
     tracks, their bridge rows, their collections' id-map rows, and items of these. Nothing else
-    of the headers, the bridge or the id map is shuffled. The tracks and the bridged albums are
-    written once, as each is read for its keys and for its rows.
+    of the headers, the bridge or the id map is shuffled. The tracks, made by parsing documents,
+    are written once, as they are read for their keys and for their rows; the bridge's two
+    columns are scanned for both.
     """
     headers = album_headers.select(
         F.col("id").alias("album_music_id"),
@@ -163,13 +164,11 @@ def album_parts(
         tracks = stage(maybe_in(tracks, "album_track_asset_id", assets, "asset_id"), "tracks")
         albums = tracks.drop("album_track_asset_id").distinct()
         bridge = maybe_in(bridge, "collection_detail_id", tracks, "album_music_id")
-    bridged = join_hop(albums, Hop(bridge, "album_music_id", "collection_detail_id", ["collection_id"]))
-    if assets is not None:
-        bridged = stage(bridged, "albums")
-        ids = maybe_in(ids, "collection_id", bridged, "collection_id")
+        ids = maybe_in(ids, "collection_id", bridge, "collection_id")
     variants = snowflake_left_join(
-        bridged,
+        albums,
         [
+            Hop(bridge, "album_music_id", "collection_detail_id", ["collection_id"]),
             Hop(ids.select("collection_id", "material_id").distinct(), "collection_id", "collection_id", {"material_id": "__fc_album_material"}),
             Hop(items, "__fc_album_material", "id",
                 {"artist_id": "album_artist_id", "delivery_start_date": "__fc_album_start", "target_date": "__fc_album_month"}),
@@ -226,14 +225,13 @@ def target_rows(
     """The target materials with their assets, tie-ups and flag, tie-up filter applied: all that
     the fact needs but the albums.
 
-    ``ids`` (material_id -> asset_id) is joined when the material has no ``asset_id`` yet, reduced
-    to the target's materials. ``require_tieup``: True = ``searchable != 0`` (F6), False = also
+    ``ids`` (material_id -> asset_id) is joined when the material has no ``asset_id`` yet; give it
+    reduced to the materials in question. ``require_tieup``: True = ``searchable != 0`` (F6), False = also
     keep items without a tie-up (F7); a boolean column selects per row.
     """
     hops = []
     if ids is not None:
-        own = maybe_in(ids.select("material_id", "asset_id"), "material_id", material_target, material_id)
-        hops.append(Hop(own.distinct(), material_id, "material_id", ["asset_id"]))
+        hops.append(Hop(ids.select("material_id", "asset_id").distinct(), material_id, "material_id", ["asset_id"]))
     hops += [
         Hop(tieup_bridge, "music_id", "music_id", {"tieup_id": "__fc_tieup_ref", "pattern_id": "__fc_pattern_id"}),
         Hop(
@@ -326,7 +324,7 @@ def arrivals_job(
 
     newest = newest or oldest
     items = stage(month_items(tables, oldest, newest, tz), "items")
-    target = stage(corner_targets(material_dimension(tables, oldest, newest, tz, items), corners), "target")
+    target = corner_targets(material_dimension(tables, oldest, newest, tz, items), corners)
     bridge = tables["album_collection"]
     if bridge_fallback is not None and any(c.fallback_collection_bridge for c in corners):
         bridge = first_non_empty(lambda: tables["album_collection"], bridge_fallback)
@@ -339,7 +337,7 @@ def arrivals_job(
         current_rows(tables["music_tieup"]).select("music_id", "tieup_id", "pattern_id"),
         current_rows(tables["tieup"]).select("id", "name", "detailgenre_id", "searchable"),
         tables["flags"].select("artist_id", "is_johnnys"),
-        ids=ids,
+        ids=maybe_in(ids, "material_id", items, "id"),
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=WITHIN,
@@ -351,14 +349,12 @@ def arrivals_job(
 
 def newest_first(result: DataFrame) -> DataFrame:
     """A job's rows by site, corner and month, newest first inside each."""
-    result = stage(result, "result")  # a range sort looks at its input twice
     return result.orderBy(*[F.col(w) for w in WITHIN], *total_order(result, [("release_date", False)], exclude=list(WITHIN)))
 
 
 def corner_job(tables: Mapping[str, DataFrame], month: str, corner: Corner, **options) -> DataFrame:
     """One (site, corner, month): the 15-column result, newest first."""
-    # written first: a range sort looks at its input twice
-    result = stage(arrivals_job(tables, [corner], month, **options).drop(*WITHIN), "corner")
+    result = arrivals_job(tables, [corner], month, **options).drop(*WITHIN)
     return result.orderBy(*total_order(result, [("release_date", False)]))
 
 
@@ -409,13 +405,13 @@ def publish_partitions(result: DataFrame, root: str, partitions: Sequence[Mappin
     between commit and publication are finished first (:mod:`freshcat.sources.publishing`).
     """
     from freshcat.sources.publishing import Files, add_partitions, publish_run, recover, write_run
-    from freshcat.sources.sinks import partition_dir
+    from freshcat.sources.sinks import escaped, partition_dir
 
     spark = result.sparkSession
     recover(spark, root)
     columns = [c for c in result.columns if c not in WITHIN]
     order = [F.col("release_date").desc(), *[F.col(c).asc() for c in columns if c != "release_date"]]
-    named = lambda p: f"{p['target_date']}_{p['site']}_{p['corner']}.csv"
+    named = lambda p: escaped(f"{p['target_date']}_{p['site']}_{p['corner']}.csv")
     publish_run(spark, root, write_run(only(result, partitions).select(*columns, *WITHIN), root, partitions, named, order))
     if table:
         add_partitions(spark, table, partitions)

@@ -102,11 +102,13 @@ def star_items(
         (F.col("l_orderkey") * ASSET_STRIDE + F.col("l_linenumber")).alias("asset_id"),
     )
     wanted = {"o_orderdate": "delivery_start_date", "o_custkey": "__fc_custkey"}
+    orders = t["orders"]
     if with_album:
-        wanted.update({"o_orderstatus": "__fc_status", "o_orderpriority": "__fc_priority"})
+        orders = orders.withColumn("__fc_listed", listed_assets())
+        wanted["__fc_listed"] = "__fc_listed"
     items = join_hop(
         current_rows(lines).drop("catalog_end_date"),
-        Hop(t["orders"], "l_orderkey", "o_orderkey", wanted),
+        Hop(orders, "l_orderkey", "o_orderkey", wanted),
         tag="o",
     )
     if month and newest:
@@ -150,16 +152,11 @@ def album_of_line(material: DataFrame, tz: str = JST) -> DataFrame:
 
     Same result as exploding every album's first-group tracks and left-joining them on
     the asset id: a document lists only its own order's slots, so the one album that can
-    list a line's asset is the line's order. The document is parsed here (first group,
-    malformed / empty -> no track) and the line is a track of the album iff its asset is
-    in that list -- no album-track table, no shuffle of it.
+    list a line's asset is the line's order. The document is parsed once an order, below the
+    join (:func:`listed_assets`), and the line is a track of the album iff its asset is in
+    that list -- no album-track table, no shuffle of it.
     """
-    from freshcat.functions.nested import asset_structure_schema
-
-    doc = album_document(F.col("l_orderkey"), F.col("__fc_priority"))
-    first = F.get(F.from_json(doc, asset_structure_schema("bigint")).getField("Groups"), F.lit(0))
-    listed = F.coalesce(F.array_contains(first.getField("Items").getField("AssetId"), F.col("asset_id")), F.lit(False))
-    is_track = F.col("__fc_status").isin(list(ALBUM_STATUSES)) & listed
+    is_track = F.coalesce(F.array_contains("__fc_listed", F.col("asset_id")), F.lit(False))
     values = {
         "album_music_id": F.col("l_orderkey"),
         "album_music_name": F.concat(F.lit("order "), F.col("l_orderkey").cast("string")),
@@ -170,7 +167,16 @@ def album_of_line(material: DataFrame, tz: str = JST) -> DataFrame:
     out = material
     for name, value in values.items():
         out = out.withColumn(name, F.when(is_track, value))
-    return out.drop("__fc_status", "__fc_priority", "__fc_cname")
+    return out.drop("__fc_listed", "__fc_cname")
+
+
+def listed_assets() -> Column:
+    """Assets of the first group of an order's album document (malformed, empty or no album: null)."""
+    from freshcat.functions.nested import asset_structure_schema
+
+    doc = album_document(F.col("o_orderkey"), F.col("o_orderpriority"))
+    first = F.get(F.from_json(doc, asset_structure_schema("bigint")).getField("Groups"), F.lit(0))
+    return F.when(F.col("o_orderstatus").isin(list(ALBUM_STATUSES)), first.getField("Items").getField("AssetId"))
 
 
 def star_tieup_bridge(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -272,7 +278,7 @@ def star_new_arrivals(
 ) -> DataFrame:
     """The monthly corner job end to end on the star (C8): 15 columns, newest first.
 
-    One plan from the scans to the de-duplicated rows, which are written before their sort.
+    One plan from the scans to the sorted rows.
     """
     fact = star_fact(t, month, segment, types, tz=tz)
     rolled = rollup_fact(fact, threshold, top_k, sort=False)

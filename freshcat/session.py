@@ -97,7 +97,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _STAGED.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no job to infer what is known
 
 
 _STAGED: list[str] = []

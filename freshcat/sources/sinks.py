@@ -9,6 +9,7 @@ rewrites its own partitions (idempotent under executor loss).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,8 +85,17 @@ def read_partitioned_csv(
     return reader.csv(root)
 
 
+#: Fixed set: the characters that partition folders have as %XX.
+_ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
+
+
+def escaped(name: str) -> str:
+    """A value as it stands in the name of a partition folder."""
+    return _ESCAPED.sub(lambda m: f"%{ord(m.group()):02X}", name)
+
+
 def partition_dir(root: str, values: dict[str, str], partition_columns: Sequence[str] = PARTITION_COLUMNS) -> str:
-    return root.rstrip("/") + "/" + "/".join(f"{c}={values[c]}" for c in partition_columns)
+    return root.rstrip("/") + "/" + "/".join(f"{c}={escaped(values[c])}" for c in partition_columns)
 
 
 def export_named_file(spark: SparkSession, directory: str, file_name: str, pattern: str = "part-*") -> str:
@@ -112,29 +122,6 @@ def export_named_file(spark: SparkSession, directory: str, file_name: str, patte
     return str(target.toString())
 
 
-def find_files(spark: SparkSession, directory: str, pattern: str) -> list[str]:
-    """Files of a directory that match, through the path's Hadoop FileSystem (none: empty)."""
-    path_cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_cls(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(path_cls(directory.rstrip("/") + "/" + pattern))
-    return sorted(str(s.getPath().toString()) for s in (statuses or []) if s.isFile())
-
-
-def export_header_only(spark: SparkSession, directory: str, file_name: str, columns: Sequence[str]) -> str:
-    """Make ``directory`` hold one file with nothing but a header: a partition without rows,
-    which a dynamic overwrite leaves as it was."""
-    path_cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_cls(directory).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path_cls(directory), True)
-    target = path_cls(directory.rstrip("/") + "/" + file_name)
-    stream = fs.create(target, True)
-    try:
-        stream.write(bytearray((",".join(columns) + "\n").encode()))
-    finally:
-        stream.close()
-    return str(target.toString())
-
-
 def create_partitioned_table(
     spark: SparkSession,
     table: str,

@@ -3,7 +3,7 @@
 The catalogue jobs are batch jobs over a versioned catalogue. When item rows arrive as
 new files, only the local months they start in need to be published again. This runner
 watches the item files with Structured Streaming (file source, ``availableNow`` trigger:
-process what is there, then stop) and, per micro-batch, hands the touched month range to
+process what is there, then stop) and, per micro-batch, hands the touched months, as ranges, to
 a publish callback -- typically a :func:`freshcat.plans.monthly_job.backfill_job` written
 with dynamic partition overwrite, so a replayed batch rewrites the same partitions.
 
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from freshcat.functions.timezone import JST, to_local_wall_clock
+from freshcat.operators.backfill import runs_of
+from freshcat.plans.monthly_job import months_between
 from freshcat.session import checkpoint_dir
 
 
@@ -44,9 +46,10 @@ def run_incremental(
     tz: str = JST,
     max_files_per_trigger: int | None = None,
 ) -> list[tuple[int, str, str]]:
-    """Process every item file not seen yet; call ``publish(oldest, newest)`` per batch.
+    """Process every item file not seen yet; call ``publish(oldest, newest)`` for each run of
+    neighbouring months that a batch touched (months between that it did not touch are left alone).
 
-    Returns ``(batch_id, oldest, newest)`` for each batch that touched at least one month.
+    Returns ``(batch_id, oldest, newest)`` of each call.
     """
     location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
     reader = spark.readStream.schema(schema)
@@ -58,8 +61,10 @@ def run_incremental(
     def handle(batch: DataFrame, batch_id: int) -> None:
         months = touched_months(batch, ts_column, tz)
         if months:
-            publish(months[0], months[-1])
-            done.append((batch_id, months[0], months[-1]))
+            span = months_between(months[0], months[-1])[::-1]
+            for oldest, newest in sorted(runs_of(span, {batch_id: months})):
+                publish(oldest, newest)
+                done.append((batch_id, oldest, newest))
 
     query = (
         items.writeStream.foreachBatch(handle)

@@ -43,7 +43,7 @@ def test_the_large_side_is_not_shuffled(spark):
     big, small = _frames(spark, "bigint", "bigint")
     plan = maybe_in(big, "k", small, "key")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert all("id" not in line.split("hashpartitioning")[1] for line in plan.splitlines() if "hashpartitioning" in line)
+    assert plan.count("hashpartitioning") == plan.count("hashpartitioning(__fc_slot") == 1  # the keys' bits
 
 
 def test_reduced_albums_join_like_all_albums(spark):

@@ -28,3 +28,9 @@ def test_incremental_publishes_touched_months(spark):
     )
     run_incremental(spark, source + "/*", schema, "o_orderdate", lambda a, b: calls.append((a, b)), ckpt)
     assert calls[-1] == ("1996-04", "1996-05")
+    # a third with a gap: the months between are not published again
+    orders.where("(o_orderdate >= '1996-07-05' AND o_orderdate < '1996-07-20') OR (o_orderdate >= '1996-10-05' AND o_orderdate < '1996-10-20')").write.parquet(
+        os.path.join(source, "part3")
+    )
+    run_incremental(spark, source + "/*", schema, "o_orderdate", lambda a, b: calls.append((a, b)), ckpt)
+    assert calls[-2:] == [("1996-07", "1996-07"), ("1996-10", "1996-10")]
