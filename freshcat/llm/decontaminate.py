@@ -26,7 +26,7 @@ RADIUS, BLOCKS, FLIPS = 19, 10, 1
 BROADCAST_ROWS = 1_000_000
 #: Letters, marks and digits make words; case does not count.
 SEPARATORS = "[^\\p{L}\\p{M}\\p{N}]+"
-LANES = 16
+LANES = 32
 
 
 def words_of(text: Column) -> Column:
@@ -44,18 +44,18 @@ def bounded(df: DataFrame) -> DataFrame:
 def fingerprints(windows: DataFrame, keys: list[str], shingles: str) -> DataFrame:
     """``keys`` and ``fp``: bit i is 1 if it is set in over half of the row's shingle hashes.
 
-    Sixteen sums of four 16-bit lanes each count all 64 bits (fewer than 2^15 shingles)."""
+    Thirty-two sums of two 32-bit lanes each count all 64 bits; no text has 2^31 shingles."""
     each = windows.select(*keys, F.explode(shingles).alias("s")).select(*keys, F.xxhash64("s").alias("h"))
-    lanes = F.lit(0x0001000100010001)
+    lanes = F.lit(0x0000000100000001)
     sums = each.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(lanes)).alias(f"s{k}") for k in range(LANES)],
     )
     fp = F.lit(0).cast("long")
     for k in range(LANES):
-        for lane in range(4):
-            count = F.shiftrightunsigned(f"s{k}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            fp = fp.bitwiseOR(F.when(count * 2 > F.col("n"), F.shiftleft(F.lit(1).cast("long"), k + 16 * lane)).otherwise(F.lit(0).cast("long")))
+        for lane in range(2):
+            count = F.shiftrightunsigned(f"s{k}", LANES * lane).bitwiseAND(F.lit(0xFFFFFFFF))
+            fp = fp.bitwiseOR(F.when(count * 2 > F.col("n"), F.shiftleft(F.lit(1).cast("long"), k + LANES * lane)).otherwise(F.lit(0).cast("long")))
     return sums.select(*keys, fp.alias("fp"))
 
 

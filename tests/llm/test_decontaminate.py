@@ -144,3 +144,11 @@ def D_hash(text):
 
     h = xxhash.xxh64_intdigest((text or "").encode(), 42)
     return h - (1 << 64) if h >> 63 else h
+
+
+def test_an_item_of_sixty_thousand_equal_shingles(spark):
+    item = "echo " * 60_000
+    docs = spark.createDataFrame([(1, item, "", ""), (2, "echo " * 30_000, "", ""), (3, "echo " * 55_000, "", "")], DOCS)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {(r.doc_id, round(r.similarity, 6)) for r in D.contaminated(docs, items).collect()}
+    assert got == {(1, 1.0), (3, round(54_996 / 59_996, 6))}
