@@ -20,8 +20,8 @@ from freshcat.llm.common import id_text, ship_package, split_words
 FEATURES = 1 << 18
 #: Labelled documents the model is fitted on at most (those of least hash of their id).
 SAMPLE = 10_000
-#: Features of one document that the fit uses at most, by hash; the sample's bound in memory.
-SAMPLE_FEATURES = 4_000
+#: Feature occurrences that the fit adds up at a time.
+CHUNK = 1_000_000
 GRADES = 3
 ROUNDS, RATE, DECAY = 120, 0.05, 2e-4
 
@@ -63,11 +63,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, size: int = FEATURES, levels
     has no weight. Equal input gives an equal model."""
     if not len(rows):
         return OrdinalModel(np.zeros(size), np.arange(levels - 1) - 50.0)
-    column = np.concatenate(rows)
+    # every feature of every row, as (row, column) in eight bytes; sums are taken a chunk at a time
+    column = np.concatenate([np.asarray(r, np.int32) for r in rows])
     often = np.bincount(column, minlength=size) >= 3
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     row, column = row[often[column]], column[often[column]]
-    known, column = np.unique(column, return_inverse=True)
+    known, place = np.flatnonzero(often), np.cumsum(often, dtype=np.int32) - 1
+    column = place[column]
+    chunks = [slice(a, a + CHUNK) for a in range(0, len(row), CHUNK)]
     share = np.cumsum(np.bincount(grades, minlength=levels) + 1.0)[:-1] / (len(grades) + levels)
     start = np.log(share / (1 - share))
     gaps = np.log(np.maximum(np.diff(start), 1e-3))
@@ -79,7 +82,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, size: int = FEATURES, levels
 
     for step in range(1, rounds + 1):
         theta = cut(params)
-        score = np.bincount(row, weights=params[column], minlength=n)
+        score = np.zeros(n)
+        for c in chunks:
+            score += np.bincount(row[c], weights=params[column[c]], minlength=n)
         edge = np.concatenate([[-np.inf], theta, [np.inf]])
         low, high = (1.0 / (1.0 + np.exp(-np.clip(edge[grades + k] - score, -50, 50))) for k in (0, 1))
         # d log(high - low): by the score -(1 - high - low), by each threshold its own density
@@ -89,7 +94,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, size: int = FEATURES, levels
         for k in range(levels - 1):
             by_theta[k] = -np.sum((high * (1 - high) / width)[grades == k]) / n + np.sum((low * (1 - low) / width)[grades == k + 1]) / n
         grad = np.empty_like(params)
-        grad[:len(known)] = np.bincount(column, weights=by_score[row], minlength=len(known)) + decay * params[:len(known)]
+        grad[:len(known)] = decay * params[:len(known)]
+        for c in chunks:
+            grad[:len(known)] += np.bincount(column[c], weights=by_score[row[c]], minlength=len(known))
         grad[len(known)] = by_theta.sum()
         for k in range(levels - 2):
             grad[len(known) + 1 + k] = by_theta[k + 1:].sum() * np.exp(params[len(known) + 1 + k])
@@ -103,8 +110,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, size: int = FEATURES, levels
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, size: int = FEATURES, sample: int = SAMPLE,
                   id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
-    """The model of at most ``sample`` rated documents. ``labels`` has (doc_id, quality, toxic);
-    rows without a grade, a known id or a text are left out, repeated ones count each.
+    """The model of a bounded sample: at most ``sample`` labels and, where their ids repeat in
+    ``docs``, at most 2 x ``sample`` documents, by id; of each all features count. ``labels``
+    has (doc_id, quality, toxic); rows without a grade, a known id or a text are left out,
+    repeated ones within the bound count each.
 
     The sample is taken from the labels before the texts are read (top-k by hash of the id),
     so texts of other documents are neither moved nor hashed; the bound makes it broadcast.
@@ -113,8 +122,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, size: int = FEATURES, samp
     chosen = rated.orderBy(F.xxhash64("l_id"), "l_id", "grade").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
-    few = F.slice(F.sort_array(features(F.col("text"), size)), 1, SAMPLE_FEATURES)
-    rows = joined.select("doc_id", "grade", few.alias("f")).orderBy("doc_id", "grade").limit(2 * sample)
+    rows = joined.select("doc_id", "grade", features(F.col("text"), size).alias("f")).orderBy("doc_id", "grade").limit(2 * sample)
 
     def fitted(got: pd.DataFrame) -> pd.DataFrame:
         got = got.sort_values(["doc_id", "grade"], kind="stable")
