@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshcat.llm.common import as_row, id_text, split_words, stage
+from freshcat.operators.reduce import maybe_in
 
 BUCKETS = 65_521
 SMOOTHING = 1.0
@@ -18,7 +19,7 @@ SMOOTHING = 1.0
 THRESHOLD = -0.2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Trusted ids up to which they are broadcast; beyond, the same join shuffles.
+#: Trusted ids up to which they are broadcast; beyond, texts that may be trusted go to their ids.
 BROADCAST_IDS = 2_000_000
 SYMBOLS = "#*$%&|<>"
 
@@ -69,19 +70,28 @@ def gram_ratios(docs: DataFrame, target_ids: DataFrame, buckets: int = BUCKETS,
     n-grams every ratio is 0."""
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("target_id")).distinct()
     ids = stage(ids, "target-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    flagged = texts.join(ids, texts["id"] == ids["target_id"], "left").select(F.col("target_id").isNotNull().cast("int").alias("trusted"), "text")
-    # the rows for words and pairs are made, hashed and summed in one generated loop. Outer:
-    # for an inner explode Spark adds a filter on the array below it, and computes it twice
-    each = with_codes(flagged).select("trusted", "codes", F.posexplode_outer("codes").alias("at", "code"))
-    after = F.get("codes", F.col("at") + 1)
-    counts = (
-        each.select("trusted", F.explode(F.array(bucket_of(F.col("code"), buckets), pair_bucket_of(F.col("code"), after, buckets))).alias("bucket"))
-        .where(F.col("bucket").isNotNull())
-        .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
-    )
+
+    def grams(rows: DataFrame) -> DataFrame:
+        """A row for each word and pair. They are made, hashed and summed in one generated loop.
+        Outer: for an inner explode Spark adds a filter on the array below it, and computes it twice."""
+        each = with_codes(rows).select("trusted", "codes", F.posexplode_outer("codes").alias("at", "code"))
+        after = F.get("codes", F.col("at") + 1)
+        both = F.array(bucket_of(F.col("code"), buckets), pair_bucket_of(F.col("code"), after, buckets))
+        return each.select("trusted", F.explode(both).alias("bucket")).where(F.col("bucket").isNotNull())
+
+    if ids.count() <= BROADCAST_IDS:
+        flagged = texts.join(F.broadcast(ids), texts["id"] == ids["target_id"], "left").select(F.col("target_id").isNotNull().cast("int").alias("trusted"), "text")
+        counts = grams(flagged).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
+    else:
+        # all texts are counted where they are; only texts that a filter of fixed size takes for
+        # trusted are shuffled to their ids
+        near = maybe_in(texts, "id", ids, "target_id")
+        trusted = near.join(ids.hint("merge"), near["id"] == ids["target_id"], "left_semi")
+        raw, target = (
+            grams(rows.select(F.lit(1).alias("trusted"), "text")).groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
+            for rows, name in ((texts, "raw"), (trusted, "target")))
+        counts = raw.join(target, "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
     counts = stage(counts, "gram-counts")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
