@@ -23,14 +23,17 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from freshcat.llm.block_ids import BlockIds, packed
 from freshcat.llm.common import ship_package, stage
 
 MAGIC = b"DAC1"
@@ -39,9 +42,7 @@ LEVEL = struct.Struct("<QII")
 #: Bits of a bitmap between two entries of its directory.
 BLOCK = 512
 #: A segment is closed once it holds so many ids (documents are never cut).
-SEGMENT_TOKENS = 2_000_000
-#: Pieces a Python worker remembers, and the longest it remembers.
-CACHED_PIECES, CACHED_LENGTH = 400_000, 40
+SEGMENT_TOKENS = 1_000_000
 
 # ------------------------------------------------------------------ codes
 
@@ -60,12 +61,32 @@ def chunk_widths(values: np.ndarray) -> list[int]:
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
-    parts = []
-    for k in range(0, len(values), 1 << 16):  # a multiple of 8 values: parts end at a byte
-        v = values[k:k + (1 << 16)]
-        bits = (v[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-        parts.append(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes())
-    return b"".join(parts)
+    """Values side by side from the lowest bit: eight of them fill ``width`` bytes."""
+    groups = np.zeros((-(-len(values) // 8), 8), np.uint64)
+    groups.reshape(-1)[:len(values)] = values
+    out = np.zeros((len(groups), width), np.uint8)
+    for k in range(8):
+        byte, bit = divmod(k * width, 8)
+        moved = groups[:, k] << np.uint64(bit)
+        for i in range((bit + width + 7) // 8):
+            out[:, byte + i] |= (moved >> np.uint64(8 * i)).astype(np.uint8)
+    return out.tobytes()[:-(-len(values) * width // 8)]
+
+
+def _unpack(chunks: np.ndarray, width: int, a: int, b: int) -> np.ndarray:
+    """Values ``a`` .. ``b - 1`` of packed ones."""
+    first, last = a // 8, -(-b // 8)
+    held = chunks[first * width:last * width]
+    groups = np.zeros((last - first, width), np.uint8)
+    groups.reshape(-1)[:len(held)] = held
+    out = np.empty((last - first, 8), np.uint32)
+    for k in range(8):
+        byte, bit = divmod(k * width, 8)
+        value = np.zeros(len(groups), np.uint64)
+        for i in range((bit + width + 7) // 8):
+            value |= groups[:, byte + i].astype(np.uint64) << np.uint64(8 * i)
+        out[:, k] = (value >> np.uint64(bit)) & np.uint64((1 << width) - 1)
+    return out.reshape(-1)[a - 8 * first:b - 8 * first]
 
 
 def encode_codes(values: np.ndarray) -> list[bytes]:
@@ -121,14 +142,8 @@ class Level:
         return bits[a % 8:a % 8 + b - a].astype(bool)
 
     def chunk(self, a: int, b: int) -> np.ndarray:
-        out = np.empty(b - a, np.uint32)
-        powers = (np.uint32(1) << np.arange(self.width, dtype=np.uint32)).astype(np.uint32)
-        for k in range(a, b, 1 << 16):
-            n = min(1 << 16, b - k)
-            first, last = k * self.width, (k + n) * self.width
-            bits = np.unpackbits(self.chunks[first // 8:-(-last // 8)], bitorder="little")[first % 8:first % 8 + n * self.width]
-            out[k - a:k - a + n] = bits.reshape(n, self.width) @ powers
-        return out
+        parts = [_unpack(self.chunks, self.width, k, min(k + (1 << 16), b)) for k in range(a, b, 1 << 16)]
+        return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
 
 class Codes:
@@ -159,7 +174,9 @@ class Codes:
         return value
 
     def run(self, a: int, b: int) -> np.ndarray:
-        """Values ``a`` .. ``b - 1``: the ones that go on are a run of the next level too."""
+        """Values ``a`` .. ``b - 1``, as far as there are: the ones that go on are a run of the
+        next level too."""
+        b = min(b, len(self))
         if a >= b:
             return np.empty(0, np.uint32)
         level, shift = self.levels[0], 0
@@ -179,16 +196,16 @@ class Codes:
 # ------------------------------------------------------------------ segments
 
 
-def encode_segment(part: int, segment: int, before: int, doc_ids: list, lengths: list[int], ids: bytes) -> bytes:
-    """One file's bytes; ``ids``: little-endian unsigned 32-bit, document after document."""
-    levels = encode_codes(np.frombuffer(ids, "<u4"))
+def encode_segment(part: int, segment: int, before: int, doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
+    """One file's bytes; ``ids``: document after document."""
+    levels = encode_codes(ids)
     body = b"".join([
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
         np.cumsum(np.array(lengths, "<u8"), dtype="<u8").tobytes(),
         bytes(d is None for d in doc_ids),
         *levels,
     ])
-    return HEADER.pack(MAGIC, part, segment, len(levels), len(doc_ids), len(ids) // 4, before, zlib.crc32(body)) + body
+    return HEADER.pack(MAGIC, part, segment, len(levels), len(doc_ids), len(ids), before, zlib.crc32(body)) + body
 
 
 class Segment:
@@ -212,64 +229,76 @@ class Segment:
 # ------------------------------------------------------------------ tokenizer
 
 
-class ByteLevelIds:
-    """Ids of texts by a byte-level tokenizer file, as little-endian unsigned 32-bit integers.
+class ByteLevelIds(BlockIds):
+    """Ids by a byte-level tokenizer file.
 
     Its pre-tokenization takes a space together with what follows, so a text may be cut before
-    every space that something other than white space follows, and the ids are those of the
-    parts one after another; frequent parts are remembered. A text that holds one of the
-    tokenizer's special strings is encoded whole.
+    every space that something other than white space follows, and before a line end between
+    other signs; letters and other signs are parted. A text with a space before white space or at its end, or with one of the tokenizer's
+    special strings, is encoded whole.
     """
 
-    cut = re.compile(r" (?=\S)")
-
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.opens[i] = token.startswith("Ġ")  # the byte-level sign of a space
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def after_space(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of " " + part. Parts without white space are encoded many at a time: a token
-        that opens with a space opens a part."""
-        plain, out = [p for p in parts if p.split() == [p]], {}
-        for k in range(0, len(plain), 10_000):
-            block = plain[k:k + 10_000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(block), add_special_tokens=False).ids, "<u4")
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(block):
-                raise ValueError("the tokenizer does not part words at spaces")
-            raw, at = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-            out.update((p, raw[a:b]) for p, a, b in zip(block, at, at[1:], strict=False))
-        odd = [p for p in parts if p not in out]
-        out.update(zip(odd, self.whole([" " + p for p in odd]), strict=True))
-        return out
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; texts are taken a few MB at a time."""
-        at = 0
-        while at < len(texts):
-            first, parts, size = at, [], 0
-            while at < len(texts) and size < 4_000_000:
-                text = texts[at]
-                parts.append(None if any(s in text for s in self.special) else self.cut.split(text))
-                size += len(text)
-                at += 1
-            heads = iter(self.whole([texts[first + k] if p is None else p[0] for k, p in enumerate(parts)]))
-            new = self.after_space(list(set().union(*[p[1:] for p in parts if p]).difference(self.known)))
-            room = max(CACHED_PIECES - len(self.known), 0)
-            self.known.update(islice(((p, i) for p, i in new.items() if len(p) <= CACHED_LENGTH), room))
-            known, late = self.known.get, new.get
-            for p in parts:
-                yield next(heads) + b"".join([known(w) or late(w, b"") for w in p[1:]] if p else ())
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # every character that any of the libraries takes for white space
+        spaces = r"\t-\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+        self.odd = "|".join([f" [{spaces}]", r" \z", *special])
+        self.line_end = f"([^{spaces}])\n([^{spaces}])"
+        self.newline = self.encode_each(["\n"])[0]
+
+    def encode_each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, texts: pa.Array) -> pa.ListArray:
+        """Words are what follows a space, or a line end between other signs with that line end."""
+        return pc.split_pattern(pc.replace_substring_regex(texts, self.line_end, "\\1 \n\\2"), " ")
+
+    def is_core(self, words: pa.Array) -> pa.Array:
+        lines = pc.and_(pc.starts_with(words, "\n"), pc.utf8_is_alpha(pc.utf8_slice_codeunits(words, 1)))
+        return pc.or_(pc.utf8_is_alpha(words), lines)
+
+    def kind(self, word: str) -> int:
+        return 0 if word.isalpha() else 1 if word.startswith("\n") and word[1:].isalpha() else 2
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of " " + word, or of a word that begins with a line end. Words of letters go many
+        at a time: a token that opens with a space opens a word, and so does the line end's."""
+        ids, lengths = [], []
+        for kind, group in groupby(words, self.kind):
+            some = list(group)
+            for k in range(0, len(some), 10_000):
+                block = some[k:k + 10_000]
+                if kind == 2:
+                    found, own = packed(self.encode_each([w if w.startswith("\n") else " " + w for w in block]))
+                else:
+                    found = self.encode_each(["".join(block) if kind else " " + " ".join(block)])[0]
+                    starts = np.flatnonzero(found == self.newline[0] if kind else self.opens[found])
+                    if len(starts) != len(block):
+                        raise ValueError("the tokenizer does not part words at spaces and line ends")
+                    own = np.diff(starts, append=len(found))
+                ids.append(found)
+                lengths.append(own)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def encode_tails(self, tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return packed(self.encode_each(tails))
+
+    def encode_heads(self, heads: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return packed(self.encode_each(heads))
+
+    def whole(self, texts: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(texts, self.odd)
+
+    def encode_whole(self, text: str) -> np.ndarray:
+        return self.encode_each([text])[0]
 
 
 _TOKENIZERS: dict[int, ByteLevelIds] = {}
@@ -297,28 +326,32 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"), F.monotonically_increasing_id().alias("seen"))
     order = ["doc_id", "th", "seen"]
 
-    def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _TOKENIZERS:
             _TOKENIZERS.clear()
             _TOKENIZERS[key] = ByteLevelIds(sent.value)
-        tokenizer, last = _TOKENIZERS[key], np.array([end_id], "<u4").tobytes()
+        tokenizer, last = _TOKENIZERS[key], np.array([end_id], np.uint32)
         part = TaskContext.get().partitionId()
         before = held = number = 0
         ids, doc_ids, lengths = [], [], []
+
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([encode_segment(part, number, before, doc_ids, lengths, np.concatenate(ids))], pa.binary())], names=["payload"])
+
         for b in batches:
-            for doc_id, found in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), tokenizer.texts(b["text"].tolist()), strict=True):
+            for doc_id, found in zip(b.column("doc_id"), tokenizer.texts([b.column("text")]), strict=True):
                 ids += [found, last]
-                doc_ids.append(None if doc_id is None else int(doc_id))
-                lengths.append(len(found) // 4 + 1)
+                doc_ids.append(doc_id.as_py())
+                lengths.append(len(found) + 1)
                 held += lengths[-1]
                 if held >= segment_tokens:
-                    yield pd.DataFrame({"payload": [encode_segment(part, number, before, doc_ids, lengths, b"".join(ids))]})
+                    yield closed()
                     before, number, held = before + held, number + 1, 0
                     ids, doc_ids, lengths = [], [], []
         if doc_ids:
-            yield pd.DataFrame({"payload": [encode_segment(part, number, before, doc_ids, lengths, b"".join(ids))]})
+            yield closed()
 
-    done = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInPandas(segments, "payload binary")
+    done = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(segments, "payload binary")
     # the text writer puts a value's bytes and a line feed into the file; a row a file
     done.select(F.col("payload").cast("string")).write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
 
@@ -326,8 +359,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
 def read_token_files(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of every document in the files.
 
-    Each document's ids are read as a run of their own. ``start``, the ids of all documents
-    before it, is its place in its part plus the totals of the parts before (one row a part).
+    As all are wanted, a segment is read as one run and cut at the documents' ends; a reader of
+    some uses :class:`Segment`. ``start``, the ids of all documents before it, is a document's
+    place in its part plus the totals of the parts before (one row a part).
     """
     ship_package(spark)
     schema = "part int, at long, doc_id long, n_tokens long, ids_crc32 long" + ", ids array<int>" * keep_ids
@@ -336,17 +370,18 @@ def read_token_files(spark: SparkSession, path: str, keep_ids: bool = False) ->
         for b in batches:
             for content in b["content"]:
                 s = Segment(bytes(content))
-                starts = np.concatenate([[0], s.ends[:-1]]).astype(np.int64)
-                for k in range(0, len(s.doc_ids), 5_000):
-                    runs = [s.document(i) for i in range(k, min(k + 5_000, len(s.doc_ids)))]
+                ids, ends = s.codes.run(0, s.tokens), s.ends.tolist()
+                starts = [0, *ends[:-1]]
+                for k in range(0, len(ends), 5_000):
+                    runs = [ids[a:b] for a, b in zip(starts[k:k + 5_000], ends[k:k + 5_000], strict=True)]
                     out = pd.DataFrame({
-                        "part": s.part, "at": s.before + starts[k:k + 5_000],
+                        "part": s.part, "at": s.before + np.array(starts[k:k + 5_000], np.int64),
                         "doc_id": pd.array(s.doc_ids[k:k + 5_000], dtype="Int64"),
-                        "n_tokens": [len(r) for r in runs], "ids_crc32": [zlib.crc32(r.astype("<u4", copy=False).tobytes()) for r in runs],
+                        "n_tokens": [len(r) for r in runs], "ids_crc32": [zlib.crc32(r.astype("<u4", copy=False)) for r in runs],
                     })
                     yield out.assign(ids=[r.astype(np.int32) for r in runs]) if keep_ids else out
 
-    # without file statistics of its own a directory of no segments has nothing to read
+    # a task without documents may leave an empty file
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
     found = stage(files.select("content").mapInPandas(documents, schema), "token-files")
     totals = found.groupBy("part").agg(F.sum("n_tokens").alias("n"))
