@@ -4,6 +4,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -136,3 +137,28 @@ def test_empty_table(spark):
 def test_query_on_the_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     check(rows, op13_token_files(spark, SF_SMALL).collect())
+
+
+ALPHABET = st.text(alphabet=" \n\t'abzAZßéÀŸıİ.,!?-_#9１汉́　 \x1c\x85|<>", max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(ALPHABET, min_size=1, max_size=30))
+def test_block_ids_are_the_tokenizers_own(texts):
+    """Byte-level ids by blocks (what one block remembers serves the next), and the packing
+    operator's ids by words, against whole texts."""
+    texts = texts + [f"{a} {b}\n{a}, {b}" for a, b in zip(texts, texts[1:], strict=False)]
+    byte_level, by_words = both()
+    want = [[*e.ids] for e in byte_level.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [r.tolist() for r in byte_level.texts([pa.array(texts, pa.string())])] == want
+    want = [[*e.ids] for e in by_words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(r, "<u4").tolist() for r in by_words.texts(texts)] == want
+
+
+def both(made=[]):  # noqa: B006
+    from freshcat.llm.packing import WordIds
+
+    if not made:
+        made += [ac.ByteLevelIds(open(TOKENIZER, encoding="utf-8").read()), WordIds(open(vocabulary_path("word_bpe_49k.json"), encoding="utf-8").read())]
+    return made
