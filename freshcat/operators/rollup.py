@@ -21,6 +21,8 @@ Plan, chosen for scale: one pass, one exchange on the group key, no join.
   threshold`` is planned as a partial ``WindowGroupLimit`` before the shuffle, so a group that
   holds a third of all rows sends ``threshold`` rows a task;
 * how many are left is a second window with the same keys, which needs no further exchange;
+* the final sort moves each row once, as it came, with a flag for group rows; the output columns
+  are made from it behind the sort;
 * NULL-group rows (never large) get a key of their own each, so that they spread over the
   tasks instead of meeting in one.
 
@@ -79,6 +81,7 @@ KINDS = ("album", "music")
 _ALONE = "__fc_alone"
 _RN = "__fc_rn"
 _KEPT = "__fc_kept"
+_LARGE = "__fc_large"
 
 
 def rollup_groups(
@@ -112,8 +115,6 @@ def rollup_groups(
     """
     within = list(within)
     items = total_order_items(df, order, ties, exclude=within)
-    sort_names = [f"__fc_s{i}" for i in range(len(items))]
-    hidden = [F.col(name).alias(s) for (name, _), s in zip(items, sort_names)]
 
     def by(names, directions):
         return [F.col(n).asc() if asc else F.col(n).desc() for n, asc in zip(names, directions)]
@@ -164,14 +165,15 @@ def rollup_groups(
         .withColumn(_KEPT, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     )
     large = grouped & (F.col(_KEPT) >= threshold)
-    rolled = headed.where(~large | (F.col(_RN) == 1)).select(
-        *[F.col(w) for w in within],
-        *[F.when(large, group_row(c)).otherwise(item_row(c)).alias(c) for c in output],
-        *hidden,
-    )
+    # a row crosses the final exchange once, as it came; what it turns into is made behind the sort
+    carried = list(dict.fromkeys([n for n in (*(n for n, _ in items), *output, *group_values.values()) if n in types and n not in within]))
+    rolled = headed.where(~large | (F.col(_RN) == 1)).select(*within, *carried, large.alias(_LARGE))
     if sort:
-        rolled = rolled.orderBy(*[F.col(w).asc() for w in within], *by(sort_names, directions))
-    return rolled.select(*within, *output)
+        rolled = rolled.orderBy(*[F.col(w).asc() for w in within], *base_order)
+    return rolled.select(
+        *within,
+        *[F.when(F.col(_LARGE), group_row(c)).otherwise(item_row(c)).alias(c) for c in output],
+    )
 
 
 def aggregate_musics_to_album(

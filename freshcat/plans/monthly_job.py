@@ -281,17 +281,21 @@ def new_arrivals_fact(
     material_id: str = "id",
     material_name: str = "name",
     albums: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    named: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Fact rows of the target materials (C7): left joins, tie-up filter, defaults, distinct.
 
     :func:`target_rows` describes ``ids`` and ``require_tieup``. ``albums`` makes the two parts of
     :func:`album_parts` from the joined target, which is written once for it and for the joins
-    after it; None: the target already carries the album columns.
+    after it; None: the target already carries the album columns. ``named`` brings columns that
+    only the projection needs, behind the tie-up filter.
     """
     joined = target_rows(material_target, tieup_bridge, tieups, flags, ids, require_tieup, material_id)
     if albums is not None:
         joined = stage(joined, "joined")
         joined = with_albums(joined, *albums(joined))
+    if named is not None:
+        joined = named(joined)
     cols = fact_projection(joined, tz, material_id, material_name)
     return joined.select(*[F.col(w) for w in within], *cols).distinct()
 

@@ -29,7 +29,7 @@ Nothing is collected per order: each album document is built from its own order
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,15 +88,15 @@ def star_items(
     """Current line items as catalogue items, dated by their order (month-filtered when
     ``month`` is given: the range lands on the ``orders`` scan, and the join to the line
     items becomes an inner join that a runtime bloom filter can prune)."""
-    key = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
     source = t["lineitem"]
+    named = [] if with_album else [c.alias(n) for n, c in line_names("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").items()]
     lines = source.select(
-        F.concat_ws("-", *key).alias("id"),
-        F.concat_ws("/", key[0], key[1]).alias("name"),
+        *named,
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.col("l_shipdate")).alias(
             "catalog_end_date"
         ),
         "l_orderkey",
+        *["l_linenumber"] * with_album,
         F.col("l_partkey").alias("music_id"),
         F.col("l_suppkey").alias("artist_id"),
         (F.col("l_orderkey") * ASSET_STRIDE + F.col("l_linenumber")).alias("asset_id"),
@@ -104,13 +104,18 @@ def star_items(
     wanted = {"o_orderdate": "delivery_start_date", "o_custkey": "__fc_custkey"}
     orders = t["orders"]
     if with_album:
-        orders = orders.withColumn("__fc_listed", listed_assets())
-        wanted["__fc_listed"] = "__fc_listed"
+        # an order's customer is joined to the order, not to each of its lines
+        named = Hop(t["customer"], "o_custkey", "c_custkey", {"c_mktsegment": "site_name", "c_name": "__fc_cname"})
+        orders = join_hop(orders, named, tag="c").withColumn("__fc_listed", listed_assets())
+        wanted |= {c: c for c in ("site_name", "__fc_cname", "__fc_listed")}
     items = join_hop(
         current_rows(lines).drop("catalog_end_date"),
         Hop(orders, "l_orderkey", "o_orderkey", wanted),
         tag="o",
     )
+    if with_album:  # the list stays at this join: the joins after it move a flag a line
+        listed = F.coalesce(F.array_contains("__fc_listed", F.col("asset_id")), F.lit(False))
+        items = items.withColumn("__fc_is_track", listed).drop("__fc_listed")
     if month and newest:
         items = in_local_months(items, "delivery_start_date", month, newest, tz).withColumn(
             "target_date", local_month_partition("delivery_start_date", tz)
@@ -120,33 +125,57 @@ def star_items(
     return items
 
 
+def line_names(*keys: str) -> dict[str, Column]:
+    """Id and name of a line from its keys (order, line number, part, supplier)."""
+    key = [F.col(c).cast("string") for c in keys]
+    return {"id": F.concat_ws("-", *key), "name": F.concat_ws("/", key[0], key[1])}
+
+
 def star_material(
     t: Mapping[str, DataFrame],
     month: str | None = None,
     tz: str = JST,
     newest: str | None = None,
-    with_album: bool = False,
 ) -> DataFrame:
     """Material snowflake on the star (C1): item -> part, supplier, customer.
 
-    ``month`` alone: that month; ``month`` .. ``newest``: a range, with ``target_date``.
-    ``with_album``: also the album columns of the item (see :func:`album_of_line`)."""
-    customer = {"c_mktsegment": "site_name"}
-    if with_album:
-        customer["c_name"] = "__fc_cname"
+    ``month`` alone: that month; ``month`` .. ``newest``: a range, with ``target_date``."""
     material = snowflake_left_join(
-        star_items(t, month, tz, newest, with_album),
+        star_items(t, month, tz, newest),
         [
             Hop(t["part"], "music_id", "p_partkey", {"p_name": "music_name", "p_type": "filetype_id"}),
             Hop(t["supplier"], "artist_id", "s_suppkey", {"s_name": "artist_name"}),
-            Hop(t["customer"], "__fc_custkey", "c_custkey", customer),
+            Hop(t["customer"], "__fc_custkey", "c_custkey", {"c_mktsegment": "site_name"}),
         ],
     )
-    if with_album:
-        material = album_of_line(material, tz)
     return material.drop("__fc_custkey")
 
 
+def star_target(
+    t: Mapping[str, DataFrame],
+    month: str | None = None,
+    tz: str = JST,
+    newest: str | None = None,
+) -> DataFrame:
+    """The material of the fact as far as its filters and the tie-ups need it: site, music, file
+    type. The tie-up bridge joins next, on the key of the part join, and :func:`named_lines`
+    brings the rest behind the tie-up filter, in the place of wide rows in every join."""
+    music = Hop(t["part"], "music_id", "p_partkey", {"p_name": "music_name", "p_type": "filetype_id"})
+    return join_hop(star_items(t, month, tz, newest, with_album=True), music)
+
+
+def named_lines(t: Mapping[str, DataFrame], tz: str = JST) -> Callable[[DataFrame], DataFrame]:
+    """What the fact's projection needs besides :func:`star_target`: artist (by the key of the flag
+    list, which joins before it), id, name and album columns of each line."""
+
+    def named(rows: DataFrame) -> DataFrame:
+        out = join_hop(rows, Hop(t["supplier"], "artist_id", "s_suppkey", {"s_name": "artist_name"}), tag="s")
+        out = out.withColumns(line_names("l_orderkey", "l_linenumber", "music_id", "artist_id"))
+        return album_of_line(out, tz).drop("__fc_custkey", "l_linenumber")
+
+    return named
+
+
 def album_of_line(material: DataFrame, tz: str = JST) -> DataFrame:
     """Album columns of each line, from its own order's album document.
 
@@ -154,9 +183,8 @@ def album_of_line(material: DataFrame, tz: str = JST) -> DataFrame:
     the asset id: a document lists only its own order's slots, so the one album that can
     list a line's asset is the line's order. The document is parsed once an order, below the
     join (:func:`listed_assets`), and the line is a track of the album iff its asset is in
-    that list -- no album-track table, no shuffle of it.
+    that list (:func:`star_items`) -- no album-track table, no shuffle of it.
     """
-    is_track = F.coalesce(F.array_contains("__fc_listed", F.col("asset_id")), F.lit(False))
     values = {
         "album_music_id": F.col("l_orderkey"),
         "album_music_name": F.concat(F.lit("order "), F.col("l_orderkey").cast("string")),
@@ -166,8 +194,8 @@ def album_of_line(material: DataFrame, tz: str = JST) -> DataFrame:
     }
     out = material
     for name, value in values.items():
-        out = out.withColumn(name, F.when(is_track, value))
-    return out.drop("__fc_listed", "__fc_cname")
+        out = out.withColumn(name, F.when(F.col("__fc_is_track"), value))
+    return out.drop("__fc_is_track", "__fc_cname")
 
 
 def listed_assets() -> Column:
@@ -259,11 +287,11 @@ def star_fact(
     tz: str = JST,
 ) -> DataFrame:
     """New-arrivals fact (C7) on the star; no month/corner = every current line item."""
-    target = star_material(t, month, tz, with_album=True)
+    target = star_target(t, month, tz)
     if segment is not None:
         target = corner_filter(target, "site_name", segment, "filetype_id", types or ())
     return new_arrivals_fact(
-        target, star_tieup_bridge(t), star_tieups(t), star_flags(t), require_tieup=require_tieup, tz=tz
+        target, star_tieup_bridge(t), star_tieups(t), star_flags(t), require_tieup=require_tieup, tz=tz, named=named_lines(t, tz)
     )
 
 
@@ -299,7 +327,7 @@ def star_all_corners(
     by ``target_date`` as well."""
     corners = corners or star_corners()
     within = ("site", "corner", "target_date") if newest else ("site", "corner")
-    target = corner_targets(star_material(t, month, tz, newest, with_album=True), corners)
+    target = corner_targets(star_target(t, month, tz, newest), corners)
     fact = new_arrivals_fact(
         target,
         star_tieup_bridge(t),
@@ -308,6 +336,7 @@ def star_all_corners(
         require_tieup=F.col("require_tieup"),
         tz=tz,
         within=within,
+        named=named_lines(t, tz),
     )
     rolled = rollup_fact(fact, threshold, within=within, sort=False)
     return filter_duplicate_tieup_item(rolled, order_column="release_date", ascending=False, within=within)

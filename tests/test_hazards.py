@@ -7,7 +7,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType,
 
 from freshcat.functions import default_if_null, local_epoch_seconds, null_to_text
 from freshcat.operators import aggregate_musics_to_album, corner_filter, first_per_key, in_local_month
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 
 UTC = dt.timezone.utc
 
@@ -204,3 +204,22 @@ def test_month_items_prune_bridge_scans_with_runtime_filters(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_rollup_moves_a_row_once_as_it_came(spark):
+    """The final sort of the album rollup carries no second copy of its columns, and the joins of
+    the star's fact share their exchanges."""
+    import re
+
+    from freshcat.plans.driver_queries import QUERIES
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["album_rollup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    ranged = re.search(r"Exchange rangepartitioning.*\n[^\n]*Project \[([^\]]*)\]", plan)
+    assert "__fc_s0" not in plan and ranged and len(ranged.group(1).split(", ")) <= 21
+    by_line_key = [k for k in ("__fc_custkey", "l_orderkey", "music_id", "artist_id") for _ in re.findall(rf"Exchange hashpartitioning\({k}#", plan)]
+    assert by_line_key.count("__fc_custkey") == 0 and by_line_key.count("music_id") == 1 and by_line_key.count("artist_id") == 1
