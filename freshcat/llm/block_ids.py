@@ -61,7 +61,7 @@ class BlockIds:
     """See the module."""
 
     def __init__(self) -> None:
-        self.cores, self.tails = Runs(), Runs()
+        self.cores, self.tails, self.remembered = Runs(), Runs(), REMEMBERED
 
     # what a tokenizer's class gives
 
@@ -129,7 +129,7 @@ class BlockIds:
         core = pc.utf8_rtrim(distinct, PUNCTUATION)
         core = pc.if_else(self.is_core(core), core, distinct)
         tail = pa.array([w[len(c):] for w, c in zip(listed(distinct), listed(core), strict=True)], pa.string())
-        at_core, cores = self._numbered(self.cores, core, self.encode_words, REMEMBERED)
+        at_core, cores = self._numbered(self.cores, core, self.encode_words, self.remembered)
         at_tail, tails = self._numbered(self.tails, tail, self.encode_tails, 10_000)
         # the ids of the distinct words, each its core's and its tail's
         first = np.stack([cores.ends[at_core], len(cores.ids) + tails.ends[at_tail]], axis=1).reshape(-1)

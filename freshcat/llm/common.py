@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import os
-import re
 import uuid
 import zipfile
 
@@ -71,17 +70,6 @@ def same_key(a: DataFrame, b: DataFrame, *names: str) -> Column:
     return cond
 
 
-#: A word of letters below U+0100 and ASCII punctuation (without the apostrophe) behind it.
-_TAILED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
-
-
-def cut_tail(word: str) -> tuple[str, str]:
-    """A word without its final punctuation, and that; other words whole. Pre-tokenizers that part
-    letters from other signs give the ids of the two one after the other."""
-    found = _TAILED.fullmatch(word)
-    return found.groups() if found else (word, "")
-
-
 def split_words(text: Column) -> Column:
     """Array of the words of a text; empty for an empty or blank text."""
     trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))

@@ -9,40 +9,45 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshcat.llm.common import cut_tail, id_text, ship_package, stage
+from freshcat.llm.block_ids import BlockIds, packed
+from freshcat.llm.common import id_text, ship_package, stage
 
 WINDOW = 4096
 #: Remainders packed together by one task.
 GROUP_PIECES = 50_000
-#: Words a Python worker remembers (further ones are encoded when they occur), and the longest
-#: it remembers: some 50 MB, kept from task to task.
-CACHED_WORDS, CACHED_LENGTH = 250_000, 40
+#: Words that a Python worker remembers: some 50 MB, kept from task to task.
+CACHED_WORDS = 250_000
+#: Words of letters that are encoded in lower case, many in one call.
+LETTERED = "\\A[A-Za-zÀ-ÖØ-öø-ÿ]+\\z"
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
-_TOKENIZERS: dict[int, object] = {}
+_TOKENIZERS: dict[int, WordIds] = {}
 
 
-class WordIds:
-    """Token ids of texts, as little-endian unsigned 32-bit integers.
+class WordIds(BlockIds):
+    """Token ids of texts.
 
     The tokenizer's pre-tokenization never joins what ASCII white space parts, so the ids of
-    a text are the ids of its words one after another; the frequent ones are remembered. It parts
-    letters from other signs and lower-cases, so a word of letters below U+0100 is encoded in
-    lower case without its final punctuation, many such words in one call: a token that ends a
-    word ends its ids.
+    a text are the ids of its words one after another. It parts letters from other signs and
+    lower-cases, so a word of letters below U+0100 is encoded in lower case without its final
+    punctuation, many such words in one call: a token that ends a word ends its ids.
     """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
+        self.remembered = CACHED_WORDS
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         # the same model for words that are already lower-cased single words
         self.lettered = Tokenizer.from_str(tokenizer_json)
@@ -53,56 +58,45 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
-
-    def each(self, words: list[str]) -> list[bytes]:
-        out = []
-        for k in range(0, len(words), 20_000):
-            found = self.tokenizer.encode_batch_fast(words[k:k + 20_000], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
-        return out
-
-    def lower_case(self, words: list[str]) -> dict[str, bytes]:
-        out = {}
-        for k in range(0, len(words), 10_000):
-            block = words[k:k + 10_000]
-            ids = np.array(self.lettered.encode_batch_fast([" ".join(block)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(ends) != len(block):
-                raise ValueError("the tokenizer does not end words with </w>")
-            raw = ids.tobytes()
-            out.update((w, raw[a:b]) for w, a, b in zip(block, [0, *ends], ends, strict=False))
-        return out
-
-    def encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
-        cuts = {w: cut_tail(w.decode()) for w in words}
-        lettered = {w: (core.lower(), tail) for w, (core, tail) in cuts.items() if LETTERS.fullmatch(core)}
-        cores = self.lower_case(list({core for core, _ in lettered.values()}))
-        tails = list({tail for _, tail in lettered.values()}.difference(self.tails))
-        found = {**self.tails, **dict(zip(tails, self.each(tails), strict=True))}
-        if len(found) < 10_000:
-            self.tails = found
-        out = {w: cores[core] + found[tail] for w, (core, tail) in lettered.items()}
-        odd = [w for w in words if w not in out]
-        out.update(zip(odd, self.each([w.decode() for w in odd]), strict=True))
-        return out
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; texts are taken a few MB at a time."""
-        at = 0
-        while at < len(texts):
-            split, size = [], 0
-            while at < len(texts) and size < 2_000_000:
-                split.append(texts[at].encode().split())
-                size += len(texts[at])
-                at += 1
-            new = self.encoded(set().union(*split).difference(self.known))
-            room = max(CACHED_WORDS - len(self.known), 0)
-            self.known.update(islice(((w, i) for w, i in new.items() if len(w) <= CACHED_LENGTH), room))
-            known, late = self.known.get, new.get
-            for words in split:
-                yield b"".join([known(w) or late(w, b"") for w in words])
+
+    def words(self, texts: pa.Array) -> pa.ListArray:
+        """Words are what ASCII white space parts (an empty one at either end has no ids)."""
+        return pc.ascii_split_whitespace(texts)
+
+    def is_core(self, words: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(words, LETTERED)
+
+    def kind(self, word: str) -> int:
+        return 0 if LETTERS.fullmatch(word) else 1
+
+    def each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return packed([np.array(e.ids, np.uint32) for e in found])
+
+    def lower_case(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.lettered.encode_batch_fast([" ".join(words).lower()], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError("the tokenizer does not end words with </w>")
+        return ids, np.diff(ends, prepend=0)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lengths = [], []
+        for kind, group in groupby(words, self.kind):
+            some = list(group)
+            for k in range(0, len(some), 10_000):
+                found, own = (self.each if kind else self.lower_case)(some[k:k + 10_000])
+                ids.append(found)
+                lengths.append(own)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def encode_tails(self, tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.each(tails)
+
+    def texts(self, texts: Iterable[pa.Array] | list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text (unsigned 32-bit), from arrays of texts or a list of texts."""
+        texts = list(texts)
+        return super().texts([pa.array(texts, pa.string())] if texts and isinstance(texts[0], str) else texts)
 
 
 def _word_ids(key: int, tokenizer_json) -> WordIds:
@@ -132,22 +126,25 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW,
     key = zlib.crc32(sent.value.encode())
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(key, sent)
-        last = np.array([end_id], dtype="<u4").tobytes()
+        last = np.array([end_id], "<u4")
         for b in batches:
-            rows = []
-            for doc_id, ids in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), words.texts(b["text"].tolist()), strict=True):
-                ids += last
-                tokens = len(ids) // 4
+            rows, parts = [], []
+            for doc_id, ids in zip(b["doc_id"].to_pylist(), words.texts([b["text"]]), strict=True):
+                ids = np.concatenate([ids, last])
+                tokens = len(ids)
                 for start, length in cut(tokens, window):
-                    part = ids[4 * start:4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(part), tokens) + ((np.frombuffer(part, "<u4").astype(np.int32),) if keep_ids else ()))
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return id_text(docs, id_col, text_col).mapInPandas(pieces, schema)
+                    part = ids[start:start + length]
+                    rows.append((doc_id, start, length, zlib.crc32(part), tokens))
+                    if keep_ids:
+                        parts.append(part.astype(np.int32))
+            out = [pa.array(column, pa.int64()) for column in (zip(*rows) if rows else [()] * 5)]
+            if keep_ids:
+                out.append(pa.array(parts, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(out, [x.split()[0] for x in schema.split(", ")])
+
+    return id_text(docs, id_col, text_col).mapInArrow(pieces, schema)
 
 
 class RoomTree:

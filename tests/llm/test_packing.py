@@ -81,3 +81,15 @@ def test_best_fit_is_the_tightest_open_window():
             else:
                 assert window - used[sequence[k]] == min(rooms) and offset[k] == used[sequence[k]]
                 used[sequence[k]] += lengths[k]
+
+
+def test_words_are_gathered_in_blocks():
+    """Ids come by array operations over a block's distinct words, not word by word."""
+    from freshcat.llm.block_ids import BlockIds
+
+    words = K.WordIds(open(PATH, encoding="utf-8").read())
+    assert isinstance(words, BlockIds)
+    texts = [t or "" for t in HARD] + ["The end. the END, (the) end's \x1c end\x85the", " lead\r\n tail \x0b", "Ünï ünï! naïve<|endoftext|>..."] * 2
+    for _ in range(2):  # again, with what the first pass remembered
+        assert [r.tolist() + [2] for r in words.texts(texts)] == [ids_of(t) for t in texts]
+    assert len(words.cores.place) <= K.CACHED_WORDS and list(words.texts([])) == []
