@@ -23,7 +23,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -262,31 +261,28 @@ class ByteLevelIds(BlockIds):
         return pc.split_pattern(pc.replace_substring_regex(texts, self.line_end, "\\1 \n\\2"), " ")
 
     def is_core(self, words: pa.Array) -> pa.Array:
-        lines = pc.and_(pc.starts_with(words, "\n"), pc.utf8_is_alpha(pc.utf8_slice_codeunits(words, 1)))
-        return pc.or_(pc.utf8_is_alpha(words), lines)
+        return pc.or_(pc.utf8_is_alpha(words), self.is_line(words))
 
-    def kind(self, word: str) -> int:
-        return 0 if word.isalpha() else 1 if word.startswith("\n") and word[1:].isalpha() else 2
+    def is_line(self, words: pa.Array) -> pa.Array:
+        return pc.and_(pc.starts_with(words, "\n"), pc.utf8_is_alpha(pc.utf8_slice_codeunits(words, 1)))
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def kinds(self, words: pa.Array) -> np.ndarray:
+        """2: words of letters, 1: lines, 0: others."""
+        kinds = self.is_line(words).to_numpy(zero_copy_only=False).astype(np.int8)
+        kinds[pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)] = 2
+        return kinds
+
+    def encode_kind(self, kind: int, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of " " + word, or of a word that begins with a line end. Words of letters go many
         at a time: a token that opens with a space opens a word, and so does the line end's."""
-        ids, lengths = [], []
-        for kind, group in groupby(words, self.kind):
-            some = list(group)
-            for k in range(0, len(some), 10_000):
-                block = some[k:k + 10_000]
-                if kind == 2:
-                    found, own = packed(self.encode_each([w if w.startswith("\n") else " " + w for w in block]))
-                else:
-                    found = self.encode_each(["".join(block) if kind else " " + " ".join(block)])[0]
-                    starts = np.flatnonzero(found == self.newline[0] if kind else self.opens[found])
-                    if len(starts) != len(block):
-                        raise ValueError("the tokenizer does not part words at spaces and line ends")
-                    own = np.diff(starts, append=len(found))
-                ids.append(found)
-                lengths.append(own)
-        return np.concatenate(ids), np.concatenate(lengths)
+        if not kind:
+            return packed(self.encode_each([w if w.startswith("\n") else " " + w for w in words]))
+        text = "".join(words) if kind == 1 else " " + " ".join(words)
+        found = self.encode_each([text])[0]
+        starts = np.flatnonzero(found == self.newline[0] if kind == 1 else self.opens[found])
+        if len(starts) != len(words):
+            raise ValueError("the tokenizer does not part words at spaces and line ends")
+        return found, np.diff(starts, append=len(found))
 
     def encode_tails(self, tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return packed(self.encode_each(tails))
@@ -303,6 +299,16 @@ class ByteLevelIds(BlockIds):
 
 _TOKENIZERS: dict[int, ByteLevelIds] = {}
 
+
+def _byte_level_ids(key: int, tokenizer_json) -> ByteLevelIds:
+    """The worker's own, with the words that its tasks so far have met. A function inside
+    another goes to the workers with a copy of the module's variables for each task, and would
+    find none here; this one goes by name."""
+    if key not in _TOKENIZERS:
+        _TOKENIZERS.clear()
+        _TOKENIZERS[key] = ByteLevelIds(tokenizer_json.value)
+    return _TOKENIZERS[key]
+
 # ------------------------------------------------------------------ Spark
 
 
@@ -327,10 +333,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     order = ["doc_id", "th", "seen"]
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _TOKENIZERS:
-            _TOKENIZERS.clear()
-            _TOKENIZERS[key] = ByteLevelIds(sent.value)
-        tokenizer, last = _TOKENIZERS[key], np.array([end_id], np.uint32)
+        tokenizer, last = _byte_level_ids(key, sent), np.array([end_id], np.uint32)
         part = TaskContext.get().partitionId()
         before = held = number = 0
         ids, doc_ids, lengths = [], [], []

@@ -9,6 +9,7 @@ tokenizer's class says how words are parted and what is one call's worth.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,11 @@ import pyarrow.compute as pc
 
 #: Cores a Python worker remembers, and the longest it remembers: some 50 MB.
 REMEMBERED, LONGEST = 250_000, 40
-#: Characters of text that are encoded together.
-BLOCK_CHARS = 2_000_000
+#: Bytes of text that are encoded together, and the rest of the last one: a block's distinct words
+#: are looked up once each, so larger blocks save lookups, for some ten times their size in arrays.
+BLOCK_BYTES = 4_000_000
+#: Words of one call of the tokenizer.
+TOGETHER = 1_000
 #: ASCII punctuation; the apostrophe may begin a contraction, which is not cut.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -52,6 +56,19 @@ def gathered(ids: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarr
     return ids[at]
 
 
+def behind(words: pa.Array, heads: pa.Array) -> pa.Array:
+    """What is left of the words behind the heads that they begin with."""
+    words = words.cast(pa.large_binary())
+    places = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    skipped = pc.binary_length(heads).to_numpy()
+    left = np.diff(places) - skipped
+    ends = np.cumsum(left, dtype=np.int64)
+    if not len(words) or not ends[-1]:
+        return pa.array([""] * len(words), pa.string())
+    rest = gathered(np.frombuffer(words.buffers()[2], np.uint8), places[:-1] + skipped, left)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(rest)]).cast(pa.string())
+
+
 def packed(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(r) for r in runs], np.int64)
     return (np.concatenate(runs) if runs else np.empty(0, np.uint32)), lengths
@@ -73,11 +90,11 @@ class BlockIds:
         """Which words the tokenizer parts from punctuation behind them."""
         raise NotImplementedError
 
-    def kind(self, word: str) -> int:
-        """Words of a kind come to :meth:`encode_words` together."""
-        return 0 if word.isalpha() else 1
+    def kinds(self, words: pa.Array) -> np.ndarray:
+        """A number for each word: :meth:`encode_kind` gets words of one kind."""
+        raise NotImplementedError
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_kind(self, kind: int, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after the other, and how many each has."""
         raise NotImplementedError
 
@@ -99,18 +116,19 @@ class BlockIds:
 
     def _numbered(self, runs: Runs, keys: pa.Array, encode: Callable, bound: int) -> tuple[np.ndarray, Runs]:
         """Each key's number, and runs that hold them all. New keys are remembered up to ``bound``."""
-        coded, get = keys.dictionary_encode(), runs.place.get
-        distinct = listed(coded.dictionary)
-        numbers = np.fromiter((get(k, -1) for k in distinct), np.int64, len(distinct))
+        coded = keys.dictionary_encode()
+        distinct = coded.dictionary
+        numbers = np.fromiter(map(runs.place.get, listed(distinct), repeat(-1)), np.int64, len(distinct))
         new, full = np.flatnonzero(numbers < 0), runs
         if len(new):
             # words to remember first, and those of a kind together
-            kinds = np.fromiter((self.kind(distinct[at]) for at in new.tolist()), np.int64, len(new))
-            short = np.fromiter((len(distinct[at]) <= LONGEST for at in new.tolist()), bool, len(new))
-            new = new[np.lexsort((kinds, ~short))]
-            words = [distinct[at] for at in new.tolist()]
+            found = distinct.take(pa.array(new))
+            kinds = self.kinds(found)
+            short = pc.utf8_length(found).to_numpy() <= LONGEST
+            order = np.lexsort((kinds, ~short))
+            new, kinds, words = new[order], kinds[order], listed(found.take(pa.array(order)))
             base = len(runs.place)
-            full = runs.extended(*encode(words))
+            full = runs.extended(*encode(words, kinds))
             numbers[new] = np.arange(base, base + len(new))
             kept = words[:min(int(short.sum()), max(bound - base, 0))]
             if kept:
@@ -119,6 +137,17 @@ class BlockIds:
                 runs.ids, runs.ends = full.ids[:full.ends[n]].copy(), full.ends[:n + 1].copy()
         return numbers[coded.indices.to_numpy()], full
 
+    def encode_words(self, words: list[str], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has."""
+        bounds = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), len(words)]
+        ids, lengths = [], []
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            for k in range(a, b, TOGETHER):
+                found, own = self.encode_kind(int(kinds[a]), words[k:min(k + TOGETHER, b)])
+                ids.append(found)
+                lengths.append(own)
+        return np.concatenate(ids), np.concatenate(lengths)
+
     def block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after the other, and how many each has."""
         if not len(texts):
@@ -128,9 +157,8 @@ class BlockIds:
         inverse, distinct = coded.indices.to_numpy(), coded.dictionary
         core = pc.utf8_rtrim(distinct, PUNCTUATION)
         core = pc.if_else(self.is_core(core), core, distinct)
-        tail = pa.array([w[len(c):] for w, c in zip(listed(distinct), listed(core), strict=True)], pa.string())
         at_core, cores = self._numbered(self.cores, core, self.encode_words, self.remembered)
-        at_tail, tails = self._numbered(self.tails, tail, self.encode_tails, 10_000)
+        at_tail, tails = self._numbered(self.tails, behind(distinct, core), lambda found, _: self.encode_tails(found), 10_000)
         # the ids of the distinct words, each its core's and its tail's
         first = np.stack([cores.ends[at_core], len(cores.ids) + tails.ends[at_tail]], axis=1).reshape(-1)
         length = np.stack([np.diff(cores.ends)[at_core], np.diff(tails.ends)[at_tail]], axis=1).reshape(-1)
@@ -151,11 +179,12 @@ class BlockIds:
     def texts(self, texts: Iterable[pa.Array]) -> Iterator[np.ndarray]:
         """Ids of each text (unsigned 32-bit), from arrays of texts without nulls."""
         for column in texts:
-            sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
-            at = 0
+            sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+            total, at = int(sizes[-1]) if len(sizes) else 0, 0
+            step = -(-total // max(1, -(-total // BLOCK_BYTES)))  # blocks of like size
             while at < len(column):
                 base = sizes[at - 1] if at else 0
-                end = max(int(np.searchsorted(sizes, base + BLOCK_CHARS)), at + 1)
+                end = min(int(np.searchsorted(sizes, base + step)) + 1, len(column))
                 part = column.slice(at, end - at)
                 alone = self.whole(part)
                 ids, lengths = self.block(part.filter(pc.invert(alone)))

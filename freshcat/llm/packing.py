@@ -7,10 +7,8 @@ tree indexed by remaining capacity.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -29,7 +27,6 @@ GROUP_PIECES = 50_000
 CACHED_WORDS = 250_000
 #: Words of letters that are encoded in lower case, many in one call.
 LETTERED = "\\A[A-Za-zÀ-ÖØ-öø-ÿ]+\\z"
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 _TOKENIZERS: dict[int, WordIds] = {}
 
@@ -66,8 +63,12 @@ class WordIds(BlockIds):
     def is_core(self, words: pa.Array) -> pa.Array:
         return pc.match_substring_regex(words, LETTERED)
 
-    def kind(self, word: str) -> int:
-        return 0 if LETTERS.fullmatch(word) else 1
+    def kinds(self, words: pa.Array) -> np.ndarray:
+        """1: words of letters below U+0100, 0: others."""
+        return pc.match_substring_regex(words, LETTERED).to_numpy(zero_copy_only=False).astype(np.int8)
+
+    def encode_kind(self, kind: int, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.lower_case(words) if kind else self.each(words)
 
     def each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -80,16 +81,6 @@ class WordIds(BlockIds):
             raise ValueError("the tokenizer does not end words with </w>")
         return ids, np.diff(ends, prepend=0)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, lengths = [], []
-        for kind, group in groupby(words, self.kind):
-            some = list(group)
-            for k in range(0, len(some), 10_000):
-                found, own = (self.each if kind else self.lower_case)(some[k:k + 10_000])
-                ids.append(found)
-                lengths.append(own)
-        return np.concatenate(ids), np.concatenate(lengths)
-
     def encode_tails(self, tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self.each(tails)
 

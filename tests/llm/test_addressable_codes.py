@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from freshcat.llm import addressable_codes as ac
+from freshcat.llm.block_ids import behind
 from freshcat.llm.common import new_path
 from freshcat.llm.queries import op13_token_files, vocabulary_path
 from tests.conftest import SF_SMALL
@@ -156,6 +157,38 @@ def test_block_ids_are_the_tokenizers_own(texts):
     assert [np.frombuffer(r, "<u4").tolist() for r in by_words.texts(texts)] == want
 
 
+def test_a_worker_keeps_its_words_from_task_to_task(spark):
+    docs = spark.createDataFrame([(k, f"one common word and {'own' * k}") for k in range(40)], "doc_id long, text string").repartition(8)
+    ac.write_token_files(docs, TOKENIZER, new_path(spark, "test-tokens"))
+
+    def held(batches):
+        from freshcat.llm import addressable_codes as module
+
+        words = {w for t in module._TOKENIZERS.values() for w in t.cores.place}
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(words & {"one", "common", "word", "and"})], pa.int64())], names=["n"])
+
+    assert max(r.n for r in spark.range(8, numPartitions=8).mapInArrow(held, "n long").collect()) == 4
+
+
+def test_words_of_a_block_go_through_the_tokenizer_once():
+    """Also where nothing is remembered: six million bytes are two blocks of like size."""
+    texts = [" ".join(chr(97 + k // 26) + chr(97 + k % 26) for k in range(600)) * 10] * 333
+    tokenizer, calls = ac.ByteLevelIds(open(TOKENIZER, encoding="utf-8").read()), []
+    tokenizer.remembered, encode = 0, tokenizer.encode_kind
+    tokenizer.encode_kind = lambda kind, words: calls.append(len(words)) or encode(kind, words)
+    want = tokenizer.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert all(r.tolist() == want for r in tokenizer.texts([pa.array(texts)]))
+    assert sum(calls) == 2 * len(set(texts[0].split(" ")))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="aß汉", max_size=3), st.text(alphabet=".,", max_size=2)), max_size=12), st.integers(0, 3))
+def test_what_is_behind_the_heads(parts, start):
+    words, heads = pa.array([a + b for a, b in parts], pa.string()), pa.array([a for a, _ in parts], pa.string())
+    assert behind(words.slice(start), heads.slice(start)).to_pylist() == [b for _, b in parts][start:]
+
+
 def both(made=[]):  # noqa: B006
     from freshcat.llm.packing import WordIds
 
